@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 
 def to_int(value: Column, source_type: T.DataType) -> Column:
     """Integer or NULL. A string such as ``"2.0"`` counts as 2."""
-    if isinstance(source_type, T.StringType):
-        value = F.regexp_replace(F.trim(value), r"^([+-]?\d+)\.\d*$", "$1")
-    return value.try_cast("int")
+    plain = value.try_cast("int")
+    if not isinstance(source_type, T.StringType):
+        return plain
+    # The pattern is only matched against what is not a plain integer.
+    whole = F.regexp_replace(F.trim(value), r"^([+-]?\d+)\.\d*$", "$1")
+    return F.coalesce(plain, whole.try_cast("int"))
 
 
 def to_double(value: Column) -> Column:

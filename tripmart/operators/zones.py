@@ -35,12 +35,13 @@ def enrich_zones(trips: DataFrame, zones: DataFrame, cell_col: str | None = None
     Trips without a known zone stay, with NULLs. A zone listed twice does not double its
     trips. ``cell_col`` names a column of ``zones`` to use in place of the computed cell.
     """
+    # Measured before the rows are made unique, which only makes them fewer.
+    small = fits_broadcast(zones)
     if cell_col is None:
         zones = zone_cells(zones)
     else:
         zones = zones.withColumn("cell", F.col(cell_col))
     zones = _one_row_per_zone(zones)
-    small = fits_broadcast(zones)
 
     pickup = zones.select(
         F.col("LocationID").alias("PULocationID"),

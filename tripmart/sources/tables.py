@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +89,21 @@ def read_stream(
     return reader.load(path) if path is not None else reader.load()
 
 
+def few_splits(df: DataFrame) -> bool:
+    """Whether a scan has fewer splits than the cluster has cores."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give every core a share of an input of few splits, such as one small file.
+
+    An input with enough splits is left as it is, so a large table is never shuffled here.
+    """
+    if not few_splits(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Name a DataFrame for use in ``spark.sql`` and ``spark.table``."""
     df.createOrReplaceTempView(name)

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.session import use_utc
-from tripmart.sources.tables import read_stream
+from tripmart.sources.tables import few_splits, read_stream, spread
 
 # _tie1 and _tie2 make the order of the rows of one key total.
 TIES = ["_tie1", "_tie2"]
 
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+
 TRIPS_SQL = """
 select
   concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as trip_id,
@@ -134,13 +136,16 @@ def trips(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -
     """Bronze-shaped trips. A streaming ``lineitem`` makes them a stream."""
     names = ["orders", "customer", "supplier"]
     tables = {name: table(spark, sf_dir, name) for name in names}
-    tables["lineitem"] = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
-    return spark.sql(TRIPS_SQL, **tables)
+    if lineitem is None:
+        lineitem = spread(table(spark, sf_dir, "lineitem"), LINE_KEY)
+    return spark.sql(TRIPS_SQL, lineitem=lineitem, **tables)
 
 
 def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "lineitem").schema
-    source = read_stream(spark, "parquet", schema, f"{sf_dir}/lineitem.parquet")
+    lines = table(spark, sf_dir, "lineitem")
+    source = read_stream(spark, "parquet", lines.schema, f"{sf_dir}/lineitem.parquet")
+    if few_splits(lines):
+        source = source.repartition(spark.sparkContext.defaultParallelism, *LINE_KEY)
     return trips(spark, sf_dir, source)
 
 

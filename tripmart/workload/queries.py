@@ -59,6 +59,13 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_plan(adapter.trips(spark, sf_dir), adapter.zones(spark, sf_dir), TIES)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table, for a query that reads it more than once."""
+    path = scratch_path(df.sparkSession, name)
+    overwrite(df, path, "1")
+    return read_table(df.sparkSession, path)
+
+
 # Sources
 
 
@@ -153,14 +160,11 @@ def fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("fact_incremental")
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert of the silver table into a fact that was built from its first 15 minutes."""
-    root = scratch_path(spark, "fact")
     trips, zones = adapter.trips(spark, sf_dir), adapter.zones(spark, sf_dir)
     early = trips.filter(F.col("_ingest_ts") <= F.lit("2024-01-01 00:15:00").cast("timestamp"))
-    overwrite(gold.fact_trips(silver_plan(early, zones, TIES)), f"{root}/fact", "1")
-    overwrite(silver_plan(trips, zones, TIES), f"{root}/silver", "1")
     merged = upsert_incremental(
-        read_table(spark, f"{root}/fact"),
-        gold.fact_trips(read_table(spark, f"{root}/silver")),
+        _written(gold.fact_trips(silver_plan(early, zones, TIES)), "fact"),
+        _written(gold.fact_trips(silver_plan(trips, zones, TIES)), "increment"),
         "trip_id",
         "_ingest_ts",
         ["tpep_pickup_datetime"],
@@ -200,7 +204,7 @@ def zone_tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("star_revenue")
 def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
+    silver = _written(_silver(spark, sf_dir).select(*gold.FACT_COLUMNS), "star")
     return gold.star_revenue(
         gold.fact_trips(silver), gold.dim_payment(silver), gold.dim_zone(silver), RESOLUTIONS
     )
@@ -314,12 +318,12 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("dq_report")
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(_silver(spark, sf_dir), audit.silver_suite())
+    return evaluate(_written(_silver(spark, sf_dir), "audited"), audit.silver_suite())
 
 
 @_query("dq_verdict")
 def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
+    silver = _written(_silver(spark, sf_dir), "audited")
     suites = {"silver": audit.silver_suite(), "table": audit.metric_suite()}
     return reduce(
         DataFrame.unionByName,
