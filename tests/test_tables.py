@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from tripmart.operators import upsert_incremental
 from tripmart.schemas import TRIP_COLUMNS
 from tripmart.session import scratch_path, shared_folder
-from tripmart.sinks import append_merge, compact, overwrite, publish, read_origins, resolve
+from tripmart.sinks import (
+    append_merge,
+    compact,
+    drop_old_versions,
+    overwrite,
+    publish,
+    read_origins,
+    resolve,
+)
 from tripmart.sources import (
     first_trips,
     normalize_trips,
@@ -56,6 +64,29 @@ def test_unpublished_version_is_invisible(spark, tmp_path):
     assert [name for name in os.listdir(path) if "_current." in name and "crc" not in name] == []
 
 
+def test_old_versions_are_dropped_but_never_the_current_or_a_newer_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert drop_old_versions(spark, path) == []
+    for i in range(4):
+        overwrite(spark.range(i + 1), path, str(i))
+        os.utime(f"{path}/v={i}", (1000 + i, 1000 + i))
+    overwrite(spark.range(9), path, "audited", publish_now=False)
+    dropped = drop_old_versions(spark, path, keep=1)
+    assert sorted(os.path.basename(name) for name in dropped) == ["v=0", "v=1"]
+    assert sorted(n for n in os.listdir(path) if n.startswith("v=")) == ["v=2", "v=3", "v=audited"]
+    assert read_table(spark, path).count() == 4
+
+
+def test_time_columns_carry_statistics(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "t")
+    overwrite(fact(spark, ("a", 1, 1)), path, "1")
+    column = pq.ParquetFile(files(path)[0]).metadata.row_group(0).column(2)
+    assert column.path_in_schema == "_ingest_ts" and column.physical_type == "INT64"
+    assert column.statistics.has_min_max
+
+
 def test_partitioned_overwrite(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(1000).selectExpr("id", "cast(if(id % 3 = 0, 0, id % 5) as int) as day")

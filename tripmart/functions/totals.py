@@ -1,7 +1,7 @@
 """Sums and means of doubles, plain or in fixed point.
 
 A double sum depends on the order of its terms, so a retried task can change its last
-bits. Where the values are known to be multiples of ``1 / resolution`` (cents: 100,
+bits. Where the values are finite and known to be multiples of ``1 / resolution`` (cents: 100,
 whole seconds kept in minutes: 60), summing the multiples as integers is exact, does not
 depend on partitioning, and stays in generated code.
 """

@@ -23,6 +23,22 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.getFileStatus(target).isDirectory()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the direct children of a folder."""
+    fs, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    fs, target = _file_system(spark, path)
+    return fs.getFileStatus(target).getModificationTime()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _file_system(spark, path)
     stream = fs.open(target)

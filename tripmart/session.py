@@ -14,6 +14,17 @@ DELTA_CONF = {
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
 }
 
+# What tables and results depend on. Timestamps are formatted and parsed in the session time
+# zone, and only this timestamp type carries the statistics that let a filter on ingest or
+# pickup time skip row groups.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
+# Fixed value: the state store that keeps dedupe state on disk rather than on the heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(
     app: str,
@@ -34,11 +45,12 @@ def build_session(
         raise ValueError(f"unknown mode {mode!r}: expected 'local' or 'cloud'")
 
     settings = {
-        # Timestamps are formatted and parsed in the session time zone.
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME_CONF,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         # Published version directories rely on the rename-on-commit algorithm.
         "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
     }
@@ -57,10 +69,11 @@ def build_session(
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Pin the session time zone, for sessions this library did not build."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare_session(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the settings results depend on."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
 
 
 def shared_folder(spark: SparkSession) -> str:

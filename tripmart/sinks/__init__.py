@@ -1,3 +1,19 @@
-from tripmart.sinks.tables import append_merge, compact, overwrite, publish, read_origins, resolve
+from tripmart.sinks.tables import (
+    append_merge,
+    compact,
+    drop_old_versions,
+    overwrite,
+    publish,
+    read_origins,
+    resolve,
+)
 
-__all__ = ["append_merge", "compact", "overwrite", "publish", "read_origins", "resolve"]
+__all__ = [
+    "append_merge",
+    "compact",
+    "drop_old_versions",
+    "overwrite",
+    "publish",
+    "read_origins",
+    "resolve",
+]

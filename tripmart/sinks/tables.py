@@ -70,6 +70,30 @@ def overwrite(
     return target
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Delete versions behind the published one except the ``keep`` youngest of them.
+
+    Versions written after the published one are left alone: a run may be auditing one.
+    Readers that opened a deleted version before fail, so keep as many as jobs overlap.
+    """
+    path = path.rstrip("/")
+    current = resolve(spark, path)
+    if current == path:
+        return []
+    published = paths.modified(spark, current)
+    old = []
+    for name in paths.list_names(spark, path):
+        version = f"{path}/{name}"
+        if name.startswith("v=") and version != current:
+            age = paths.modified(spark, version)
+            if age <= published:
+                old.append((age, version))
+    dropped = [version for _, version in sorted(old, reverse=True)[keep:]]
+    for version in dropped:
+        paths.delete(spark, version)
+    return dropped
+
+
 def append_merge(
     df: DataFrame, path: str, origin: str, batch: str, fmt: str = "parquet"
 ) -> str:

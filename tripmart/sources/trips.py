@@ -67,11 +67,18 @@ def first_trips(df: DataFrame, limit: int, order_by: Sequence[str] | None) -> Da
     return df.orderBy(*order_by).limit(limit)
 
 
-def surrogate_trip_id(df: DataFrame, natural_key: Sequence[str] = tuple(NATURAL_KEY)) -> DataFrame:
-    """Put ``trip_id`` first, a digest of the natural key: the same row always gets the same id."""
+def surrogate_trip_id(
+    df: DataFrame, natural_key: Sequence[str] = tuple(NATURAL_KEY), digits: int = 32
+) -> DataFrame:
+    """Put ``trip_id`` first, a digest of the natural key: the same row always gets the same id.
+
+    The id travels through every keyed shuffle, so it is cut to ``digits`` hexadecimal
+    digits (64 for the whole digest); at 128 bits a clash among 10^12 trips has a chance
+    of about 10^-15.
+    """
     # A NULL must not vanish from the digest input, or (a, NULL, b) would equal (a, b, NULL).
     parts = [F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in natural_key]
-    digest = F.sha2(F.concat_ws("|", *parts), 256)
+    digest = F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, digits)
     rest = [name for name in df.columns if name != "trip_id"]
     return df.select(F.concat(F.lit("trip_"), digest).alias("trip_id"), *rest)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.session import use_utc
+from tripmart.session import prepare_session
 from tripmart.sources.tables import few_splits, read_stream, spread
 
 # _tie1 and _tie2 make the order of the rows of one key total.
@@ -128,7 +128,7 @@ RESOLUTIONS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

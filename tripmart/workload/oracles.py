@@ -369,7 +369,7 @@ def oracle_sql() -> dict[str, str]:
             "trips",
         ),
         "surrogate_trip_id": _with(
-            f"select concat('trip_', sha256({_DIGEST})) as trip_id, * "
+            f"select concat('trip_', substring(sha256({_DIGEST}), 1, 32)) as trip_id, * "
             f"from ({_NORMALIZED} from raw_file)",
             "raw_file",
         ),
