@@ -10,6 +10,11 @@ from tripmart.sources import read_table
 ZONES = "LocationID,Zone,Borough,lat,lon\n7,North,A,40.7,-74.0\n8,South,B,40.6,-74.1\n"
 
 
+@pytest.fixture(params=["parquet", "orc"])
+def table_format(request):
+    return request.param
+
+
 @pytest.fixture
 def lake(spark, tmp_path):
     row = (2, NOON, NOON, 1.0, 2.5, 1.0, "N", 7, 8, 1) + (1.0,) * 7 + (2.5, 1.25)
@@ -23,8 +28,14 @@ def run(spark, lake, job, *options):
     return main([job, "--root", str(lake / "lake"), *options], spark)
 
 
-def test_jobs_in_order(spark, lake):
+def test_jobs_in_order(spark, lake, table_format):
     zones, raw = str(lake / "zones.csv"), str(lake / "raw")
+
+    def run(spark, lake, job, *options):
+        return main(
+            [job, "--root", str(lake / "lake"), "--format", table_format, *options], spark
+        )
+
     # Nothing there yet: silver and gold end quietly, the check does not.
     assert run(spark, lake, "silver", "--zones", zones) == 0
     assert run(spark, lake, "gold") == 0
@@ -35,8 +46,8 @@ def test_jobs_in_order(spark, lake):
     assert run(spark, lake, "dq") == 0
     assert run(spark, lake, "gold", "--incremental") == 0
     assert run(spark, lake, "compact", "silver/trips", "--by", "tpep_pickup_datetime") == 0
-    assert read_table(spark, str(lake / "lake/silver/trips")).count() == 2
-    fact = read_table(spark, str(lake / "lake/gold/fact_trips"))
+    assert read_table(spark, str(lake / "lake/silver/trips"), table_format).count() == 2
+    fact = read_table(spark, str(lake / "lake/gold/fact_trips"), table_format)
     assert {row["pickup_zone"] for row in fact.collect()} == {"North", "South"}
 
 

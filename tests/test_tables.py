@@ -81,7 +81,7 @@ def test_time_columns_carry_statistics(spark, tmp_path):
     import pyarrow.parquet as pq
 
     path = str(tmp_path / "t")
-    overwrite(fact(spark, ("a", 1, 1)), path, "1")
+    overwrite(fact(spark, ("a", 1, 1)).coalesce(1), path, "1")
     column = pq.ParquetFile(files(path)[0]).metadata.row_group(0).column(2)
     assert column.path_in_schema == "_ingest_ts" and column.physical_type == "INT64"
     assert column.statistics.has_min_max
@@ -200,7 +200,7 @@ def test_upsert_in_two_steps_equals_one(spark, tmp_path):
 
 def test_mark_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "s")
-    overwrite(fact(spark, ("a", 1, 1)), path, "1")
+    overwrite(fact(spark, ("a", 1, 1)).coalesce(1), path, "1")
     table = read_table(spark, path)
     plan = upsert_incremental(table, table, "trip_id", "_ingest_ts", small=True)
     text = plan._jdf.queryExecution().executedPlan().toString()

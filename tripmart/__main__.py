@@ -85,6 +85,7 @@ def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
             _stream(spark, args),
             cfg.checkpoint_path,
             trigger=trigger,
+            fmt=args.format,
         )
         return 0
     if args.job == "run":
@@ -96,11 +97,11 @@ def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
         return 0
     if args.job == "compact":
         path = cfg.path(args.table)
-        compact(spark, path, run_id, args.by)
+        compact(spark, path, run_id, args.by, fmt=args.format)
         drop_old_versions(spark, path, args.keep)
         return 0
     if args.job == "silver":
-        bronze = read_bronze(spark, cfg.bronze_path)
+        bronze = read_bronze(spark, cfg.bronze_path, args.format)
         if bronze is None:
             log.info("no bronze table yet")
             return 0

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tripmart.functions.lineage import HISTORY_SOURCE, add_lineage
 from tripmart.schemas import BRONZE_SCHEMA
-from tripmart.sinks.tables import append_merge, read_origins
+from tripmart.sinks.tables import TRANSACTIONAL, append_merge, read_origins
+from tripmart.sources.tables import read_table
 from tripmart.sources.trips import read_history
 from tripmart.streaming.landing import LIVE, run_bronze_stream
 
@@ -20,8 +21,11 @@ def bronze_union(history: DataFrame, live: DataFrame) -> DataFrame:
     return history.unionByName(live, allowMissingColumns=True)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_origins(spark, path, [SEED, LIVE], BRONZE_SCHEMA)
+def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """All raw trips, or ``None`` while there are none."""
+    if fmt in TRANSACTIONAL:
+        return read_table(spark, path, fmt, missing="none")
+    return read_origins(spark, path, [SEED, LIVE], BRONZE_SCHEMA, fmt)
 
 
 def run_bronze(
@@ -32,17 +36,18 @@ def run_bronze(
     checkpoint: str | None = None,
     ingest_ts: Column | datetime | None = None,
     trigger: dict | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame | None:
     """Seed bronze from history (if a path is given), then land the stream (if one is given).
 
-    Both may be repeated: the seed replaces itself and the stream goes on from its
-    checkpoint. By default the stream lands what is there and stops.
+    Both may be repeated: the stream goes on from its checkpoint, and the seed replaces
+    itself (a transactional format appends it again; silver drops the copies). By default the stream lands what is there and stops.
     """
     history = read_history(spark, history_path)
     if history is not None:
-        append_merge(add_lineage(history, HISTORY_SOURCE, ingest_ts), path, SEED, "0")
+        append_merge(add_lineage(history, HISTORY_SOURCE, ingest_ts), path, SEED, "0", fmt)
     if stream is not None:
         if checkpoint is None:
             raise ValueError("a stream needs a checkpoint path")
-        run_bronze_stream(stream, path, checkpoint, trigger).awaitTermination()
-    return read_bronze(spark, path)
+        run_bronze_stream(stream, path, checkpoint, trigger, fmt=fmt).awaitTermination()
+    return read_bronze(spark, path, fmt)

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.checks import Check
 from tripmart.plans.audit import run_dq, silver_suite
-from tripmart.plans.bronze import read_bronze, run_bronze
+from tripmart.plans.bronze import run_bronze
 from tripmart.plans.gold import run_gold
 from tripmart.plans.silver import TIE_BREAKERS, run_silver
-from tripmart.sinks.tables import publish
+from tripmart.sinks.tables import TRANSACTIONAL, overwrite, publish
 from tripmart.sources.tables import read_table
 
 
@@ -63,23 +63,32 @@ def run_pipeline(
     run_id = run_id or uuid.uuid4().hex
     bronze = cfg.bronze
     if bronze is None:
-        run_bronze(
-            spark, cfg.bronze_path, cfg.history_path, cfg.stream, cfg.checkpoint_path
+        bronze = run_bronze(
+            spark,
+            cfg.bronze_path,
+            cfg.history_path,
+            cfg.stream,
+            cfg.checkpoint_path,
+            fmt=cfg.fmt,
         )
-        bronze = read_bronze(spark, cfg.bronze_path)
     if bronze is None:
         return None
+    # A transactional table has no unpublished version, so its rows are staged beside it.
+    staged = cfg.fmt in TRANSACTIONAL
     written = run_silver(
         bronze,
         cfg.zones,
-        cfg.silver_path,
+        f"{cfg.silver_path}_staged" if staged else cfg.silver_path,
         run_id,
         cfg.tie_breakers,
         cfg.fmt,
         publish_now=False,
     )
-    run_dq(spark.read.format(cfg.fmt).load(written), cfg.suite)
-    if cfg.fmt == "parquet":
+    audited = spark.read.format(cfg.fmt).load(written)
+    run_dq(audited, cfg.suite)
+    if staged:
+        overwrite(audited, cfg.silver_path, run_id, cfg.fmt)
+    else:
         publish(spark, cfg.silver_path, run_id)
     silver = read_table(spark, cfg.silver_path, cfg.fmt)
     return run_gold(

@@ -19,6 +19,9 @@ from pyspark.sql.types import StructType
 from tripmart import paths
 
 POINTER = "_current"
+
+# Formats that replace data and schema in one transaction of their own.
+TRANSACTIONAL = {"delta", "iceberg"}
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -59,8 +62,7 @@ def overwrite(
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if fmt != "parquet":
-        # A transactional format replaces data and schema by itself.
+    if fmt in TRANSACTIONAL:
         writer.option("overwriteSchema", "true").save(path)
         return path
     target = version_path(path, run_id)
@@ -98,11 +100,11 @@ def append_merge(
     df: DataFrame, path: str, origin: str, batch: str, fmt: str = "parquet"
 ) -> str:
     """Append one batch of one origin; repeating the batch replaces it instead of doubling it."""
-    if fmt != "parquet":
+    if fmt in TRANSACTIONAL:
         df.write.mode("append").format(fmt).option("mergeSchema", "true").save(path)
         return path
     target = f"{path.rstrip('/')}/origin={origin}/batch={batch}"
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").format(fmt).save(target)
     return target
 
 
@@ -111,6 +113,7 @@ def read_origins(
     path: str,
     origins: Sequence[str],
     schema: StructType | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame | None:
     """All batches of the given origins as one table; columns an origin lacks are NULL.
 
@@ -124,11 +127,11 @@ def read_origins(
         folder = f"{path.rstrip('/')}/origin={origin}"
         if not paths.exists(spark, folder):
             continue
-        reader = spark.read.option("recursiveFileLookup", "false")
+        reader = spark.read.format(fmt)
         if schema is None:
-            parts.append(reader.option("mergeSchema", "true").parquet(folder).drop("batch"))
+            parts.append(reader.option("mergeSchema", "true").load(folder).drop("batch"))
         else:
-            parts.append(reader.schema(schema).parquet(folder).select(*schema.fieldNames()))
+            parts.append(reader.schema(schema).load(folder).select(*schema.fieldNames()))
     if not parts:
         return None
     table = parts[0]
@@ -143,6 +146,7 @@ def compact(
     run_id: str,
     cluster_cols: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
+    fmt: str = "parquet",
 ) -> str:
     """Rewrite the published version as sorted files of about ``target_bytes``.
 
@@ -150,7 +154,7 @@ def compact(
     id behind the clustering columns lets a value that fills many files be split; without
     it all rows of that value would go to one task.
     """
-    table = spark.read.parquet(resolve(spark, path))
+    table = spark.read.format(fmt).load(resolve(spark, path))
     # The scan already listed the files, so the optimizer knows their total size.
     size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     files = max(1, math.ceil(size / target_bytes))
@@ -160,4 +164,4 @@ def compact(
         .sortWithinPartitions(*cluster_cols)
         .drop("_row")
     )
-    return overwrite(clustered, path, run_id)
+    return overwrite(clustered, path, run_id, fmt)

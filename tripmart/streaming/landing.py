@@ -10,6 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tripmart.functions.frames import decode_frames
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
 from tripmart.schemas import BRONZE_COLUMNS
+from tripmart.sinks.tables import TRANSACTIONAL
 
 LIVE = "live"
 
@@ -40,7 +41,7 @@ def land_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    target = path if fmt != "parquet" else f"{path.rstrip('/')}/origin={origin}"
+    target = path if fmt in TRANSACTIONAL else f"{path.rstrip('/')}/origin={origin}"
     return writer.start(target)
 
 
@@ -51,8 +52,9 @@ def run_bronze_stream(
     trigger: dict | None = None,
     codec: str = "json",
     mode: str = "FAILFAST",
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Decode framed messages, add lineage and land them in bronze."""
     rows = add_lineage(decode_frames(messages, codec=codec, mode=mode), LIVE_SOURCE)
     known = [name for name in BRONZE_COLUMNS if name in rows.columns]
-    return land_stream(rows.select(*known), path, checkpoint, trigger)
+    return land_stream(rows.select(*known), path, checkpoint, trigger, fmt=fmt)
