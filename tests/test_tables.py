@@ -160,8 +160,10 @@ def fact(spark, *rows):
     return spark.createDataFrame(parsed, "trip_id string, v int, _ingest_ts timestamp")
 
 
-@pytest.mark.parametrize("small", [None, True, False])
-def test_upsert(spark, small):
+# The increment below has three keys and shares two of them with the target, so the limits
+# make it broadcast its keys, broadcast the shared keys, and shuffle.
+@pytest.mark.parametrize("max_rows, joins", [(3, True), (2, True), (1, False)])
+def test_upsert(spark, max_rows, joins):
     target = fact(spark, ("a", 1, 1), ("b", 1, 2), (None, 1, 1))
     source = fact(
         spark,
@@ -172,7 +174,9 @@ def test_upsert(spark, small):
         ("d", 1, 1),  # below the mark: not seen
         (None, 2, 6),
     )
-    merged = upsert_incremental(target, source, "trip_id", "_ingest_ts", small=small)
+    merged = upsert_incremental(target, source, "trip_id", "_ingest_ts", max_rows=max_rows)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == joins
     got = {(row["trip_id"], row["v"]) for row in merged.collect()}
     assert got == {("a", 3), ("b", 1), ("c", 1), (None, 2)}
     assert merged.count() == 4
@@ -202,7 +206,7 @@ def test_mark_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "s")
     overwrite(fact(spark, ("a", 1, 1)).coalesce(1), path, "1")
     table = read_table(spark, path)
-    plan = upsert_incremental(table, table, "trip_id", "_ingest_ts", small=True)
+    plan = upsert_incremental(table, table, "trip_id", "_ingest_ts")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(_ingest_ts,ScalarSubquery" in text
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.operators.dedupe import latest_per_key
-from tripmart.operators.lookup import fits_broadcast
+from tripmart.operators.lookup import BROADCAST_ROWS, fits_broadcast
+from tripmart.session import scratch_path
 
 # Fixed value: the mark of an empty target.
 FIRST_MARK = "1900-01-01"
@@ -26,28 +27,51 @@ def new_rows(target: DataFrame, source: DataFrame, version_col: str) -> DataFram
     return source.filter(F.col(version_col) > mark.scalar())
 
 
+def _same_key(key: str, other: str) -> Column:
+    # A NULL key is a key like any other, or every run would add it again.
+    return F.col(key).eqNullSafe(F.col(other))
+
+
+def _replaced_keys(
+    target: DataFrame, fresh: DataFrame, key: str, max_rows: int
+) -> tuple[DataFrame, bool]:
+    """Keys of ``target`` that ``fresh`` replaces, and whether they may be broadcast.
+
+    The keys of a small increment serve as they are. A large increment mostly brings keys
+    the target does not have; the few it shares with the target are found by a join of the
+    key columns alone and kept as a table, so that the wide target need not be shuffled.
+    """
+    changed = fresh.select(F.col(key).alias("_changed")).distinct()
+    if fits_broadcast(changed, max_rows):
+        return changed, True
+    spark = target.sparkSession
+    path = scratch_path(spark, "replaced-keys")
+    shared = changed.join(target.select(key), _same_key(key, "_changed"), "left_semi")
+    shared.write.parquet(path)
+    shared = spark.read.schema(shared.schema).parquet(path)
+    return shared, fits_broadcast(shared, max_rows)
+
+
 def upsert_incremental(
     target: DataFrame,
     source: DataFrame,
     key: str,
     version_col: str,
     tie_breakers: Sequence[str] = (),
-    small: bool | None = None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``target`` with the new rows of ``source``: the newest row per key replaces the old one.
 
     A row that arrives late with a version equal to the mark is not seen, by definition
-    of the mark. If the increment's keys are measured small they are broadcast and the
-    target is not shuffled; otherwise both sides are shuffled on the key.
+    of the mark. Up to ``max_rows`` replaced keys are broadcast and the target is not
+    shuffled; beyond that both sides are shuffled on the key.
     """
     fresh = new_rows(target, source, version_col)
     increment = latest_per_key(fresh, [key], version_col, tie_breakers)
-    changed = fresh.select(F.col(key).alias("_changed")).distinct()
-    if small is None:
-        small = fits_broadcast(changed)
+    replaced, small = _replaced_keys(target, fresh, key, max_rows)
     if small:
-        changed = F.broadcast(changed)
-    kept = target.join(changed, F.col(key).eqNullSafe(F.col("_changed")), "left_anti")
+        replaced = F.broadcast(replaced)
+    kept = target.join(replaced, _same_key(key, "_changed"), "left_anti")
     return kept.unionByName(increment)
 
 

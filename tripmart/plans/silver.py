@@ -21,6 +21,10 @@ TIE_BREAKERS = ["kafka_ts"] + [
     if name not in (*SILVER_KEY, "kafka_ts", "_ingest_ts")
 ]
 
+# The silver key, time first: sorting compares the first eight bytes of a row's key before
+# anything else, and those tell times apart where ids share a prefix.
+SORT_KEY = ["tpep_pickup_datetime", "trip_id"]
+
 
 def _with_bronze_columns(df: DataFrame) -> DataFrame:
     absent = [f for f in BRONZE_SCHEMA if f.name not in df.columns]
@@ -35,7 +39,7 @@ def clean_trips(bronze: DataFrame, tie_breakers: Sequence[str] = tuple(TIE_BREAK
     raw columns, and what is derived from them is derived afterwards.
     """
     typed = valid_trips(type_trips(_with_bronze_columns(bronze)))
-    return trip_metrics(latest_per_key(typed, SILVER_KEY, "_ingest_ts", tie_breakers))
+    return trip_metrics(latest_per_key(typed, SORT_KEY, "_ingest_ts", tie_breakers))
 
 
 def silver_trips(

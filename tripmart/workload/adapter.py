@@ -68,6 +68,17 @@ join {region} on n_regionkey = r_regionkey
 where n_nationkey < 24
 """
 
+# A list of places that grows with the data: one per customer, spread over a city.
+PLACES_SQL = """
+select
+  c_custkey as LocationID,
+  c_name as Zone,
+  c_mktsegment as Borough,
+  40.4e0 + (c_acctbal + 1000.0e0) * 0.00006e0 as lat,
+  -74.3e0 + (c_custkey % 10007) * 0.00007e0 as lon
+from {customer}
+"""
+
 # A raw file before normalisation: old names, floating codes, gaps, no trip_id.
 RAW_FILE_SQL = """
 select
@@ -155,10 +166,20 @@ def zone_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ZONES_SQL, **tables)
 
 
+FILE_NAMES = {"Zone": "zone_name", "Borough": "borough"}
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zone_file(spark, sf_dir).withColumnsRenamed(
-        {"Zone": "zone_name", "Borough": "borough"}
-    )
+    return zone_file(spark, sf_dir).withColumnsRenamed(FILE_NAMES)
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place_file(spark, sf_dir).withColumnsRenamed(FILE_NAMES)
+
+
+def place_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places under the names a zone lookup file has."""
+    return spark.sql(PLACES_SQL, customer=table(spark, sf_dir, "customer"))
 
 
 def raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:

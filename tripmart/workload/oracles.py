@@ -21,6 +21,7 @@ from tripmart.plans.gold import FACT_COLUMNS, FACT_NAMES
 from tripmart.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_COLUMNS
 from tripmart.sources.trips import NATURAL_KEY
 from tripmart.workload.adapter import (
+    PLACES_SQL,
     RAW_FILE_SQL,
     RESOLUTIONS,
     TEXT_SQL,
@@ -33,7 +34,7 @@ _TABLES = {
 }
 
 
-def _cells(res: int) -> str:
+def _cells(res: int, source: str) -> str:
     edge = f"{edge_metres(res)!r}e0"
     return f"""
 select LocationID, zone_name, borough, lat, lon,
@@ -56,7 +57,7 @@ from (
             ({SQRT3_THIRD}e0 * (lon * {METRES_PER_LON}e0) - (lat * {METRES_PER_LAT}e0) / 3.0e0)
               / {edge} as x,
             ({TWO_THIRDS}e0 * (lat * {METRES_PER_LAT}e0)) / {edge} as z
-          from zone_file
+          from {source}
         )
       )
     )
@@ -68,9 +69,10 @@ from (
 _CTES = {
     "trips": TRIPS_SQL.format(**_TABLES),
     "zone_file": ZONES_SQL.format(**_TABLES),
+    "places": PLACES_SQL.format(**_TABLES),
     "raw_file": RAW_FILE_SQL.format(trips="trips"),
     "text_trips": TEXT_SQL.format(trips="trips"),
-    "cells": _cells(9),
+    "cells": _cells(9, "zone_file"),
     "measured": """
 select *,
   date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) / 60.0e0
@@ -352,15 +354,16 @@ _DQ_ORPHANS = "\nunion all\n".join(
 
 def oracle_sql() -> dict[str, str]:
     all_cells = "\nunion all\n".join(
-        f"select *, {res} as res from ({_cells(res)})" for res in (7, 9, 12)
+        f"select *, {res} as res from ({_cells(res, 'places')})" for res in (7, 9, 12)
     )
     decoded = f"select {_TEXT_TRIPS}"
     bronze = ", ".join(name for name in BRONZE_COLUMNS if name not in TRIP_COLUMNS)
     return {
         "scan_history": "select * from lineitem",
         "zone_lookup": _with(
-            "select LocationID, Zone as zone_name, Borough as borough, lat, lon from zone_file",
-            "zone_file",
+            "select try_cast(LocationID as int) as LocationID, Zone as zone_name, "
+            "Borough as borough, lat, lon from places",
+            "places",
         ),
         "normalize_trips": _with(f"{_NORMALIZED} from raw_file", "raw_file"),
         "first_trips": _with(
@@ -382,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
             f"select * exclude (trip_duration_minutes, fare_per_mile) from measured where {_VALID}",
             "measured",
         ),
-        "zone_cells": _with(all_cells, "zone_file"),
+        "zone_cells": _with(all_cells, "places"),
         "enrich_zones": _with(
             "select trip_id, tpep_pickup_datetime, PULocationID, DOLocationID, _tie1, _tie2, "
             "pickup_zone, pickup_borough, pu_lat, pu_lon, pickup_h3, "

@@ -77,7 +77,7 @@ def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("zone_lookup")
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zones-csv")
-    adapter.zone_file(spark, sf_dir).write.option("header", True).csv(path)
+    adapter.place_file(spark, sf_dir).write.option("header", True).csv(path)
     return read_zones(spark, path)
 
 
@@ -121,10 +121,10 @@ def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("zone_cells")
 def cells_of_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = adapter.zones(spark, sf_dir)
+    places = adapter.places(spark, sf_dir)
     return reduce(
         DataFrame.unionByName,
-        [zone_cells(zones, res).withColumn("res", F.lit(res)) for res in (7, 9, 12)],
+        [zone_cells(places, res).withColumn("res", F.lit(res)) for res in (7, 9, 12)],
     )
 
 
