@@ -70,3 +70,17 @@ def test_incremental_fact(spark, tmp_path):
     assert fact == {"a": 11.0, "b": 10.0}
     run_gold(spark, silver({}, new), root, "3")
     assert read_table(spark, f"{root}/fact_trips").count() == 1
+
+
+def test_one_failed_table_publishes_none(spark, tmp_path):
+    from tripmart.plans import silver_trips
+
+    root = str(tmp_path)
+    silver = silver_trips(bronze(spark, {}), good_zones(spark))
+    run_gold(spark, silver, root, "1")
+    broken = silver.withColumn("payment_type", F.expr("int(raise_error('broken'))"))
+    with pytest.raises(Exception, match="broken"):
+        run_gold(spark, broken.union(silver), root, "2")
+    for name in TABLES:
+        assert read_table(spark, f"{root}/{name}").count() > 0
+        assert (tmp_path / name / "_current").read_text() == '{"version": "1"}'

@@ -138,9 +138,16 @@ RESOLUTIONS = {
 }
 
 
+# Schemas by path, as a catalog would keep them: a footer is opened once per table.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare_session(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def trips(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
