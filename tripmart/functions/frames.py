@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,8 +17,6 @@ HEADER_BYTES = 5
 
 def avro_schema(schema: StructType = TRIP_SCHEMA, name: str = "Trip") -> str:
     """The Avro schema that matches a flat ``StructType``."""
-    import json
-
     types = {"string": "string", "integer": "int", "long": "long", "double": "double"}
     fields = []
     for field in schema:
