@@ -37,8 +37,10 @@ log = logging.getLogger("tripmart")
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
-    bucket = os.getenv("S3_BUCKET", "raw-taxi-data")
-    common.add_argument("--root", default=f"s3a://{bucket}")
+    bucket = os.getenv("S3_BUCKET")
+    common.add_argument(
+        "--root", default=f"s3a://{bucket}" if bucket else None, required=not bucket
+    )
     common.add_argument("--mode", choices=["local", "cloud"], default=None)
     common.add_argument("--format", default="parquet")
     common.add_argument("--master", default=None)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -272,7 +271,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = adapter.live_trips(spark, sf_dir)
     records = normalize(live)
     framed = frame_rows(records, "trip_id", schema_id=7)
-    return framed.withColumn("timestamp", F.lit(datetime(2024, 1, 1)).cast("timestamp"))
+    return framed.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
 def _land(df: DataFrame, path: str) -> None:
