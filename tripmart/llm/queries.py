@@ -31,11 +31,34 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json", 4096)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.language import identify_languages
+
+    return identify_languages(read_table(spark, sf_dir, "documents"), folds=3, fold=1)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.quality import score_quality
+
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return score_quality(docs, labels, "quality", folds=3, fold=1)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.toxicity import score_toxicity
+
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return score_toxicity(docs, labels, "toxic", folds=5, fold=0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op7_language_id": op7_language_id,
+        "op8_quality_classifier": op8_quality_classifier,
+        "op10_toxicity": op10_toxicity,
     }
 
 
