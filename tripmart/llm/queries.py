@@ -44,6 +44,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, labels, "quality", folds=3, fold=1)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.substrings import remove_repeats
+
+    docs = read_table(spark, sf_dir, "documents")
+    return remove_repeats(docs, window=20, texts=False).drop("text_key")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.toxicity import score_toxicity
 
@@ -58,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_language_id": op7_language_id,
         "op8_quality_classifier": op8_quality_classifier,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_toxicity": op10_toxicity,
     }
 
