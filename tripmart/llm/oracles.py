@@ -28,3 +28,63 @@ select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped
          as kept_sha256
 from marked group by r, doc_id
 """
+
+ORACLES["op6_impact_top_k"] = """
+with v as (
+  select vec_id, min(embedding) as embedding from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+  group by vec_id
+), i as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as x from v
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.x, c.x) as bigint) as score
+  from i q join i c on q.vec_id <> c.vec_id and len(q.x) = len(c.x)
+  where q.vec_id % 20 = 0
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+         vec_id, score
+  from s
+)
+select * from r where rank <= 20
+"""
+
+
+def _license_sql() -> str:
+    from tripmart.llm.licenses import GAP, RULES, SENTENCES
+
+    known = ", ".join(f"('{text}', '{name}')" for name, text in SENTENCES.items())
+    rules = ", ".join(f"('{name}', '|{'|'.join(ids)}|')" for name, ids in RULES)
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with known(plain, id) as (values {known}), rules(license, ids) as (values {rules}),
+docs as (
+  select row_number() over () as r, doc_id, string_split_regex({low}, '[.!?;:]+[ \\t-\\r]+|\\n+') as parts
+  from documents
+), split as (
+  select r, unnest(parts) as part, generate_subscripts(parts, 1) as pos from docs
+), found as (
+  select r, pos, id
+  from split join known on trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = plain
+), steps as (
+  select *, case when pos - lag(pos) over w <= {GAP + 1} then 0 else 1 end as new
+  from found window w as (partition by r order by pos)
+), islands as (
+  select r, pos, id, sum(new) over (partition by r order by pos) as island from steps
+), runs as (
+  select r, concat('|', string_agg(id, '|' order by pos), '|') as ids, count(*) as n
+  from islands group by r, island
+), hits as (
+  select distinct r, license from runs join rules
+  on contains(runs.ids, rules.ids)
+), names as (
+  select r, string_agg(license, ',' order by license) as licenses from hits group by r
+), counts as (
+  select r, sum(n) as n_sentences from runs group by r
+)
+select doc_id, coalesce(licenses, '') as licenses, cast(coalesce(n_sentences, 0) as bigint) as n_sentences
+from docs left join names using (r) left join counts using (r)
+"""
+
+
+ORACLES["op4_license_scan"] = _license_sql()

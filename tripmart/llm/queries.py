@@ -25,12 +25,24 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, shingle=3, distance=3).drop("text_key")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.licenses import scan_licenses
+
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.packing import pack
 
     return pack(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json", 4096)
 
 
+def op6_impact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.topk import top_k
+
+    return top_k(read_table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.language import identify_languages
 
@@ -62,7 +74,9 @@ def queries() -> dict[str, Query]:
     return {
         "op2_line_dedup": op2_line_dedup,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_license_scan": op4_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_impact_top_k": op6_impact_top_k,
         "op7_language_id": op7_language_id,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_substring_dedup": op9_substring_dedup,
