@@ -98,10 +98,14 @@ def doubling_sum(parts: DataFrame, width: int, dtype: str) -> np.ndarray:
                 total += np.frombuffer(x, dtype)
         yield arrays(schema, [total.tobytes()])
 
-    # each task's rows become one, then a few tasks add those up
-    few = parts.mapInArrow(add, "v binary").repartition(4).mapInArrow(add, "v binary")
+    # each task's rows become one; then eight of those at a time
+    n = parts.rdd.getNumPartitions()
+    parts = parts.mapInArrow(add, "v binary")
+    while n > 8:
+        n = -(-n // 8)
+        parts = parts.repartition(n).mapInArrow(add, "v binary")
     total = np.zeros(width, dtype)
-    for row in few.collect():
+    for row in parts.toLocalIterator():
         total += np.frombuffer(bytes(row.v), dtype)
     return total
 

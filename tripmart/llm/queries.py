@@ -11,6 +11,13 @@ from tripmart.llm.common import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.decontaminate import find_leaks
+
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return find_leaks(docs, benchmark).drop("text_key")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.lines import dedup_lines
 
@@ -72,6 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_benchmark_decontamination": op1_benchmark_decontamination,
         "op2_line_dedup": op2_line_dedup,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_license_scan": op4_license_scan,
