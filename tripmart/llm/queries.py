@@ -74,7 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.toxicity import score_toxicity
 
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
-    return score_toxicity(docs, labels, "toxic", folds=5, fold=0)
+    return score_toxicity(docs, labels, "toxic", folds=5, fold=0).drop("text_key")
 
 
 def queries() -> dict[str, Query]:

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ GRAM = 5
 # Words a shard would hold, were all windows suspects.
 SHARD_WORDS = 4_000_000
 
+# Bytes of a word's hash that are sent to a shard.
+WORD_BYTES = 6
+
 # Fixed value: what a null doc_id is ordered as.
 FIRST = np.iinfo(np.int64).min
 
@@ -127,16 +131,26 @@ def _spans(doc_id, text_key, start, windows) -> tuple[np.ndarray, ...]:
     return doc_id[at], text_key[at], start[at], np.add.reduceat(windows, at) if len(at) else windows
 
 
-def _decided(doc_id, text_key, start, windows) -> pa.RecordBatch:
+def _decided(doc_id, text_key, start, windows, shards: int) -> pa.RecordBatch:
+    """Rows without words, over all shards: spans known to occur earlier."""
     doc_id, text_key, start, windows = _spans(doc_id, text_key, start, windows)
-    none = pa.nulls(len(doc_id))
-    return pa.RecordBatch.from_arrays(
-        [none.cast(pa.int32()), pa.array(doc_id), pa.array(text_key), pa.array(start),
-         pa.array(windows.astype(np.int32)), none.cast(pa.binary())],
-        schema=_FOUND,
+    return arrays(
+        _FOUND, (text_key % shards).astype(np.int32), doc_id, text_key, start, windows.astype(np.int32),
+        pa.nulls(len(doc_id), pa.binary()),
     )
 
 
+def _packed(words: np.ndarray) -> bytes:
+    return words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    own = np.frombuffer(data, np.uint8).reshape(-1, WORD_BYTES)
+    whole = np.zeros((len(own), 8), np.uint8)
+    whole[:, :WORD_BYTES] = own
+    return whole.reshape(-1).view(np.uint64)
+
+
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """Windows that occur earlier: doc_id (null as ``FIRST``), text_key, start, windows.
 
@@ -174,18 +188,13 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 # copies within the chunk are decided here: only the first is sent on
                 lead, after = _first_of_equal(content, ids, keys, start)
                 if after.any():
-                    yield _decided(ids[after], keys[after], start[after], sizes[after])
+                    yield _decided(ids[after], keys[after], start[after], sizes[after], shards)
                 own = np.flatnonzero(lead)
                 yield arrays(
                     _FOUND, (grams[own] % np.uint64(shards)).astype(np.int32), ids[own], keys[own], start[own],
-                    sizes[own].astype(np.int32), [words[a : a + n].tobytes() for a, n in zip(first[own], lengths[own], strict=True)],
+                    sizes[own].astype(np.int32), [_packed(words[a : a + n]) for a, n in zip(first[own], lengths[own], strict=True)],
                 )
 
-    found = written(
-        rows.select("doc_id", "text", "text_key").mapInArrow(find, _FIELDS), "suspect-windows"
-    )
-    decided = found.where("shard is null").select("doc_id", "text_key", "start", "windows")
-
     def by_shard(batches):
         held, shard = [], None
         for batch in batches:
@@ -200,13 +209,13 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 held.append(batch.slice(a, b - a))
         yield from _match(held, window)
 
-    matched = (
-        found.where("shard is not null")
+    return (
+        rows.select("doc_id", "text", "text_key")
+        .mapInArrow(find, _FIELDS)
         .repartition(max(shards, shuffle_tasks(docs.sparkSession)), "shard")
         .sortWithinPartitions("shard")
         .mapInArrow(by_shard, "doc_id long, text_key long, start long, windows int")
     )
-    return decided.union(matched)
 
 
 def _match(held: list[pa.RecordBatch], window: int):
@@ -214,8 +223,14 @@ def _match(held: list[pa.RecordBatch], window: int):
     if not held:
         return
     table = pa.Table.from_batches(held)
+    known = table.filter(pc.is_null(table.column(5)))
+    if known.num_rows:
+        yield from known.select([1, 2, 3, 4]).to_batches()
+    table = table.filter(pc.is_valid(table.column(5)))
+    if not table.num_rows:
+        return
     ids, keys, start, sizes = (table.column(i).to_numpy() for i in (1, 2, 3, 4))
-    words = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint64)
+    words = _unpacked(b"".join(table.column(5).to_pylist()))
     lengths = sizes.astype(np.int64) + window - 1
     begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     lead, after = _first_of_equal(_run_hashes(words, begin, lengths), ids, keys, start)
@@ -253,7 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, texts: bool = True) -> Dat
     shard. Two Bloom filters leave out windows whose n-gram was seen once. Of equal runs of
     windows a task sends only its first to the shard. A shard builds an FM-index of its distinct
     runs and streams them through it by backward search; what it reports are the windows whose
-    earliest occurrence lies before. Words are compared by 64-bit hashes.
+    earliest occurrence lies before. Words are compared by 48-bit hashes.
     """
     rows = keyed(docs)
     spans = (

@@ -34,7 +34,7 @@ KNOWN_WORDS = 400_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FEATURES = pa.schema(
-    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("terms", pa.binary()), ("counts", pa.binary())]
+    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("terms", pa.binary()), ("counts", pa.binary())]
 )
 
 
@@ -219,7 +219,7 @@ class Voters:
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, fold: int = 0
 ) -> DataFrame:
-    """doc_id, held_out, score, predicted and evidence (ids of the three nearest examples).
+    """doc_id, text_key, held_out, score, predicted and evidence (ids of the three nearest examples).
 
     One row per input row. Null and empty texts, and texts without a term of the vocabulary,
     get the share of the label among examples without one. Without any labelled row all
@@ -242,14 +242,16 @@ def score_toxicity(
         none: set[str] = set()
         for batch in batches:
             for chunk in batch_chunks(batch):
-                found = [_counted(index.value, none, t or "") for t in chunk.column(2).to_pylist()]
+                found = [_counted(index.value, none, t or "") for t in chunk.column(3).to_pylist()]
                 packed = [[np.array(x, np.int32).tobytes() for x in part] for part in zip(*found, strict=True)]
-                yield arrays(_FEATURES, chunk.column(0), chunk.column(1), *packed)
+                yield arrays(_FEATURES, *chunk.columns[:3], *packed)
 
-    fields = "doc_id long, held_out boolean, terms binary, counts binary"
+    fields = "doc_id long, text_key long, held_out boolean, terms binary, counts binary"
     rows = keyed(docs)
     table = written(
-        rows.select("doc_id", held_out(rows, folds, fold).alias("held_out"), "text").mapInArrow(features, fields),
+        rows.select("doc_id", "text_key", held_out(rows, folds, fold).alias("held_out"), "text").mapInArrow(
+            features, fields
+        ),
         "toxic-features",
     )
 
@@ -263,7 +265,7 @@ def score_toxicity(
 
     df = doubling_sum(table.select("terms").mapInArrow(frequency, "v binary"), len(words) + 1, "f8")
     idf = np.log(1 + df[-1] / np.maximum(df[:-1], 1))
-    known = sample.select("doc_id", F.col("label").cast("boolean").alias("held_out"), "text")
+    known = sample.select("doc_id", F.lit(0).cast("long").alias("text_key"), F.col("label").cast("boolean").alias("held_out"), "text")
     examples = [] if not words else [
         (r.doc_id, int(r.held_out), np.frombuffer(bytes(r.terms), np.int32), np.frombuffer(bytes(r.counts), np.int32))
         for r in known.mapInArrow(features, fields).collect()
@@ -272,12 +274,12 @@ def score_toxicity(
     if not examples:
         share = sample.agg(F.avg("label")).first()[0] or 0.0
         return table.select(
-            "doc_id", "held_out", F.lit(share).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
+            "doc_id", "text_key", "held_out", F.lit(share).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
             F.array().cast("array<long>").alias("evidence"),
         )
     voters = spark.sparkContext.broadcast(Voters(examples, idf, stand_for))
     out = pa.schema(
-        [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
          ("predicted", pa.int32()), ("evidence", pa.list_(pa.int64()))]
     )
 
@@ -285,13 +287,13 @@ def score_toxicity(
         for batch in batches:
             found = [
                 voters.value.score(t, c)
-                for t, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                for t, c in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
             ]
             scores = [s for s, _ in found]
             yield arrays(
-                out, batch.column(0), batch.column(1), scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
+                out, *batch.columns[:3], scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
             )
 
     return table.mapInArrow(
-        vote, "doc_id long, held_out boolean, score double, predicted int, evidence array<long>"
+        vote, "doc_id long, text_key long, held_out boolean, score double, predicted int, evidence array<long>"
     )
