@@ -1,0 +1,50 @@
+"""The pipeline: each stage on what the one before kept, against brute force on its own input."""
+
+import rows as R
+
+import corpus_pipeline
+from tripmart.llm import stages
+from tripmart.llm.decontaminate import find_leaks
+from tripmart.llm.toxicity import score_toxicity
+
+SF_DIR = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing",
+    ]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    seen = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        seen.append(stages.written(stage(spark, seen[-1], SF_DIR), f"test-{name}"))
+    for table in seen[:-1]:
+        assert table.columns == COLUMNS and table.dtypes == docs.dtypes
+    ids = [{r.doc_id for r in t.select("doc_id").collect()} for t in seen]
+
+    toxic = {r.doc_id for r in score_toxicity(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet")).where("predicted = 1").collect()}
+    assert toxic and ids[1] == ids[0] - toxic
+    before = [(r.doc_id, r.text) for r in seen[1].collect()]
+    expected = {d: digest for d, _, _, digest in R.line_dedup(before)}
+    after = {r.doc_id: r for r in seen[2].collect()}
+    assert {d: R.sha((r.text or "").encode()) for d, r in after.items()} == expected
+    assert all(r.n_chars == len(r.text) for r in after.values() if r.text)
+    assert ids[3] < ids[2]
+    leaks = {r.doc_id for r in find_leaks(seen[3], spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).collect()}
+    assert leaks and ids[4] == ids[3] - leaks
+    assert ids[5] == ids[4]
+
+
+def test_awkward_rows(spark):
+    docs = R.frame(spark, R.corpus())
+    for name, stage in corpus_pipeline.STAGES:
+        for table in (docs, R.frame(spark, [])):
+            got = stage(spark, table, SF_DIR)
+            if name != "best_fit_packing":
+                assert got.columns == docs.columns
+            n = got.count()
+            if not table.take(1):
+                assert n == 0
+            elif name == "line_dedup":
+                assert n == len(R.corpus())

@@ -133,7 +133,7 @@ def score_quality(
         drawn_odds = sum(k for _, _, k in bags) / sum(1 - k for _, _, k in bags)
         base = float(bias[1] - bias[0]) + float(np.log(sizes[1] / sizes[0] / drawn_odds))
     else:
-        value, base = np.zeros(BUCKETS, np.float32), (50.0 if sizes[1] else -800.0)
+        value, base = np.zeros(BUCKETS, np.float32), (np.inf if sizes[1] else -np.inf)
     shared = spark.sparkContext.broadcast((value.astype(np.float64), base))
     out = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]
@@ -145,7 +145,8 @@ def score_quality(
             for chunk in batch_chunks(batch):
                 texts = [t or "" for t in chunk.column(2).to_pylist()]
                 logit = mean_of(values, *features(texts), len(texts)) + start
-                score = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+                with np.errstate(over="ignore"):
+                    score = 1 / (1 + np.exp(-logit))
                 yield arrays(out, chunk.column(0), chunk.column(1), score, (score >= 0.5).astype(np.int32))
 
     rows = keyed(docs)
