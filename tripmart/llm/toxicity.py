@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import arrays, batch_chunks, doubling_sum, keyed, written
+from tripmart.llm.common import arrays, batch_chunks, doubling_sum, keyed, shuffle_tasks, written
 from tripmart.llm.samples import held_out, labelled_sample
 
 # Bounds of the fit: labelled examples of each class, and terms of the vocabulary.
@@ -28,7 +28,7 @@ LEAST_SHARE = 0.8
 GRAM = 5
 
 NEIGHBOURS = 24
-BLOCK = 64
+BLOCK = 256
 # Words a worker remembers as having no term.
 KNOWN_WORDS = 400_000
 
@@ -170,11 +170,14 @@ class BlockMaxIndex:
             scores = np.zeros(min(BLOCK, self.n - block * BLOCK), np.float32)
             cells = terms.astype(np.int64) * self.blocks + block
             for a, b, w in zip(self.starts[cells], self.starts[cells + 1], weights, strict=True):
-                scores[self.place[a:b]] += w * self.weights[a:b]
-            ids = np.concatenate((ids, block * BLOCK + np.arange(len(scores))))
-            cosines = np.concatenate((cosines, scores))
-            best = np.lexsort((ids, -cosines))[:k]
-            ids, cosines = ids[best], cosines[best]
+                if b > a:
+                    scores[self.place[a:b]] += w * self.weights[a:b]
+            likely = np.flatnonzero(scores >= cosines[k - 1]) if len(ids) >= k else np.arange(len(scores))
+            if len(likely):
+                ids = np.concatenate((ids, block * BLOCK + likely))
+                cosines = np.concatenate((cosines, scores[likely]))
+                best = np.lexsort((ids, -cosines))[:k]
+                ids, cosines = ids[best], cosines[best]
         return ids, cosines
 
 
@@ -294,6 +297,7 @@ def score_toxicity(
                 out, *batch.columns[:3], scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
             )
 
-    return table.mapInArrow(
+    # the table's few small files would be few tasks
+    return table.repartition(4 * shuffle_tasks(spark)).mapInArrow(
         vote, "doc_id long, text_key long, held_out boolean, score double, predicted int, evidence array<long>"
     )
