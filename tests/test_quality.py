@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.operators import Check, QualityError, evaluate, gate, orphans
+from tripmart.operators import Check, QualityError, evaluate, gate, orphans, orphans_of
 from tripmart.operators.checks import REPORT_COLUMNS, verdict
 from tripmart.plans import run_dq, silver_suite, table_suite
 
@@ -34,7 +34,7 @@ def outcome(df, suite):
 
 def test_good_silver_passes_both_suites(spark):
     df = silver(spark, {}, {"trip_id": "b"})
-    assert len(run_dq(df)) == len(silver_suite()) == 9
+    assert len(run_dq(df)) == len(silver_suite()) == 10
     assert len(run_dq(df, table_suite())) == len(table_suite()) == 8
 
 
@@ -97,7 +97,8 @@ def test_table_suite(spark):
 
 def test_empty_table(spark):
     empty = silver(spark, {}).limit(0)
-    assert all(success for _, success in outcome(empty, silver_suite()).values())
+    bad = {key for key, (_, success) in outcome(empty, silver_suite()).items() if not success}
+    assert bad == {("row_count", "")}
     bad = {key for key, (_, success) in outcome(empty, table_suite()).items() if not success}
     assert bad == {("row_count", ""), ("minimum", "fare_amount"), ("maximum", "fare_amount")}
 
@@ -113,9 +114,30 @@ def test_column_checks_are_one_pass(spark):
     assert plan.count("Range (") == 1
 
 
+def test_all_checks_are_one_pass(spark):
+    df = spark.range(10).selectExpr("cast(id as string) as trip_id", "now() as tpep_pickup_datetime", "1d as fare_amount")
+    checks = [
+        Check("unique", ["trip_id", "tpep_pickup_datetime"]), Check("duplicates", "trip_id"),
+        Check("minimum", "fare_amount", low=0), Check("row_count", above=0),
+    ]
+    plan = evaluate(df, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
+    assert all(success for _, success in outcome(df, checks).values())
+    other = [*checks, Check("unique", "fare_amount")]
+    assert outcome(df, other)[("unique", "fare_amount")] == (10, False)
+
+
+def test_orphans_of_several_dimensions_are_one_pass(spark):
+    fact = spark.range(10).selectExpr("id % 3 as a", "id % 2 as b")
+    dims = {"x": (spark.createDataFrame([(0,), (1,)], "k long"), {"a": "k"}), "y": (spark.createDataFrame([(0,), (1,)], "k long"), {"b": "k"})}
+    got = orphans_of(fact, dims)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+    assert sorted(map(tuple, got.collect())) == [(0, 0, "y"), (1, 3, "x")]
+
+
 def test_verdict_and_gate(spark):
     report = evaluate(silver(spark, {"fare_amount": 2000.0}), silver_suite())
-    assert tuple(verdict(report).first()) == (9, 1, False)
+    assert tuple(verdict(report).first()) == (10, 1, False)
     with pytest.raises(QualityError, match=r"between\(fare_amount\)"):
         gate(report)
 

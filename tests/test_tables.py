@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from tripmart.operators import upsert_incremental
 from tripmart.schemas import TRIP_COLUMNS
 from tripmart.session import scratch_path, shared_folder
+from tripmart.sinks import tables
 from tripmart.sinks import (
+    MissingTable,
+    PublishConflict,
     append_merge,
     compact,
+    compact_origin,
     drop_old_versions,
     overwrite,
     publish,
@@ -29,7 +33,6 @@ from tripmart.sources import (
     read_table,
     read_zones,
     register,
-    spread,
     surrogate_trip_id,
 )
 
@@ -64,17 +67,101 @@ def test_unpublished_version_is_invisible(spark, tmp_path):
     assert [name for name in os.listdir(path) if "_current." in name and "crc" not in name] == []
 
 
-def test_old_versions_are_dropped_but_never_the_current_or_a_newer_one(spark, tmp_path):
+def test_old_versions_are_dropped_but_never_the_current_or_an_unpublished_one(spark, tmp_path):
     path = str(tmp_path / "t")
     assert drop_old_versions(spark, path) == []
-    for i in range(4):
+    for i in (3, 0, 2, 1):
         overwrite(spark.range(i + 1), path, str(i))
-        os.utime(f"{path}/v={i}", (1000 + i, 1000 + i))
     overwrite(spark.range(9), path, "audited", publish_now=False)
     dropped = drop_old_versions(spark, path, keep=1)
-    assert sorted(os.path.basename(name) for name in dropped) == ["v=0", "v=1"]
-    assert sorted(n for n in os.listdir(path) if n.startswith("v=")) == ["v=2", "v=3", "v=audited"]
-    assert read_table(spark, path).count() == 4
+    # in the order of publication, whatever the store says of times
+    assert sorted(os.path.basename(name) for name in dropped) == ["v=0", "v=3"]
+    assert sorted(n for n in os.listdir(path) if n.startswith("v=")) == ["v=1", "v=2", "v=audited"]
+    assert read_table(spark, path).count() == 2
+    assert drop_old_versions(spark, path, keep=1) == []
+
+
+def test_versions_without_a_published_one_are_no_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite(spark.range(3), path, "1", publish_now=False)
+    assert read_table(spark, path, missing="none") is None
+    with pytest.raises(MissingTable):
+        read_table(spark, path)
+
+
+def test_publish_only_over_what_was_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite(spark.range(3), path, "1", over=None)
+    overwrite(spark.range(10), path, "2", over="1")
+    with pytest.raises(PublishConflict):
+        overwrite(spark.range(3), path, "3", over="1")
+    assert read_table(spark, path).count() == 10
+
+
+def test_compaction_does_not_roll_back_a_publication(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    overwrite(spark.range(3), path, "1")
+    load = tables.load_published
+
+    def meanwhile(*args):
+        table = load(*args)
+        overwrite(spark.range(10), path, "2")
+        return table
+
+    monkeypatch.setattr(tables, "load_published", meanwhile)
+    with pytest.raises(PublishConflict):
+        compact(spark, path, "3", ["id"])
+    monkeypatch.undo()
+    assert read_table(spark, path).count() == 10
+
+
+def test_replaced_partitions_leave_the_other_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None)], "id int, day string")
+    overwrite(df, path, "1", partition_by=["day"])
+    new = spark.createDataFrame([(2, "b"), (5, "b"), (6, "d")], "id int, day string")
+    tables.replace_partitions(new, path, "2", "day", ["b", "d", "c", None])
+    table = read_table(spark, path)
+    assert table.columns == ["id", "day"]
+    assert bag(table) == bag(spark.createDataFrame([(1, "a"), (2, "b"), (5, "b"), (6, "d")], df.schema))
+    assert {f.split("/")[-2] for f in files(f"{path}/v=2")} == {"day=b", "day=d"}
+    plan = table.filter("day = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    # the first version still holds a partition
+    assert drop_old_versions(spark, path, keep=0) == []
+    compact(spark, path, "3", ["id"])
+    assert bag(read_table(spark, path).select("id", "day")) == bag(table)
+    assert {f.split("/")[-2] for f in files(f"{path}/v=3")} == {"day=a", "day=b", "day=d"}
+
+
+def test_compaction_of_an_origin(spark, tmp_path):
+    path = str(tmp_path / "b")
+    for batch in range(4):
+        append_merge(spark.range(batch * 10, batch * 10 + 5), path, "live", str(batch))
+    append_merge(spark.range(100, 103), path, "seed", "0")
+    before = bag(read_origins(spark, path, ["seed", "live"]))
+    with pytest.raises(ValueError):
+        compact(spark, path, "1", ["id"])
+    compact_origin(spark, path, "live", "1")
+    assert sorted(n for n in os.listdir(f"{path}/origin=live") if n.startswith("batch")) == ["batch=compacted-1"]
+    assert bag(read_origins(spark, path, ["seed", "live"])) == before
+    # a repeated batch is known to be in, a new one is added
+    append_merge(spark.range(0, 5), path, "live", "0")
+    append_merge(spark.range(200, 201), path, "live", "4")
+    assert read_origins(spark, path, ["seed", "live"]).count() == len(before) + 1
+    compact_origin(spark, path, "live", "2")
+    append_merge(spark.range(0, 5), path, "live", "0")
+    assert read_origins(spark, path, ["seed", "live"]).count() == len(before) + 1
+    assert compact_origin(spark, path, "absent", "3") is None
+
+
+def test_unfinished_batch_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "b")
+    target = append_merge(spark.range(3), path, "seed", "0")
+    os.remove(f"{target}/_SUCCESS")
+    assert read_origins(spark, path, ["seed"]) is None
+    append_merge(spark.range(5), path, "seed", "0")
+    assert read_origins(spark, path, ["seed"]).count() == 5
 
 
 def test_time_columns_carry_statistics(spark, tmp_path):
@@ -238,24 +325,30 @@ def raw_file(spark):
     return spark.createDataFrame([full, gaps, full], RAW)
 
 
-def test_history_is_normalised(spark, tmp_path):
+def test_history_is_kept_as_it_is(spark, tmp_path):
     path = str(tmp_path / "raw")
-    raw_file(spark).write.parquet(path)
+    raw_file(spark).withColumn("colour", F.lit("c")).write.parquet(path)
     history = read_history(spark, path)
-    assert history.columns == TRIP_COLUMNS
+    assert set(history.columns) == {*TRIP_COLUMNS, "colour"}
     rows = history.collect()
     full = next(row for row in rows if row["vendor_id"] == 2)
-    gaps = next(row for row in rows if row["vendor_id"] == 0)
-    assert full["tpep_pickup_datetime"] == "2024-01-01 12:00:00"
-    assert full["airport_fee"] == 1.25 and full["passenger_count"] == 1
-    assert gaps["fare_amount"] == 0.0 and gaps["PULocationID"] == 0
-    assert gaps["passenger_count"] is None and gaps["airport_fee"] is None
-    assert gaps["tpep_pickup_datetime"] is None
+    gaps = next(row for row in rows if row["vendor_id"] is None)
+    assert full["tpep_pickup_datetime"] == NOON and full["passenger_count"] == 1.0
+    assert gaps["fare_amount"] is None and gaps["PULocationID"] is None
     # The same row always has the same id, so a replay can be recognised.
     assert len({row["trip_id"] for row in rows}) == 2
     assert read_history(spark, None) is None
 
 
+def test_ids_tell_every_column_apart(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw = raw_file(spark).limit(1)
+    others = [raw.withColumn(c, F.lit(9).cast(raw.schema[c].dataType)) for c in ("tip_amount", "extra")]
+    raw.union(others[0]).union(others[1]).write.parquet(path)
+    ids = {row["trip_id"] for row in read_history(spark, path).collect()}
+    assert len(ids) == 3 and all(len(i) == len("trip_") + 64 for i in ids)
+
+
 def test_existing_ids_are_kept(spark, tmp_path):
     path = str(tmp_path / "raw")
     raw_file(spark).withColumn("trip_id", F.lit(17)).write.parquet(path)
@@ -276,13 +369,6 @@ def test_first_rows_need_an_order(spark):
     assert [row["vendor_id"] for row in first.collect()] == [0]
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one, ["id"]).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 16)
-    assert spread(many, ["id"]) is many
-
-
 def test_named_source(spark):
     register(spark.range(4), "silver_trips_named")
     assert spark.sql("select count(*) from silver_trips_named").first()[0] == 4

@@ -6,6 +6,7 @@
     python -m tripmart gold [--incremental]
     python -m tripmart run --zones CSV [--history PATH] [--kafka BROKER]
     python -m tripmart compact TABLE --by COLUMN ...
+    python -m tripmart compact bronze/trips
 
 Options default to the environment: ``S3_BUCKET``, ``HISTORICAL_SOURCE_PATH``,
 ``KAFKA_BROKER``, ``KAFKA_TOPIC`` and ``RUN_MODE``. ``silver`` and ``gold`` end quietly
@@ -24,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.checks import QualityError
 from tripmart.plans.audit import run_dq
-from tripmart.plans.bronze import read_bronze, run_bronze
+from tripmart.plans.bronze import SEED, read_bronze, run_bronze
 from tripmart.plans.gold import run_gold
 from tripmart.plans.medallion import LakeConfig, run_pipeline
 from tripmart.plans.silver import run_silver
 from tripmart.session import build_session
-from tripmart.sinks.tables import compact, drop_old_versions
+from tripmart.sinks.tables import compact, compact_origin, drop_old_versions
 from tripmart.sources.tables import read_stream, read_table, read_zones
+from tripmart.streaming.landing import LIVE
 
 log = logging.getLogger("tripmart")
 
@@ -50,6 +52,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     inputs.add_argument("--history", default=os.getenv("HISTORICAL_SOURCE_PATH"))
     inputs.add_argument("--kafka", default=os.getenv("KAFKA_BROKER"))
     inputs.add_argument("--topic", default=os.getenv("KAFKA_TOPIC", "trips.live"))
+    inputs.add_argument(
+        "--max-offsets", default="5000000", help="records of the topic in one micro-batch"
+    )
 
     parser = argparse.ArgumentParser(prog="tripmart", description="Trip lakehouse jobs.")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -64,7 +69,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--incremental", action="store_true")
     compaction = jobs.add_parser("compact", parents=[common])
     compaction.add_argument("table", help="path below the root, such as silver/trips")
-    compaction.add_argument("--by", nargs="+", required=True)
+    compaction.add_argument("--by", nargs="+", default=[], help="columns to sort by")
     compaction.add_argument("--keep", type=int, default=1, help="old versions to keep")
     return parser.parse_args(argv)
 
@@ -72,14 +77,18 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def _stream(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if not args.kafka:
         return None
-    options = {"kafka.bootstrap.servers": args.kafka, "subscribe": args.topic}
+    options = {
+        "kafka.bootstrap.servers": args.kafka,
+        "subscribe": args.topic,
+        "maxOffsetsPerTrigger": args.max_offsets,
+    }
     return read_stream(spark, "kafka", **options)
 
 
 def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
     cfg = LakeConfig(root=args.root, zones=None, fmt=args.format)
     if args.job == "bronze":
-        trigger = {"processingTime": "0 seconds"} if args.forever else None
+        trigger = {"processingTime": "30 seconds"} if args.forever else None
         run_bronze(
             spark,
             cfg.bronze_path,
@@ -99,6 +108,13 @@ def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
         return 0
     if args.job == "compact":
         path = cfg.path(args.table)
+        if path.rstrip("/") == cfg.bronze_path:
+            for origin in (SEED, LIVE):
+                compact_origin(spark, path, origin, run_id, fmt=args.format)
+            return 0
+        if not args.by:
+            log.error("name the columns to sort by")
+            return 2
         compact(spark, path, run_id, args.by, fmt=args.format)
         drop_old_versions(spark, path, args.keep)
         return 0

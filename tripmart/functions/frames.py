@@ -36,7 +36,7 @@ def frame_rows(df: DataFrame, key: str, schema_id: int = 1, codec: str = "json")
     elif codec == "avro":
         from pyspark.sql.avro.functions import to_avro
 
-        body = to_avro(record)
+        body = to_avro(record, avro_schema(df.schema))
     else:
         raise ValueError(f"unknown codec {codec!r}")
     header = F.unhex(F.lit(f"{MAGIC_BYTE}{schema_id:08X}"))

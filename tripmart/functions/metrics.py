@@ -20,3 +20,8 @@ def hour_label(day: Column, hour: Column) -> Column:
     """``yyyy-MM-dd HH:00:00`` from a date and an hour of the day."""
     clock = F.lpad(hour.cast("string"), 2, "0")
     return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), clock, F.lit(":00:00"))
+
+
+def pickup_partition(pickup: Column, unit: str) -> Column:
+    """First day of the ``unit`` (day, month, quarter, year) that holds a pickup."""
+    return F.to_date(pickup) if unit == "day" else F.trunc(pickup, unit)

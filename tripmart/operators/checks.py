@@ -1,7 +1,8 @@
 """Data quality checks.
 
-A suite is a list of `Check`. `evaluate` computes all column checks of a suite in one
-aggregation over one scan; only uniqueness needs a shuffle, on the key columns alone.
+A suite is a list of `Check`. `evaluate` computes all checks of a suite in one pass over the
+table: rows are counted per key inside the input tasks, and the measures of the column checks
+travel along as partial aggregates.
 """
 
 from __future__ import annotations
@@ -132,43 +133,81 @@ def _decide(check: Check, df: DataFrame, rows: Column, measured: Column) -> Colu
     return _row(check, rows, measured, nothing, measured == 0)
 
 
-def _column_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    measures = {}
-    for i, check in enumerate(checks):
-        if all(c in df.columns for c in check.columns):
-            measures[f"m{i}"] = _measure(check)
-    rows = F.count(F.lit(1)).alias("rows")
-    measured = df.agg(rows, *[value.alias(name) for name, value in measures.items()])
+def _present(df: DataFrame, check: Check) -> bool:
+    return all(c in df.columns for c in check.columns)
+
+
+def _merged(kind: str, name: str) -> Column:
+    """A measure of parts put together."""
+    if kind in ("minimum", "maximum"):
+        return (F.min if kind == "minimum" else F.max)(name).alias(name)
+    return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+
+def _bad_rows(check: Check, n: str) -> Column:
+    """What a group of rows that agree in the key adds to what a keyed check counts."""
+    repeated = F.col(n) > 1
+    if check.kind == "unique":
+        return F.when(repeated, F.col(n)).otherwise(0)
+    # a key of nothing but NULL is not a value
+    known = reduce(Column.__or__, [F.col(c).isNotNull() for c in check.columns])
+    return F.when(repeated & known, 1).otherwise(0)
+
+
+def _known_rows(check: Check, n: str) -> Column:
+    if check.kind == "unique":
+        return F.col(n)
+    known = reduce(Column.__or__, [F.col(c).isNotNull() for c in check.columns])
+    return F.when(known, F.col(n)).otherwise(0)
+
+
+def _one_pass(df: DataFrame, plain: Sequence[Check], keyed: Sequence[Check]) -> DataFrame:
+    """Report over keyed checks whose keys contain each other, finest first, and column checks."""
+    kinds = {"rows": "row_count"}
+    measures = {"rows": F.count(F.lit(1))}
+    for i, check in enumerate(plain):
+        if _present(df, check):
+            kinds[f"m{i}"], measures[f"m{i}"] = check.kind, _measure(check)
+    first = [value.alias(name) for name, value in measures.items()]
+    grouped, levels = df, list(dict.fromkeys(check.columns for check in keyed))
+    for level, columns in enumerate(levels):
+        parts = first if not level else [_merged(kind, name) for name, kind in kinds.items()]
+        count = F.count(F.lit(1)) if not level else F.sum("_n")
+        grouped = grouped.groupBy(*columns).agg(count.alias("_n"), *parts)
+        for k, check in enumerate(keyed):
+            if check.columns == columns:
+                grouped = grouped.withColumn(f"b{k}", _bad_rows(check, "_n"))
+                grouped = grouped.withColumn(f"k{k}", _known_rows(check, "_n"))
+                kinds[f"b{k}"] = kinds[f"k{k}"] = "unique"
+    if levels:
+        measured = grouped.agg(*[_merged(kind, name) for name, kind in kinds.items()])
+    else:
+        measured = grouped.agg(*first)
     results = [
-        _decide(check, df, F.col("rows"), F.col(f"m{i}") if f"m{i}" in measures else F.lit(None))
-        for i, check in enumerate(checks)
+        _decide(check, df, F.col("rows"), F.col(f"m{i}") if f"m{i}" in kinds else F.lit(None))
+        for i, check in enumerate(plain)
+    ]
+    results += [
+        _row(check, F.col(f"k{k}"), F.col(f"b{k}"), F.lit(None), F.col(f"b{k}") == 0)
+        for k, check in enumerate(keyed)
     ]
     return measured.select(F.inline(F.array(*results)))
 
 
-def _keyed_check(df: DataFrame, check: Check) -> DataFrame:
-    if any(c not in df.columns for c in check.columns):
-        return _column_checks(df, [check])
-    keys = df.select(*check.columns)
-    if check.kind == "duplicates":
-        keys = keys.dropna(how="all")
-    # Rows are counted inside the input tasks first, so a hot key arrives as a few counts.
-    counts = keys.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.when(F.col("n") > 1, F.col("n") if check.kind == "unique" else F.lit(1))
-    measured = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(repeated), F.lit(0)).alias("bad"),
-    )
-    bad = F.col("bad")
-    result = _row(check, F.col("rows"), bad, F.lit(None), bad == 0)
-    return measured.select(F.inline(F.array(result)))
-
-
 def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One report row per check."""
-    plain = [check for check in checks if check.kind not in _KEYED]
-    parts = [_column_checks(df, plain)] if plain else []
-    parts += [_keyed_check(df, check) for check in checks if check.kind in _KEYED]
+    """One report row per check, from one pass over ``df``.
+
+    Keyed checks share the pass as far as their keys contain each other, such as (id, time) and
+    (id); a check with a key of its own takes one more.
+    """
+    keyed = [c for c in checks if c.kind in _KEYED and _present(df, c)]
+    plain = [c for c in checks if c not in keyed]
+    chain: list[Check] = []
+    for check in sorted(keyed, key=lambda c: -len(c.columns)):
+        if not chain or set(check.columns) <= set(chain[-1].columns):
+            chain.append(check)
+    parts = [_one_pass(df, plain, chain)]
+    parts += [_one_pass(df, [], [check]) for check in keyed if check not in chain]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -197,14 +236,51 @@ def orphans(fact: DataFrame, dim: DataFrame, on: dict[str, str]) -> DataFrame:
     The fact is reduced to one row per key inside the input tasks, so the join sees
     distinct keys only and a hot key costs no more than a rare one.
     """
-    keys = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    known = dim.select(*[F.col(name).alias(f"_dim_{i}") for i, name in enumerate(on.values())])
-    condition = reduce(
-        Column.__and__,
-        [F.col(name) == F.col(f"_dim_{i}") for i, name in enumerate(on)],
+    return orphans_of(fact, {"": (dim, on)}).drop("relation")
+
+
+def orphans_of(fact: DataFrame, relations: dict[str, tuple[DataFrame, dict[str, str]]]) -> DataFrame:
+    """`orphans` of several dimensions from one pass: ``(orphan_keys, orphan_rows, relation)``.
+
+    The fact is first reduced to one row per combination of all keys, then to one row per
+    relation and key.
+    """
+    columns = list(dict.fromkeys(name for _, on in relations.values() for name in on))
+    combined = fact.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+    def tagged(name: str, keys: Sequence[str]) -> list[Column]:
+        # a NULL in the key leaves no text to be found
+        values = F.array(*[F.col(key).cast("string") for key in keys])
+        known = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
+        return [F.lit(name).alias("relation"), values.alias("key"), known.alias("known")]
+
+    rows = [F.struct(*tagged(name, list(on)), F.col("n")) for name, (_, on) in relations.items()]
+    keys = (
+        combined.select(F.inline(F.array(*rows)))
+        .groupBy("relation", "key", "known")
+        .agg(F.sum("n").alias("n"))
     )
-    missing = keys.join(known, condition, "left_anti")
-    return missing.agg(
-        F.count(F.lit(1)).alias("orphan_keys"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+    listed = reduce(
+        DataFrame.unionByName,
+        [
+            dim.select(*tagged(name, list(on.values()))).filter("known").drop("known")
+            for name, (dim, on) in relations.items()
+        ],
+    ).distinct()
+    missing = keys.join(listed.withColumn("known", F.lit(True)), ["relation", "key", "known"], "left_anti")
+    counted = missing.agg(
+        *[F.count_if(F.col("relation") == name).alias(f"k{i}") for i, name in enumerate(relations)],
+        *[
+            F.coalesce(F.sum(F.when(F.col("relation") == name, F.col("n"))), F.lit(0)).alias(f"r{i}")
+            for i, name in enumerate(relations)
+        ],
     )
+    results = [
+        F.struct(
+            F.col(f"k{i}").alias("orphan_keys"),
+            F.col(f"r{i}").alias("orphan_rows"),
+            F.lit(name).alias("relation"),
+        )
+        for i, name in enumerate(relations)
+    ]
+    return counted.select(F.inline(F.array(*results)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,11 @@ def latest_per_key(
     reducer as at most one row per input task.
     """
     order = [F.col(name).desc_nulls_last() for name in (order_col, *tie_breakers)]
+    return first_per_key(df, keys, order)
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Keep the first row per key in ``order``."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_row_num", F.row_number().over(window))

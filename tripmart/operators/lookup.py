@@ -13,7 +13,10 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 FIXED_FIELD_BYTES = 16
-SALTS = 32
+
+# Of a shuffled join: rows of one key that a task takes on. A key with more is salted over as
+# many tasks as that makes.
+ROWS_PER_TASK = 2_000_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -48,18 +51,33 @@ def lookup_join(
     key: str,
     salt_by: Sequence[str],
     small: bool | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left outer join of ``df`` to a ``lookup`` that has one row per ``key``.
 
-    A measured small lookup is broadcast. A large one is shuffled, with every key spread
-    over several tasks by a hash of ``salt_by``, so that one key with most of the rows
-    does not make one task do most of the work. Pass ``small`` to reuse a measurement.
+    A measured small lookup is broadcast. A large one is shuffled. Rows per key are counted
+    first, inside the input tasks, and keys with more than ``rows_per_task`` rows are spread by a
+    hash of ``salt_by`` over as many tasks as their count calls for; only their lookup rows are
+    copied. All other keys, NULL apart, meet their row in one task each. Pass ``small`` to reuse a
+    measurement.
     """
     if small is None:
         small = fits_broadcast(lookup)
     if small:
         return df.join(F.broadcast(lookup), key, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    copies = copies.withColumn("_salt", F.col("_salt").cast("long"))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    hot = (
+        df.groupBy(key)
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("int").alias("_salts"))
+        .filter(F.col("_salts") > 1)
+        .filter(F.col(key).isNotNull())
+    )
+    # at most one key for each ``rows_per_task`` rows
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    copies = lookup.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    )
+    salt = F.pmod(F.xxhash64(*salt_by), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")
+    # a NULL key finds nothing, so its rows need not meet
+    salt = F.when(F.col(key).isNull(), F.xxhash64(*salt_by).cast("int")).otherwise(salt)
+    salted = df.join(hot, key, "left").withColumn("_salt", salt)
+    return salted.drop("_salts").join(copies.drop("_salts"), [key, "_salt"], "left").drop("_salt")

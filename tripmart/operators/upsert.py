@@ -75,6 +75,35 @@ def upsert_incremental(
     return kept.unionByName(increment)
 
 
+def upsert_partitions(
+    target: DataFrame,
+    source: DataFrame,
+    key: str,
+    version_col: str,
+    partition: str,
+    tie_breakers: Sequence[str] = (),
+    max_rows: int = BROADCAST_ROWS,
+) -> tuple[DataFrame, list]:
+    """The same upsert for a partitioned target: the rows of the partitions it changes, and which.
+
+    Changed are the partitions of the new rows and those that hold a row to be replaced. To find
+    the latter, only key and partition of the target are read. The list has one entry for each
+    changed partition.
+    """
+    fresh = new_rows(target, source, version_col)
+    increment = latest_per_key(fresh, [key], version_col, tie_breakers)
+    replaced, small = _replaced_keys(target, fresh, key, max_rows)
+    if small:
+        replaced = F.broadcast(replaced)
+    held = target.join(replaced, _same_key(key, "_changed"), "left_semi").select(partition)
+    touched = [row[0] for row in held.union(increment.select(partition)).distinct().collect()]
+    here = F.col(partition).isin([t for t in touched if t is not None])
+    if None in touched:
+        here = here | F.col(partition).isNull()
+    kept = target.filter(here).join(replaced, _same_key(key, "_changed"), "left_anti")
+    return kept.unionByName(increment), touched
+
+
 def merge_increment(increment: DataFrame, table: str, key: str) -> None:
     """The same upsert as a MERGE into a catalog table whose format supports it.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.cells import hex_cell
+from tripmart.operators.dedupe import first_per_key
 from tripmart.operators.lookup import fits_broadcast, lookup_join
 from tripmart.schemas import SILVER_KEY
 
@@ -19,14 +20,8 @@ def zone_cells(zones: DataFrame, res: int = 9) -> DataFrame:
 
 def _one_row_per_zone(zones: DataFrame) -> DataFrame:
     order = [F.col(name).asc_nulls_last() for name in [*ZONE_ATTRIBUTES, "cell"]]
-    window = Window.partitionBy("LocationID").orderBy(*order)
-    return (
-        zones.select("LocationID", *ZONE_ATTRIBUTES, "cell")
-        .filter(F.col("LocationID").isNotNull())
-        .withColumn("_row_num", F.row_number().over(window))
-        .filter(F.col("_row_num") == 1)
-        .drop("_row_num")
-    )
+    listed = zones.select("LocationID", *ZONE_ATTRIBUTES, "cell").filter(F.col("LocationID").isNotNull())
+    return first_per_key(listed, ["LocationID"], order)
 
 
 def enrich_zones(trips: DataFrame, zones: DataFrame, cell_col: str | None = None) -> DataFrame:

@@ -29,11 +29,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
-def modified(spark: SparkSession, path: str) -> int:
-    fs, target = _file_system(spark, path)
-    return fs.getFileStatus(target).getModificationTime()
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
@@ -48,16 +43,28 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+# File systems whose rename swaps a file in one step. Elsewhere, on object
+# stores, a rename is delete and copy, but a single put replaces a file in one step.
+ATOMIC_RENAME = {"file", "hdfs", "viewfs", "webhdfs"}
+
+
+def _put(fs, target, text: str) -> None:
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that readers see the old or the new content, never a part."""
     jvm = spark.sparkContext._jvm
     fs, target = _file_system(spark, path)
+    if fs.getUri().getScheme() not in ATOMIC_RENAME:
+        _put(fs, target, text)
+        return
     staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-    stream = fs.create(staged, True)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
+    _put(fs, staged, text)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()
     )

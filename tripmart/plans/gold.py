@@ -6,16 +6,26 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.codes import payment_label
-from tripmart.functions.metrics import hour_label
+from tripmart.functions.metrics import hour_label, pickup_partition
 from tripmart.functions.totals import mean, total
-from tripmart.operators.upsert import upsert_incremental
-from tripmart.sinks.tables import TRANSACTIONAL, overwrite, publish
+from tripmart.operators.dedupe import first_per_key, latest_per_key
+from tripmart.operators.upsert import upsert_incremental, upsert_partitions
+from tripmart.schemas import PARTITION_UNIT, PICKUP_DATE
+from tripmart.sinks.tables import (
+    ANY,
+    TRANSACTIONAL,
+    overwrite,
+    publish,
+    published,
+    replace_partitions,
+)
 from tripmart.sources.tables import read_table
 
+# Columns of the fact, by their names in silver.
 FACT_COLUMNS = [
     "trip_id",
     "vendor_id",
@@ -145,14 +155,7 @@ def zone_tuples(silver: DataFrame) -> DataFrame:
 def dim_zone(silver: DataFrame) -> DataFrame:
     """One row per location. Should its attributes differ, the first known ones count."""
     order = [F.col(name).asc_nulls_last() for name in ("zone_name", "borough", "zone_h3")]
-    window = Window.partitionBy("location_id").orderBy(*order)
-    return (
-        zone_tuples(silver)
-        .withColumn("_row_num", F.row_number().over(window))
-        .filter(F.col("_row_num") == 1)
-        .drop("_row_num")
-        .orderBy("location_id")
-    )
+    return first_per_key(zone_tuples(silver), ["location_id"], order).orderBy("location_id")
 
 
 def star_revenue(
@@ -203,37 +206,59 @@ def run_gold(
     fmt: str = "parquet",
     incremental: bool = False,
     resolutions: Resolutions | None = None,
+    partition_unit: str = PARTITION_UNIT,
 ) -> dict[str, str]:
     """Write the five gold tables below ``root``; returns their paths.
 
     Silver is not cached: each table reads only the columns it needs from the columnar
     files, which is less than spilling all of them once. The tables are written at the same
     time, so that the last tasks of one do not keep the cluster waiting, and published
-    together once all are there. With ``incremental`` the fact takes only rows above its
-    high-water mark.
+    together once all are there. The fact has one row per trip, the newest, and is partitioned
+    by pickup date. With ``incremental`` it takes only rows above its high-water mark and
+    writes only the dates they touch.
     """
     root = root.rstrip("/")
-    fact = fact_trips(silver)
-    if incremental:
-        present = read_table(spark, f"{root}/fact_trips", fmt, missing="none")
-        if present is not None:
-            fact = upsert_incremental(present, fact, "trip_id", "_ingest_ts")
+    fact = fact_trips(silver).withColumn(
+        PICKUP_DATE, pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
+    )
+    ties = [name for name in fact.columns if name not in ("trip_id", "_ingest_ts")]
     tables = {
-        "fact_trips": fact,
         "agg_daily_revenue": daily_revenue(silver, resolutions),
         "agg_hourly_demand": hourly_demand(silver, resolutions),
         "dim_payment": dim_payment(silver),
         "dim_zone": dim_zone(silver),
     }
-    paths = {name: f"{root}/{name}" for name in tables}
+    paths = {name: f"{root}/{name}" for name in ("fact_trips", *tables)}
+    versioned = fmt not in TRANSACTIONAL
+    bases = {name: published(spark, path) if versioned else ANY for name, path in paths.items()}
+    present = None
+    if incremental:
+        present = read_table(spark, paths["fact_trips"], fmt, missing="none")
+    if present is not None and PICKUP_DATE not in present.columns:
+        present = None  # written before the fact had partitions: build it once more
+    parts: dict[str, str] = {}
 
     @inheritable_thread_target(spark)
     def write(name: str) -> None:
-        overwrite(tables[name], paths[name], run_id, fmt, publish_now=False)
+        if name != "fact_trips":
+            overwrite(tables[name], paths[name], run_id, fmt, publish_now=False)
+        elif present is None:
+            whole = latest_per_key(fact, ["trip_id"], "_ingest_ts", ties)
+            overwrite(whole, paths[name], run_id, fmt, [PICKUP_DATE], publish_now=False)
+        elif not versioned:
+            merged = upsert_incremental(present, fact, "trip_id", "_ingest_ts", ties)
+            overwrite(merged, paths[name], run_id, fmt, [PICKUP_DATE])
+        else:
+            rows, touched = upsert_partitions(
+                present, fact, "trip_id", "_ingest_ts", PICKUP_DATE, ties
+            )
+            parts.update(
+                replace_partitions(rows, paths[name], run_id, PICKUP_DATE, touched, fmt, publish_now=False)
+            )
 
-    with ThreadPoolExecutor(len(tables)) as pool:
-        list(pool.map(write, tables))
-    if fmt not in TRANSACTIONAL:
-        for path in paths.values():
-            publish(spark, path, run_id)
+    with ThreadPoolExecutor(len(paths)) as pool:
+        list(pool.map(write, paths))
+    if versioned:
+        for name, path in paths.items():
+            publish(spark, path, run_id, bases[name], parts if name == "fact_trips" else None)
     return paths

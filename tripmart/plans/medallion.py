@@ -13,7 +13,8 @@ from tripmart.plans.audit import run_dq, silver_suite
 from tripmart.plans.bronze import run_bronze
 from tripmart.plans.gold import run_gold
 from tripmart.plans.silver import TIE_BREAKERS, run_silver
-from tripmart.sinks.tables import TRANSACTIONAL, overwrite, publish
+from tripmart.schemas import PARTITION_UNIT
+from tripmart.sinks.tables import TRANSACTIONAL, load_version, overwrite, publish, published
 from tripmart.sources.tables import read_table
 
 
@@ -31,6 +32,7 @@ class LakeConfig:
     incremental: bool = False
     resolutions: Mapping[str, int] | None = None
     fmt: str = "parquet"
+    partition_unit: str = PARTITION_UNIT
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -58,7 +60,7 @@ def run_pipeline(
     """Run all layers; returns the gold paths, or ``None`` while bronze is empty.
 
     Silver is written, then audited, then published. If the audit fails, `QualityError`
-    is raised and readers keep the old silver and the old gold.
+    is raised and readers keep the old silver and the old gold, or none if there were none.
     """
     run_id = run_id or uuid.uuid4().hex
     bronze = cfg.bronze
@@ -75,6 +77,7 @@ def run_pipeline(
         return None
     # A transactional table has no unpublished version, so its rows are staged beside it.
     staged = cfg.fmt in TRANSACTIONAL
+    base = None if staged else published(spark, cfg.silver_path)
     written = run_silver(
         bronze,
         cfg.zones,
@@ -83,14 +86,22 @@ def run_pipeline(
         cfg.tie_breakers,
         cfg.fmt,
         publish_now=False,
+        partition_unit=cfg.partition_unit,
     )
-    audited = spark.read.format(cfg.fmt).load(written)
+    audited = load_version(spark, written, cfg.fmt)
     run_dq(audited, cfg.suite)
     if staged:
         overwrite(audited, cfg.silver_path, run_id, cfg.fmt)
     else:
-        publish(spark, cfg.silver_path, run_id)
+        publish(spark, cfg.silver_path, run_id, base)
     silver = read_table(spark, cfg.silver_path, cfg.fmt)
     return run_gold(
-        spark, silver, cfg.gold_path, run_id, cfg.fmt, cfg.incremental, cfg.resolutions
+        spark,
+        silver,
+        cfg.gold_path,
+        run_id,
+        cfg.fmt,
+        cfg.incremental,
+        cfg.resolutions,
+        cfg.partition_unit,
     )

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.metrics import pickup_partition
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
 from tripmart.operators.zones import enrich_zones
-from tripmart.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_KEY
+from tripmart.schemas import BRONZE_SCHEMA, PARTITION_UNIT, PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY
 from tripmart.sinks.tables import overwrite
 
 # Rows of one micro-batch share their ingest time. The stream's own time decides next,
@@ -60,7 +61,13 @@ def run_silver(
     tie_breakers: Sequence[str] = tuple(TIE_BREAKERS),
     fmt: str = "parquet",
     publish_now: bool = True,
+    partition_unit: str = PARTITION_UNIT,
 ) -> str:
-    """Recompute silver and write it as a new version; returns where it was written."""
+    """Recompute silver and write it as a new version, partitioned by pickup date.
+
+    Returns where it was written.
+    """
     silver = silver_trips(bronze, zones, tie_breakers)
-    return overwrite(silver, path, run_id, fmt, publish_now=publish_now)
+    date = pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
+    dated = silver.withColumn(PICKUP_DATE, date)
+    return overwrite(dated, path, run_id, fmt, [PICKUP_DATE], publish_now=publish_now)

@@ -54,6 +54,11 @@ INT_COLUMNS = [
 DOUBLE_COLUMNS = ["fare_amount", "tip_amount", "total_amount", "trip_distance"]
 TIME_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
 
+# What the large tables are partitioned by: the first day of the pickup's day, month, quarter or
+# year. A day suits a table whose days fill files.
+PICKUP_DATE = "pickup_date"
+PARTITION_UNIT = "day"
+
 # Key of the silver table.
 SILVER_KEY = ["trip_id", "tpep_pickup_datetime"]
 

@@ -2,8 +2,10 @@
 
 A replaced table is a folder of version directories plus a small pointer file that names
 the published one. Writing a version and publishing it are two steps, so a version can be
-audited first and a failed job leaves readers on the old one. An append-only table is a
-folder with one directory per origin, and below it one directory per batch.
+audited first and a failed job leaves readers on the old one; as long as nothing was ever
+published, the table is missing. A publication names the version it was made from and fails
+if another one was published since. An append-only table is a folder with one directory per
+origin, and below it one directory per batch; a complete batch is never written again.
 """
 
 from __future__ import annotations
@@ -19,28 +21,156 @@ from pyspark.sql.types import StructType
 from tripmart import paths
 
 POINTER = "_current"
+SCHEMA = "_schema"
 
 # Formats that replace data and schema in one transaction of their own.
-TRANSACTIONAL = {"delta", "iceberg"}
+TRANSACTIONAL = {"delta"}
+# Fixed value: the partition directory of NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+# What the name of a compacted batch begins with.
+COMPACTED = "compacted-"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
+#: Stands for whatever version is the current one.
+ANY = object()
+
+
+class PublishConflict(Exception):
+    """Another version was published since the one this job read."""
+
+
+class MissingTable(Exception):
+    """A table without a published version."""
+
+
 def version_path(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/v={run_id}"
 
 
-def resolve(spark: SparkSession, path: str) -> str:
-    """The directory that holds the published version, or ``path`` for a plain table."""
+def _pointer(spark: SparkSession, path: str) -> dict:
     pointer = f"{path.rstrip('/')}/{POINTER}"
-    if not paths.exists(spark, pointer):
-        return path
-    return version_path(path, json.loads(paths.read_text(spark, pointer))["version"])
+    return json.loads(paths.read_text(spark, pointer)) if paths.exists(spark, pointer) else {}
 
 
-def publish(spark: SparkSession, path: str, run_id: str) -> None:
-    """Make a written version the current one."""
-    pointer = f"{path.rstrip('/')}/{POINTER}"
-    paths.replace_text(spark, pointer, json.dumps({"version": run_id}))
+def published(spark: SparkSession, path: str) -> str | None:
+    """The name of the published version, if there is one."""
+    return _pointer(spark, path).get("version")
+
+
+def resolve(spark: SparkSession, path: str) -> str:
+    """The directory that holds the published version, or ``path`` for a plain table.
+
+    A folder of versions of which none is published holds no table.
+    """
+    version = published(spark, path)
+    if version is not None:
+        return version_path(path, version)
+    if paths.exists(spark, path) and paths.is_directory(spark, path):
+        if any(name.startswith("v=") for name in paths.list_names(spark, path)):
+            raise MissingTable(f"{path} has no published version")
+    return path
+
+
+def publish(
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    over: object = ANY,
+    parts: dict[str, str] | None = None,
+) -> None:
+    """Make a written version the current one.
+
+    ``over`` is the version the new one was made from (None: there was none); if another is
+    current by now, `PublishConflict` is raised. The look and the write are two steps, so two
+    jobs that publish in the same instant still need a lock of their scheduler. The pointer
+    keeps the order of publications. ``parts`` says of each partition in which version it is,
+    where that is not ``run_id``'s for all.
+    """
+    pointer = _pointer(spark, path)
+    current = pointer.get("version")
+    if over is not ANY and over != current:
+        raise PublishConflict(f"{path}: {run_id} was made from {over}, but {current} is current")
+    earlier = [v for v in [*pointer.get("earlier", []), current] if v not in (None, run_id)]
+    content = {"version": run_id, "earlier": earlier} | ({"parts": parts} if parts else {})
+    paths.replace_text(spark, f"{path.rstrip('/')}/{POINTER}", json.dumps(content))
+
+
+def load_version(
+    spark: SparkSession, folder: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """One version, published or not."""
+    return _reader(spark, folder, fmt, schema).load(folder)
+
+
+def _reader(spark: SparkSession, folder: str, fmt: str, schema: StructType | None):
+    """A reader with the schema the version was written with; no file may say it if it is empty."""
+    kept = f"{folder}/{SCHEMA}"
+    if schema is None and paths.exists(spark, kept):
+        schema = StructType.fromJson(json.loads(paths.read_text(spark, kept)))
+    reader = spark.read.format(fmt)
+    return reader if schema is None else reader.schema(schema)
+
+
+def load_published(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """The published version, whose partitions may be in directories of several versions."""
+    path = path.rstrip("/")
+    current = resolve(spark, path)
+    reader = _reader(spark, current, fmt, schema)
+    parts = _pointer(spark, path).get("parts")
+    if not parts:
+        return reader.load(current)
+    folders = [f"{version_path(path, version)}/{name}" for name, version in parts.items()]
+    # the versions' directories look like one more partition column
+    return reader.option("basePath", path).load(folders).drop("v")
+
+
+def _write_partitions(df: DataFrame, target: str, fmt: str, by: Sequence[str]) -> None:
+    df.write.mode("overwrite").format(fmt).partitionBy(*by).save(target)
+    fields = [f for f in df.schema if f.name not in by] + [df.schema[name] for name in by]
+    paths.replace_text(df.sparkSession, f"{target}/{SCHEMA}", StructType(fields).json())
+
+
+def _partitions(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the partition directories of a version."""
+    if not paths.exists(spark, folder):
+        return []
+    return [name for name in paths.list_names(spark, folder) if "=" in name]
+
+
+def partition_name(column: str, value: object) -> str:
+    return f"{column}={NULL_PARTITION if value is None else value}"
+
+
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    run_id: str,
+    column: str,
+    touched: Sequence[object],
+    fmt: str = "parquet",
+    publish_now: bool = True,
+) -> dict[str, str]:
+    """Write the rows of the ``touched`` partitions anew; all others stay the files they are.
+
+    ``df`` holds all rows these partitions shall have. Returns the parts to publish; they are
+    published at once, over the version they extend, unless ``publish_now`` is off.
+    """
+    spark, base = df.sparkSession, published(df.sparkSession, path)
+    old = _pointer(spark, path).get("parts")
+    if old is None:
+        old = {name: base for name in _partitions(spark, version_path(path, base))}
+    target = version_path(path, run_id)
+    _write_partitions(df.hint("rebalance", F.col(column)), target, fmt, [column])
+    gone = {partition_name(column, value) for value in touched}
+    parts = {name: version for name, version in old.items() if name not in gone}
+    parts |= {name: run_id for name in _partitions(spark, target)}
+    if publish_now:
+        publish(spark, path, run_id, base, parts)
+    return parts
 
 
 def overwrite(
@@ -50,6 +180,7 @@ def overwrite(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     publish_now: bool = True,
+    over: object = ANY,
 ) -> str:
     """Replace a table, schema included; returns the path of the new version.
 
@@ -60,54 +191,126 @@ def overwrite(
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if fmt in TRANSACTIONAL:
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.option("overwriteSchema", "true").save(path)
         return path
     target = version_path(path, run_id)
-    writer.save(target)
+    if partition_by:
+        _write_partitions(df, target, fmt, partition_by)
+    else:
+        writer.save(target)
     if publish_now:
-        publish(df.sparkSession, path, run_id)
+        publish(df.sparkSession, path, run_id, over)
     return target
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
-    """Delete versions behind the published one except the ``keep`` youngest of them.
+    """Delete versions published before the current one except the ``keep`` last of them.
 
-    Versions written after the published one are left alone: a run may be auditing one.
-    Readers that opened a deleted version before fail, so keep as many as jobs overlap.
+    The pointer knows their order. Versions that were never published are left alone: a run
+    may be auditing one. Readers that opened a deleted version before fail, so keep as many as
+    jobs overlap.
     """
     path = path.rstrip("/")
-    current = resolve(spark, path)
-    if current == path:
-        return []
-    published = paths.modified(spark, current)
-    old = []
-    for name in paths.list_names(spark, path):
-        version = f"{path}/{name}"
-        if name.startswith("v=") and version != current:
-            age = paths.modified(spark, version)
-            if age <= published:
-                old.append((age, version))
-    dropped = [version for _, version in sorted(old, reverse=True)[keep:]]
-    for version in dropped:
-        paths.delete(spark, version)
+    pointer = _pointer(spark, path)
+    earlier = pointer.get("earlier", [])
+    used = set(pointer.get("parts", {}).values())
+    old = [v for v in earlier[: max(0, len(earlier) - keep)] if v not in used]
+    dropped = []
+    for version in old:
+        target = version_path(path, version)
+        if paths.exists(spark, target):
+            paths.delete(spark, target)
+            dropped.append(target)
+    if dropped:
+        pointer["earlier"] = [v for v in earlier if v not in old]
+        paths.replace_text(spark, f"{path}/{POINTER}", json.dumps(pointer))
     return dropped
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    return paths.exists(spark, f"{folder}/_SUCCESS")
+
+
 def append_merge(
     df: DataFrame, path: str, origin: str, batch: str, fmt: str = "parquet"
 ) -> str:
-    """Append one batch of one origin; repeating the batch replaces it instead of doubling it."""
+    """Append one batch of one origin, once.
+
+    A batch that is complete stays as it is, so a repeated job adds and changes nothing; a
+    batch that a job died in is written anew, and readers do not see it before it is complete.
+    """
     if fmt in TRANSACTIONAL:
         df.write.mode("append").format(fmt).option("mergeSchema", "true").save(path)
         return path
     target = f"{path.rstrip('/')}/origin={origin}/batch={batch}"
-    df.write.mode("overwrite").format(fmt).save(target)
+    if not _complete(df.sparkSession, target) and not _replaced(df.sparkSession, path, origin, batch):
+        df.write.mode("overwrite").format(fmt).save(target)
     return target
 
 
+def _compacted(spark: SparkSession, path: str, origin: str) -> dict:
+    """What a compaction of an origin put in place of which batches."""
+    pointer = f"{path.rstrip('/')}/origin={origin}/{POINTER}"
+    return json.loads(paths.read_text(spark, pointer)) if paths.exists(spark, pointer) else {}
+
+
+def _replaced(spark: SparkSession, path: str, origin: str, batch: str) -> bool:
+    return batch in _compacted(spark, path, origin).get("replaces", [])
+
+
+def batches(spark: SparkSession, path: str, origin: str) -> list[str]:
+    """Folders of the complete batches of an origin, compacted ones in place of theirs."""
+    folder = f"{path.rstrip('/')}/origin={origin}"
+    if not paths.exists(spark, folder):
+        return []
+    compacted = _compacted(spark, path, origin)
+    gone = set(compacted.get("replaces", []))
+    found = []
+    for name in sorted(paths.list_names(spark, folder)):
+        batch = name.removeprefix("batch=")
+        foreign = batch.startswith(COMPACTED) and batch != compacted.get("batch")
+        if name == batch or batch in gone or foreign:
+            continue
+        if _complete(spark, f"{folder}/{name}"):
+            found.append(f"{folder}/{name}")
+    return found
+
+
+def compact_origin(
+    spark: SparkSession,
+    path: str,
+    origin: str,
+    run_id: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    fmt: str = "parquet",
+) -> str | None:
+    """Rewrite the complete batches of an origin as one batch of files of about ``target_bytes``.
+
+    Batches that arrive meanwhile stay beside it. The rows are not sorted, so the batches are
+    read once and not shuffled by value. One small file switches readers over; the replaced
+    batches are deleted after it. Columns that only some batches have are NULL in the others.
+    """
+    old = batches(spark, path, origin)
+    if not old:
+        return None
+    table = spark.read.format(fmt).option("mergeSchema", "true").load(old)
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    folder = f"{path.rstrip('/')}/origin={origin}"
+    batch = f"{COMPACTED}{run_id}"
+    files = max(1, math.ceil(size / target_bytes))
+    table.repartition(files).write.mode("overwrite").format(fmt).save(f"{folder}/batch={batch}")
+    names = [name.rpartition("/batch=")[2] for name in old]
+    replaces = sorted({*_compacted(spark, path, origin).get("replaces", []), *names})
+    content = json.dumps({"batch": batch, "replaces": replaces})
+    paths.replace_text(spark, f"{folder}/{POINTER}", content)
+    for name in old:
+        paths.delete(spark, name)
+    return f"{folder}/batch={batch}"
+
+
 def read_origins(
     spark: SparkSession,
     path: str,
@@ -117,21 +320,19 @@ def read_origins(
 ) -> DataFrame | None:
     """All batches of the given origins as one table; columns an origin lacks are NULL.
 
-    Each origin is opened on its own: the stream's file sink keeps a commit log in its
-    directory, and a reader that starts above it would ignore either the log or the other
-    origins. Without a ``schema`` the file schemas of an origin are merged, which opens
-    every footer; name the schema where it is known.
+    Only complete batches are read. Without a ``schema`` the file schemas of an origin are
+    merged, which opens every footer; name the schema where it is known.
     """
     parts = []
     for origin in origins:
-        folder = f"{path.rstrip('/')}/origin={origin}"
-        if not paths.exists(spark, folder):
+        folders = batches(spark, path, origin)
+        if not folders:
             continue
         reader = spark.read.format(fmt)
         if schema is None:
-            parts.append(reader.option("mergeSchema", "true").load(folder).drop("batch"))
+            parts.append(reader.option("mergeSchema", "true").load(folders))
         else:
-            parts.append(reader.schema(schema).load(folder).select(*schema.fieldNames()))
+            parts.append(reader.schema(schema).load(folders))
     if not parts:
         return None
     table = parts[0]
@@ -152,16 +353,28 @@ def compact(
 
     Files cover ranges of ``cluster_cols``, so a filter on them skips most files. The row
     id behind the clustering columns lets a value that fills many files be split; without
-    it all rows of that value would go to one task.
+    it all rows of that value would go to one task. The bounds of the ranges are sampled, so the
+    table is read twice. Fails with `PublishConflict` if a version is published meanwhile.
     """
-    table = spark.read.format(fmt).load(resolve(spark, path))
+    path = path.rstrip("/")
+    if paths.exists(spark, path) and any(n.startswith("origin=") for n in paths.list_names(spark, path)):
+        raise ValueError(f"{path} is append-only: use compact_origin for each origin")
+    base = published(spark, path)
+    table = load_published(spark, path, fmt)
+    held = [*_pointer(spark, path).get("parts", {}), *_partitions(spark, resolve(spark, path))]
+    by = list(dict.fromkeys(name.partition("=")[0] for name in held))
     # The scan already listed the files, so the optimizer knows their total size.
     size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     files = max(1, math.ceil(size / target_bytes))
     spread = table.withColumn("_row", F.monotonically_increasing_id())
     clustered = (
-        spread.repartitionByRange(files, *cluster_cols, "_row")
-        .sortWithinPartitions(*cluster_cols)
+        spread.repartitionByRange(files, *by, *cluster_cols, "_row")
+        .sortWithinPartitions(*by, *cluster_cols)
         .drop("_row")
     )
-    return overwrite(clustered, path, run_id, fmt)
+    if not by:
+        return overwrite(clustered, path, run_id, fmt, over=base)
+    target = version_path(path, run_id)
+    _write_partitions(clustered, target, fmt, by)
+    publish(spark, path, run_id, base)
+    return target

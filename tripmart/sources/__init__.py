@@ -4,7 +4,6 @@ from tripmart.sources.tables import (
     read_zones,
     register,
     scan_history,
-    spread,
 )
 from tripmart.sources.trips import first_trips, normalize_trips, read_history, surrogate_trip_id
 
@@ -17,6 +16,5 @@ __all__ = [
     "read_zones",
     "register",
     "scan_history",
-    "spread",
     "surrogate_trip_id",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +9,16 @@ from pyspark.sql.types import StructType
 
 from tripmart import paths
 from tripmart.schemas import ZONE_FILE_SCHEMA
-from tripmart.sinks.tables import resolve
+from tripmart.sinks.tables import TRANSACTIONAL, MissingTable, load_published
 
-MISSING_TABLE_CONDITIONS = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+# Error conditions of a table that is not there, of Spark and of the optional format.
+MISSING_TABLE_CONDITIONS = {
+    "PATH_NOT_FOUND",
+    "TABLE_OR_VIEW_NOT_FOUND",
+    "DELTA_TABLE_NOT_FOUND",
+    "DELTA_PATH_DOES_NOT_EXIST",
+    "DELTA_MISSING_DELTA_TABLE",
+}
 
 
 def scan_history(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -53,11 +58,15 @@ def read_table(
     """
     if missing not in ("error", "none"):
         raise ValueError(f"missing must be 'error' or 'none', not {missing!r}")
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        return reader.load(resolve(spark, path))
+        if fmt in TRANSACTIONAL:
+            reader = spark.read.format(fmt)
+            return (reader.schema(schema) if schema is not None else reader).load(path)
+        return load_published(spark, path, fmt, schema)
+    except MissingTable:
+        if missing == "none":
+            return None
+        raise
     except AnalysisException as error:
         if missing == "none" and error.getCondition() in MISSING_TABLE_CONDITIONS:
             return None
@@ -89,21 +98,6 @@ def read_stream(
     return reader.load(path) if path is not None else reader.load()
 
 
-def few_splits(df: DataFrame) -> bool:
-    """Whether a scan has fewer splits than the cluster has cores."""
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give every core a share of an input of few splits, such as one small file.
-
-    An input with enough splits is left as it is, so a large table is never shuffled here.
-    """
-    if not few_splits(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def register(df: DataFrame, name: str) -> DataFrame:
     """Name a DataFrame for use in ``spark.sql`` and ``spark.table``."""
     df.createOrReplaceTempView(name)

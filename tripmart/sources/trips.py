@@ -15,19 +15,8 @@ from tripmart.sources.tables import scan_history
 # Column names of the raw file that differ from the trip record.
 RAW_NAMES = {"VendorID": "vendor_id", "Airport_fee": "airport_fee"}
 
-# What makes two rows of a raw file the same trip.
-NATURAL_KEY = [
-    "vendor_id",
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "PULocationID",
-    "DOLocationID",
-    "passenger_count",
-    "trip_distance",
-    "payment_type",
-    "fare_amount",
-    "total_amount",
-]
+# What makes two rows of a raw file the same trip: everything that is known of it.
+NATURAL_KEY = [name for name in TRIP_COLUMNS if name != "trip_id"]
 
 
 def _trip_field(df: DataFrame, field: T.StructField) -> Column:
@@ -68,27 +57,28 @@ def first_trips(df: DataFrame, limit: int, order_by: Sequence[str] | None) -> Da
 
 
 def surrogate_trip_id(
-    df: DataFrame, natural_key: Sequence[str] = tuple(NATURAL_KEY), digits: int = 32
+    df: DataFrame, natural_key: Sequence[str] = tuple(NATURAL_KEY)
 ) -> DataFrame:
-    """Put ``trip_id`` first, a digest of the natural key: the same row always gets the same id.
-
-    The id travels through every keyed shuffle, so it is cut to ``digits`` hexadecimal
-    digits (64 for the whole digest); at 128 bits a clash among 10^12 trips has a chance
-    of about 10^-15.
-    """
+    """Put ``trip_id`` first, a digest of the natural key: the same row always gets the same id."""
     # A NULL must not vanish from the digest input, or (a, NULL, b) would equal (a, b, NULL).
     parts = [F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in natural_key]
-    digest = F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, digits)
+    digest = F.sha2(F.concat_ws("|", *parts), 256)
     rest = [name for name in df.columns if name != "trip_id"]
     return df.select(F.concat(F.lit("trip_"), digest).alias("trip_id"), *rest)
 
 
 def read_history(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """Historical file as trip records, with surrogate ids when the file has none."""
+    """Historical file as it is, under the names of the trip record, with ids if it has none.
+
+    Values keep their types, unreadable and missing ones too, and columns beyond the trip
+    record stay: this is what bronze holds. An id is a digest over all columns of the file.
+    """
     raw = scan_history(spark, path)
     if raw is None:
         return None
-    trips = normalize_trips(raw)
+    trips = raw.withColumnsRenamed(RAW_NAMES)
     if "trip_id" not in trips.columns:
-        trips = surrogate_trip_id(trips)
-    return trips.select(*TRIP_COLUMNS)
+        known = [name for name in NATURAL_KEY if name in trips.columns]
+        others = sorted(name for name in trips.columns if name not in known)
+        trips = surrogate_trip_id(trips, [*known, *others])
+    return trips

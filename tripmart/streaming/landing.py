@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tripmart.functions.frames import decode_frames
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
 from tripmart.schemas import BRONZE_COLUMNS
-from tripmart.sinks.tables import TRANSACTIONAL
+from tripmart.sinks.tables import TRANSACTIONAL, append_merge
 
 LIVE = "live"
 
@@ -24,25 +22,23 @@ def land_stream(
     checkpoint: str,
     trigger: dict | None = None,
     origin: str = LIVE,
-    partition_by: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> StreamingQuery:
     """Append a stream to ``origin`` of a table, each input row exactly once.
 
-    The checkpoint records what was read and the sink's own log what was committed, so a
-    restart neither loses nor repeats rows. The origin has a directory of its own because
-    that log hides every file it does not list, such as a batch-written seed.
+    Every micro-batch is a batch of the table under its number. The checkpoint repeats a batch
+    that was not finished with the same rows, and a finished one is not written again, so a
+    restart neither loses nor repeats rows. There is no log of files that would grow with the
+    stream; `compact_origin` makes few batches of many.
     """
-    writer = (
-        df.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or AVAILABLE_NOW))
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    target = path if fmt in TRANSACTIONAL else f"{path.rstrip('/')}/origin={origin}"
-    return writer.start(target)
+    if fmt in TRANSACTIONAL:
+        writer = df.writeStream.format(fmt).outputMode("append")
+    else:
+        writer = df.writeStream.foreachBatch(
+            lambda batch, number: append_merge(batch, path, origin, str(number), fmt) and None
+        )
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE_NOW))
+    return writer.start(path) if fmt in TRANSACTIONAL else writer.start()
 
 
 def run_bronze_stream(

@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.session import prepare_session
-from tripmart.sources.tables import few_splits, read_stream, spread
+from tripmart.sources.tables import read_stream
 
 # _tie1 and _tie2 make the order of the rows of one key total.
 TIES = ["_tie1", "_tie2"]
 
-LINE_KEY = ["l_orderkey", "l_linenumber"]
-
 TRIPS_SQL = """
 select
   concat(cast(l_orderkey as string), '-', cast(l_linenumber as string)) as trip_id,
@@ -155,15 +153,13 @@ def trips(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -
     names = ["orders", "customer", "supplier"]
     tables = {name: table(spark, sf_dir, name) for name in names}
     if lineitem is None:
-        lineitem = spread(table(spark, sf_dir, "lineitem"), LINE_KEY)
+        lineitem = table(spark, sf_dir, "lineitem")
     return spark.sql(TRIPS_SQL, lineitem=lineitem, **tables)
 
 
 def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    source = read_stream(spark, "parquet", lines.schema, f"{sf_dir}/lineitem.parquet")
-    if few_splits(lines):
-        source = source.repartition(spark.sparkContext.defaultParallelism, *LINE_KEY)
+    schema = table(spark, sf_dir, "lineitem").schema
+    source = read_stream(spark, "parquet", schema, f"{sf_dir}/lineitem.parquet")
     return trips(spark, sf_dir, source)
 
 

@@ -18,7 +18,7 @@ from tripmart.functions.cells import (
 from tripmart.functions.codes import OTHER_PAYMENT, PAYMENT_LABELS
 from tripmart.plans import audit
 from tripmart.plans.gold import FACT_COLUMNS, FACT_NAMES
-from tripmart.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_COLUMNS
+from tripmart.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_COLUMNS, TRIP_SCHEMA
 from tripmart.sources.trips import NATURAL_KEY
 from tripmart.workload.adapter import (
     PLACES_SQL,
@@ -29,6 +29,8 @@ from tripmart.workload.adapter import (
     ZONES_SQL,
 )
 
+_SQL_TYPES = {"integer": "int", "double": "double", "string": "varchar"}
+
 _TABLES = {
     name: name for name in ("lineitem", "orders", "customer", "supplier", "nation", "region")
 }
@@ -193,6 +195,30 @@ _DIGEST = "concat_ws('|', " + ", ".join(
     f"coalesce(cast({name} as varchar), '\\N')" for name in NATURAL_KEY
 ) + ")"
 
+# The raw file as it is in bronze: the digest is over what the file holds, the columns beyond
+# the trip record behind the others.
+_FILE = (
+    "select * exclude (VendorID, Airport_fee, fare_amount), VendorID as vendor_id, "
+    "Airport_fee as airport_fee, "
+    "case when payment_type = 6 then 'n/a' else cast(fare_amount as varchar) end as fare_amount, "
+    "'c' || cast(VendorID as varchar) as cab_colour from raw_file"
+)
+_FILE_DIGEST = "concat_ws('|', " + ", ".join(
+    f"coalesce(cast({name} as varchar), '\\N')" for name in [*NATURAL_KEY, "cab_colour"]
+) + ")"
+_SEEDED = (
+    f"select concat('trip_', sha256({_FILE_DIGEST})) as trip_id, "
+    + ", ".join(
+        f"cast({f.name} as {_SQL_TYPES[f.dataType.typeName()]}) as {f.name}"
+        if f.name != "fare_amount"
+        else "try_cast(fare_amount as double) as fare_amount"
+        for f in TRIP_SCHEMA
+        if f.name != "trip_id"
+    )
+    + ", timestamp '2024-02-01' as _ingest_ts, 'historical_parquet' as record_source, "
+    + f"cab_colour from ({_FILE})"
+)
+
 _TEXT_TRIPS = ", ".join(
     f"cast({name} as varchar) as {name}" if name in TIME_COLUMNS else name
     for name in TRIP_COLUMNS
@@ -284,6 +310,7 @@ _PAIR = "trip_id,tpep_pickup_datetime"
 _SILVER_SUITE = _report(
     "silver",
     [
+        ("row_count", "", "null", "count(*)", "count(*) > 0"),
         ("exists", "trip_id", "0", "null", "true"),
         ("exists", "vendor_id", "0", "null", "true"),
         _rows_check("not_null", "tpep_pickup_datetime", "tpep_pickup_datetime is null"),
@@ -359,7 +386,25 @@ def oracle_sql() -> dict[str, str]:
     decoded = f"select {_TEXT_TRIPS}"
     bronze = ", ".join(name for name in BRONZE_COLUMNS if name not in TRIP_COLUMNS)
     return {
-        "scan_history": "select * from lineitem",
+        "scan_history": "select cast(l_orderkey as varchar) as trip_id, * exclude (l_orderkey) from lineitem",
+        "named_source": _with(
+            "select payment_type, count(*) as trips, max(fare_amount) as max_fare "
+            "from trips group by payment_type",
+            "trips",
+        ),
+        "seeded_bronze": _with(_SEEDED, "raw_file"),
+        "bronze_rerun": _with(
+            f"select 'kafka_live' as record_source, 12.0e0 as fare_amount, "
+            f"count(distinct trip_id) as trips from ({_SEEDED})",
+            "raw_file",
+        ),
+        "gated_rejection": _with(
+            "select 'rejected' as run, 'silver' as layer, cast(0 as bigint) as trips "
+            "union all select 'rejected', 'fact', 0 "
+            "union all select 'published', 'silver', count(*) from silver "
+            "union all select 'published', 'fact', count(distinct trip_id) from silver",
+            "silver",
+        ),
         "zone_lookup": _with(
             "select try_cast(LocationID as int) as LocationID, Zone as zone_name, "
             "Borough as borough, lat, lon from places",
@@ -372,7 +417,7 @@ def oracle_sql() -> dict[str, str]:
             "trips",
         ),
         "surrogate_trip_id": _with(
-            f"select concat('trip_', substring(sha256({_DIGEST}), 1, 32)) as trip_id, * "
+            f"select concat('trip_', sha256({_DIGEST})) as trip_id, * "
             f"from ({_NORMALIZED} from raw_file)",
             "raw_file",
         ),

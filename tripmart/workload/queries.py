@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,21 +11,21 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.frames import decode_frames, frame_rows
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
-from tripmart.operators.checks import Check, evaluate, orphans, verdict
+from tripmart.operators.checks import Check, QualityError, evaluate, orphans_of, verdict
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
 from tripmart.operators.upsert import upsert_incremental
 from tripmart.operators.zones import enrich_zones, zone_cells
 from tripmart.plans import audit, gold
 from tripmart.plans.bronze import bronze_union as union_origins
-from tripmart.plans.bronze import read_bronze
+from tripmart.plans.bronze import read_bronze, run_bronze
 from tripmart.plans.medallion import LakeConfig, run_pipeline
 from tripmart.plans.silver import clean_trips
 from tripmart.plans.silver import silver_trips as silver_plan
 from tripmart.schemas import SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS
 from tripmart.session import scratch_path
-from tripmart.sinks.tables import append_merge, compact, overwrite
-from tripmart.sources.tables import read_stream, read_table, read_zones
+from tripmart.sinks.tables import append_merge, compact, overwrite, read_origins
+from tripmart.sources.tables import read_stream, read_table, read_zones, register
 from tripmart.sources.tables import scan_history as scan_files
 from tripmart.sources.trips import first_trips as first_rows
 from tripmart.sources.trips import normalize_trips as normalize
@@ -70,7 +71,20 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 @_query("scan_history")
 def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_files(spark, f"{sf_dir}/lineitem.parquet")
+    """A historical file whose ids are numbers."""
+    path = scratch_path(spark, "numbered")
+    adapter.table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "trip_id").write.parquet(path)
+    return scan_files(spark, path)
+
+
+@_query("named_source")
+def named_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL model over a table under its name."""
+    register(adapter.trips(spark, sf_dir), "bronze_trips_source")
+    return spark.sql(
+        "select payment_type, count(*) as trips, max(fare_amount) as max_fare "
+        "from bronze_trips_source group by payment_type"
+    )
 
 
 @_query("zone_lookup")
@@ -235,6 +249,72 @@ def appended_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(read_bronze(spark, path))
 
 
+def _history_files(spark: SparkSession, sf_dir: str) -> str:
+    """A raw file with one column more than the trip record has, and fares that are no numbers."""
+    path = scratch_path(spark, "history")
+    raw = adapter.raw_file(spark, sf_dir)
+    raw.withColumn("fare_amount", F.when(F.col("payment_type") == 6, "n/a").otherwise(
+        F.col("fare_amount").cast("string")
+    )).withColumn("cab_colour", F.concat(F.lit("c"), F.col("VendorID").cast("string"))).write.parquet(path)
+    return path
+
+
+_STAMP = dt.datetime(2024, 2, 1)
+
+
+@_query("seeded_bronze")
+def seeded_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze out of a raw file: ids, all columns, NULL where a fare cannot be read."""
+    table = run_bronze(
+        spark, scratch_path(spark, "seeded"), _history_files(spark, sf_dir), ingest_ts=_STAMP
+    )
+    return naive(table.drop("kafka_ts"))
+
+
+@_query("bronze_rerun")
+def bronze_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed, a live correction of every trip, and the seed job once more: the correction counts."""
+    path, history = scratch_path(spark, "rerun"), _history_files(spark, sf_dir)
+    seeded = run_bronze(spark, path, history, ingest_ts=_STAMP)
+    corrected = seeded.select(*TRIP_COLUMNS).withColumn("fare_amount", F.lit(12.0))
+    append_merge(
+        add_lineage(corrected, LIVE_SOURCE, dt.datetime(2024, 2, 2)), path, "live", "0"
+    )
+    again = run_bronze(spark, path, history)
+    latest = latest_per_key(again, ["trip_id"], "_ingest_ts", ["total_amount"])
+    return latest.groupBy("record_source", "fare_amount").agg(F.count("*").alias("trips"))
+
+
+@_query("gated_rejection")
+def gated_rejection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a first run whose audit failed, and after a good one."""
+    root = scratch_path(spark, "gated")
+    cfg = _config(spark, sf_dir, root)
+    bad = Check("row_count", above=2**62)
+    cfg.suite = [*cfg.suite, bad]
+    try:
+        run_pipeline(spark, cfg, "1")
+    except QualityError:
+        pass
+    places = {"silver": cfg.silver_path, "fact": f"{cfg.gold_path}/fact_trips"}
+
+    def seen(run: str) -> DataFrame:
+        found = {k: read_table(spark, p, missing="none") for k, p in places.items()}
+        empty = spark.createDataFrame([], "trip_id string")
+        counts = [
+            (empty if t is None else t).agg(F.count("trip_id").alias("trips")).select(
+                F.lit(run).alias("run"), F.lit(k).alias("layer"), "trips"
+            )
+            for k, t in found.items()
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+    rejected = seen("rejected")
+    cfg.suite.remove(bad)
+    run_pipeline(spark, cfg, "2")
+    return rejected.unionByName(seen("published"))
+
+
 @_query("compact_roundtrip")
 def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "compact")
@@ -252,15 +332,20 @@ def published_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gated_run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """All layers in a fresh folder. These trips last days and some have no cell by
     design, so the suite is the table suite plus the silver key."""
-    cfg = LakeConfig(
-        root=scratch_path(spark, "lake"),
+    return run_pipeline(spark, _config(spark, sf_dir, scratch_path(spark, "lake")))
+
+
+def _config(spark: SparkSession, sf_dir: str, root: str) -> LakeConfig:
+    return LakeConfig(
+        root=root,
         zones=adapter.zones(spark, sf_dir),
         bronze=adapter.trips(spark, sf_dir),
         suite=[*audit.table_suite(), Check("unique", SILVER_KEY)],
         tie_breakers=TIES,
         resolutions=RESOLUTIONS,
+        # these trips are spread over seven years
+        partition_unit="year",
     )
-    return run_pipeline(spark, cfg)
 
 
 # Streams
@@ -282,7 +367,7 @@ def _land(df: DataFrame, path: str) -> None:
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "decode")
     _land(decode_frames(_messages(spark, sf_dir), header=True), path)
-    return naive(spark.read.parquet(f"{path}/origin=live"))
+    return naive(read_origins(spark, path, ["live"]))
 
 
 @_query("stream_land")
@@ -294,22 +379,34 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("stream_restart")
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "restart")
-    for _ in range(2):
-        _land(add_lineage(decode_frames(_messages(spark, sf_dir)), LIVE_SOURCE), path)
+    """Three starts of one stream, with new input before the second."""
+    path, lines = scratch_path(spark, "restart"), scratch_path(spark, "lines")
+    table = adapter.table(spark, sf_dir, "lineitem")
+    for half in (0, 1, None):
+        if half is not None:
+            table.filter(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(lines)
+        source = read_stream(spark, "parquet", table.schema, lines)
+        framed = frame_rows(normalize(adapter.trips(spark, sf_dir, source)), "trip_id", schema_id=7)
+        stamped = framed.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+        _land(add_lineage(decode_frames(stamped), LIVE_SOURCE), path)
     return read_bronze(spark, path).select(*TRIP_COLUMNS, "record_source")
 
 
 @_query("stream_dedupe")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A topic that delivers every event twice, landed once."""
-    path = scratch_path(spark, "dedupe")
-    schema = adapter.table(spark, sf_dir, "events").schema
-    first, again = (
-        read_stream(spark, "parquet", schema, f"{sf_dir}/events.parquet") for _ in range(2)
-    )
-    _land(dedupe_events(first.unionByName(again), ["event_id"], "ts", "60 days"), path)
-    return naive(spark.read.parquet(f"{path}/origin=live"))
+    """A topic in five batches, each of which repeats the last hours of the one before."""
+    path, topic = scratch_path(spark, "dedupe"), scratch_path(spark, "events")
+    events = adapter.table(spark, sf_dir, "events")
+    for first in range(0, 30, 6):
+        start = F.lit(dt.datetime(2024, 1, 1) + dt.timedelta(days=first)).cast(events.schema["ts"].dataType)
+        end = start + F.expr("interval 6 days")
+        # the first and the last batch take what lies before and after
+        since = F.lit(True) if first == 0 else F.col("ts") >= start - F.expr("interval 3 hours")
+        until = F.lit(True) if first == 24 else F.col("ts") < end
+        events.filter(since & until).coalesce(1).write.mode("append").parquet(topic)
+    stream = read_stream(spark, "parquet", events.schema, topic, maxFilesPerTrigger="1")
+    _land(dedupe_events(stream, ["event_id"], "ts", "12 hours"), path)
+    return naive(read_origins(spark, path, ["live"]))
 
 
 # Quality
@@ -346,7 +443,7 @@ def dq_table_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("dq_schema")
 def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(_clean(spark, sf_dir), audit.schema_suite())
+    return evaluate(_written(_silver(spark, sf_dir), "audited"), audit.schema_suite())
 
 
 @_query("dq_orphans")
@@ -354,12 +451,11 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = adapter.trips(spark, sf_dir)
     zones = adapter.zones(spark, sf_dir)
     payments = gold.dim_payment(_clean(spark, sf_dir))
-    relations = {
-        "payment": orphans(trips, payments, {"payment_type": "payment_type"}),
-        "pickup": orphans(trips, zones, {"PULocationID": "LocationID"}),
-        "dropoff": orphans(trips, zones, {"DOLocationID": "LocationID"}),
-    }
-    return reduce(
-        DataFrame.unionByName,
-        [df.withColumn("relation", F.lit(name)) for name, df in relations.items()],
+    return orphans_of(
+        trips,
+        {
+            "payment": (payments, {"payment_type": "payment_type"}),
+            "pickup": (zones, {"PULocationID": "LocationID"}),
+            "dropoff": (zones, {"DOLocationID": "LocationID"}),
+        },
     )
