@@ -18,14 +18,16 @@ BLOCK = 16
 # Hashed terms of TF-IDF vectors, and dimensions of the latent space.
 LOG2_TERMS = 14
 TERMS = 1 << LOG2_TERMS
-RANK = 96
+RANK = 64
 
 # Words whose passages a task works on at once.
 CHUNK_WORDS = 250_000
 
 # A passage is a candidate for an item from this share of what the item has in the latent
-# space. Whole copies lie above 0.42: some passage of 32 words holds 16 of the item at least.
+# space (whole copies lie above 0.42: some passage of 32 words holds 14 of the item at least),
+# if the TF-IDF vectors themselves are that near, too.
 LEAST_COSINE = 0.28
+LEAST_TFIDF = 0.28
 
 # An item counts as found if so much of it stands in the document in the same order: all of
 # it on its own, or less together with its answer. Shares are of words and of TF-IDF weight.
@@ -82,17 +84,31 @@ def _groups(batches, column: int):
             yield batch.slice(a, b - a), words, sizes[a:b]
 
 
-def _blocks(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each block of ``size`` words begins, and which row it is of."""
+def _blocks(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Distinct terms of each block of ``size`` words, filled up with ``TERMS``; its first word; its row."""
     n = -(-counts // size)
     row = np.repeat(np.arange(len(counts)), n)
     number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(np.cumsum(counts) - counts, n) + number * size, row
+    own = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
+    terms = np.full(len(row) * size, TERMS, np.int32)
+    terms[np.repeat((np.cumsum(n) - n) * size, counts) + own] = words >> 2
+    # a term counts once in a block
+    terms = np.sort(terms.reshape(-1, size), 1)
+    terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = TERMS
+    return terms, np.repeat(np.cumsum(counts) - counts, n) + number * size, row
 
 
-def _block_sums(terms: np.ndarray, starts: np.ndarray, table: np.ndarray, squares: np.ndarray):
-    """Sum of the terms' rows of a table over each block, and of their squared weights."""
-    return np.add.reduceat(table[terms], starts, axis=0), np.add.reduceat(squares[terms], starts)
+def _sums(terms: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the table's rows of each block's terms."""
+    total = table[terms[:, 0]]
+    for column in terms.T[1:]:
+        total += table[column]
+    return total
+
+
+def _filled(table: np.ndarray) -> np.ndarray:
+    """A table of terms with nothing for the place that fills blocks up."""
+    return np.concatenate((table, np.zeros((1, *table.shape[1:]), table.dtype))).astype(np.float32)
 
 
 class Items:
@@ -123,13 +139,9 @@ def passage_frequencies(words: DataFrame) -> tuple[np.ndarray, float]:
     def count(batches):
         total = np.zeros(TERMS + 1)
         for _, own, counts in _groups(batches, 0):
-            starts, _ = _blocks(counts, 2 * BLOCK)
-            if not len(starts):
-                continue
-            block = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(own)))
-            keys = np.unique((block.astype(np.int64) << LOG2_TERMS) | (own >> 2))
-            total[:-1] += np.bincount(keys & (TERMS - 1), minlength=TERMS)
-            total[-1] += len(starts)
+            terms = _blocks(own, counts, 2 * BLOCK)[0]
+            total[:-1] += np.bincount(terms.ravel(), minlength=TERMS + 1)[:TERMS]
+            total[-1] += len(terms)
         yield arrays(_V, [total.tobytes()])
 
     found = doubling_sum(words.select("words").mapInArrow(count, "v binary"), TERMS + 1, "f8")
@@ -148,42 +160,35 @@ def latent_space(words: DataFrame, items: np.ndarray, idf: np.ndarray, n_passage
     rank = min(RANK, TERMS)
     projection = np.random.default_rng(23).standard_normal((TERMS, rank)).astype(np.float32)
     share = n_passages / max(len(items), 1)
-    squares = (idf**2).astype(np.float32)
+    squares = _filled(idf**2)
 
     def projected(own, counts, table):
-        terms = (own >> 2).astype(np.int64)
-        starts, _ = _blocks(counts, 2 * BLOCK)
-        sums, length = _block_sums(terms, starts, table, squares)
-        scale = 1 / np.sqrt(np.maximum(length, 1e-9))
-        return terms, starts, sums * scale[:, None], scale
+        terms = _blocks(own, counts, 2 * BLOCK)[0]
+        scale = 1 / np.sqrt(np.maximum(_sums(terms, squares), 1e-9))
+        return terms, _sums(terms, table) * scale[:, None], scale
 
-    weighted = spark.sparkContext.broadcast(idf[:, None] * projection)
+    weighted = spark.sparkContext.broadcast(_filled(idf[:, None] * projection))
 
     def sketch(batches):
-        total = np.zeros((TERMS, rank), np.float32)
+        total = np.zeros((rank, TERMS + 1))
         for _, own, counts in _groups(batches, 0):
-            if not len(own):
-                continue
-            terms, starts, rows, scale = projected(own, counts, weighted.value)
-            rows *= scale[:, None]
-            block = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(own)))
-            order = np.argsort(terms, kind="stable")
-            first = np.flatnonzero(np.diff(terms[order], prepend=-1))
-            total[terms[order][first]] += np.add.reduceat(rows[block[order]], first, axis=0)
-        yield arrays(_V, [total.tobytes()])
+            terms, rows, scale = projected(own, counts, weighted.value)
+            flat, block = terms.ravel(), np.repeat(np.arange(len(terms)), terms.shape[1])
+            for into, given in zip(total, (rows * scale[:, None]).T.astype(np.float64), strict=True):
+                into += np.bincount(flat, given[block], TERMS + 1)
+        yield arrays(_V, [total[:, :TERMS].T.astype(np.float32).tobytes()])
 
     column = words.select("words")
     sketched = doubling_sum(column.mapInArrow(sketch, "v binary"), TERMS * rank, "f4").reshape(TERMS, rank)
     sketched = idf[:, None] * sketched + share * items.T @ (items @ projection)
     basis = np.linalg.qr(sketched.astype(np.float64))[0].astype(np.float32)
-    based = spark.sparkContext.broadcast(idf[:, None] * basis)
+    based = spark.sparkContext.broadcast(_filled(idf[:, None] * basis))
 
     def product(batches):
         total = np.zeros((rank, rank))
         for _, own, counts in _groups(batches, 0):
-            if len(own):
-                rows = projected(own, counts, based.value)[2]
-                total += rows.T @ rows
+            rows = projected(own, counts, based.value)[1]
+            total += rows.T @ rows
         yield arrays(_V, [total.tobytes()])
 
     gram = doubling_sum(column.mapInArrow(product, "v binary"), rank * rank, "f8").reshape(rank, rank)
@@ -220,31 +225,45 @@ class Finder:
 
     def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray):
         self.items, self.idf = items, idf
-        self.table = idf[:, None] * space
-        self.squares = (idf**2).astype(np.float32)
-        own = items.vectors(idf) @ space
+        self.table = _filled(idf[:, None] * space)
+        self.squares = _filled(idf**2)
+        self.vectors = np.pad(items.vectors(idf), ((0, 0), (0, 1)))
+        own = self.vectors[:, :TERMS] @ space
         length = np.sqrt((own**2).sum(1, keepdims=True))
         # a passage's product with this is its share of what the item has in the space
         self.probes = (own / np.maximum(length**2, 1e-9)).T.astype(np.float32)
 
     def candidates(self, words: np.ndarray, counts: np.ndarray):
         """Rows, first words and items of passages near to an item, with the share."""
-        starts, row = _blocks(counts, BLOCK)
+        terms, starts, row = _blocks(words, counts, BLOCK)
         if not len(starts):
             return [], [], [], []
-        sums, length = _block_sums((words >> 2).astype(np.int64), starts, self.table, self.squares)
+        sums, length = _sums(terms, self.table), _sums(terms, self.squares)
         pair = np.flatnonzero(np.append(row[1:] == row[:-1], False))
         sums[pair] += sums[pair + 1]
         length[pair] += length[pair + 1]
+        scale = 1 / np.sqrt(np.maximum(length, 1e-9))
+        sums *= scale[:, None]
+        paired = np.zeros(len(terms), bool)
+        paired[pair] = True
         found = []
         for a in range(0, len(starts), 8192):
             near = sums[a : a + 8192] @ self.probes
-            near /= np.sqrt(np.maximum(length[a : a + 8192], 1e-9))[:, None]
-            at, item = np.nonzero(near >= LEAST_COSINE)
-            found.append((at + a, item, near[at, item]))
+            at, item = np.divmod(np.flatnonzero(near >= LEAST_COSINE), near.shape[1])
+            near, at = near[at, item], at + a
+            exact = self._weight(terms[at], item)
+            second = np.flatnonzero(paired[at])
+            exact[second] += self._weight(terms[at[second] + 1], item[second])
+            keep = np.flatnonzero(exact * scale[at] >= LEAST_TFIDF)
+            found.append((at[keep], item[keep], near[keep]))
         at, item, near = (np.concatenate(x) for x in zip(*found, strict=True))
         return row[at], starts[at], item, near
 
+    def _weight(self, terms: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Product of blocks and items, of their TF-IDF vectors."""
+        weights = np.append(self.idf, 0).astype(np.float32)
+        return (self.vectors[item[:, None], terms] * weights[terms]).sum(1)
+
     def check(self, text: np.ndarray, item: int, start: int) -> tuple[float, bool] | None:
         """Share of the item in order around a passage and whether the answer is there, if found."""
         words = self.items.words[item]
