@@ -128,3 +128,11 @@ def test_own_cell_column(spark):
     )
     row = enrich_zones(trips, zones, cell_col="index").first()
     assert row["pickup_h3"] == row["dropoff_h3"] == "892a1072b5bffff"
+
+
+def test_hot_keys_are_salted_by_their_count(spark):
+    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 0, if(id % 50 = 1, null, id % 7)) as k")
+    zones = spark.range(5).selectExpr("id as k", "id * 10 as v")
+    plain = lookup.lookup_join(df, zones, "k", ["id"], small=True)
+    salted = lookup.lookup_join(df, zones, "k", ["id"], small=False, rows_per_task=100)
+    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.select(*salted.columns).collect()))

@@ -78,6 +78,6 @@ def lookup_join(
     )
     salt = F.pmod(F.xxhash64(*salt_by), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")
     # a NULL key finds nothing, so its rows need not meet
-    salt = F.when(F.col(key).isNull(), F.xxhash64(*salt_by).cast("int")).otherwise(salt)
+    salt = F.when(F.col(key).isNull(), F.hash(*salt_by)).otherwise(salt)
     salted = df.join(hot, key, "left").withColumn("_salt", salt)
     return salted.drop("_salts").join(copies.drop("_salts"), [key, "_salt"], "left").drop("_salt")
