@@ -37,79 +37,83 @@ def integer_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
 
 
 class ImpactIndex:
-    """Per dimension the vectors in order of their quantised component, cut into segments."""
+    """Per dimension the vectors by their quantised component, cut into posting segments."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
+        self.ids = ids
         n, dims = rows.shape
-        postings, segments = [], []
+        segments, members = [], []
         for d in range(dims):
             own = rows[:, d]
             level = (own - own.min()) // LEVEL
-            order = np.argsort(level, kind="stable")
-            starts = np.flatnonzero(np.diff(level[order], prepend=-1))
-            ordered = own[order]
-            segments += zip(
-                [d] * len(starts), starts + d * n, np.append(starts[1:], n) + d * n,
-                np.minimum.reduceat(ordered, starts), np.maximum.reduceat(ordered, starts),
-                strict=True,
-            )
-            postings.append(order)
-        self.postings = np.concatenate(postings) if postings else np.zeros(0, np.int64)
-        self.dim, self.start, self.end, self.low, self.high = np.array(segments, np.int64).reshape(-1, 5).T
-        # sums of products stay exact in doubles unless components are huge
-        self.exact = rows.astype(np.float64) if np.abs(rows).max(initial=0) < 1 << 20 else rows
+            for value in np.unique(level):
+                inside = level == value
+                segments.append((d, own[inside].min(), own[inside].max()))
+                members.append(inside)
+        self.dim, self.low, self.high = np.array(segments, np.int64).reshape(-1, 3).T
+        self.first = np.flatnonzero(np.diff(self.dim, prepend=-1))
+        # sums of products are whole numbers that the type holds exactly, unless components are huge
+        largest = int(np.abs(rows).max(initial=0))
+        bits = np.float32 if dims * largest**2 < 1 << 23 else np.float64
+        self.rows = rows if largest >= 1 << 20 else rows.astype(bits)
+        #: postings of each segment, as marks, so that a block of queries adds them at once
+        self.postings = np.array(members).reshape(-1, n).astype(bits)
 
     def scores(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
-        return (self.exact[some] @ query.astype(self.exact.dtype)).astype(np.int64)
+        return (self.rows[some] @ query.astype(self.rows.dtype)).astype(np.int64)
 
-    def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best vectors but ``own_id``; ties go to the smaller id.
+    def search(self, queries: np.ndarray, own_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the ``k`` best vectors but its own.
 
-        Segments add the most their postings can contribute, in descending order, as long as
-        that is positive. ``rest`` is what dimensions not yet met can still add, at most. The
-        search ends once few vectors can reach the k-th exact score found so far, or when no
-        segment is left that adds anything; those vectors are scored exactly.
+        Ties go to the smaller id. A segment's impact is the most that its postings can add to a
+        score. Each query's segments are added in descending order of impact, in three strides:
+        down to a quarter of its largest impact, down to zero, and the rest. After a stride, a
+        vector's sum and what the dimensions not yet met can still add bound its score. A query
+        ends once that bound proves that few vectors can reach the k-th exact score known; those
+        are scored exactly. A sum is never too small, so none is missed.
         """
         n = len(self.ids)
-        weight = query[self.dim]
-        impact = np.where(weight > 0, weight * self.high, weight * self.low)
-        order = np.argsort(-impact, kind="stable")
-        order = order[impact[order] > 0]
-        gain, dim = impact[order], self.dim[order]
-        # rest after each segment: the next impact of its dimension takes its place
-        by = np.lexsort((np.arange(len(order)), dim))
-        following = np.zeros(len(order), np.int64)
-        same = dim[by][1:] == dim[by][:-1]
-        following[by[:-1][same]] = gain[by[1:][same]]
-        lead = np.concatenate(([True], ~same))[: len(by)]
-        rest = int(gain[by][lead].sum()) - np.cumsum(gain - following)
-        total = rest[0] + gain[0] - following[0] if len(order) else 0
-
-        reach = np.zeros(n, np.int64)
-        self_at = np.flatnonzero(self.ids == own_id)
-        others = n - len(self_at)
-        k = min(k, others)
-        if not k:
-            return self.ids[:0], self.ids[:0]
-        done = 0
-        for share in (0.3, 0.1, 0.0):
-            to = len(order) if not share else int(np.searchsorted(-rest, -share * total)) + 1
-            to = min(max(to, done), len(order))
-            if to > done:
-                a, b = self.start[order[done:to]], self.end[order[done:to]]
-                posted = np.concatenate([self.postings[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
-                reach += np.bincount(posted, np.repeat(gain[done:to], b - a), n).astype(np.int64)
-                done = to
-            left = int(rest[done - 1]) if done else 0
-            reach[self_at] = np.iinfo(np.int64).min // 2
-            some = np.argpartition(-reach, min(4 * k, n - 1))[: 4 * k]
-            some = some[self.ids[some] != own_id]
-            floor = np.sort(self.scores(query, some))[-k] if len(some) >= k else np.iinfo(np.int64).min
-            possible = np.flatnonzero(reach + left >= floor)
-            if len(possible) <= n // 16:
+        found: list = [(self.ids[:0], self.ids[:0])] * len(queries)
+        if not len(self.dim):
+            return found
+        weight = queries[:, self.dim]
+        impact = np.where(weight > 0, weight * self.high, weight * self.low).astype(self.postings.dtype)
+        reach = np.zeros((len(queries), n), self.postings.dtype)
+        active = np.arange(len(queries))
+        above = np.full(len(queries), np.inf)
+        for share in (0.25, 0.0, -np.inf):
+            # a share of the largest impact, nothing, or no bound at all
+            cut = share * np.maximum(impact.max(1), 0) if share > 0 else np.full(len(queries), share)
+            own = impact[active]
+            now = (own > cut[active, None]) & (own <= above[active, None])
+            reach[active] += np.where(now, own, 0) @ self.postings
+            left = np.where(own > cut[active, None], -np.inf, own)
+            rest = np.maximum(np.maximum.reduceat(left, self.first, axis=1), 0).sum(1)
+            above = cut
+            going = []
+            for at, more in zip(active.tolist(), rest, strict=True):
+                hits = self._prove(queries[at], reach[at] + more, own_ids[at], k, share == -np.inf)
+                if hits is None:
+                    going.append(at)
+                else:
+                    found[at] = hits
+            active = np.array(going, np.int64)
+            if not going:
                 break
-        possible = possible[self.ids[possible] != own_id]
+        return found
+
+    def _prove(self, query, bound, own_id, k, last):
+        """The answer, if the bounds leave few vectors, or if there is nothing left to add."""
+        n = len(bound)
+        bound[self.ids == own_id] = -np.inf
+        some = np.argpartition(-bound, min(4 * k, n - 1))[: 4 * k]
+        some = some[bound[some] > -np.inf]
+        if not len(some):
+            return self.ids[:0], self.ids[:0]
+        floor = np.sort(self.scores(query, some))[-k] if len(some) >= k else -np.inf
+        possible = np.flatnonzero((bound >= floor) & (bound > -np.inf))
+        if len(possible) > n // 16 and not last:
+            return None
         scores = self.scores(query, possible)
         best = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible][best], scores[best]
@@ -150,10 +154,10 @@ def top_k(table: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> Da
             pa.concat_arrays(t.column("x").chunks).flatten().to_numpy().reshape(-1, dims) for t in (own, asked)
         )
         index = ImpactIndex(own.column("vec_id").to_numpy(), vectors)
+        asked_ids = asked.column("vec_id").to_numpy()
         found = [
             (np.full(len(hit[0]), q), *hit)
-            for q, x in zip(asked.column("vec_id").to_pylist(), wanted, strict=True)
-            for hit in [index.search(x, q, k)]
+            for q, hit in zip(asked_ids, index.search(wanted, asked_ids, k), strict=True)
         ]
         return pa.Table.from_batches([arrays(_HITS, *(np.concatenate(c) for c in zip(*found, strict=True)))])
 
