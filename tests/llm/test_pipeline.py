@@ -48,3 +48,13 @@ def test_awkward_rows(spark):
                 assert n == 0
             elif name == "line_dedup":
                 assert n == len(R.corpus())
+
+
+def test_near_dedup_keeps_one_of_each_group(spark):
+    got = stages.near_dedup(spark, R.frame(spark, R.corpus()), SF_DIR).collect()
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got)
+    ids = [d for _, d, _ in kept]
+    # copies go, the smallest id stays; rows without an id and with one id are documents
+    assert 120 in ids and not {200, 201} & set(ids)
+    assert ids.count(14) == 1 and ids.count(15) == 2
+    assert (True, 0, "no id") in kept and 1 in ids and not {2, 3} & set(ids)

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmart.llm.common import arrays, shuffle_tasks
+from tripmart.llm.common import arrays, shuffle_tasks, written_at
+from tripmart.paths import delete
+from tripmart.session import scratch_path
 
 # Bits of the second filter that tasks may hold at most: 32 MiB. Beyond about 2**28 / 16
 # keys the filter grows denser and more rows become suspects; none is missed.
@@ -93,6 +95,20 @@ def seen_twice(table: DataFrame) -> np.ndarray:
     return filter_
 
 
+def repeats(rows: DataFrame, name: str) -> tuple[np.ndarray, int]:
+    """The second filter over rows of ``INSERTS``, and how many inserts there were.
+
+    The inserts are written, as their number sizes the filter, and deleted once it is made.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    table = written_at(rows, path)
+    n = table.agg({"n": "sum"}).first()[0] or 0
+    found = seen_twice(table)
+    delete(spark, path)
+    return found, n
+
+
 def suspects(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     word, mask = _place(hashes, len(filter_).bit_length() - 1)
     return (filter_[word] & mask) == mask

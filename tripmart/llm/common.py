@@ -45,7 +45,10 @@ def same_document(left: DataFrame, right: DataFrame):
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe when executors are lost."""
-    path = scratch_path(df.sparkSession, name)
+    return written_at(df, scratch_path(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -46,8 +46,8 @@ def repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
                 keys = [k for t in text_bytes(chunk.column(0)) for k in _distinct_keys(t)]
                 yield bloom.inserts(_hashes(keys))
 
-    table = written(rows.select("text").mapInArrow(insert, bloom.INSERTS), "line-inserts")
-    shared = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(table))
+    repeats, _ = bloom.repeats(rows.select("text").mapInArrow(insert, bloom.INSERTS), "line-inserts")
+    shared = docs.sparkSession.sparkContext.broadcast(repeats)
 
     def probe(batches):
         for batch in batches:

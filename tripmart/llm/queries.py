@@ -29,7 +29,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripmart.llm.simhash import near_duplicates
 
     docs = read_table(spark, sf_dir, "documents")
-    return near_duplicates(docs, shingle=3, distance=3).drop("text_key")
+    return near_duplicates(docs, shingle=3, distance=3).drop("text_key", "root")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -238,13 +238,14 @@ def _forest(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """Fingerprint and component of each document: doc_id, text_key, fingerprint, component_id.
+    """Component of each document: doc_id, text_key, fingerprint, component_id, root.
 
     Texts are lower-cased (A-Z) and cut into words at ASCII white space; a fingerprint bit is
     the majority over the hashes of all shingles. Documents whose fingerprints differ in
     ``distance`` bits or fewer are linked, also null and empty texts (fingerprint 0);
     ``component_id`` is the smallest ``doc_id`` that links reach, null only where no document
-    of the component has one. One row per input row; other columns do not matter.
+    of the component has one. ``root`` is the component's smallest fingerprint as a number, and
+    tells components without any ``doc_id`` apart. One row per input row; other columns do not matter.
 
     Equal fingerprints are one from the start. Distinct ones are probed by the generalised
     pigeonhole principle: correlated bits are grouped, thresholds are allotted by dynamic
@@ -259,8 +260,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(least, "root").select("print", "component_id")
+    label = rooted.join(least, "root").select("print", "component_id", "root")
     digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return prints.join(label, "print").select(
-        "doc_id", "text_key", digits.alias("fingerprint"), "component_id"
+        "doc_id", "text_key", digits.alias("fingerprint"), "component_id", "root"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm import bloom
-from tripmart.llm.common import arrays, batch_chunks, keyed, same_document, shuffle_tasks, text_bytes, written
+from tripmart.llm.common import arrays, batch_chunks, keyed, same_document, shuffle_tasks, text_bytes
 from tripmart.llm.fmindex import FmIndex, earliest_occurrences
 
 # Words of an n-gram whose smallest hash in a window says which shard the window belongs to.
@@ -163,10 +163,9 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             for chunk in batch_chunks(batch):
                 yield bloom.inserts(segments(*hashed_words(text_bytes(chunk.column(0))), window)[2])
 
-    table = written(rows.select("text").mapInArrow(insert, bloom.INSERTS), "gram-inserts")
-    total = table.agg(F.sum("n")).first()[0] or 0
+    repeats, total = bloom.repeats(rows.select("text").mapInArrow(insert, bloom.INSERTS), "gram-inserts")
     shards = max(1, -(-total * (window + 8) // SHARD_WORDS))
-    shared = docs.sparkSession.sparkContext.broadcast(bloom.seen_twice(table))
+    shared = docs.sparkSession.sparkContext.broadcast(repeats)
 
     def find(batches):
         for batch in batches:
