@@ -85,6 +85,69 @@ def repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     )
 
 
+def _drops(docs: DataFrame, min_docs: int) -> DataFrame:
+    """For each document with repeated lines: their keys, and those it is the first to have."""
+    return (
+        repeated_lines(docs, min_docs)
+        .groupBy("doc_id", "text_key")
+        .agg(
+            F.collect_set("key").alias("keys"),
+            F.collect_set(F.when(F.col("owner"), F.col("key"))).alias("owned"),
+        )
+    )
+
+
+def _kept(text: bytes, keys: list[str] | None, owned) -> tuple[int, list[bytes]]:
+    """Number of lines, and the lines that stay; the first line with an owned key stays."""
+    lines = text.split(b"\n")
+    if not keys:
+        return len(lines), lines
+    drop, own = {k.encode() for k in keys}, {k.encode() for k in owned}
+    kept = []
+    for line, key in zip(lines, line_keys(lines), strict=True):
+        if key not in drop:
+            kept.append(line)
+        elif key in own:
+            own.discard(key)
+            kept.append(line)
+    return len(lines), kept
+
+
+def without_repeated_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+    """``docs`` with all its columns and rows, and repeated lines dropped from ``text``.
+
+    As `dedup_lines`, in one join. A text without such lines stays as it is, null too; where lines
+    go, ``n_chars`` (if there is one) is counted anew. A column named ``_keys`` may not be there.
+    """
+    drops = _drops(docs, min_docs).select(
+        F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.col("keys").alias("_keys")
+    )
+    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    here = docs["doc_id"].cast("long").eqNullSafe(drops["_doc_id"]) & (key == drops["_text_key"])
+    rows = docs.join(drops, here, "left").drop("_doc_id", "_text_key")
+    names = docs.columns
+    text_at, n_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+
+    def cut(batches):
+        for batch in batches:
+            for chunk in batch_chunks(batch):
+                columns, keys = chunk.columns[:-1], chunk.column(len(names)).to_pylist()
+                texts, counts = columns[text_at].to_pylist(), None
+                if n_at is not None:
+                    counts = columns[n_at].to_pylist()
+                for i, drop in enumerate(keys):
+                    if drop:
+                        texts[i] = b"\n".join(_kept((texts[i] or "").encode(), drop, ())[1]).decode()
+                        if counts is not None:
+                            counts[i] = len(texts[i])
+                columns[text_at] = pa.array(texts, columns[text_at].type)
+                if counts is not None:
+                    columns[n_at] = pa.array(counts, columns[n_at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(cut, docs.schema)
+
+
 def dedup_lines(
     docs: DataFrame, min_docs: int = 10, keep: str = "none", texts: bool = True
 ) -> DataFrame:
@@ -102,15 +165,7 @@ def dedup_lines(
     """
     if keep not in ("none", "first"):
         raise ValueError(f"unknown keep {keep!r}: expected 'none' or 'first'")
-    rows = keyed(docs)
-    drops = (
-        repeated_lines(docs, min_docs)
-        .groupBy("doc_id", "text_key")
-        .agg(
-            F.collect_set("key").alias("keys"),
-            F.collect_set(F.when(F.col("owner"), F.col("key"))).alias("owned"),
-        )
-    )
+    rows, drops = keyed(docs), _drops(docs, min_docs)
     joined = rows.join(drops, same_document(rows, drops), "left").select(
         rows["doc_id"], rows["text_key"], rows["text"], "keys", "owned"
     )
@@ -127,21 +182,9 @@ def dedup_lines(
                 for text, keys, owned in zip(
                     text_bytes(chunk.column(2)), chunk.column(3).to_pylist(), chunk.column(4).to_pylist(), strict=True
                 ):
-                    lines = text.split(b"\n")
-                    kept = lines
-                    if keys:
-                        drop, own = {k.encode() for k in keys}, set()
-                        if keep == "first":
-                            own = {k.encode() for k in owned}
-                        kept = []
-                        for line, key in zip(lines, line_keys(lines), strict=True):
-                            if key not in drop:
-                                kept.append(line)
-                            elif key in own:
-                                own.discard(key)
-                                kept.append(line)
+                    n, kept = _kept(text, keys, owned if keep == "first" else ())
                     whole = b"\n".join(kept)
-                    out.append((len(lines), len(lines) - len(kept), hashlib.sha256(whole).hexdigest(), whole))
+                    out.append((n, n - len(kept), hashlib.sha256(whole).hexdigest(), whole))
                 columns = list(zip(*out, strict=True))
                 more = [pa.array(columns[3], pa.binary()).cast(pa.string())] * texts
                 yield pa.RecordBatch.from_arrays(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import arrays, batch_chunks, keyed, shuffle_tasks, written
 
 # Words of which a Python worker remembers the ids.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 300_000
 
 # The vocabulary file's rule for splitting text, and what ends a document.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")

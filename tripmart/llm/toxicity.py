@@ -30,7 +30,7 @@ GRAM = 5
 NEIGHBOURS = 24
 BLOCK = 256
 # Words a worker remembers as having no term.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FEATURES = pa.schema(
