@@ -11,7 +11,7 @@ import rows as R
 
 from tripmart.llm import queries
 from tripmart.llm.decontaminate import common_subsequence, find_leaks, weighted_subsequence
-from tripmart.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses
+from tripmart.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses, sentences
 from tripmart.llm.packing import Encoder, best_fit, pack
 from tripmart.llm.topk import top_k
 
@@ -88,6 +88,44 @@ def test_license_rules(spark):
     assert {i for _, ids in RULES for i in ids} <= SENTENCES.keys()
 
 
+def test_wrapped_licenses(spark):
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version {} of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details."""
+    mpl = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License."""
+    docs = [
+        (1, f"The MIT License\n\n{mit}"), (2, gpl.format(3)), (3, gpl.format(2)), (4, mpl), (5, apache),
+        (6, "// SPDX-License-Identifier: MIT"), (7, "# SPDX-License-Identifier: GPL-3.0-or-later\n#\n"),
+        (8, "# SPDX-License-Identifier: BSD-3-Clause\nint x;"), (9, mit.replace("limitation", "limitation\n")),
+    ]
+    got = {r.doc_id: r.licenses for r in scan_licenses(R.frame(spark, docs)).collect()}
+    assert got == {
+        1: "MIT", 2: "GPL-3.0", 3: "GPL-2.0", 4: "MPL-2.0", 5: "Apache-2.0", 6: "MIT", 7: "GPL-3.0", 8: "BSD-3-Clause", 9: "",
+    }
+    # every known sentence is found when it is wrapped in a comment
+    for name, text in SENTENCES.items():
+        words = text.split()
+        wrapped = "\n".join("# " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+        assert [f[1] for f in sentences(wrapped.encode())] == [name]
+
+
 def test_packing(spark):
     rows = R.corpus()
     got = pack(R.frame(spark, rows), capacity=64).collect()

@@ -100,6 +100,7 @@ BREAKS = re.compile(rb"[.!?;:]+[ \t-\r]+|\n+")
 OTHER = re.compile(rb"[^a-z0-9]+")
 
 _KNOWN = {text.encode(): name for name, text in SENTENCES.items()}
+_BEGINNINGS = {b" ".join(words[:n]) for words in map(bytes.split, _KNOWN) for n in range(1, len(words) + 1)}
 _SPAN = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 _OUT = pa.schema(
     [("doc_id", pa.int64()), ("licenses", pa.string()), ("n_sentences", pa.int64()), ("spans", pa.list_(_SPAN))]
@@ -108,14 +109,31 @@ _OUT = pa.schema(
 
 def sentences(text: bytes) -> list[tuple[int, str, int, int]]:
     """Known sentences of a text: number among all sentences, identifier, first and last byte."""
-    found, at = [], 0
+    pieces, at = [], 0
     low = text.lower()
     ends = [(m.start(), m.end()) for m in BREAKS.finditer(low)]
-    for number, (end, following) in enumerate([*ends, (len(low), len(low))]):
-        plain = OTHER.sub(b" ", low[at:end]).strip()
-        if plain in _KNOWN:
-            found.append((number, _KNOWN[plain], at, end))
+    for end, following in [*ends, (len(low), len(low))]:
+        # what a blank line follows does not go on
+        goes_on = low.count(b"\n", end, following) < 2
+        pieces.append((OTHER.sub(b" ", low[at:end]).strip(), at, end, goes_on))
         at = following
+    found, number, i = [], 0, 0
+    while i < len(pieces):
+        # marks and line ends inside a known sentence: the longest one of pieces from here on
+        plain, start, _, goes_on = pieces[i]
+        last, known = i, None
+        j = i
+        while plain in _BEGINNINGS:
+            if plain in _KNOWN:
+                last, known = j, _KNOWN[plain]
+            j += 1
+            if not goes_on or j == len(pieces) or not pieces[j][0]:
+                break
+            plain, goes_on = plain + b" " + pieces[j][0], pieces[j][3]
+        if known:
+            found.append((number, known, start, pieces[last][2]))
+        number += 1
+        i = last + 1
     return found
 
 
@@ -134,7 +152,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, licenses, n_sentences and spans, one row per input row.
 
     Sentences end at a mark followed by white space, or at a line's end; their normal form is
-    looked up among the known ones. A rule's sentences must come one after the other among the
+    looked up among the known ones. A known sentence may run over marks and line ends (with
+    comment signs), but not over a blank line, and counts as one. A rule's sentences must come one after the other among the
     known sentences, with at most ``GAP`` unknown ones between two. ``licenses``: the names of
     all rules that match, in order and without repeats, joined by commas; empty if none, also
     for null and empty texts. ``n_sentences`` counts known sentences; ``spans`` are byte ranges
