@@ -117,15 +117,19 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """``docs`` with all its columns and rows, and repeated lines dropped from ``text``.
 
     As `dedup_lines`, in one join. A text without such lines stays as it is, null too; where lines
-    go, ``n_chars`` (if there is one) is counted anew. A column named ``_keys`` may not be there.
+    go, ``n_chars`` (if there is one) is counted anew.
     """
-    drops = _drops(docs, min_docs).select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), F.col("keys").alias("_keys")
+    drops, names = _drops(docs, min_docs), docs.columns
+    rows = docs.select(
+        F.struct(*(docs[f"`{c}`"] for c in names)).alias("row"),
+        docs["doc_id"].cast("long").alias("row_id"),
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("row_key"),
     )
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    here = docs["doc_id"].cast("long").eqNullSafe(drops["_doc_id"]) & (key == drops["_text_key"])
-    rows = docs.join(drops, here, "left").drop("_doc_id", "_text_key")
-    names = docs.columns
+    here = rows["row_id"].eqNullSafe(drops["doc_id"]) & (rows["row_key"] == drops["text_key"])
+    added = "keys"
+    while added in map(str.lower, names):
+        added += "_"
+    rows = rows.join(drops, here, "left").select("row.*", F.col("keys").alias(added))
     text_at, n_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def cut(batches):

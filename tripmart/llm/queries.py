@@ -1,10 +1,11 @@
-"""The ten operators over the test tables, each with the parameters of production."""
+"""The operators over the test tables, each with the parameters of production."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.llm.common import read_table
 
@@ -77,6 +78,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, labels, "toxic", folds=5, fold=0).drop("text_key")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.prefixes import prefix_trie
+
+    turns = read_table(spark, sf_dir, "conversations")
+    return prefix_trie(turns, share=5, heads=9).drop("id", "parent_id")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.spelling import spelling_variants
+
+    docs = read_table(spark, sf_dir, "documents")
+    return spelling_variants(docs, min_chars=6, min_count=5, ratio=5, slip=199)
+
+
+def op13_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripmart.llm.firstfit import pack_first_fit
+
+    packed = pack_first_fit(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json", 4096, end=2)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
@@ -89,6 +111,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_first_fit_packing": op13_first_fit_packing,
     }
 
 

@@ -13,19 +13,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _keyed_rows(docs: DataFrame) -> DataFrame:
-    """All columns, with the text's key under a name of its own."""
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.withColumn("_text_key", key)
+    """The whole row as ``row``, so that no column of it clashes, its id and its text's key."""
+    return docs.select(
+        F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
+        docs["doc_id"].cast("long").alias("row_id"),
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("row_key"),
+    )
 
 
 def _here(rows: DataFrame, found: DataFrame):
-    return rows["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (rows["_text_key"] == found["text_key"])
+    return rows["row_id"].eqNullSafe(found["doc_id"]) & (rows["row_key"] == found["text_key"])
 
 
 def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents that are not among ``found``."""
     rows, out = _keyed_rows(docs), found.select("doc_id", "text_key")
-    return rows.join(out, _here(rows, out), "left_anti").select(*docs.columns)
+    return rows.join(out, _here(rows, out), "left_anti").select("row.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,18 +49,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest ``doc_id``.
 
-    Near duplicates have a Jaccard similarity of 0.8 or more over runs of five words. Documents without an id come last; rows with one ``doc_id`` and different texts are
-    documents of their own.
+    Near duplicates are those of operator 3 with its contract's parameters: fingerprints of
+    three words that differ in three bits or fewer, and what such links reach. Documents without
+    an id come last; rows with one ``doc_id`` and different texts are documents of their own.
     """
-    from tripmart.llm.jaccard import similar_documents
+    from tripmart.llm.simhash import near_duplicates
 
-    found = similar_documents(docs, shingle=5, percent=80)
+    found = near_duplicates(docs, shingle=3, distance=3)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     one = found.groupBy("root").agg(F.min(place).alias("first")).select("first.doc_id", "first.text_key")
     rows = _keyed_rows(docs)
     kept = rows.join(one, _here(rows, one), "left_semi")
     # rows that repeat a document wholly are one
-    return kept.dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+    return kept.dropDuplicates(["row_id", "row_key"]).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
