@@ -1,7 +1,7 @@
 """The jobs, as commands.
 
     python -m tripmart bronze --history PATH --kafka BROKER [--forever]
-    python -m tripmart silver --zones CSV
+    python -m tripmart silver --zones CSV [--incremental]
     python -m tripmart dq
     python -m tripmart gold [--incremental]
     python -m tripmart run --zones CSV [--history PATH] [--kafka BROKER]
@@ -28,9 +28,9 @@ from tripmart.plans.audit import run_dq
 from tripmart.plans.bronze import SEED, read_bronze, run_bronze
 from tripmart.plans.gold import run_gold
 from tripmart.plans.medallion import LakeConfig, run_pipeline
-from tripmart.plans.silver import run_silver
+from tripmart.plans.silver import refresh_silver, run_silver
 from tripmart.session import build_session
-from tripmart.sinks.tables import compact, compact_origin, drop_old_versions
+from tripmart.sinks.tables import TRANSACTIONAL, compact, compact_origin, drop_old_versions
 from tripmart.sources.tables import read_stream, read_table, read_zones
 from tripmart.streaming.landing import LIVE
 
@@ -60,7 +60,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     bronze = jobs.add_parser("bronze", parents=[common, inputs])
     bronze.add_argument("--forever", action="store_true", help="keep reading the stream")
-    jobs.add_parser("silver", parents=[common]).add_argument("--zones", required=True)
+    silver = jobs.add_parser("silver", parents=[common])
+    silver.add_argument("--zones", required=True)
+    silver.add_argument("--incremental", action="store_true")
     jobs.add_parser("dq", parents=[common])
     gold = jobs.add_parser("gold", parents=[common])
     gold.add_argument("--incremental", action="store_true")
@@ -123,9 +125,12 @@ def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
         if bronze is None:
             log.info("no bronze table yet")
             return 0
-        run_silver(
-            bronze, read_zones(spark, args.zones), cfg.silver_path, run_id, fmt=args.format
-        )
+        zones = read_zones(spark, args.zones)
+        if args.incremental and args.format not in TRANSACTIONAL:
+            change = refresh_silver(spark, cfg.bronze_path, zones, cfg.silver_path, run_id, fmt=args.format)
+            change.publish(spark, cfg.silver_path)
+        else:
+            run_silver(bronze, zones, cfg.silver_path, run_id, fmt=args.format)
         return 0
 
     silver = read_table(spark, cfg.silver_path, args.format, missing="none")
@@ -133,7 +138,9 @@ def _job(spark: SparkSession, args: argparse.Namespace, run_id: str) -> int:
         if silver is None:
             log.info("no silver table yet")
             return 0
-        run_gold(spark, silver, cfg.gold_path, run_id, args.format, args.incremental)
+        run_gold(
+            spark, silver, cfg.gold_path, run_id, args.format, args.incremental, silver_path=cfg.silver_path
+        )
         return 0
     if silver is None:
         log.error("no silver table to check")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from tripmart.functions.casts import to_double, to_int
 from tripmart.functions.lineage import HISTORY_SOURCE, add_lineage
 from tripmart.schemas import BRONZE_SCHEMA
-from tripmart.sinks.tables import TRANSACTIONAL, append_merge, read_origins
+from tripmart.sinks.tables import TRANSACTIONAL, append_merge, batch_names, pending, read_batches
 from tripmart.sources.tables import read_table
 from tripmart.sources.trips import read_history
 from tripmart.streaming.landing import LIVE, run_bronze_stream
@@ -40,16 +41,24 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns(changed)
 
 
-def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+def read_bronze(
+    spark: SparkSession, path: str, fmt: str = "parquet", done: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame | None:
     """All raw trips, or ``None`` while there are none.
 
     The files keep what arrived; here the columns of the trip record get its types, which the
     origins need to stand in one table, and a value that cannot be read is NULL. Columns beyond
-    the trip record are there as the files have them.
+    the trip record are there as the files have them. ``done`` names, per origin, batches to leave
+    out (see `bronze_batches`); a compacted batch that holds others too is read whole.
     """
     if fmt in TRANSACTIONAL:
         return read_table(spark, path, fmt, missing="none")
-    parts = [read_origins(spark, path, [SEED], fmt=fmt), read_origins(spark, path, [LIVE], BRONZE_SCHEMA, fmt)]
+    done = done or {}
+    folders = {origin: pending(spark, path, origin, done.get(origin, ())) for origin in (SEED, LIVE)}
+    parts = [
+        read_batches(spark, folders[SEED], fmt=fmt),
+        read_batches(spark, folders[LIVE], BRONZE_SCHEMA, fmt),
+    ]
     parts = [_typed(part) for part in parts if part is not None]
     if not parts:
         return None
@@ -59,6 +68,11 @@ def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return table.withColumns(absent).select(*known, *(c for c in table.columns if c not in known))
 
 
+def bronze_batches(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Names of the complete batches of each origin."""
+    return {origin: batch_names(spark, path, origin) for origin in (SEED, LIVE)}
+
+
 def run_bronze(
     spark: SparkSession,
     path: str,

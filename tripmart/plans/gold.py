@@ -14,10 +14,13 @@ from tripmart.functions.metrics import hour_label, pickup_partition
 from tripmart.functions.totals import mean, total
 from tripmart.operators.dedupe import first_per_key, latest_per_key
 from tripmart.operators.upsert import upsert_incremental, upsert_partitions
+from tripmart.plans import rollups
 from tripmart.schemas import PARTITION_UNIT, PICKUP_DATE
 from tripmart.sinks.tables import (
     ANY,
     TRANSACTIONAL,
+    load_published,
+    notes_of,
     overwrite,
     publish,
     published,
@@ -207,6 +210,7 @@ def run_gold(
     incremental: bool = False,
     resolutions: Resolutions | None = None,
     partition_unit: str = PARTITION_UNIT,
+    silver_path: str | None = None,
 ) -> dict[str, str]:
     """Write the five gold tables below ``root``; returns their paths.
 
@@ -215,7 +219,9 @@ def run_gold(
     time, so that the last tasks of one do not keep the cluster waiting, and published
     together once all are there. The fact has one row per trip, the newest, and is partitioned
     by pickup date. With ``incremental`` it takes only rows above its high-water mark and
-    writes only the dates they touch.
+    writes only the dates they touch. Then also, if ``silver_path`` names the table that ``silver``
+    is, the aggregates are made from partial states (see `rollups`), of which only those of date
+    partitions that the last refresh of silver touched are computed anew.
     """
     root = root.rstrip("/")
     fact = fact_trips(silver).withColumn(
@@ -228,6 +234,8 @@ def run_gold(
         "dim_payment": dim_payment(silver),
         "dim_zone": dim_zone(silver),
     }
+    by_states = incremental and silver_path is not None and fmt not in TRANSACTIONAL
+    kept_states = {r.name: r for r in (rollups.DAILY, rollups.HOURLY)} if by_states else {}
     paths = {name: f"{root}/{name}" for name in ("fact_trips", *tables)}
     versioned = fmt not in TRANSACTIONAL
     bases = {name: published(spark, path) if versioned else ANY for name, path in paths.items()}
@@ -240,7 +248,16 @@ def run_gold(
 
     @inheritable_thread_target(spark)
     def write(name: str) -> None:
-        if name != "fact_trips":
+        if name in kept_states:
+            states = f"{root}/_states/{name}"
+            rollup = kept_states[name]
+            change = notes_of(spark, silver_path)
+            rollups.refresh(
+                spark, rollup, silver_path, states, run_id, change.get("touched"), change.get("follows"), resolutions, fmt
+            )
+            whole = rollups.merged(rollup, load_published(spark, states, fmt), resolutions)
+            overwrite(whole.orderBy(whole.columns[0]), paths[name], run_id, fmt, publish_now=False)
+        elif name != "fact_trips":
             overwrite(tables[name], paths[name], run_id, fmt, publish_now=False)
         elif present is None:
             whole = latest_per_key(fact, ["trip_id"], "_ingest_ts", ties)

@@ -12,9 +12,16 @@ from tripmart.operators.checks import Check
 from tripmart.plans.audit import run_dq, silver_suite
 from tripmart.plans.bronze import run_bronze
 from tripmart.plans.gold import run_gold
-from tripmart.plans.silver import TIE_BREAKERS, run_silver
+from tripmart.plans.silver import TIE_BREAKERS, SilverChange, refresh_silver, run_silver
 from tripmart.schemas import PARTITION_UNIT
-from tripmart.sinks.tables import TRANSACTIONAL, load_version, overwrite, publish, published
+from tripmart.sinks.tables import (
+    TRANSACTIONAL,
+    load_version,
+    load_written,
+    overwrite,
+    published,
+    version_path,
+)
 from tripmart.sources.tables import read_table
 
 
@@ -77,23 +84,40 @@ def run_pipeline(
         return None
     # A transactional table has no unpublished version, so its rows are staged beside it.
     staged = cfg.fmt in TRANSACTIONAL
-    base = None if staged else published(spark, cfg.silver_path)
-    written = run_silver(
-        bronze,
-        cfg.zones,
-        f"{cfg.silver_path}_staged" if staged else cfg.silver_path,
-        run_id,
-        cfg.tie_breakers,
-        cfg.fmt,
-        publish_now=False,
-        partition_unit=cfg.partition_unit,
-    )
-    audited = load_version(spark, written, cfg.fmt)
+    if cfg.incremental and cfg.bronze is None and not staged:
+        change = refresh_silver(
+            spark,
+            cfg.bronze_path,
+            cfg.zones,
+            cfg.silver_path,
+            run_id,
+            cfg.tie_breakers,
+            cfg.fmt,
+            cfg.partition_unit,
+        )
+    else:
+        base = None if staged else published(spark, cfg.silver_path)
+        run_silver(
+            bronze,
+            cfg.zones,
+            f"{cfg.silver_path}_staged" if staged else cfg.silver_path,
+            run_id,
+            cfg.tie_breakers,
+            cfg.fmt,
+            publish_now=False,
+            partition_unit=cfg.partition_unit,
+        )
+        change = SilverChange(base, run_id, None, None)
+    if change.parts is not None:
+        audited = load_written(spark, cfg.silver_path, change.run_id, change.parts, cfg.fmt)
+    else:
+        place = f"{cfg.silver_path}_staged" if staged else version_path(cfg.silver_path, run_id)
+        audited = load_version(spark, place, cfg.fmt)
     run_dq(audited, cfg.suite)
     if staged:
         overwrite(audited, cfg.silver_path, run_id, cfg.fmt)
     else:
-        publish(spark, cfg.silver_path, run_id, base)
+        change.publish(spark, cfg.silver_path)
     silver = read_table(spark, cfg.silver_path, cfg.fmt)
     return run_gold(
         spark,
@@ -104,4 +128,5 @@ def run_pipeline(
         cfg.incremental,
         cfg.resolutions,
         cfg.partition_unit,
+        cfg.silver_path,
     )

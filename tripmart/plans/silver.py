@@ -3,16 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.metrics import pickup_partition
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
+from tripmart.operators.lookup import BROADCAST_ROWS, fits_broadcast
 from tripmart.operators.zones import enrich_zones
-from tripmart.schemas import BRONZE_SCHEMA, PARTITION_UNIT, PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY
-from tripmart.sinks.tables import overwrite
+from tripmart.plans.bronze import bronze_batches, read_bronze
+from tripmart.schemas import (
+    BRONZE_COLUMNS,
+    BRONZE_SCHEMA,
+    PARTITION_UNIT,
+    PICKUP_DATE,
+    SILVER_COLUMNS,
+    SILVER_KEY,
+)
+from tripmart.session import scratch_path
+from tripmart.sinks.tables import (
+    current_parts,
+    load_partitions,
+    notes_of,
+    overwrite,
+    publish,
+    published,
+    replace_partitions,
+)
 
 # Rows of one micro-batch share their ingest time. The stream's own time decides next,
 # then the remaining columns, so that only equal rows are still tied.
@@ -71,3 +90,98 @@ def run_silver(
     date = pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
     dated = silver.withColumn(PICKUP_DATE, date)
     return overwrite(dated, path, run_id, fmt, [PICKUP_DATE], publish_now=publish_now)
+
+
+@dataclass
+class SilverChange:
+    """A version of silver that is written, and what a publication of it needs.
+
+    ``touched`` are the date partitions that differ from the version ``base``; None means all.
+    ``parts`` is None where the version holds every partition itself.
+    """
+
+    base: str | None
+    run_id: str
+    touched: list | None
+    parts: dict[str, str] | None
+    notes: dict = field(default_factory=dict)
+
+    def publish(self, spark: SparkSession, path: str) -> None:
+        """Publish it; the notes keep what was touched, for those who follow this table."""
+        if self.run_id != self.base:
+            touched = None if self.touched is None else [str(value) for value in self.touched]
+            notes = self.notes | {"touched": touched, "follows": self.base}
+            publish(spark, path, self.run_id, self.base, self.parts, notes)
+
+
+def _zones_digest(zones: DataFrame) -> str:
+    named = sorted(zones.columns)
+    row = zones.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64(*named)), F.lit(0))).first()
+    return f"{row[0]}:{row[1]}"
+
+
+def refresh_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    zones: DataFrame,
+    path: str,
+    run_id: str,
+    tie_breakers: Sequence[str] = tuple(TIE_BREAKERS),
+    fmt: str = "parquet",
+    partition_unit: str = PARTITION_UNIT,
+    max_rows: int = BROADCAST_ROWS,
+) -> SilverChange | None:
+    """Silver with the bronze batches that came since its published version; not published yet.
+
+    Equal to `run_silver` over all of bronze, since the latest of a key's rows is the latest of
+    those seen so far and the new ones. So only date partitions that hold a new row are read and
+    written; in them, the rows of other keys stay as they are and are not shuffled by key if the
+    new keys are few enough to broadcast (``max_rows``, measured). A trip whose pickup time is
+    corrected is a new row beside the old one, as it is in silver made in one go, and touches the
+    new date only. A batch may be applied again without harm, so a run that died is repeated.
+
+    ``tie_breakers`` have to be columns of silver. The version's notes name the batches in it and
+    a digest of the zones. Other zones, other partitions or a first run mean all of silver. Returns
+    None while bronze is empty.
+    """
+    base, notes = published(spark, path), notes_of(spark, path)
+    arrived = bronze_batches(spark, bronze_path)
+    new_notes = {"bronze": arrived, "zones": _zones_digest(zones), "unit": partition_unit}
+    same = all(notes.get(k) == new_notes[k] for k in ("zones", "unit"))
+    if base is None or not same or "bronze" not in notes:
+        bronze = read_bronze(spark, bronze_path, fmt)
+        if bronze is None:
+            return None
+        run_silver(bronze, zones, path, run_id, tie_breakers, fmt, False, partition_unit)
+        return SilverChange(base, run_id, None, None, new_notes)
+
+    fresh = read_bronze(spark, bronze_path, fmt, done=notes["bronze"])
+    if fresh is None:
+        return SilverChange(base, base, [], current_parts(spark, path), notes)
+    valid = valid_trips(type_trips(_with_bronze_columns(fresh))).select(*BRONZE_COLUMNS)
+    newest = latest_per_key(valid, SORT_KEY, "_ingest_ts", tie_breakers)
+    date = pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
+    # read for its dates, for its keys and for its rows
+    staged = scratch_path(spark, "silver-fresh")
+    newest.withColumn(PICKUP_DATE, date).write.format(fmt).save(staged)
+    newest = spark.read.schema(newest.withColumn(PICKUP_DATE, date).schema).format(fmt).load(staged)
+    touched = [row[0] for row in newest.select(PICKUP_DATE).distinct().collect()]
+    if not touched:
+        return SilverChange(base, run_id, [], current_parts(spark, path), new_notes)
+
+    changed, kept = newest, None
+    present = load_partitions(spark, path, PICKUP_DATE, touched, fmt)
+    if present is not None:
+        raw = present.select(*BRONZE_COLUMNS, PICKUP_DATE)
+        keys = newest.select(*(F.col(name).alias(f"new_{i}") for i, name in enumerate(SORT_KEY)))
+        here = [F.col(name).eqNullSafe(F.col(f"new_{i}")) for i, name in enumerate(SORT_KEY)]
+        if fits_broadcast(keys, max_rows):
+            keys = F.broadcast(keys)
+            raw = raw.join(keys, here, "left_semi")
+            kept = present.join(keys, here, "left_anti").select(*SILVER_COLUMNS, PICKUP_DATE)
+        changed = latest_per_key(raw.unionByName(newest), SORT_KEY, "_ingest_ts", tie_breakers)
+    rows = enrich_zones(trip_metrics(changed), zones).select(*SILVER_COLUMNS, PICKUP_DATE)
+    if kept is not None:
+        rows = rows.unionByName(kept)
+    parts = replace_partitions(rows, path, run_id, PICKUP_DATE, touched, fmt, publish_now=False)
+    return SilverChange(base, run_id, touched, parts, new_notes)

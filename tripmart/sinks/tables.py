@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart import paths
+from tripmart.sinks.drift import batch_schemas, scan_grouped
 
 POINTER = "_current"
 SCHEMA = "_schema"
@@ -79,6 +80,7 @@ def publish(
     run_id: str,
     over: object = ANY,
     parts: dict[str, str] | None = None,
+    notes: dict | None = None,
 ) -> None:
     """Make a written version the current one.
 
@@ -86,7 +88,8 @@ def publish(
     current by now, `PublishConflict` is raised. The look and the write are two steps, so two
     jobs that publish in the same instant still need a lock of their scheduler. The pointer
     keeps the order of publications. ``parts`` says of each partition in which version it is,
-    where that is not ``run_id``'s for all.
+    where that is not ``run_id``'s for all. ``notes`` are kept with the version (see `notes_of`):
+    what it was made from, for a job that goes on from there.
     """
     pointer = _pointer(spark, path)
     current = pointer.get("version")
@@ -94,9 +97,15 @@ def publish(
         raise PublishConflict(f"{path}: {run_id} was made from {over}, but {current} is current")
     earlier = [v for v in [*pointer.get("earlier", []), current] if v not in (None, run_id)]
     content = {"version": run_id, "earlier": earlier} | ({"parts": parts} if parts else {})
+    content |= {"notes": notes} if notes else {}
     paths.replace_text(spark, f"{path.rstrip('/')}/{POINTER}", json.dumps(content))
 
 
+def notes_of(spark: SparkSession, path: str) -> dict:
+    """What the published version was published with."""
+    return _pointer(spark, path).get("notes", {})
+
+
 def load_version(
     spark: SparkSession, folder: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
@@ -119,15 +128,67 @@ def load_published(
     """The published version, whose partitions may be in directories of several versions."""
     path = path.rstrip("/")
     current = resolve(spark, path)
-    reader = _reader(spark, current, fmt, schema)
     parts = _pointer(spark, path).get("parts")
     if not parts:
-        return reader.load(current)
+        return _reader(spark, current, fmt, schema).load(current)
+    return _load_parts(spark, path, current, parts, fmt, schema)
+
+
+def _load_parts(
+    spark: SparkSession,
+    path: str,
+    current: str,
+    parts: dict[str, str],
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+) -> DataFrame:
+    reader = _reader(spark, current, fmt, schema)
     folders = [f"{version_path(path, version)}/{name}" for name, version in parts.items()]
     # the versions' directories look like one more partition column
     return reader.option("basePath", path).load(folders).drop("v")
 
 
+def load_written(
+    spark: SparkSession, path: str, run_id: str, parts: dict[str, str], fmt: str = "parquet"
+) -> DataFrame:
+    """A version of ``parts`` that is written and not published yet."""
+    path = path.rstrip("/")
+    return _load_parts(spark, path, version_path(path, run_id), parts, fmt)
+
+
+def current_parts(spark: SparkSession, path: str) -> dict[str, str]:
+    """The published version's partition directories, each with the version that holds it."""
+    parts = _pointer(spark, path).get("parts")
+    if parts is not None:
+        return parts
+    base = published(spark, path)
+    return {name: base for name in _partitions(spark, version_path(path, base))} if base else {}
+
+
+def load_partitions(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    values: Sequence[object],
+    fmt: str = "parquet",
+    parts: dict[str, str] | None = None,
+    run_id: str | None = None,
+) -> DataFrame | None:
+    """Some partitions of the published version; no other directory is listed or read.
+
+    With ``parts`` and ``run_id``, of a version that is not published yet. ``None`` if none of
+    the partitions is there.
+    """
+    path = path.rstrip("/")
+    held = current_parts(spark, path) if parts is None else parts
+    names = {partition_name(column, value) for value in values}
+    some = {name: version for name, version in held.items() if name in names}
+    if not some:
+        return None
+    current = resolve(spark, path) if run_id is None else version_path(path, run_id)
+    return _load_parts(spark, path, current, some, fmt)
+
+
 def _write_partitions(df: DataFrame, target: str, fmt: str, by: Sequence[str]) -> None:
     df.write.mode("overwrite").format(fmt).partitionBy(*by).save(target)
     fields = [f for f in df.schema if f.name not in by] + [df.schema[name] for name in by]
@@ -153,6 +214,7 @@ def replace_partitions(
     touched: Sequence[object],
     fmt: str = "parquet",
     publish_now: bool = True,
+    notes: dict | None = None,
 ) -> dict[str, str]:
     """Write the rows of the ``touched`` partitions anew; all others stay the files they are.
 
@@ -160,16 +222,14 @@ def replace_partitions(
     published at once, over the version they extend, unless ``publish_now`` is off.
     """
     spark, base = df.sparkSession, published(df.sparkSession, path)
-    old = _pointer(spark, path).get("parts")
-    if old is None:
-        old = {name: base for name in _partitions(spark, version_path(path, base))}
+    old = current_parts(spark, path)
     target = version_path(path, run_id)
     _write_partitions(df.hint("rebalance", F.col(column)), target, fmt, [column])
     gone = {partition_name(column, value) for value in touched}
     parts = {name: version for name, version in old.items() if name not in gone}
     parts |= {name: run_id for name in _partitions(spark, target)}
     if publish_now:
-        publish(spark, path, run_id, base, parts)
+        publish(spark, path, run_id, base, parts, notes)
     return parts
 
 
@@ -251,6 +311,25 @@ def append_merge(
     return target
 
 
+def batch_names(spark: SparkSession, path: str, origin: str) -> list[str]:
+    """Names of all complete batches ever appended to an origin, compacted away or not."""
+    now = [folder.rpartition("/batch=")[2] for folder in batches(spark, path, origin)]
+    return sorted({*now, *_compacted(spark, path, origin).get("replaces", [])})
+
+
+def pending(spark: SparkSession, path: str, origin: str, done: Sequence[str]) -> list[str]:
+    """Folders of the batches that hold rows of batches other than ``done``."""
+    known, found = set(done), []
+    for folder in batches(spark, path, origin):
+        name = folder.rpartition("/batch=")[2]
+        held = {name}
+        if name.startswith(COMPACTED):
+            held = set(_compacted(spark, path, origin).get("replaces", []))
+        if name not in known and not held <= known:
+            found.append(folder)
+    return found
+
+
 def _compacted(spark: SparkSession, path: str, origin: str) -> dict:
     """What a compaction of an origin put in place of which batches."""
     pointer = f"{path.rstrip('/')}/origin={origin}/{POINTER}"
@@ -296,7 +375,7 @@ def compact_origin(
     old = batches(spark, path, origin)
     if not old:
         return None
-    table = spark.read.format(fmt).option("mergeSchema", "true").load(old)
+    table = read_batches(spark, old, fmt=fmt)
     size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     folder = f"{path.rstrip('/')}/origin={origin}"
     batch = f"{COMPACTED}{run_id}"
@@ -320,25 +399,24 @@ def read_origins(
 ) -> DataFrame | None:
     """All batches of the given origins as one table; columns an origin lacks are NULL.
 
-    Only complete batches are read. Without a ``schema`` the file schemas of an origin are
-    merged, which opens every footer; name the schema where it is known.
+    Only complete batches are read. Without a ``schema`` the schemas of the batches are widened
+    to one (see `drift`), which opens one footer per batch; name the schema where it is known.
     """
-    parts = []
-    for origin in origins:
-        folders = batches(spark, path, origin)
-        if not folders:
-            continue
-        reader = spark.read.format(fmt)
-        if schema is None:
-            parts.append(reader.option("mergeSchema", "true").load(folders))
-        else:
-            parts.append(reader.schema(schema).load(folders))
-    if not parts:
+    return read_batches(spark, [f for origin in origins for f in batches(spark, path, origin)], schema, fmt)
+
+
+def read_batches(
+    spark: SparkSession,
+    folders: Sequence[str],
+    schema: StructType | None = None,
+    fmt: str = "parquet",
+) -> DataFrame | None:
+    """Batches as one table; the columns a batch lacks are NULL."""
+    if not folders:
         return None
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part, allowMissingColumns=True)
-    return table
+    if schema is not None:
+        return spark.read.format(fmt).schema(schema).load(list(folders))
+    return scan_grouped(spark, batch_schemas(spark, folders, fmt), fmt)
 
 
 def compact(
@@ -372,9 +450,13 @@ def compact(
         .sortWithinPartitions(*by, *cluster_cols)
         .drop("_row")
     )
-    if not by:
-        return overwrite(clustered, path, run_id, fmt, over=base)
+    # the rows are the same, so who follows the table has nothing to do
+    notes = notes_of(spark, path)
+    notes = notes | {"touched": [], "follows": base} if notes else None
     target = version_path(path, run_id)
-    _write_partitions(clustered, target, fmt, by)
-    publish(spark, path, run_id, base)
+    if by:
+        _write_partitions(clustered, target, fmt, by)
+    else:
+        overwrite(clustered, path, run_id, fmt, publish_now=False)
+    publish(spark, path, run_id, base, notes=notes)
     return target

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from tripmart import paths
 from tripmart.schemas import ZONE_FILE_SCHEMA
+from tripmart.sinks.drift import scan_drifting
 from tripmart.sinks.tables import TRANSACTIONAL, MissingTable, load_published
 
 # Error conditions of a table that is not there, of Spark and of the optional format.
@@ -22,10 +23,14 @@ MISSING_TABLE_CONDITIONS = {
 
 
 def scan_history(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """Historical Parquet as it is, with ``trip_id`` as a string; ``None`` without a path."""
+    """Historical Parquet as it is, with ``trip_id`` as a string; ``None`` without a path.
+
+    Files of one folder may differ in columns and types: every column of any file is there, as wide
+    as the widest (see `drift`). All footers are opened, no row group is.
+    """
     if not path:
         return None
-    df = spark.read.parquet(path)
+    df = scan_drifting(spark, path)
     if "trip_id" in df.columns:
         df = df.withColumn("trip_id", F.col("trip_id").cast("string"))
     return df

@@ -126,6 +126,50 @@ select
 from {trips}
 """
 
+# What arrives at bronze one batch after the other: the seed, the live rows, corrections (some of
+# which move a trip by forty days), and rows that are older than what is there, some of new trips.
+_BRONZE = """
+  vendor_id, {dropoff} as tpep_dropoff_datetime, passenger_count, trip_distance, RatecodeID,
+  store_and_fwd_flag, PULocationID, DOLocationID, payment_type, {fare} as fare_amount, extra,
+  mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge,
+  airport_fee, {stamp} as kafka_ts, {ingest} as _ingest_ts, {source} as record_source
+from {{trips}} where {where}
+"""
+
+
+def _batch(where: str, **changed: str) -> str:
+    fields = {
+        "dropoff": "tpep_dropoff_datetime",
+        "fare": "fare_amount",
+        "stamp": "kafka_ts",
+        "ingest": "_ingest_ts",
+        "source": "record_source",
+    } | changed
+    key = fields.pop("key", "trip_id")
+    pickup = fields.pop("pickup", "tpep_pickup_datetime")
+    rest = _BRONZE.format(where=where, **fields)
+    return f"select {key} as trip_id, {pickup} as tpep_pickup_datetime, {rest}"
+
+
+BATCHES_SQL = {
+    "seed": _batch("record_source = 'historical_parquet'"),
+    "live": _batch("record_source = 'kafka_live'"),
+    "correction": _batch(
+        "passenger_count = 1",
+        fare="fare_amount + 1.0e0",
+        ingest="_ingest_ts + interval '1' day",
+        pickup="case when RatecodeID is null then tpep_pickup_datetime - interval '40' day else tpep_pickup_datetime end",
+        source="'kafka_live'",
+    ),
+    "late": _batch(
+        "passenger_count = 2",
+        key="case when PULocationID = 3 then concat(trip_id, '-late') else trip_id end",
+        fare="fare_amount + 2.0e0",
+        ingest="_ingest_ts - interval '1' day",
+        source="'kafka_live'",
+    ),
+}
+
 # The amounts of these trips have at most four decimals, their distances none, and their
 # durations are whole seconds.
 RESOLUTIONS = {
@@ -163,6 +207,10 @@ def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips(spark, sf_dir, source)
 
 
+def batch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.sql(BATCHES_SQL[name], trips=trips(spark, sf_dir))
+
+
 def zone_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone lookup under the names its file has."""
     tables = {name: table(spark, sf_dir, name) for name in ("nation", "region")}

@@ -6,6 +6,8 @@ the order in which the Spark plans compute them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from tripmart.functions.cells import (
     AXIS_OFFSET,
     AXIS_SPAN,
@@ -18,13 +20,16 @@ from tripmart.functions.cells import (
 from tripmart.functions.codes import OTHER_PAYMENT, PAYMENT_LABELS
 from tripmart.plans import audit
 from tripmart.plans.gold import FACT_COLUMNS, FACT_NAMES
+from tripmart.plans.silver import TIE_BREAKERS
 from tripmart.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_COLUMNS, TRIP_SCHEMA
 from tripmart.sources.trips import NATURAL_KEY
 from tripmart.workload.adapter import (
+    BATCHES_SQL,
     PLACES_SQL,
     RAW_FILE_SQL,
     RESOLUTIONS,
     TEXT_SQL,
+    TIES,
     TRIPS_SQL,
     ZONES_SQL,
 )
@@ -68,38 +73,52 @@ from (
 """
 
 
-_CTES = {
-    "trips": TRIPS_SQL.format(**_TABLES),
-    "zone_file": ZONES_SQL.format(**_TABLES),
-    "places": PLACES_SQL.format(**_TABLES),
-    "raw_file": RAW_FILE_SQL.format(trips="trips"),
-    "text_trips": TEXT_SQL.format(trips="trips"),
-    "cells": _cells(9, "zone_file"),
-    "measured": """
+def _measured(source: str) -> str:
+    return f"""
 select *,
   date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) / 60.0e0
     as trip_duration_minutes,
   case when trip_distance > 0 then fare_amount / trip_distance end as fare_per_mile
-from trips
-""",
-    "enriched": """
+from {source}
+"""
+
+
+def _enriched(source: str) -> str:
+    return f"""
 select m.*,
   p.zone_name as pickup_zone, p.borough as pickup_borough, p.lat as pu_lat, p.lon as pu_lon,
   d.zone_name as dropoff_zone, d.borough as dropoff_borough, d.lat as do_lat, d.lon as do_lon,
   p.cell as pickup_h3, d.cell as dropoff_h3
-from measured m
+from {source} m
 left join cells p on m.PULocationID = p.LocationID
 left join cells d on m.DOLocationID = d.LocationID
-""",
+"""
+
+
+_CTES = {
+    "trips": TRIPS_SQL.format(**_TABLES),
+    "zone_file": ZONES_SQL.format(**_TABLES),
+    "places": PLACES_SQL.format(**_TABLES),
+    "raw_file": RAW_FILE_SQL.format(trips="trips"),
+    "text_trips": TEXT_SQL.format(trips="trips"),
+    "cells": _cells(9, "zone_file"),
+    "measured": _measured("trips"),
+    "enriched": _enriched("measured"),
+    "arrived": "\nunion all\n".join(text.format(trips="trips") for text in BATCHES_SQL.values()),
+    "arrived_measured": _measured("arrived"),
+    "arrived_enriched": _enriched("arrived_measured"),
 }
 
 
-def _latest(source: str, columns: str = "* exclude (rn)", where: str = "true") -> str:
+def _latest(
+    source: str, columns: str = "* exclude (rn)", where: str = "true", ties: Sequence[str] = TIES
+) -> str:
+    order = ", ".join(f"{name} desc nulls last" for name in ["_ingest_ts", *ties])
     return f"""
 select {columns} from (
   select *, row_number() over (
     partition by trip_id, tpep_pickup_datetime
-    order by _ingest_ts desc nulls last, _tie1 desc nulls last, _tie2 desc nulls last) as rn
+    order by {order}) as rn
   from {source} where {where}
 ) where rn = 1
 """
@@ -112,6 +131,9 @@ _CTES["early_silver"] = _latest(
     ", ".join(SILVER_COLUMNS),
     f"{_VALID} and _ingest_ts <= timestamp '2024-01-01 00:15:00'",
 )
+_CTES["arrived_silver"] = _latest(
+    "arrived_enriched", ", ".join(SILVER_COLUMNS), _VALID, TIE_BREAKERS
+)
 
 _LABEL = (
     "case payment_type "
@@ -140,6 +162,10 @@ _NEEDS = {
     "enriched": ["measured", "cells"],
     "silver": ["enriched"],
     "early_silver": ["enriched"],
+    "arrived": ["trips"],
+    "arrived_measured": ["arrived"],
+    "arrived_enriched": ["arrived_measured", "cells"],
+    "arrived_silver": ["arrived_enriched"],
     "fact": ["silver"],
     "early_fact": ["early_silver"],
     "payments": ["silver"],
@@ -240,14 +266,36 @@ select trip_id,
 from text_trips
 """
 
-_HOURLY = f"""
+
+def _hourly(source: str) -> str:
+    return f"""
 select strftime(tpep_pickup_datetime, '%Y-%m-%d %H:00:00') as pickup_hour,
   pickup_h3, pickup_zone, count(trip_id) as trip_count,
   {_mean('fare_amount')} as avg_fare,
   {_mean('trip_duration_minutes')} as avg_trip_duration_minutes
-from silver group by 1, 2, 3
+from {source} group by 1, 2, 3
+"""
+
+
+def _daily(source: str) -> str:
+    return f"""
+select strftime(tpep_pickup_datetime, '%Y-%m-%d') as trip_date, vendor_id,
+  count(trip_id) as total_trips, {_total('total_amount')} as total_revenue,
+  {_mean('fare_amount')} as avg_fare, {_mean('trip_distance')} as avg_distance
+from {source} group by 1, 2
+"""
+
+
+def _heatmap(source: str) -> str:
+    return f"""
+select pickup_h3, count(trip_id) as trip_count, {_mean('fare_amount')} as avg_fare,
+  {_mean('trip_duration_minutes')} as avg_trip_duration_minutes
+from {source} group by 1
 """
 
+
+_HOURLY = _hourly("silver")
+
 _STAR = f"""
 select p.borough as pickup_borough, d.borough as dropoff_borough, payment_description,
   count(trip_id) as total_trips, {_total('total_amount')} as total_revenue
@@ -260,7 +308,7 @@ left join (select location_id, any_value(borough) as borough from zone_rows grou
 group by 1, 2, 3
 """
 
-_INCREMENTAL = """
+_INCREMENT = """
 , increment as (
   select * exclude (rn) from (
     select *, row_number() over (partition by trip_id
@@ -268,10 +316,39 @@ _INCREMENTAL = """
     from fact
     where _ingest_ts > (select coalesce(max(_ingest_ts), timestamp '1900-01-01') from early_fact)
   ) where rn = 1
+), upserted as (
+  select * from early_fact where trip_id not in (select trip_id from increment)
+  union all
+  select * from increment
 )
-select * from early_fact where trip_id not in (select trip_id from increment)
+"""
+_INCREMENTAL = f"{_INCREMENT} select * from upserted"
+
+# Three aggregates in the columns of all of them.
+_INCREMENTAL_AGGREGATES = f"""{_INCREMENT}
+select 'agg_daily_revenue' as aggregate, *, null as pickup_hour, null as pickup_h3, null as pickup_zone,
+  null as trip_count, null as avg_trip_duration_minutes from ({_daily("upserted")})
+union all by name
+select 'agg_hourly_demand' as aggregate, * from ({_hourly("upserted")})
+union all by name
+select 'agg_demand_heatmap' as aggregate, * from ({_heatmap("upserted")})
+"""
+
+# A folder of files with three schemas: numbers become wider, a name changes its case, a column
+# comes and one goes.
+_DRIFTED = """
+select cast(trip_id as varchar) as trip_id, cast(passenger_count as varchar) as passenger_count,
+  cast(PULocationID as bigint) as PULocationID, fare_amount, airport_fee as Airport_fee,
+  cast(null as varchar) as cab_colour, store_and_fwd_flag
+from trips where vendor_id = 1 and payment_type < 4
 union all
-select * from increment
+select trip_id, cast(passenger_count as varchar), cast(PULocationID as bigint),
+  cast(floor(fare_amount) as double), airport_fee, concat('c', vendor_id), null
+from trips where vendor_id = 2
+union all
+select trip_id, case when passenger_count = 3 then 'n/a' else cast(passenger_count as varchar) end,
+  cast(PULocationID as bigint), fare_amount, null, null, store_and_fwd_flag
+from trips where vendor_id = 1 and payment_type >= 4
 """
 
 
@@ -442,21 +519,13 @@ def oracle_sql() -> dict[str, str]:
         "fact_trips_raw": _with(f"select {', '.join(FACT_COLUMNS)} from silver", "silver"),
         "fact_trips": _with("select * from fact", "fact"),
         "fact_incremental": _with(_INCREMENTAL, "fact", "early_fact"),
-        "daily_revenue": _with(
-            "select strftime(tpep_pickup_datetime, '%Y-%m-%d') as trip_date, vendor_id, "
-            f"count(trip_id) as total_trips, {_total('total_amount')} as total_revenue, "
-            f"{_mean('fare_amount')} as avg_fare, {_mean('trip_distance')} as avg_distance "
-            "from silver group by 1, 2",
-            "silver",
-        ),
+        "daily_revenue": _with(_daily("silver"), "silver"),
         "hourly_demand": _with(_HOURLY, "silver"),
-        "demand_heatmap": _with(
-            "select pickup_h3, count(trip_id) as trip_count, "
-            f"{_mean('fare_amount')} as avg_fare, "
-            f"{_mean('trip_duration_minutes')} as avg_trip_duration_minutes "
-            "from silver group by 1",
-            "silver",
-        ),
+        "demand_heatmap": _with(_heatmap("silver"), "silver"),
+        "drifting_history": _with(_DRIFTED, "trips"),
+        "incremental_aggregates": _with(_INCREMENTAL_AGGREGATES, "fact", "early_fact"),
+        "incremental_silver": _with("select * from arrived_silver", "arrived_silver"),
+        "incremental_demand": _with(_hourly("arrived_silver"), "arrived_silver"),
         "dim_payment": _with("select * from payments", "payments"),
         "dim_zone": _with(
             "select location_id, any_value(zone_name) as zone_name, any_value(borough) as borough, "

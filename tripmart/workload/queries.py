@@ -14,17 +14,18 @@ from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
 from tripmart.operators.checks import Check, QualityError, evaluate, orphans_of, verdict
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
-from tripmart.operators.upsert import upsert_incremental
+from tripmart.functions.metrics import pickup_partition
+from tripmart.operators.upsert import upsert_incremental, upsert_partitions
 from tripmart.operators.zones import enrich_zones, zone_cells
-from tripmart.plans import audit, gold
+from tripmart.plans import audit, gold, rollups
 from tripmart.plans.bronze import bronze_union as union_origins
 from tripmart.plans.bronze import read_bronze, run_bronze
 from tripmart.plans.medallion import LakeConfig, run_pipeline
-from tripmart.plans.silver import clean_trips
+from tripmart.plans.silver import TIE_BREAKERS, clean_trips, refresh_silver
 from tripmart.plans.silver import silver_trips as silver_plan
-from tripmart.schemas import SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS
+from tripmart.schemas import PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS
 from tripmart.session import scratch_path
-from tripmart.sinks.tables import append_merge, compact, overwrite, read_origins
+from tripmart.sinks.tables import append_merge, compact, overwrite, read_origins, replace_partitions
 from tripmart.sources.tables import read_stream, read_table, read_zones, register
 from tripmart.sources.tables import scan_history as scan_files
 from tripmart.sources.trips import first_trips as first_rows
@@ -77,6 +78,33 @@ def scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_files(spark, path)
 
 
+@_query("drifting_history")
+def drifting_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files have three schemas: wider types, another case, columns that come and go."""
+    path, trips = scratch_path(spark, "drifting"), adapter.trips(spark, sf_dir)
+    common = [F.col("trip_id"), F.col("PULocationID"), F.col("passenger_count")]
+    first = trips.filter("vendor_id = 1 and payment_type < 4").select(
+        *common, "fare_amount", F.col("airport_fee").alias("Airport_fee"), "store_and_fwd_flag"
+    )
+    second = trips.filter("vendor_id = 2").select(
+        "trip_id",
+        F.col("PULocationID").cast("long"),
+        F.col("passenger_count").cast("long"),
+        F.floor("fare_amount").alias("fare_amount"),
+        "airport_fee",
+        F.concat(F.lit("c"), F.col("vendor_id")).alias("cab_colour"),
+    )
+    counted = F.when(F.col("passenger_count") == 3, "n/a").otherwise(F.col("passenger_count").cast("string"))
+    third = trips.filter("vendor_id = 1 and payment_type >= 4").select(
+        "trip_id", "PULocationID", counted.alias("passenger_count"), "fare_amount", "store_and_fwd_flag"
+    )
+    for rows in (first, second, third):
+        rows.write.mode("append").parquet(path)
+    found = scan_files(spark, path)
+    # which file is listed first, and so which spelling counts, is left to chance
+    return found.withColumnRenamed("airport_fee", "Airport_fee")
+
+
 @_query("named_source")
 def named_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL model over a table under its name."""
@@ -185,6 +213,73 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(merged)
 
 
+@_query("incremental_aggregates")
+def incremental_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert into a partitioned fact, and the aggregates that follow it by their states."""
+    trips, zones = adapter.trips(spark, sf_dir), adapter.zones(spark, sf_dir)
+    early = trips.filter(F.col("_ingest_ts") <= F.lit("2024-01-01 00:15:00").cast("timestamp"))
+    root = scratch_path(spark, "states")
+    path = f"{root}/fact"
+
+    def dated(source: DataFrame) -> DataFrame:
+        day = pickup_partition(F.col("tpep_pickup_datetime"), "year")
+        return gold.fact_trips(silver_plan(source, zones, TIES)).withColumn(PICKUP_DATE, day)
+
+    def follow(touched: list | None = None, follows: str | None = None) -> None:
+        for rollup in rollups.ROLLUPS:
+            states = f"{root}/{rollup.name}"
+            run = "1" if follows is None else "2"
+            rollups.refresh(spark, rollup, path, states, run, touched, follows, RESOLUTIONS)
+
+    overwrite(dated(early), path, "1", partition_by=[PICKUP_DATE])
+    follow()
+    source = _written(dated(trips), "increment")
+    rows, touched = upsert_partitions(
+        read_table(spark, path), source, "trip_id", "_ingest_ts", PICKUP_DATE, ["tpep_pickup_datetime"]
+    )
+    replace_partitions(rows, path, "2", PICKUP_DATE, touched)
+    follow(touched, "1")
+    found = [
+        rollups.merged(r, read_table(spark, f"{root}/{r.name}"), RESOLUTIONS).withColumn("aggregate", F.lit(r.name))
+        for r in rollups.ROLLUPS
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+
+def _arrive(spark: SparkSession, sf_dir: str, path: str, *names: str) -> None:
+    """Append batches to bronze, the seed as history and the others as live ones."""
+    texts = {name: F.col(name).cast("string") for name in TIME_COLUMNS}
+    for name in names:
+        rows = adapter.batch(spark, sf_dir, name).withColumns(texts)
+        append_merge(rows, path, "seed" if name == "seed" else "live", name)
+
+
+@_query("incremental_silver")
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a seed, live rows, corrections that move trips, and late rows, one by one."""
+    root = scratch_path(spark, "growing")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    for run in ("seed", "live", "correction", "late"):
+        _arrive(spark, sf_dir, bronze, run)
+        change = refresh_silver(
+            spark, bronze, adapter.zones(spark, sf_dir), silver, run, partition_unit="year"
+        )
+        change.publish(spark, silver)
+    return naive(read_table(spark, silver).select(*SILVER_COLUMNS))
+
+
+@_query("incremental_demand")
+def incremental_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two gated runs over a lake whose bronze grows between them; the hourly table of the second."""
+    cfg = _config(spark, sf_dir, scratch_path(spark, "growing-lake"))
+    cfg.bronze, cfg.incremental, cfg.tie_breakers = None, True, TIE_BREAKERS
+    cfg.suite = [check for check in cfg.suite if check.kind != "duplicates"]
+    for run, names in (("1", ["seed", "live"]), ("2", ["correction", "late"])):
+        _arrive(spark, sf_dir, cfg.bronze_path, *names)
+        tables = run_pipeline(spark, cfg, run)
+    return read_table(spark, tables["agg_hourly_demand"])
+
+
 @_query("daily_revenue")
 def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_revenue(_clean(spark, sf_dir), RESOLUTIONS)
