@@ -17,7 +17,8 @@ from tripmart.plans.silver import refresh_silver
 from tripmart.schemas import PICKUP_DATE, SILVER_COLUMNS
 from tripmart.sinks import append_merge, compact, compact_origin, overwrite
 from tripmart.sinks import tables as sinks
-from tripmart.sinks.drift import scan_drifting, wider, widened
+from tripmart.functions.widening import wider, widened
+from tripmart.sinks.drift import scan_drifting
 from tripmart.sources import read_table, scan_history
 
 RES = {"fare_amount": 100, "total_amount": 100, "trip_distance": 10, "trip_duration_minutes": 60}

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -365,12 +365,14 @@ def compact_origin(
     run_id: str,
     target_bytes: int = TARGET_FILE_BYTES,
     fmt: str = "parquet",
+    reduced: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str | None:
     """Rewrite the complete batches of an origin as one batch of files of about ``target_bytes``.
 
     Batches that arrive meanwhile stay beside it. The rows are not sorted, so the batches are
     read once and not shuffled by value. One small file switches readers over; the replaced
     batches are deleted after it. Columns that only some batches have are NULL in the others.
+    ``reduced`` may leave out rows that no reader will miss, such as those a newer one replaced.
     """
     old = batches(spark, path, origin)
     if not old:
@@ -380,6 +382,8 @@ def compact_origin(
     folder = f"{path.rstrip('/')}/origin={origin}"
     batch = f"{COMPACTED}{run_id}"
     files = max(1, math.ceil(size / target_bytes))
+    if reduced is not None:
+        table = reduced(table)
     table.repartition(files).write.mode("overwrite").format(fmt).save(f"{folder}/batch={batch}")
     names = [name.rpartition("/batch=")[2] for name in old]
     replaces = sorted({*_compacted(spark, path, origin).get("replaces", []), *names})

@@ -352,6 +352,55 @@ from trips where vendor_id = 1 and payment_type >= 4
 """
 
 
+
+def _message_fields(**changed: str) -> str:
+    fields = {name: name for name in TRIP_COLUMNS} | {
+        name: f"cast({name} as varchar)" for name in TIME_COLUMNS
+    }
+    return ", ".join(f"{text} as {name}" for name, text in (fields | changed).items())
+
+
+# CRC-32 of a key, which tells what becomes of its message: the polynomial, lowest bit first.
+_CRC_STEPS = """
+crc_steps as (
+  select list(step order by b) as steps from (
+    select b, list_reduce(list_prepend(b, range(0, 8)),
+      lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as step
+    from range(256) t(b)
+  )
+)"""
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(trip_id, ''), lambda x: cast(ord(x) as bigint))),"
+    " lambda c, x: xor(steps[xor(c & 255, x) + 1], c >> 8)), 4294967295)"
+)
+
+# Which writer a trip's message has, its number, and the fields as the reader gets them.
+_MESSAGES = f"""
+, {_CRC_STEPS}, numbered as (select trips.*, {_CRC} as number from trips cross join crc_steps
+), messages as (
+  select {_message_fields()}, cast(11 as bigint) as frame_schema_id, number from numbered where vendor_id = 1 and payment_type < 4
+  union all
+  select {_message_fields(passenger_count="null", trip_distance="cast(cast(trip_distance as bigint) as double)", store_and_fwd_flag="null", extra="0.0e0", tolls_amount="0.0e0", airport_fee="null")},
+    12, number from numbered where vendor_id = 2
+  union all
+  select {_message_fields()}, 13, number from numbered where vendor_id = 1 and payment_type >= 4
+)
+"""
+_LANDED = f"{_MESSAGES} select * exclude (number) from messages where number % 11 > 3"
+_SIDES = f"""{_MESSAGES}
+select side, reason, frame_schema_id, count(*) as messages, count(distinct number) as offsets,
+  cast(sum(number) as bigint) as offset_sum
+from (
+  select case when number % 11 > 3 then 'landed' else 'quarantine' end as side, number,
+    case number % 11 when 0 then 'unknown schema id' when 1 then 'malformed record'
+      when 2 then 'no frame' when 3 then 'no value for trip_id' end as reason,
+    case number % 11 when 0 then 99 when 2 then null else frame_schema_id end as frame_schema_id
+  from messages
+)
+group by all
+"""
+
+
 def _report(source: str, rows: list[tuple[str, str, str, str, str]]) -> str:
     """Report rows (check, column, unexpected, observed, success) over one source."""
     return "\nunion all\n".join(
@@ -548,6 +597,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_land": _with(f"{decoded}, 'kafka_live' as record_source from trips", "trips"),
         "stream_restart": _with(f"{decoded}, 'kafka_live' as record_source from trips", "trips"),
         "stream_dedupe": "select * from events",
+        "stream_schemas": _with(_LANDED, "trips"),
+        "stream_quarantine": _with(_SIDES, "trips"),
+        "stream_newest": "select * exclude (rn) from (select *, row_number() over (partition by user_id "
+        "order by ts desc nulls last, event_id desc nulls last) as rn from events) where rn = 1",
         "dq_report": _with(_SILVER_SUITE, "silver"),
         "dq_verdict": _with(
             f"{_verdict('silver', _SILVER_SUITE)} union all {_verdict('table', _METRIC_SUITE)}",

@@ -8,9 +8,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.functions.frames import decode_frames, frame_rows
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
+from tripmart.functions.registry import decode_by_id, read_schemas, write_schemas
 from tripmart.operators.checks import Check, QualityError, evaluate, orphans_of, verdict
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
@@ -23,7 +25,7 @@ from tripmart.plans.bronze import read_bronze, run_bronze
 from tripmart.plans.medallion import LakeConfig, run_pipeline
 from tripmart.plans.silver import TIE_BREAKERS, clean_trips, refresh_silver
 from tripmart.plans.silver import silver_trips as silver_plan
-from tripmart.schemas import PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS
+from tripmart.schemas import PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS, TRIP_SCHEMA
 from tripmart.session import scratch_path
 from tripmart.sinks.tables import append_merge, compact, overwrite, read_origins, replace_partitions
 from tripmart.sources.tables import read_stream, read_table, read_zones, register
@@ -32,7 +34,8 @@ from tripmart.sources.trips import first_trips as first_rows
 from tripmart.sources.trips import normalize_trips as normalize
 from tripmart.sources.trips import surrogate_trip_id as surrogate
 from tripmart.streaming.dedupe import stream_dedupe as dedupe_events
-from tripmart.streaming.landing import land_stream
+from tripmart.streaming.landing import LIVE, QUARANTINE, land_checked, land_stream
+from tripmart.streaming.newest import keep_newest, read_newest
 from tripmart.workload import adapter
 from tripmart.workload.adapter import RESOLUTIONS, TIES, naive
 
@@ -487,6 +490,119 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path).select(*TRIP_COLUMNS, "record_source")
 
 
+def _writers() -> dict[int, T.StructType]:
+    """The trip record as three writers know it: today's, an old one, and a newer one."""
+    old = {"vendor_id": "VendorID"}
+    gone = {"passenger_count", "store_and_fwd_flag", "extra", "tolls_amount", "airport_fee"}
+    earlier = [
+        T.StructField(
+            old.get(f.name, f.name),
+            T.LongType() if isinstance(f.dataType, T.IntegerType) or f.name == "trip_distance" else f.dataType,
+            f.nullable,
+        )
+        for f in TRIP_SCHEMA
+        if f.name not in gone
+    ]
+    later = [
+        T.StructField(f.name, T.StringType() if f.name == "fare_amount" else f.dataType, f.nullable)
+        for f in TRIP_SCHEMA
+    ]
+    return {
+        11: TRIP_SCHEMA,
+        12: T.StructType(earlier),
+        13: T.StructType([*later, T.StructField("cab_colour", T.StringType())]),
+    }
+
+
+def _checked_topic(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Half a topic: messages of three writers, of an unknown one, and broken ones.
+
+    ``offset`` numbers the messages of a partition, as a topic does.
+    """
+    trips = adapter.trips(spark, sf_dir).filter((F.col("_tie1") % 2 == part))
+    records = normalize(trips)
+    kinds = [
+        (11, records.filter("vendor_id = 1 and payment_type < 4")),
+        (12, records.filter("vendor_id = 2").withColumnsRenamed({"vendor_id": "VendorID"})),
+        (13, records.filter("vendor_id = 1 and payment_type >= 4").withColumn("cab_colour", F.lit("red"))),
+    ]
+    framed = []
+    for schema_id, rows in kinds:
+        typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in _writers()[schema_id]))
+        framed.append(frame_rows(typed, "trip_id", schema_id))
+    found = reduce(DataFrame.unionByName, framed)
+    # what happens to a message is told by its key
+    number = F.crc32("key")
+    value = F.col("value")
+    broken = (
+        F.when(number % 11 == 0, F.concat(F.unhex(F.lit("0000000063")), F.substring(value, 6, 2**31 - 1)))
+        .when(number % 11 == 1, F.substring(value, 1, 60))
+        .when(number % 11 == 2, F.substring(value, 1, 3))
+        .when(number % 11 == 3, F.encode(F.regexp_replace(F.decode(value, "UTF-8"), '"trip_id":"[^"]*"', '"trip_id":null'), "UTF-8"))
+        .otherwise(value)
+    )
+    return found.select(
+        "key",
+        broken.alias("value"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("timestamp"),
+        (number % 4).cast("int").alias("partition"),
+        number.alias("offset"),
+    )
+
+
+def _checked_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Land the topic in two starts of one stream, and a third that finds nothing new."""
+    path, topic, known = (scratch_path(spark, n) for n in ("checked", "topic", "schemas"))
+    write_schemas(spark, _writers(), known)
+    for part in (0, 1, None):
+        if part is not None:
+            _checked_topic(spark, sf_dir, part).write.mode("append").parquet(topic)
+        messages = read_stream(spark, "parquet", spark.read.parquet(topic).schema, topic)
+        decoded = decode_by_id(messages, read_schemas(spark, known))
+        land_checked(add_lineage(decoded, LIVE_SOURCE), path, f"{path}/checkpoint").awaitTermination()
+    return path
+
+
+@_query("stream_schemas")
+def stream_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic of three writers as rows of one schema; broken messages do not stop it."""
+    path = _checked_stream(spark, sf_dir)
+    return read_origins(spark, path, [LIVE]).select(*TRIP_COLUMNS, "frame_schema_id")
+
+
+@_query("stream_quarantine")
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the topic landed and what was kept apart, by reason."""
+    path = _checked_stream(spark, sf_dir)
+    good = read_origins(spark, path, [LIVE]).select(
+        F.lit("landed").alias("side"), F.lit(None).cast("string").alias("reason"), "frame_schema_id",
+        F.crc32(F.encode("trip_id", "UTF-8")).alias("offset"),
+    )
+    bad = read_origins(spark, path, [QUARANTINE]).select(
+        F.lit("quarantine").alias("side"), "reason", "frame_schema_id", "offset"
+    )
+    return good.unionByName(bad).groupBy("side", "reason", "frame_schema_id").agg(
+        F.count("*").alias("messages"), F.count_distinct("offset").alias("offsets"), F.sum("offset").alias("offset_sum")
+    )
+
+
+@_query("stream_newest")
+def stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest event per user out of five starts of a stream, events in no order of time."""
+    path, topic = scratch_path(spark, "newest"), scratch_path(spark, "shuffled")
+    events = adapter.table(spark, sf_dir, "events")
+    by = (["user_id"], "ts", ["event_id"])
+    for part in range(5):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(5)) == part).write.mode("append").parquet(topic)
+        stream = read_stream(spark, "parquet", events.schema, topic)
+        keep_newest(stream, path, f"{path}/checkpoint", *by, delay="12 hours", fold_every=3).awaitTermination()
+    return naive(read_newest(spark, path, *by))
+
+
+# Files a batch of the repeated topic has: a batch is read and written by so many tasks.
+_FILES = 8
+
+
 @_query("stream_dedupe")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic in five batches, each of which repeats the last hours of the one before."""
@@ -498,8 +614,8 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         # the first and the last batch take what lies before and after
         since = F.lit(True) if first == 0 else F.col("ts") >= start - F.expr("interval 3 hours")
         until = F.lit(True) if first == 24 else F.col("ts") < end
-        events.filter(since & until).coalesce(1).write.mode("append").parquet(topic)
-    stream = read_stream(spark, "parquet", events.schema, topic, maxFilesPerTrigger="1")
+        events.filter(since & until).repartition(_FILES).write.mode("append").parquet(topic)
+    stream = read_stream(spark, "parquet", events.schema, topic, maxFilesPerTrigger=str(_FILES))
     _land(dedupe_events(stream, ["event_id"], "ts", "12 hours"), path)
     return naive(read_origins(spark, path, ["live"]))
 
