@@ -1,0 +1,176 @@
+"""Several tables published in one step, and tables that are kept by file."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from test_clean import bronze
+from test_incremental import bag, spoil, trip
+from test_medallion import good_zones
+
+from tripmart import paths
+from tripmart.operators import upsert_incremental
+from tripmart.plans import LakeConfig, run_gold, run_pipeline, silver_trips
+from tripmart.sinks import PublishConflict, compact, drop_old_versions, overwrite, publish
+from tripmart.sinks import tables as sinks
+from tripmart.sinks.byfile import files_with_keys, upsert_files
+from tripmart.sinks.tables import Publication, publish_together, published
+from tripmart.sources import read_table
+
+TABLES = ["fact_trips", "agg_daily_revenue", "agg_hourly_demand", "dim_payment", "dim_zone"]
+
+
+def versions(spark, root):
+    return [published(spark, f"{root}/{name}") for name in TABLES]
+
+
+def test_a_job_that_dies_leaves_five_old_or_five_new_tables(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "gold")
+    silver = silver_trips(bronze(spark, trip("a", 1)), good_zones(spark))
+    run_gold(spark, silver, root, "1")
+    assert versions(spark, root) == ["1"] * 5
+    put, seen = paths._put, []
+    for dies_at in range(1, 40):
+        calls = []
+
+        def dies(*args):
+            calls.append(args)
+            if len(calls) == dies_at:
+                raise OSError("gone")
+            return put(*args)
+
+        monkeypatch.setattr(paths, "_put", dies)
+        try:
+            run_gold(spark, silver, root, f"x{dies_at}", incremental=True)
+        except OSError:
+            pass
+        monkeypatch.setattr(paths, "_put", put)
+        found = versions(spark, root)
+        assert len(set(found)) == 1
+        seen += found[:1]
+        if len(calls) < dies_at:
+            break
+    assert seen[0] == "1" and seen[-1] == f"x{dies_at}"
+    assert read_table(spark, f"{root}/fact_trips").count() == 1
+
+
+def test_tables_of_a_group(spark, tmp_path):
+    root = str(tmp_path)
+    for name in "ab":
+        overwrite(spark.range(2), f"{root}/{name}", "1")
+    overwrite(spark.range(3), f"{root}/a", "2", publish_now=False)
+    overwrite(spark.range(3), f"{root}/b", "2", publish_now=False)
+    with pytest.raises(PublishConflict):
+        publish_together(spark, root, {"a": Publication("2", "1"), "b": Publication("2", "0")})
+    assert [published(spark, f"{root}/{n}") for n in "ab"] == ["1", "1"]
+    publish_together(spark, root, {"a": Publication("2", "1", notes={"k": 1}), "b": Publication("2", "1")})
+    assert [read_table(spark, f"{root}/{n}").count() for n in "ab"] == [3, 3]
+    assert sinks.notes_of(spark, f"{root}/a") == {"k": 1}
+    # one of them alone, later: the other stays
+    overwrite(spark.range(5), f"{root}/a", "3", over="2")
+    assert [read_table(spark, f"{root}/{n}").count() for n in "ab"] == [5, 3]
+    assert [os.path.basename(p) for p in drop_old_versions(spark, f"{root}/a")] == ["v=1"]
+    assert read_table(spark, f"{root}/a").count() == 5
+    # a table beside them has a pointer of its own
+    overwrite(spark.range(7), f"{root}/c", "1")
+    assert read_table(spark, f"{root}/c").count() == 7 and published(spark, f"{root}/c") == "1"
+    with pytest.raises(PublishConflict):
+        publish(spark, f"{root}/a", "4", "2")
+
+
+def test_gold_of_pointers_moves_into_the_group(spark, tmp_path):
+    cfg = LakeConfig(root=str(tmp_path), zones=good_zones(spark), bronze=bronze(spark, trip("a", 1)))
+    overwrite(spark.range(1), f"{cfg.gold_path}/dim_zone", "old")
+    run_pipeline(spark, cfg, "1")
+    assert versions(spark, cfg.gold_path) == ["1"] * 5
+    compact(spark, f"{cfg.gold_path}/fact_trips", "2", ["pickup_h3", "tpep_pickup_datetime"])
+    assert versions(spark, cfg.gold_path) == ["2", "1", "1", "1", "1"]
+    assert read_table(spark, f"{cfg.gold_path}/fact_trips").count() == 1
+
+
+ROWS = "k string, at timestamp, w int, p int"
+START = datetime(2024, 1, 1)
+
+
+def rows(spark, keys, hour, v):
+    return spark.createDataFrame([(k, START + timedelta(hours=hour), v, 0 if k is None else int(k[1:]) % 3) for k in keys], ROWS)
+
+
+@pytest.fixture(params=[[], ["p"]], ids=["flat", "partitioned"])
+def table(spark, tmp_path, request):
+    """Keys k00 to k39 in files of ranges, with a Bloom filter."""
+    path = str(tmp_path / "t")
+    old = rows(spark, [f"k{i:02}" for i in range(40)] + [None], 0, 0).repartitionByRange(8, "k")
+    overwrite(old, path, "1", partition_by=request.param, bloom=["k"])
+    return path
+
+
+@pytest.mark.parametrize("filter_keys", [0, 1000])
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_only_files_of_replaced_keys_are_rewritten(spark, table, filter_keys, max_rows):
+    def upsert(source, run):
+        before = read_table(spark, table)
+        expected = bag(upsert_incremental(before, source, "k", "at").select(*before.columns))
+        done = upsert_files(spark, table, source, "k", "at", run, filter_keys=filter_keys, max_rows=max_rows)
+        assert bag(read_table(spark, table)) == expected
+        return done
+
+    names = set(sinks.current_files(spark, table))
+    new = rows(spark, ["k03", "k04", "n1", "n2"], 1, 1).union(rows(spark, ["k03"], 2, 2)).union(rows(spark, ["k09"], 0, 9))
+    held = {f for f in names if read_files(spark, table, [f]).where("k in ('k03', 'k04')").count()}
+    done = upsert(new, "2")
+    assert set(done.replaced) == held and set(done.kept) == names - held and names - held
+    assert all(f.startswith("v=2/") for f in done.added) and not any("v=2" in f for f in done.kept)
+    # nothing above the mark, then only new keys, then a key that is NULL
+    assert upsert(rows(spark, ["k05"], 1, 5), "3").added == [] and published(spark, table) == "2"
+    assert upsert(rows(spark, ["z1", "z2"], 3, 3), "4").replaced == []
+    assert upsert(rows(spark, [None], 4, 4), "5").replaced
+    # versions that still hold files stay
+    assert drop_old_versions(spark, table, keep=0) == []
+    if sinks.partition_columns(spark, table) == ["p"]:
+        with pytest.raises(ValueError, match="by file"):
+            sinks.current_parts(spark, table)
+    expected = bag(read_table(spark, table))
+    compact(spark, table, "6", ["k"])
+    assert bag(read_table(spark, table)) == expected
+    assert drop_old_versions(spark, table, keep=0)
+    assert bag(read_table(spark, table)) == expected
+
+
+def test_a_column_that_versions_would_hide(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite(spark.sql("select 'a' as k, timestamp'2024-01-01' as at, 1 as v"), path, "1")
+    with pytest.raises(ValueError, match="'v'"):
+        upsert_files(spark, path, read_table(spark, path), "k", "at", "2")
+
+
+def read_files(spark, path, files):
+    return sinks.load_files(spark, path, files)
+
+
+def test_untouched_files_are_not_read_for_rows(spark, table):
+    """Beside the key column, files without a replaced key stay unread."""
+    keys = spark.createDataFrame([("k03",)], "k string")
+    (held,) = files_with_keys(spark, table, keys, "k")
+    plan = read_table(spark, table).filter(F.col("k").isin("k03")).select("_metadata.file_path")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string>" in text and "In(k, [k03])" in text or "EqualTo(k,k03)" in text
+    assert held in sinks.current_files(spark, table)
+
+
+def test_bloom_filter_rules_files_out(spark, tmp_path):
+    path = str(tmp_path / "t")
+    evens = spark.range(0, 20_000, 2).selectExpr("cast(id as string) as k", "id")
+    overwrite(evens.coalesce(1), path, "1", bloom=["k"])
+    overwrite(evens.coalesce(1), f"{path}-plain", "1")
+
+    def scanned(place, key):
+        found = read_table(spark, place).where(F.col("k") == key)
+        found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return leaf.metrics().apply("numOutputRows").value()
+
+    # an odd number lies between the even ones, so minimum and maximum do not rule it out
+    assert scanned(f"{path}-plain", "4445") > 0
+    assert scanned(path, "4445") == 0 and scanned(path, "4444") > 0

@@ -29,6 +29,25 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def plain(spark: SparkSession, address: str) -> str:
+    """A path out of an address with escapes, as listings and file metadata give it."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(address)).toString()
+
+
+def below(spark: SparkSession, root: str, addresses: list[str]) -> list[str]:
+    """Where files lie below a folder, out of their addresses."""
+    fs, target = _file_system(spark, root)
+    start = fs.makeQualified(target).toString().rstrip("/") + "/"
+    found = []
+    for address in addresses:
+        path = plain(spark, address)
+        if not path.startswith(start):
+            raise ValueError(f"{path} is not below {root}")
+        found.append(path.removeprefix(start))
+    return found
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)

@@ -21,8 +21,9 @@ from tripmart.sinks.tables import (
     TRANSACTIONAL,
     load_published,
     notes_of,
+    Publication,
     overwrite,
-    publish,
+    publish_together,
     published,
     replace_partitions,
 )
@@ -217,7 +218,7 @@ def run_gold(
     Silver is not cached: each table reads only the columns it needs from the columnar
     files, which is less than spilling all of them once. The tables are written at the same
     time, so that the last tasks of one do not keep the cluster waiting, and published
-    together once all are there. The fact has one row per trip, the newest, and is partitioned
+    in one step once all are there. The fact has one row per trip, the newest, and is partitioned
     by pickup date. With ``incremental`` it takes only rows above its high-water mark and
     writes only the dates they touch. Then also, if ``silver_path`` names the table that ``silver``
     is, the aggregates are made from partial states (see `rollups`), of which only those of date
@@ -276,6 +277,12 @@ def run_gold(
     with ThreadPoolExecutor(len(paths)) as pool:
         list(pool.map(write, paths))
     if versioned:
-        for name, path in paths.items():
-            publish(spark, path, run_id, bases[name], parts if name == "fact_trips" else None)
+        publish_together(
+            spark,
+            root,
+            {
+                name: Publication(run_id, bases[name], parts if name == "fact_trips" else None)
+                for name in paths
+            },
+        )
     return paths

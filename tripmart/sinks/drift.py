@@ -55,15 +55,10 @@ def file_schemas(spark: SparkSession, files: Sequence[str]) -> dict[str, T.Struc
     kinds: dict[tuple[str, str], T.StructType] = {}
     for file, kind in zip(files, found, strict=True):
         if kind not in kinds:
-            kinds[kind] = spark.read.parquet(_path(spark, file)).schema
+            kinds[kind] = spark.read.parquet(paths.plain(spark, file)).schema
     return {file: kinds[kind] for file, kind in zip(files, found, strict=True)}
 
 
-def _path(spark: SparkSession, address: str) -> str:
-    jvm = spark.sparkContext._jvm
-    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(address)).toString()
-
-
 def batch_schemas(spark: SparkSession, folders: Sequence[str], fmt: str = "parquet") -> dict[str, T.StructType]:
     """Schema of each folder that one write made: that of any one of its files."""
     return {folder: spark.read.format(fmt).load(folder).schema for folder in folders}
@@ -112,4 +107,4 @@ def scan_drifting(spark: SparkSession, path: str) -> DataFrame:
     if len({s.json() for s in schemas.values()}) == 1:
         return plain
     base = path if paths.is_directory(spark, path) else None
-    return scan_grouped(spark, {_path(spark, f): s for f, s in schemas.items()}, base=base)
+    return scan_grouped(spark, {paths.plain(spark, f): s for f, s in schemas.items()}, base=base)

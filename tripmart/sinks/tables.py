@@ -12,17 +12,23 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart import paths
+from tripmart.sinks.clustering import curve_key
 from tripmart.sinks.drift import batch_schemas, scan_grouped
 
 POINTER = "_current"
 SCHEMA = "_schema"
+# Pointers of tables that are published together, in the folder above theirs.
+GROUP = "_tables"
+# The data files of a version that takes files of earlier ones over, one a line.
+FILES = "_files"
 
 # Formats that replace data and schema in one transaction of their own.
 TRANSACTIONAL = {"delta"}
@@ -50,11 +56,30 @@ def version_path(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/v={run_id}"
 
 
+def _group(spark: SparkSession, root: str) -> dict:
+    place = f"{root.rstrip('/')}/{GROUP}"
+    return json.loads(paths.read_text(spark, place)) if paths.exists(spark, place) else {}
+
+
 def _pointer(spark: SparkSession, path: str) -> dict:
+    root, _, name = path.rstrip("/").rpartition("/")
+    together = _group(spark, root).get("tables", {})
+    if name in together:
+        return together[name]
     pointer = f"{path.rstrip('/')}/{POINTER}"
     return json.loads(paths.read_text(spark, pointer)) if paths.exists(spark, pointer) else {}
 
 
+def _put_pointer(spark: SparkSession, path: str, content: dict) -> None:
+    root, _, name = path.rstrip("/").rpartition("/")
+    group = _group(spark, root)
+    if name in group.get("tables", {}):
+        group["tables"][name] = content
+        paths.replace_text(spark, f"{root}/{GROUP}", json.dumps(group))
+    else:
+        paths.replace_text(spark, f"{path.rstrip('/')}/{POINTER}", json.dumps(content))
+
+
 def published(spark: SparkSession, path: str) -> str | None:
     """The name of the published version, if there is one."""
     return _pointer(spark, path).get("version")
@@ -81,6 +106,7 @@ def publish(
     over: object = ANY,
     parts: dict[str, str] | None = None,
     notes: dict | None = None,
+    files: Sequence[str] | None = None,
 ) -> None:
     """Make a written version the current one.
 
@@ -89,16 +115,54 @@ def publish(
     jobs that publish in the same instant still need a lock of their scheduler. The pointer
     keeps the order of publications. ``parts`` says of each partition in which version it is,
     where that is not ``run_id``'s for all. ``notes`` are kept with the version (see `notes_of`):
-    what it was made from, for a job that goes on from there.
+    what it was made from, for a job that goes on from there. ``files`` lists the version's data
+    files below ``path``, where it takes some of earlier versions over.
     """
+    change = Publication(run_id, over, parts, notes, files)
+    _put_pointer(spark, path, _next_pointer(spark, path, change))
+
+
+@dataclass
+class Publication:
+    """What `publish` is told about one table."""
+
+    run_id: str
+    over: object = ANY
+    parts: dict[str, str] | None = None
+    notes: dict | None = None
+    files: Sequence[str] | None = None
+
+
+def _next_pointer(spark: SparkSession, path: str, change: Publication) -> dict:
     pointer = _pointer(spark, path)
-    current = pointer.get("version")
-    if over is not ANY and over != current:
-        raise PublishConflict(f"{path}: {run_id} was made from {over}, but {current} is current")
+    current, run_id = pointer.get("version"), change.run_id
+    if change.over is not ANY and change.over != current:
+        raise PublishConflict(f"{path}: {run_id} was made from {change.over}, but {current} is current")
     earlier = [v for v in [*pointer.get("earlier", []), current] if v not in (None, run_id)]
-    content = {"version": run_id, "earlier": earlier} | ({"parts": parts} if parts else {})
-    content |= {"notes": notes} if notes else {}
-    paths.replace_text(spark, f"{path.rstrip('/')}/{POINTER}", json.dumps(content))
+    content = {"version": run_id, "earlier": earlier}
+    if change.parts:
+        content["parts"] = change.parts
+    if change.notes:
+        content["notes"] = change.notes
+    if change.files is not None:
+        listed = f"{version_path(path, run_id)}/{FILES}"
+        paths.replace_text(spark, listed, "\n".join(change.files))
+        content["by_file"] = sorted({file.split("/")[0].removeprefix("v=") for file in change.files})
+    return content
+
+
+def publish_together(spark: SparkSession, root: str, changes: Mapping[str, Publication]) -> None:
+    """Publish versions of several tables below ``root`` in one step.
+
+    One file names the versions of all tables, and it is replaced as a whole: readers see all old
+    or all new ones, whenever the job dies. Each table's ``over`` is checked first. Tables that were
+    published on their own before move into that file, and stay there.
+    """
+    root = root.rstrip("/")
+    group = _group(spark, root)
+    pointers = {name: _next_pointer(spark, f"{root}/{name}", change) for name, change in changes.items()}
+    group["tables"] = group.get("tables", {}) | pointers
+    paths.replace_text(spark, f"{root}/{GROUP}", json.dumps(group))
 
 
 def notes_of(spark: SparkSession, path: str) -> dict:
@@ -127,13 +191,37 @@ def load_published(
 ) -> DataFrame:
     """The published version, whose partitions may be in directories of several versions."""
     path = path.rstrip("/")
-    current = resolve(spark, path)
-    parts = _pointer(spark, path).get("parts")
+    current, pointer = resolve(spark, path), _pointer(spark, path)
+    if "by_file" in pointer:
+        return load_files(spark, path, current_files(spark, path), fmt, schema)
+    parts = pointer.get("parts")
     if not parts:
         return _reader(spark, current, fmt, schema).load(current)
     return _load_parts(spark, path, current, parts, fmt, schema)
 
 
+def current_files(spark: SparkSession, path: str) -> list[str]:
+    """The published version's data files, as places below ``path``."""
+    path = path.rstrip("/")
+    if "by_file" in _pointer(spark, path):
+        text = paths.read_text(spark, f"{resolve(spark, path)}/{FILES}")
+        return text.split("\n") if text else []
+    return paths.below(spark, path, load_published(spark, path).inputFiles())
+
+
+def load_files(
+    spark: SparkSession,
+    path: str,
+    files: Sequence[str],
+    fmt: str = "parquet",
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Some data files of the published version, partition columns included."""
+    reader = _reader(spark, resolve(spark, path), fmt, schema)
+    found = reader.option("basePath", path).load([f"{path}/{file}" for file in files])
+    return found.drop("v")
+
+
 def _load_parts(
     spark: SparkSession,
     path: str,
@@ -158,9 +246,11 @@ def load_written(
 
 def current_parts(spark: SparkSession, path: str) -> dict[str, str]:
     """The published version's partition directories, each with the version that holds it."""
-    parts = _pointer(spark, path).get("parts")
-    if parts is not None:
-        return parts
+    pointer = _pointer(spark, path)
+    if "by_file" in pointer:
+        raise ValueError(f"{path} is kept by file, not by partition")
+    if "parts" in pointer:
+        return pointer["parts"]
     base = published(spark, path)
     return {name: base for name in _partitions(spark, version_path(path, base))} if base else {}
 
@@ -189,8 +279,17 @@ def load_partitions(
     return _load_parts(spark, path, current, some, fmt)
 
 
-def _write_partitions(df: DataFrame, target: str, fmt: str, by: Sequence[str]) -> None:
-    df.write.mode("overwrite").format(fmt).partitionBy(*by).save(target)
+def bloom_options(columns: Sequence[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter of each column, as large as its file's values need."""
+    options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
+    return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {})
+
+
+def _write_partitions(
+    df: DataFrame, target: str, fmt: str, by: Sequence[str], bloom: Sequence[str] = ()
+) -> None:
+    writer = df.write.mode("overwrite").format(fmt).options(**bloom_options(bloom))
+    writer.partitionBy(*by).save(target)
     fields = [f for f in df.schema if f.name not in by] + [df.schema[name] for name in by]
     paths.replace_text(df.sparkSession, f"{target}/{SCHEMA}", StructType(fields).json())
 
@@ -202,10 +301,26 @@ def _partitions(spark: SparkSession, folder: str) -> list[str]:
     return [name for name in paths.list_names(spark, folder) if "=" in name]
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """What the published version is partitioned by."""
+    pointer = _pointer(spark, path)
+    if "by_file" in pointer:
+        held = [name for file in current_files(spark, path) for name in file.split("/")[1:-1]]
+    else:
+        held = [*pointer.get("parts", {}), *_partitions(spark, resolve(spark, path))]
+    return list(dict.fromkeys(name.partition("=")[0] for name in held))
+
+
 def partition_name(column: str, value: object) -> str:
     return f"{column}={NULL_PARTITION if value is None else value}"
 
 
+def check_names(df: DataFrame) -> None:
+    """Refuse a column that the directories of several versions would hide."""
+    if "v" in map(str.lower, df.columns):
+        raise ValueError("a table that spans versions cannot have a column named 'v'")
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,
@@ -221,6 +336,7 @@ def replace_partitions(
     ``df`` holds all rows these partitions shall have. Returns the parts to publish; they are
     published at once, over the version they extend, unless ``publish_now`` is off.
     """
+    check_names(df)
     spark, base = df.sparkSession, published(df.sparkSession, path)
     old = current_parts(spark, path)
     target = version_path(path, run_id)
@@ -241,16 +357,18 @@ def overwrite(
     partition_by: Sequence[str] = (),
     publish_now: bool = True,
     over: object = ANY,
+    bloom: Sequence[str] = (),
 ) -> str:
     """Replace a table, schema included; returns the path of the new version.
 
     The table may be an input of ``df``: the old version is not touched. With
     ``partition_by``, rows are first rebalanced on those columns, so that a partition gets
-    few files and a partition far larger than the others is still split over many tasks.
+    few files and a partition far larger than the others is still split over many tasks. ``bloom``
+    names columns whose values every file keeps a Bloom filter of (Parquet).
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.mode("overwrite").format(fmt).options(**bloom_options(bloom))
     if fmt in TRANSACTIONAL:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -258,7 +376,7 @@ def overwrite(
         return path
     target = version_path(path, run_id)
     if partition_by:
-        _write_partitions(df, target, fmt, partition_by)
+        _write_partitions(df, target, fmt, partition_by, bloom)
     else:
         writer.save(target)
     if publish_now:
@@ -276,7 +394,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str
     path = path.rstrip("/")
     pointer = _pointer(spark, path)
     earlier = pointer.get("earlier", [])
-    used = set(pointer.get("parts", {}).values())
+    used = {*pointer.get("parts", {}).values(), *pointer.get("by_file", [])}
     old = [v for v in earlier[: max(0, len(earlier) - keep)] if v not in used]
     dropped = []
     for version in old:
@@ -286,7 +404,7 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str
             dropped.append(target)
     if dropped:
         pointer["earlier"] = [v for v in earlier if v not in old]
-        paths.replace_text(spark, f"{path}/{POINTER}", json.dumps(pointer))
+        _put_pointer(spark, path, pointer)
     return dropped
 
 
@@ -431,28 +549,32 @@ def compact(
     target_bytes: int = TARGET_FILE_BYTES,
     fmt: str = "parquet",
 ) -> str:
-    """Rewrite the published version as sorted files of about ``target_bytes``.
-
-    Files cover ranges of ``cluster_cols``, so a filter on them skips most files. The row
-    id behind the clustering columns lets a value that fills many files be split; without
-    it all rows of that value would go to one task. The bounds of the ranges are sampled, so the
-    table is read twice. Fails with `PublishConflict` if a version is published meanwhile.
+    """Rewrite the published version as clustered files of about ``target_bytes``.
+
+    With several ``cluster_cols``, files are stretches of a space-filling curve over them (see
+    `curve_key`), so a filter on any of them skips files; with one they are its ranges. The row id
+    behind the clustering lets a value that fills many files be split; without it all rows of that
+    value would go to one task. The bounds of the ranges are sampled, so the table is read twice,
+    and a curve reads its columns once more. Fails with `PublishConflict` if a version is published
+    meanwhile.
     """
     path = path.rstrip("/")
     if paths.exists(spark, path) and any(n.startswith("origin=") for n in paths.list_names(spark, path)):
         raise ValueError(f"{path} is append-only: use compact_origin for each origin")
     base = published(spark, path)
     table = load_published(spark, path, fmt)
-    held = [*_pointer(spark, path).get("parts", {}), *_partitions(spark, resolve(spark, path))]
-    by = list(dict.fromkeys(name.partition("=")[0] for name in held))
+    by = partition_columns(spark, path)
     # The scan already listed the files, so the optimizer knows their total size.
     size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     files = max(1, math.ceil(size / target_bytes))
     spread = table.withColumn("_row", F.monotonically_increasing_id())
+    order = list(cluster_cols)
+    if len(order) > 1:
+        spread, order = spread.withColumn("_curve", curve_key(table, cluster_cols)), ["_curve"]
     clustered = (
-        spread.repartitionByRange(files, *by, *cluster_cols, "_row")
-        .sortWithinPartitions(*by, *cluster_cols)
-        .drop("_row")
+        spread.repartitionByRange(files, *by, *order, "_row")
+        .sortWithinPartitions(*by, *order)
+        .drop("_row", "_curve")
     )
     # the rows are the same, so who follows the table has nothing to do
     notes = notes_of(spark, path)

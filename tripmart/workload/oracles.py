@@ -567,6 +567,7 @@ def oracle_sql() -> dict[str, str]:
         "silver_trips": _with("select * from silver", "silver"),
         "fact_trips_raw": _with(f"select {', '.join(FACT_COLUMNS)} from silver", "silver"),
         "fact_trips": _with("select * from fact", "fact"),
+        "fact_by_file": _with(_INCREMENTAL, "fact", "early_fact"),
         "fact_incremental": _with(_INCREMENTAL, "fact", "early_fact"),
         "daily_revenue": _with(_daily("silver"), "silver"),
         "hourly_demand": _with(_HOURLY, "silver"),

@@ -27,6 +27,7 @@ from tripmart.plans.silver import TIE_BREAKERS, clean_trips, refresh_silver
 from tripmart.plans.silver import silver_trips as silver_plan
 from tripmart.schemas import PICKUP_DATE, SILVER_COLUMNS, SILVER_KEY, TIME_COLUMNS, TRIP_COLUMNS, TRIP_SCHEMA
 from tripmart.session import scratch_path
+from tripmart.sinks.byfile import upsert_files
 from tripmart.sinks.tables import append_merge, compact, overwrite, read_origins, replace_partitions
 from tripmart.sources.tables import read_stream, read_table, read_zones, register
 from tripmart.sources.tables import scan_history as scan_files
@@ -216,6 +217,19 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(merged)
 
 
+@_query("fact_by_file")
+def fact_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert into a fact that is kept by file."""
+    trips, zones = adapter.trips(spark, sf_dir), adapter.zones(spark, sf_dir)
+    early = trips.filter(F.col("_ingest_ts") <= F.lit("2024-01-01 00:15:00").cast("timestamp"))
+    path = scratch_path(spark, "by-file")
+    fact = gold.fact_trips(silver_plan(early, zones, TIES)).hint("rebalance", F.col("trip_id"))
+    overwrite(fact, path, "1", bloom=["trip_id"])
+    source = _written(gold.fact_trips(silver_plan(trips, zones, TIES)), "increment")
+    upsert_files(spark, path, source, "trip_id", "_ingest_ts", "2", ["tpep_pickup_datetime"])
+    return naive(read_table(spark, path))
+
+
 @_query("incremental_aggregates")
 def incremental_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same upsert into a partitioned fact, and the aggregates that follow it by their states."""
