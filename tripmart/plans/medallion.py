@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.operators.checks import Check
+from tripmart.operators.check_states import refresh_checks
+from tripmart.operators.checks import Check, gate
 from tripmart.plans.audit import run_dq, silver_suite
 from tripmart.plans.bronze import run_bronze
 from tripmart.plans.gold import run_gold
@@ -113,11 +114,29 @@ def run_pipeline(
     else:
         place = f"{cfg.silver_path}_staged" if staged else version_path(cfg.silver_path, run_id)
         audited = load_version(spark, place, cfg.fmt)
-    run_dq(audited, cfg.suite)
-    if staged:
-        overwrite(audited, cfg.silver_path, run_id, cfg.fmt)
-    else:
+    if cfg.incremental and not staged and change.notes:
+        # the gate, too, looks at what changed only
+        checked = refresh_checks(
+            spark,
+            cfg.suite,
+            cfg.silver_path,
+            f"{cfg.silver_path}_checks",
+            run_id,
+            change.run_id,
+            change.parts,
+            change.touched,
+            change.base,
+            fmt=cfg.fmt,
+        )
+        gate(checked.report)
         change.publish(spark, cfg.silver_path)
+        checked.publish()
+    else:
+        run_dq(audited, cfg.suite)
+        if staged:
+            overwrite(audited, cfg.silver_path, run_id, cfg.fmt)
+        else:
+            change.publish(spark, cfg.silver_path)
     silver = read_table(spark, cfg.silver_path, cfg.fmt)
     return run_gold(
         spark,

@@ -603,6 +603,11 @@ def oracle_sql() -> dict[str, str]:
         "stream_newest": "select * exclude (rn) from (select *, row_number() over (partition by user_id "
         "order by ts desc nulls last, event_id desc nulls last) as rn from events) where rn = 1",
         "dq_report": _with(_SILVER_SUITE, "silver"),
+        "dq_incremental": _with(
+            (_SILVER_SUITE + "\nunion all\n" + _report("silver", [_keyed("duplicates", "silver", "trip_id", "1")]))
+            .replace("from silver", "from arrived_silver"),
+            "arrived_silver",
+        ),
         "dq_verdict": _with(
             f"{_verdict('silver', _SILVER_SUITE)} union all {_verdict('table', _METRIC_SUITE)}",
             "silver",

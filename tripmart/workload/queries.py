@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tripmart.functions.frames import decode_frames, frame_rows
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
 from tripmart.functions.registry import decode_by_id, read_schemas, write_schemas
+from tripmart.operators.check_states import refresh_checks
 from tripmart.operators.checks import Check, QualityError, evaluate, orphans_of, verdict
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
 from tripmart.operators.dedupe import latest_per_key
@@ -642,6 +643,23 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(_written(_silver(spark, sf_dir), "audited"), audit.silver_suite())
 
 
+@_query("dq_incremental")
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver suite and repeated ids over a growing silver, from states of its partitions."""
+    root = scratch_path(spark, "checked")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    suite = [*audit.silver_suite(), Check("duplicates", "trip_id")]
+    for run, names in (("1", ["seed", "live"]), ("2", ["correction", "late"])):
+        _arrive(spark, sf_dir, bronze, *names)
+        change = refresh_silver(spark, bronze, adapter.zones(spark, sf_dir), silver, run, partition_unit="year")
+        checked = refresh_checks(
+            spark, suite, silver, f"{root}/checks", run, run, change.parts, change.touched, change.base, buckets=16
+        )
+        change.publish(spark, silver)
+        checked.publish()
+    return checked.report
+
+
 @_query("dq_verdict")
 def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _written(_silver(spark, sf_dir), "audited")
