@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.cells import hex_cell
+from tripmart.functions.globe import globe_cell
 from tripmart.operators.dedupe import first_per_key
 from tripmart.operators.lookup import fits_broadcast, lookup_join
 from tripmart.schemas import SILVER_KEY
@@ -13,9 +14,15 @@ from tripmart.schemas import SILVER_KEY
 ZONE_ATTRIBUTES = ["zone_name", "borough", "lat", "lon"]
 
 
-def zone_cells(zones: DataFrame, res: int = 9) -> DataFrame:
+# Grids of `zone_cells`: planar cells hold at city scale, those of the globe anywhere.
+GRIDS = {"city": hex_cell, "globe": globe_cell}
+
+
+def zone_cells(zones: DataFrame, res: int = 9, grid: str = "city") -> DataFrame:
     """Zone lookup with its ``cell``, computed once per zone rather than once per trip."""
-    return zones.withColumn("cell", hex_cell(F.col("lat"), F.col("lon"), res))
+    if grid not in GRIDS:
+        raise ValueError(f"unknown grid {grid!r}: expected one of {sorted(GRIDS)}")
+    return zones.withColumn("cell", GRIDS[grid](F.col("lat"), F.col("lon"), res))
 
 
 def _one_row_per_zone(zones: DataFrame) -> DataFrame:
@@ -24,16 +31,19 @@ def _one_row_per_zone(zones: DataFrame) -> DataFrame:
     return first_per_key(listed, ["LocationID"], order)
 
 
-def enrich_zones(trips: DataFrame, zones: DataFrame, cell_col: str | None = None) -> DataFrame:
+def enrich_zones(
+    trips: DataFrame, zones: DataFrame, cell_col: str | None = None, grid: str = "city"
+) -> DataFrame:
     """Add zone, borough, position and cell of pickup and dropoff.
 
     Trips without a known zone stay, with NULLs. A zone listed twice does not double its
-    trips. ``cell_col`` names a column of ``zones`` to use in place of the computed cell.
+    trips. ``cell_col`` names a column of ``zones`` to use in place of the computed cell, ``grid``
+    the grid it is computed on.
     """
     # Measured before the rows are made unique, which only makes them fewer.
     small = fits_broadcast(zones)
     if cell_col is None:
-        zones = zone_cells(zones)
+        zones = zone_cells(zones, grid=grid)
     else:
         zones = zones.withColumn("cell", F.col(cell_col))
     zones = _one_row_per_zone(zones)

@@ -77,6 +77,16 @@ select
 from {customer}
 """
 
+# Places all over the globe, around ten latitudes, one per customer; the first have no position.
+GLOBE_SQL = """
+select
+  c_custkey as LocationID,
+  case when c_custkey <= 3 then 0.0e0
+       else -85.0e0 + (c_custkey % 10) * 18.9e0 + c_acctbal * 0.00031e0 end as lat,
+  -179.3e0 + (c_custkey % 10007) * 0.0353e0 + c_acctbal * 0.0000071e0 as lon
+from {customer}
+"""
+
 # A raw file before normalisation: old names, floating codes, gaps, no trip_id.
 RAW_FILE_SQL = """
 select
@@ -228,6 +238,10 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place_file(spark, sf_dir).withColumnsRenamed(FILE_NAMES)
 
 
+def globe_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(GLOBE_SQL, customer=table(spark, sf_dir, "customer"))
+
+
 def place_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places under the names a zone lookup file has."""
     return spark.sql(PLACES_SQL, customer=table(spark, sf_dir, "customer"))

@@ -6,8 +6,10 @@ the order in which the Spark plans compute them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from tripmart.functions import globe
 from tripmart.functions.cells import (
     AXIS_OFFSET,
     AXIS_SPAN,
@@ -25,6 +27,7 @@ from tripmart.schemas import BRONZE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_
 from tripmart.sources.trips import NATURAL_KEY
 from tripmart.workload.adapter import (
     BATCHES_SQL,
+    GLOBE_SQL,
     PLACES_SQL,
     RAW_FILE_SQL,
     RESOLUTIONS,
@@ -95,6 +98,114 @@ left join cells d on m.DOLocationID = d.LocationID
 """
 
 
+def _numbers(values) -> str:
+    return "[" + ", ".join(f"{v!r}e0" if "e" not in repr(v) else f"cast('{v!r}' as double)" for v in values) + "]"
+
+
+def _hexagons(source: str, kept: str) -> str:
+    """Face and axial coordinates (q, r) of the points (x, y, z) of ``source``, at their ``res``."""
+    planes = globe.faces()
+    dots = ", ".join(f"x * {c[0]!r}e0 + y * {c[1]!r}e0 + z * {c[2]!r}e0" for c, _, _ in planes)
+
+    def axis(k: int) -> str:
+        return " + ".join(f"{v} * {_numbers([p[k][i] for p in planes])}[face + 1]" for i, v in enumerate("xyz"))
+
+    inverse = [1 / b for b in globe.bases()]
+    real, imag = _numbers([i.real for i in inverse]), _numbers([i.imag for i in inverse])
+    root = math.sqrt(3)
+    return f"""
+select {kept}, res, face,
+  cast(case when da > db and da > dc then -rb - rc else ra end as bigint) as q,
+  cast(case when da > db and da > dc then rb when db > dc then -ra - rc else rb end as bigint) as r
+from (
+  select *, abs(ra - a) as da, abs(rb - b) as db, abs(rc - c) as dc from (
+    select *, floor(a + 0.5e0) as ra, floor(b + 0.5e0) as rb, floor(c + 0.5e0) as rc from (
+      select *, -a - b as c from (
+        select *, across + up / {root!r}e0 as a, up * {-2 / root!r}e0 as b from (
+          select *, u * {real}[res + 1] - v * {imag}[res + 1] as across,
+            u * {imag}[res + 1] + v * {real}[res + 1] as up
+          from (
+            select *, sqrt(2.0e0 / (1.0e0 + top)) * ({axis(1)}) as u, sqrt(2.0e0 / (1.0e0 + top)) * ({axis(2)}) as v
+            from (
+              select *, cast(list_position(dots, list_max(dots)) - 1 as int) as face, list_max(dots) as top
+              from (select *, [{dots}] as dots from {source})
+            )
+          )
+        )
+      )
+    )
+  )
+)
+"""
+
+
+def _globe_id(res: str, face: str, q: str, r: str) -> str:
+    bits, offset = globe.AXIS_BITS, globe.AXIS_OFFSET
+    return (
+        f"lpad(lower(to_hex(cast({res} as bigint) * {1 << (globe.FACE_BITS + 2 * bits)} + cast({face} as bigint) * {1 << (2 * bits)}"
+        f" + ({q} + {offset}) * {1 << bits} + ({r} + {offset}))), 15, '0')"
+    )
+
+
+def _globe_cells() -> str:
+    planes, steps = globe.faces(), globe.bases()
+    real, imag = _numbers([s.real for s in steps]), _numbers([s.imag for s in steps])
+
+    def lifted(i: int) -> str:
+        c, e, n = (_numbers([p[k][i] for p in planes]) for k in range(3))
+        return f"d * {c}[face + 1] + shrink * (u * {e}[face + 1] + v * {n}[face + 1])"
+
+    up_rounded = """
+      cast(case when da > db and da > dc then -rb - rc else ra end as bigint) as pq,
+      cast(case when da > db and da > dc then rb when db > dc then -ra - rc else rb end as bigint) as pr"""
+    return f"""
+with places as ({GLOBE_SQL.format(customer="customer")}),
+located as (
+  select LocationID, res, cos(radians(lat)) * cos(radians(lon)) as x, cos(radians(lat)) * sin(radians(lon)) as y,
+    sin(radians(lat)) as z
+  from places cross join (values (4), (9)) t(res) where lat <> 0 and lon <> 0
+), cells as ({_hexagons("located", "LocationID")}
+), parents as (
+  select LocationID, res, {_globe_id("res - 1", "face", "pq", "pr")} as parent from (
+    select *, {up_rounded} from (
+      select *, abs(ra - a) as da, abs(rb - b) as db, abs(rc - c) as dc from (
+        select *, floor(a + 0.5e0) as ra, floor(b + 0.5e0) as rb, floor(c + 0.5e0) as rc from (
+          select *, -a - b as c from (
+            select *, case when res % 2 = 1 then 2.0e0 * q - r else 3.0e0 * q + r end / 7 as a,
+              -(case when res % 2 = 1 then -3.0e0 * r - q else q - 2.0e0 * r end / 7) as b
+            from cells
+          )
+        )
+      )
+    )
+  )
+), around as (
+  select LocationID, res, face, q + dq as q, r + dr as r
+  from cells cross join (values (1, 0), (1, -1), (0, -1), (-1, 0), (-1, 1), (0, 1)) t(dq, dr)
+), steps as (
+  select LocationID, res, {lifted(0)} as x, {lifted(1)} as y, {lifted(2)} as z from (
+    select *, 1.0e0 - (u * u + v * v) / 2 as d, sqrt(1.0e0 - (u * u + v * v) / 4) as shrink from (
+      select *, across * {real}[res + 1] - up * {imag}[res + 1] as u, across * {imag}[res + 1] + up * {real}[res + 1] as v
+      from (select *, q + r / 2.0e0 as across, -r * {math.sqrt(3) / 2!r}e0 as up from around)
+    )
+  )
+), beside as ({_hexagons("steps", "LocationID")}
+), named as (
+  select LocationID, res, {_globe_id("res", "face", "q", "r")} as cell from cells
+), listed as (
+  select b.LocationID, b.res, string_agg(distinct b.near, ',' order by b.near) as neighbours
+  from (select LocationID, res, {_globe_id("res", "face", "q", "r")} as near from beside) b
+  join named n on n.LocationID = b.LocationID and n.res = b.res and n.cell <> b.near
+  group by b.LocationID, b.res
+)
+select p.LocationID, t.res, n.cell, a.parent, l.neighbours
+from places p cross join (values (4), (9)) t(res)
+left join named n on n.LocationID = p.LocationID and n.res = t.res
+left join parents a on a.LocationID = p.LocationID and a.res = t.res
+left join listed l on l.LocationID = p.LocationID and l.res = t.res
+"""
+
+
 _CTES = {
     "trips": TRIPS_SQL.format(**_TABLES),
     "zone_file": ZONES_SQL.format(**_TABLES),
@@ -557,6 +668,7 @@ def oracle_sql() -> dict[str, str]:
             "measured",
         ),
         "zone_cells": _with(all_cells, "places"),
+        "globe_cells": _globe_cells(),
         "enrich_zones": _with(
             "select trip_id, tpep_pickup_datetime, PULocationID, DOLocationID, _tie1, _tie2, "
             "pickup_zone, pickup_borough, pu_lat, pu_lon, pickup_h3, "

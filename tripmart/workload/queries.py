@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.frames import decode_frames, frame_rows
+from tripmart.functions.globe import globe_neighbours, globe_parent
 from tripmart.functions.lineage import LIVE_SOURCE, add_lineage
 from tripmart.functions.registry import decode_by_id, read_schemas, write_schemas
 from tripmart.operators.check_states import refresh_checks
@@ -174,6 +175,20 @@ def cells_of_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("globe_cells")
+def cells_of_globe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of places all over the globe, with their parents and neighbours."""
+    places = adapter.globe_places(spark, sf_dir)
+    found = [zone_cells(places, res, "globe").withColumn("res", F.lit(res)) for res in (4, 9)]
+    return reduce(DataFrame.unionByName, found).select(
+        "LocationID",
+        "res",
+        "cell",
+        globe_parent(F.col("cell")).alias("parent"),
+        F.array_join(globe_neighbours(F.col("cell")), ",").alias("neighbours"),
+    )
+
+
 @_query("enrich_zones")
 def enriched_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = adapter.trips(spark, sf_dir).select(*SILVER_KEY, "PULocationID", "DOLocationID", *TIES)
