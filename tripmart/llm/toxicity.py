@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import heapq
-import math
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,29 +11,34 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import arrays, batch_chunks, doubling_sum, keyed, shuffle_tasks, written
+from tripmart.llm.common import arrays, batch_chunks, doubling_sum, keyed, written
+from tripmart.llm.ngrams import SPACE, code_points, gram_hashes, letters_only, word_hashes
 from tripmart.llm.samples import held_out, labelled_sample
 
-# Bounds of the fit: labelled examples of each class, and terms of the vocabulary.
-PER_CLASS = 4_000
-MAX_TERMS = 4_096
+# Bound of the fit: labelled examples of each class.
+PER_CLASS = 2_000
 
-# A term's share of the label, were both classes equally frequent, must be this large: terms
-# that stand in texts of either kind would only hide the others in a vector.
-LEAST_SHARE = 0.8
+# Terms are all words and the beginnings of longer ones, hashed to so many bits.
+LOG2_TERMS = 18
+TERMS = 1 << LOG2_TERMS
+STEM = 5
 
-# Length of the character n-grams that are terms besides whole words.
-GRAM = 5
+# Every term weighs by its inverse document frequency times a factor between the floor and 1: how
+# surely, among the examples, it goes with the label (its log-likelihood ratio, where the bar is
+# what chance among that many terms gives). So topics decide only between texts that agree in what
+# speaks for the label.
+FLOOR = 0.02
+SURE = 50.0
 
+# Votes fall with the cube of the distance from a point just beside the text. The average of all
+# examples has as many votes as so many examples at distance 1, so that a few far ones do not decide.
 NEIGHBOURS = 24
+BESIDE = 0.05
+AVERAGE_VOTES = 15
+
 BLOCK = 256
-# Words a worker remembers as having no term.
-KNOWN_WORDS = 200_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_FEATURES = pa.schema(
-    [("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("terms", pa.binary()), ("counts", pa.binary())]
-)
 
 
 def _signature(text: str) -> int:
@@ -61,79 +64,65 @@ def without_copies(sample: DataFrame) -> DataFrame:
     return sample.join(F.broadcast(first.distinct()), "doc_id", "left_semi")
 
 
-def terms_of(word: str) -> set[str]:
-    """A word in marks of its ends, and its n-grams."""
-    marked = f"<{word}>"
-    return {marked, *(marked[i : i + GRAM] for i in range(len(marked) - GRAM + 1))}
+def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text, the terms in it and how often: (bounds of the texts, terms, counts).
+
+    Terms are hashed: the runs of letters, lower-cased, and the first STEM letters of longer ones.
+    """
+    points, starts = letters_only(*code_points([t.lower() for t in texts]))
+    words, first = word_hashes(points)
+    owner = np.searchsorted(starts, first, "right") - 1
+    # a text ends in a space, so the places behind a word's first letter are there or in the next text
+    places = np.minimum(first[:, None] + np.arange(STEM + 1), len(points) - 1)
+    begin = first[(points[places] != SPACE).all(1)]
+    stems = gram_hashes(points, STEM)[begin] if len(begin) else words[:0]
+    owner = np.concatenate((owner, np.searchsorted(starts, begin, "right") - 1))
+    terms = (np.concatenate((words, stems)) >> np.uint64(64 - LOG2_TERMS)).astype(np.int64)
+    cells, counts = np.unique((owner << LOG2_TERMS) | terms, return_counts=True)
+    bounds = np.searchsorted(cells, np.arange(len(texts) + 1) << LOG2_TERMS)
+    return bounds, cells & (TERMS - 1), counts
+
+
+def chunk_terms(chunk: pa.RecordBatch):
+    """(terms, counts) of each text in column ``text``."""
+    texts = [t or "" for t in chunk.column(chunk.schema.get_field_index("text")).to_pylist()]
+    bounds, terms, counts = term_counts(texts)
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        yield terms[a:b], counts[a:b]
+
+
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, float]:
+    """In how many rows each term stands, and the number of rows: sums of one vector per task."""
+
+    def count(batches):
+        total = np.zeros(TERMS + 1, np.uint64)
+        for batch in batches:
+            for chunk in batch_chunks(batch):
+                total[-1] += np.uint64(chunk.num_rows)
+                _, terms, _ = term_counts([t or "" for t in chunk.column(0).to_pylist()])
+                total[:-1] += np.bincount(terms, minlength=TERMS).astype(np.uint64)
+        yield arrays(pa.schema([("v", pa.binary())]), [total.tobytes()])
+
+    total = doubling_sum(texts.select("text").mapInArrow(count, "v binary"), TERMS + 1, "u8").astype(np.float64)
+    return total[:-1], float(total[-1])
 
 
-def _association(pos, neg, n_pos: int, n_neg: int):
-    """Log-likelihood ratio of a term and the label, negative if it speaks against it."""
+def association(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> np.ndarray:
+    """Log-likelihood ratio of each term and the label; 0 for a term that speaks against it.
+
+    ``pos`` and ``neg`` count the examples of both kinds that hold the term.
+    """
+    n, both = n_pos + n_neg, pos + neg
 
     def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+        some = (seen > 0) & (expected > 0)
+        return np.where(some, seen * np.log(np.where(some, seen / np.where(expected > 0, expected, 1), 1)), 0)
 
-    n = n_pos + n_neg
-    both = pos + neg
     ratio = 2 * (
         part(pos, both * n_pos / n) + part(neg, both * n_neg / n)
         + part(n_pos - pos, (n - both) * n_pos / n) + part(n_neg - neg, (n - both) * n_neg / n)
     )
-    return F.when(pos * n_neg > neg * n_pos, ratio).otherwise(-ratio)
-
-
-def vocabulary(sample: DataFrame) -> list[str]:
-    """Terms that go with the label in a written sample, beyond what chance among them gives."""
-    counts_schema = pa.schema([("term", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())])
-
-    def count(batches):
-        for batch in batches:
-            for chunk in batch_chunks(batch):
-                seen = (Counter(), Counter())
-                for label, text in zip(chunk.column(0).to_pylist(), chunk.column(1).to_pylist(), strict=True):
-                    words = set(_LETTERS.findall((text or "").lower()))
-                    seen[label].update(set().union(*map(terms_of, words)))
-                terms = list(seen[0].keys() | seen[1].keys())
-                yield arrays(counts_schema, terms, [seen[1][t] for t in terms], [seen[0][t] for t in terms])
-
-    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(1):
-        return []
-    counted = (
-        sample.select("label", "text")
-        .mapInArrow(count, "term string, pos long, neg long")
-        .groupBy("term")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .withColumn("weight", _association(F.col("pos"), F.col("neg"), sizes[1], sizes.get(0, 0)))
-    )
-    rate = F.col("pos") / sizes[1]
-    share = rate / (rate + F.col("neg") / max(sizes.get(0, 0), 1))
-    tested = counted.where("pos > 2").agg(F.count("*")).first()[0]
-    chosen = (
-        counted.where("pos > 2")
-        .where(share >= LEAST_SHARE)
-        .where(F.col("weight") > 2 * math.log(max(tested, 2)) + 3)
-        .orderBy(F.desc("weight"), "term")
-        .limit(MAX_TERMS)
-        .collect()
-    )
-    return sorted(r.term for r in chosen)
-
-
-def _counted(index: dict[str, int], none: set[str], text: str) -> tuple[list[int], list[int]]:
-    """Terms of a text, by number, and how often they stand in it."""
-    words = text.lower().split()
-    found: Counter[int] = Counter()
-    for run in set(words) - none:
-        hits = [index[t] for w in _LETTERS.findall(run) for t in terms_of(w) if t in index]
-        if hits:
-            times = words.count(run)
-            for t in hits:
-                found[t] += times
-        elif len(none) < KNOWN_WORDS:
-            none.add(run)
-    order = sorted(found)
-    return order, [found[t] for t in order]
+    return np.where(pos * n_neg > neg * n_pos, ratio, 0)
 
 
 class BlockMaxIndex:
@@ -141,82 +130,132 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n = len(vectors)
-        blocks = max(1, -(-self.n // BLOCK))
+        self.blocks = blocks = max(1, -(-self.n // BLOCK))
         example = np.repeat(np.arange(self.n), [len(t) for t, _ in vectors])
         term = np.concatenate([t for t, _ in vectors]).astype(np.int64)
         weight = np.concatenate([w for _, w in vectors])
-        cell = term * blocks + example // BLOCK
+        # only terms of examples have postings
+        self.place_of = np.full(n_terms, -1, np.int32)
+        held = np.unique(term)
+        self.place_of[held] = np.arange(len(held))
+        cell = self.place_of[term].astype(np.int64) * blocks + example // BLOCK
         order = np.argsort(cell, kind="stable")
-        self.place = (example % BLOCK)[order].astype(np.uint8)
-        self.weights = weight[order]
+        self.example = example[order].astype(np.int32)
+        self.weights = weight[order].astype(np.float32)
         #: of each term and block, where its postings begin
-        self.starts = np.searchsorted(cell[order], np.arange(n_terms * blocks + 1)).astype(np.int32)
-        self.largest = np.zeros(n_terms * blocks, np.float32)
+        self.starts = np.searchsorted(cell[order], np.arange(len(held) * blocks + 1)).astype(np.int64)
+        self.largest = np.zeros(len(held) * blocks, np.float32)
         np.maximum.at(self.largest, cell, weight)
-        self.largest = self.largest.reshape(n_terms, blocks)
-        self.blocks = blocks
+        self.largest = self.largest.reshape(len(held), blocks)
+
+    def _add(self, scores: np.ndarray, places: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> None:
+        """Add the products of a text's terms and the postings in some blocks to the scores."""
+        cells = (places[:, None] * self.blocks + blocks[None, :]).ravel()
+        first, size = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+        some = size > 0
+        first, size = first[some], size[some]
+        if not len(size):
+            return
+        each = np.repeat(weights, len(blocks))[some]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
+        products = np.repeat(each, size) * self.weights[at]
+        scores += np.bincount(self.example[at], products, self.n)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples with the largest cosine, exactly; ties go to the earlier example.
 
-        Blocks are scored in order of their bound, until no bound reaches the k-th cosine.
+        The blocks with the largest bounds are scored first, then, with the k-th cosine of those as
+        a bar, all others whose bound reaches it.
         """
-        bounds = weights @ self.largest[terms]
-        ids = np.zeros(0, np.int64)
-        cosines = np.zeros(0, np.float32)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if len(ids) >= k and bounds[block] < cosines[k - 1] - 1e-6:
-                break
-            scores = np.zeros(min(BLOCK, self.n - block * BLOCK), np.float32)
-            cells = terms.astype(np.int64) * self.blocks + block
-            for a, b, w in zip(self.starts[cells], self.starts[cells + 1], weights, strict=True):
-                if b > a:
-                    scores[self.place[a:b]] += w * self.weights[a:b]
-            likely = np.flatnonzero(scores >= cosines[k - 1]) if len(ids) >= k else np.arange(len(scores))
-            if len(likely):
-                ids = np.concatenate((ids, block * BLOCK + likely))
-                cosines = np.concatenate((cosines, scores[likely]))
-                best = np.lexsort((ids, -cosines))[:k]
-                ids, cosines = ids[best], cosines[best]
-        return ids, cosines
+        places = self.place_of[terms]
+        places, weights = places[places >= 0].astype(np.int64), weights[places >= 0]
+        bounds = weights @ self.largest[places]
+        order = np.argsort(-bounds, kind="stable")
+        scores, done = np.zeros(self.n), 0
+        while done < self.blocks:
+            some = order[done : max(1, 2 * done)]
+            if done and k <= self.n:
+                reached = np.zeros(self.blocks, bool)
+                reached[order[:done]] = True
+                known = scores[np.repeat(reached, BLOCK)[: self.n]]
+                if len(known) >= k:
+                    bar = np.partition(known, len(known) - k)[len(known) - k] - 1e-6
+                    some = some[bounds[some] >= bar]
+                    if not len(some):
+                        break
+            self._add(scores, places, weights, some)
+            done += len(some)
+        seen = np.zeros(self.blocks, bool)
+        seen[order[:done]] = True
+        likely = np.flatnonzero(np.repeat(seen, BLOCK)[: self.n])
+        cosines = scores[likely]
+        if len(likely) > k:
+            bar = np.partition(cosines, len(likely) - k)[len(likely) - k]
+            some = cosines >= bar
+            likely, cosines = likely[some], cosines[some]
+        best = np.lexsort((likely, -cosines))[:k]
+        return likely[best], cosines[best]
 
 
 class Voters:
     """Labelled examples, and the votes of those nearest to a text's vector."""
 
-    def __init__(self, examples: list[tuple], idf: np.ndarray, stand_for: dict[int, float]):
-        self.idf = idf
-        self.ids = [e[0] for e in examples]
+    def __init__(self, examples: list[tuple], weight: np.ndarray, stand_for: dict[int, float]):
+        self.weight = weight.astype(np.float32)
+        self.ids = np.array([e[0] for e in examples], np.int64)
         self.labels = np.array([e[1] for e in examples], np.float64)
         self.stand_for = np.array([stand_for[e[1]] for e in examples], np.float64)
-        vectors = [self.vector(e[2], e[3]) for e in examples]
-        self.index = BlockMaxIndex(vectors, len(idf))
-        blank = np.array([len(t) == 0 for t, _ in vectors], bool)
-        share = self.stand_for @ self.labels / max(self.stand_for.sum(), 1e-9)
-        weight = self.stand_for[blank]
-        self.share = float(share)
-        self.blank = float((weight @ self.labels[blank] + share) / (weight.sum() + 1))
-        self.known: dict[bytes, tuple] = {}
+        self.index = BlockMaxIndex([self.vector(e[2], e[3]) for e in examples], len(weight))
+        self.share = float(self.stand_for @ self.labels / self.stand_for.sum())
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weights = (1 + np.log(counts)) * self.idf[terms]
+        weights = (1 + np.log(counts)) * self.weight[terms]
         norm = np.sqrt((weights**2).sum())
         return terms, (weights / (norm or 1)).astype(np.float32)
 
-    def score(self, terms: bytes, counts: bytes) -> tuple[float, list[int]]:
-        if not terms:
-            return self.blank, []
-        key = terms + counts
-        if key not in self.known:
-            if len(self.known) > 50_000:
-                self.known.clear()
-            query = self.vector(np.frombuffer(terms, np.int32), np.frombuffer(counts, np.int32))
-            ids, cosines = self.index.nearest(*query, NEIGHBOURS)
-            votes = self.stand_for[ids] / (0.05 + np.maximum(0, 1 - cosines))
-            # one vote of the average, so that a few far neighbours do not decide alone
-            score = (votes @ self.labels[ids] + self.share) / (votes.sum() + 1)
-            self.known[key] = (float(score), [self.ids[i] for i in ids[:3]])
-        return self.known[key]
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
+        if not len(terms):
+            return self.share, []
+        ids, cosines = self.index.nearest(*self.vector(terms, counts), NEIGHBOURS)
+        votes = self.stand_for[ids] / (BESIDE + np.maximum(0, 1 - cosines)) ** 3
+        average = AVERAGE_VOTES * self.stand_for.mean()
+        score = (votes @ self.labels[ids] + average * self.share) / (votes.sum() + average)
+        return float(score), self.ids[ids[:3]].tolist()
+
+
+def _voters(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int) -> Voters | float:
+    """Voters out of the labelled rows, or the label's share if there is nothing to vote with."""
+    drawn, stand_for = labelled_sample(docs, labels, label, folds, fold, PER_CLASS)
+    drawn = written(drawn, "toxic-drawn")
+    sample = without_copies(drawn)
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.binary()), ("counts", pa.binary())])
+
+    def pack(batches):
+        for batch in batches:
+            for chunk in batch_chunks(batch):
+                found = [(t.astype("i4").tobytes(), c.astype("i4").tobytes()) for t, c in chunk_terms(chunk)]
+                yield arrays(schema, chunk.column(0), chunk.column(1), *zip(*found, strict=True))
+
+    packed = sample.select("doc_id", "label", "text").mapInArrow(pack, "doc_id long, label int, terms binary, counts binary")
+    examples = [
+        (r.doc_id, r.label, np.frombuffer(bytes(r.terms), np.int32), np.frombuffer(bytes(r.counts), np.int32))
+        for r in packed.toLocalIterator()
+    ]
+    if not any(len(t) for _, _, t, _ in examples):
+        return float(np.mean([e[1] for e in examples])) if examples else 0.0
+    examples.sort(key=lambda e: (e[0], e[1]))
+    # what was drawn stands for its class, also for the copies that went
+    taken = {r.label: r.n for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    left = np.bincount([e[1] for e in examples], minlength=2)
+    stand_for = {c: w * taken[c] / left[c] for c, w in stand_for.items() if left[c]}
+
+    df, n = document_frequencies(keyed(docs))
+    held = [np.zeros(TERMS), np.zeros(TERMS)]
+    for _, c, terms, _ in examples:
+        held[c][terms] += 1
+    factor = np.clip(association(held[1], held[0], left[1], left[0]) / SURE, FLOOR, 1) if left.all() else np.ones(TERMS)
+    return Voters(examples, factor * np.log(1 + n / np.maximum(df, 1)), stand_for)
 
 
 def score_toxicity(
@@ -224,80 +263,37 @@ def score_toxicity(
 ) -> DataFrame:
     """doc_id, text_key, held_out, score, predicted and evidence (ids of the three nearest examples).
 
-    One row per input row. Null and empty texts, and texts without a term of the vocabulary,
-    get the share of the label among examples without one. Without any labelled row all
-    scores are 0. Other columns of the inputs do not matter.
+    One row per input row. Texts without a word, null and empty ones too, get the label's share
+    among labelled rows, and no evidence. Without any labelled row all scores are 0. Other columns
+    of the inputs do not matter.
 
-    Examples are a bounded sample of labelled rows outside the fold (``PER_CLASS`` of each
-    class), without near copies of each other. Terms are the words and character n-grams that go with the label in the sample;
-    their document frequencies are counted over all documents. Vectors are TF-IDF with length
-    1, and an inverted index in blocks with block maxima finds the nearest examples exactly.
-    They vote with a weight that falls with distance, and for as many labelled rows as the
-    sample took them from, which makes the score a share of the label.
+    Examples are a bounded sample of labelled rows outside the fold (``PER_CLASS`` of each class),
+    both the label's and clean ones, without near copies of each other. Vectors are TF-IDF of all
+    words (hashed, frequencies over all documents), weighted by how they go with the label, with
+    length 1. For every text with a word, an inverted index in blocks with block maxima finds the
+    nearest examples exactly. They vote with a weight that falls with distance, and each for as
+    many labelled rows as stand behind it, which makes the score a share of the label.
     """
-    spark = docs.sparkSession
-    sample, stand_for = labelled_sample(docs, labels, label, folds, fold, PER_CLASS)
-    sample = written(without_copies(written(sample, "toxic-drawn")), "toxic-sample")
-    words = vocabulary(sample)
-    index = spark.sparkContext.broadcast({t: i for i, t in enumerate(words)})
-
-    def features(batches):
-        none: set[str] = set()
-        for batch in batches:
-            for chunk in batch_chunks(batch):
-                found = [_counted(index.value, none, t or "") for t in chunk.column(3).to_pylist()]
-                packed = [[np.array(x, np.int32).tobytes() for x in part] for part in zip(*found, strict=True)]
-                yield arrays(_FEATURES, *chunk.columns[:3], *packed)
-
-    fields = "doc_id long, text_key long, held_out boolean, terms binary, counts binary"
-    rows = keyed(docs)
-    table = written(
-        rows.select("doc_id", "text_key", held_out(rows, folds, fold).alias("held_out"), "text").mapInArrow(
-            features, fields
-        ),
-        "toxic-features",
-    )
-
-    def frequency(batches):
-        total = np.zeros(len(words) + 1)
-        for batch in batches:
-            total[-1] += batch.num_rows
-            for x in batch.column(0).to_pylist():
-                total[np.frombuffer(x, np.int32)] += 1
-        yield arrays(pa.schema([("v", pa.binary())]), [total.tobytes()])
-
-    df = doubling_sum(table.select("terms").mapInArrow(frequency, "v binary"), len(words) + 1, "f8")
-    idf = np.log(1 + df[-1] / np.maximum(df[:-1], 1))
-    known = sample.select("doc_id", F.lit(0).cast("long").alias("text_key"), F.col("label").cast("boolean").alias("held_out"), "text")
-    examples = [] if not words else [
-        (r.doc_id, int(r.held_out), np.frombuffer(bytes(r.terms), np.int32), np.frombuffer(bytes(r.counts), np.int32))
-        for r in known.mapInArrow(features, fields).collect()
-    ]
-    examples.sort(key=lambda e: (e[0], e[1]))
-    if not examples:
-        share = sample.agg(F.avg("label")).first()[0] or 0.0
-        return table.select(
-            "doc_id", "text_key", "held_out", F.lit(share).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"),
-            F.array().cast("array<long>").alias("evidence"),
-        )
-    voters = spark.sparkContext.broadcast(Voters(examples, idf, stand_for))
+    spark, rows = docs.sparkSession, keyed(docs)
+    voters = spark.sparkContext.broadcast(_voters(docs, labels, label, folds, fold))
     out = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
          ("predicted", pa.int32()), ("evidence", pa.list_(pa.int64()))]
     )
 
     def vote(batches):
+        judge = voters.value
         for batch in batches:
-            found = [
-                voters.value.score(t, c)
-                for t, c in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
-            ]
-            scores = [s for s, _ in found]
-            yield arrays(
-                out, *batch.columns[:3], scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
-            )
-
-    # the table's few small files would be few tasks
-    return table.repartition(4 * shuffle_tasks(spark)).mapInArrow(
+            for chunk in batch_chunks(batch):
+                if isinstance(judge, float):
+                    found = [(judge, [])] * chunk.num_rows
+                else:
+                    found = [judge.score(*x) for x in chunk_terms(chunk)]
+                scores = [s for s, _ in found]
+                yield arrays(
+                    out, *chunk.columns[:3], scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
+                )
+
+    return rows.select("doc_id", "text_key", held_out(rows, folds, fold).alias("held_out"), "text").mapInArrow(
         vote, "doc_id long, text_key long, held_out boolean, score double, predicted int, evidence array<long>"
     )
