@@ -10,7 +10,7 @@ import pytest
 import rows as R
 
 from tripmart.llm import queries
-from tripmart.llm.decontaminate import common_subsequence, find_leaks, weighted_subsequence
+from tripmart.llm.decontaminate import common_subsequence, find_leaks, longest_run, weighted_subsequence
 from tripmart.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses, sentences
 from tripmart.llm.packing import Encoder, best_fit, pack
 from tripmart.llm.topk import top_k
@@ -55,6 +55,84 @@ def test_leaks_of_nothing(spark):
     assert got == {(7, 1), (8, 1), (9, 1), (None, 1)}
 
 
+def test_excerpts_and_long_items(spark):
+    """Whole items of any length, and 13 words in a row from anywhere in one; nothing shorter."""
+    rng = random.Random(12)
+    filler = lambda n: [f"f{rng.randrange(4000)}" for _ in range(n)]
+    items = {
+        1: [f"long{i}" for i in range(1000)],
+        2: [f"mid{i}" for i in range(59)],
+        3: [f"tiny{i}" for i in range(7)],
+        4: [f"code{i % 40}x{i // 40}" for i in range(300)],
+        5: ["common"] * 40 + [f"own{i}" for i in range(12)],
+    }
+    docs, expected = [], set()
+
+    def plant(words, *items_in):
+        d = len(docs)
+        text = filler(rng.randrange(40, 400)) + list(words) + filler(rng.randrange(40, 400))
+        docs.append((d, " ".join(text)))
+        expected.update((d, i) for i in items_in)
+
+    for item in (1, 2, 3, 4):
+        for _ in range(6):
+            plant(items[item], item)
+    for _ in range(12):
+        at = rng.randrange(0, 700)
+        plant(items[1][at : at + 300], 1)
+        plant(items[2][rng.choice([0, 5, 10, 19]) :][:40], 2)
+        at = rng.randrange(0, 980)
+        plant(items[1][at : at + 20], 1)
+        at = rng.randrange(0, 280)
+        plant(items[4][at : at + 18], 4)
+        # a paraphrase: one word in seven is another
+        plant([w if i % 7 else f"other{i}" for i, w in enumerate(items[2])], 2)
+    for _ in range(20):
+        plant(filler(10))
+        plant(items[1][:9])
+        plant(items[2][30:39])
+        plant(rng.sample(items[2], 30))
+    docs.append((len(docs), " ".join(filler(20_000) + items[2] + filler(30_000))))
+    expected.add((docs[-1][0], 2))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    rows = find_leaks(R.frame(spark, docs), table).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert got - expected == set()
+    assert len(got & expected) >= 0.98 * len(expected)
+    runs = {(r.doc_id, r.item_id): r.run for r in rows}
+    assert all(runs[d, 1] == 1000 for d in range(6))
+
+
+def test_items_go_by_blocks(spark, monkeypatch):
+    from tripmart.llm import decontaminate
+
+    docs, items = R.frame(spark, R.corpus()), [(i, " ".join(f"x{i}y{k}" for k in range(20))) for i in range(9)]
+    items.append((50, R.PASSAGE))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole = R.bag(find_leaks(docs, table).select("doc_id", "item_id").collect())
+    monkeypatch.setattr(decontaminate, "PROBES", 3)
+    assert R.bag(find_leaks(docs, table).select("doc_id", "item_id").collect()) == whole and whole
+
+
+def test_longest_run():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        item, text = (rng.integers(0, 3, rng.integers(0, 30)).astype(np.uint32) for _ in range(2))
+        best = 0
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n]:
+                    n += 1
+                best = max(best, n)
+        n, i = longest_run(item, text, 4)
+        # of words that repeat, the first place of each four is followed
+        assert n <= best and (n >= 4) == (best >= 4)
+    item = np.arange(100, dtype=np.uint32)
+    text = np.concatenate((item[70:90], item[10:50], item[:15]))
+    assert longest_run(item, text, 13) == (40, 10)
+
+
 def test_subsequences():
     rng = np.random.default_rng(6)
     for _ in range(50):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,24 +25,33 @@ RANK = 64
 # Words whose passages a task works on at once.
 CHUNK_WORDS = 250_000
 
-# A passage is a candidate for an item from this share of what the item has in the latent
-# space (whole copies lie above 0.42: some passage of 32 words holds 14 of the item at least),
-# if the TF-IDF vectors themselves are that near, too.
+# A passage is a candidate for a passage of an item from this share of what that has in the latent
+# space, if the TF-IDF vectors themselves are that near, too. Passages begin every 16 words on both
+# sides, so 13 words that stand in both lie in one pair of passages, and are 0.4 of it.
 LEAST_COSINE = 0.28
 LEAST_TFIDF = 0.28
 
-# An item counts as found if so much of it stands in the document in the same order: all of
-# it on its own, or less together with its answer. Shares are of words and of TF-IDF weight.
+# An item counts as found if so many of its words in a row stand in the document, and are no
+# boilerplate: their mean inverse document frequency tells.
+RUN = 13
+RUN_IDF = 1.0
+
+# Or if so much of it stands there in the same order: nearly all of it on its own, or less together
+# with its answer. Shares are of words and of TF-IDF weight; beyond LONG words, of words only.
 WHOLE = 0.75
 PARAPHRASE = 0.5
 ANSWER = 0.75
 ANSWER_WORDS = 8
+LONG = 2_000
+
+# Item passages that every task holds at a time; more are searched for in further passes.
+PROBES = 50_000
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("words", pa.binary())])
 _V = pa.schema([("v", pa.binary())])
 _HITS = pa.schema(
     [("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()),
-     ("cosine", pa.float64()), ("lcs", pa.float64()), ("answer", pa.bool_())]
+     ("cosine", pa.float64()), ("lcs", pa.float64()), ("run", pa.int64()), ("answer", pa.bool_())]
 )
 _SENTENCE = re.compile(r"[.!?]+\s+(?=\S)")
 
@@ -53,11 +64,15 @@ _ALNUM = np.array([chr(i).isalnum() for i in range(0x3000)] + [True], bool)
 
 
 def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """16-bit hashes of the words (letters and digits, lower case), and counts per text."""
+    """32-bit hashes of the words (letters and digits, lower case), and counts per text."""
     points, starts = code_points([t.lower() for t in texts])
     values, first = word_hashes(np.where(_alnum(points), points, 32))
     counts = np.diff(np.searchsorted(first, starts))
-    return (values >> np.uint64(48)).astype(np.uint16), counts
+    return (values >> np.uint64(32)).astype(np.uint32), counts
+
+
+def term_of(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint32(32 - LOG2_TERMS)).astype(np.int32)
 
 
 def word_table(docs: DataFrame) -> DataFrame:
@@ -78,9 +93,9 @@ def _groups(batches, column: int):
     """Rows of about ``CHUNK_WORDS`` words: a slice of the batch, its words, counts per row."""
     for batch in batches:
         blobs = batch.column(column).to_pylist()
-        sizes = np.array([len(b) // 2 for b in blobs])
+        sizes = np.array([len(b) // 4 for b in blobs])
         for a, b in chunks(sizes, CHUNK_WORDS):
-            words = np.frombuffer(b"".join(blobs[a:b]), np.uint16)
+            words = np.frombuffer(b"".join(blobs[a:b]), np.uint32)
             yield batch.slice(a, b - a), words, sizes[a:b]
 
 
@@ -91,7 +106,7 @@ def _blocks(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarra
     number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     own = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
     terms = np.full(len(row) * size, TERMS, np.int32)
-    terms[np.repeat((np.cumsum(n) - n) * size, counts) + own] = words >> 2
+    terms[np.repeat((np.cumsum(n) - n) * size, counts) + own] = term_of(words)
     # a term counts once in a block
     terms = np.sort(terms.reshape(-1, size), 1)
     terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = TERMS
@@ -112,25 +127,27 @@ def _filled(table: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """Benchmark items: words, terms, and where the answer begins."""
+    """Benchmark items: their words and where the answer is, and the passages they are cut into."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self):
         self.ids, self.words, self.answers = [], [], []
-        for item, text in rows:
-            words = hashed([text])[0]
-            if len(words):
-                last = hashed([_SENTENCE.split(text.strip())[-1]])[0]
-                answer = words[-min(len(last), ANSWER_WORDS) :] if len(last) else words[-ANSWER_WORDS:]
-                self.ids.append(item)
-                self.words.append(words)
-                self.answers.append(answer)
-
-    def vectors(self, idf: np.ndarray) -> np.ndarray:
-        rows = np.zeros((len(self.ids), TERMS), np.float32)
-        for row, words in zip(rows, self.words, strict=True):
-            np.add.at(row, words >> 2, idf[words >> 2])
-            row /= np.sqrt((row**2).sum()) or 1
-        return rows
+        self.passages: list[np.ndarray] = []
+        self.item: list[int] = []
+        self.offset: list[int] = []
+
+    def add(self, item: int, text: str) -> None:
+        words = hashed([text])[0]
+        if not len(words):
+            return
+        last = hashed([_SENTENCE.split(text.strip())[-1]])[0]
+        answer = words[-min(len(last), ANSWER_WORDS) :] if len(last) else words[-ANSWER_WORDS:]
+        for at in range(0, max(1, len(words) - BLOCK), BLOCK):
+            self.passages.append(np.unique(term_of(words[at : at + 2 * BLOCK])))
+            self.item.append(len(self.ids))
+            self.offset.append(at)
+        self.ids.append(item)
+        self.words.append(words)
+        self.answers.append(answer)
 
 
 def passage_frequencies(words: DataFrame) -> tuple[np.ndarray, float]:
@@ -148,18 +165,17 @@ def passage_frequencies(words: DataFrame) -> tuple[np.ndarray, float]:
     return found[:-1], float(found[-1])
 
 
-def latent_space(words: DataFrame, items: np.ndarray, idf: np.ndarray, n_passages: float) -> np.ndarray:
-    """Right singular vectors (TERMS x RANK) of all passages and the items, by random projection.
+def latent_space(words: DataFrame, items: DataFrame, idf: np.ndarray, n_passages: float) -> np.ndarray:
+    """Right singular vectors (TERMS x RANK) of all passages and the items', by random projection.
 
-    The matrix has a row of length 1 for each passage of two blocks, and the items, weighted to
-    count as much as all passages. One distributed pass sums what the passages give to the
-    sketch A'(A R), another one A Q's products; between them only matrices of the sketch's size
-    are on the driver.
+    The matrix has a row of length 1 for each passage of two blocks of the documents and of the
+    items (both tables of words), the latter weighted to count as much as the former. One
+    distributed pass sums what the passages give to the sketch A'(A R), another one A Q's products;
+    between them only matrices of the sketch's size are on the driver.
     """
     spark = words.sparkSession
     rank = min(RANK, TERMS)
     projection = np.random.default_rng(23).standard_normal((TERMS, rank)).astype(np.float32)
-    share = n_passages / max(len(items), 1)
     squares = _filled(idf**2)
 
     def projected(own, counts, table):
@@ -178,9 +194,12 @@ def latent_space(words: DataFrame, items: np.ndarray, idf: np.ndarray, n_passage
                 into += np.bincount(flat, given[block], TERMS + 1)
         yield arrays(_V, [total[:, :TERMS].T.astype(np.float32).tobytes()])
 
-    column = words.select("words")
-    sketched = doubling_sum(column.mapInArrow(sketch, "v binary"), TERMS * rank, "f4").reshape(TERMS, rank)
-    sketched = idf[:, None] * sketched + share * items.T @ (items @ projection)
+    def summed(table: DataFrame, of, size: int, dtype: str) -> np.ndarray:
+        return doubling_sum(table.select("words").mapInArrow(of, "v binary"), size, dtype)
+
+    share = n_passages / max(passage_frequencies(items)[1], 1.0)
+    sketched = summed(words, sketch, TERMS * rank, "f4") + share * summed(items, sketch, TERMS * rank, "f4")
+    sketched = idf[:, None] * sketched.reshape(TERMS, rank)
     basis = np.linalg.qr(sketched.astype(np.float64))[0].astype(np.float32)
     based = spark.sparkContext.broadcast(_filled(idf[:, None] * basis))
 
@@ -191,9 +210,8 @@ def latent_space(words: DataFrame, items: np.ndarray, idf: np.ndarray, n_passage
             total += rows.T @ rows
         yield arrays(_V, [total.tobytes()])
 
-    gram = doubling_sum(column.mapInArrow(product, "v binary"), rank * rank, "f8").reshape(rank, rank)
-    inner = items @ basis
-    values, turn = np.linalg.eigh(gram + share * inner.T @ inner)
+    gram = summed(words, product, rank * rank, "f8") + share * summed(items, product, rank * rank, "f8")
+    values, turn = np.linalg.eigh(gram.reshape(rank, rank))
     return basis @ turn[:, np.argsort(-values)].astype(np.float32)
 
 
@@ -220,21 +238,57 @@ def weighted_subsequence(item: np.ndarray, text: np.ndarray, weights: np.ndarray
     return float(best[-1] / max(weights.sum(), 1e-9))
 
 
+def longest_run(item: np.ndarray, text: np.ndarray, least: int) -> tuple[int, int]:
+    """Length and first word (in the item) of the longest common run of ``least`` words or more."""
+    if len(item) < least or len(text) < least:
+        return 0, 0
+    powers = np.multiply.accumulate(np.full(least, 0x9E3779B97F4A7C15, np.uint64))
+
+    def grams(words: np.ndarray) -> np.ndarray:
+        wide = words.astype(np.uint64) + np.uint64(1)
+        total = wide[: len(wide) - least + 1] * powers[0]
+        for i in range(1, least):
+            total += wide[i : len(wide) - least + 1 + i] * powers[i]
+        return total
+
+    own, order = np.unique(grams(item), return_index=True)
+    theirs = grams(text)
+    at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+    best = (0, 0)
+    for j in np.flatnonzero(own[at] == theirs).tolist():
+        i = int(order[at[j]])
+        if best[0] and j + best[0] <= len(text) and i + best[0] <= len(item):
+            # a run that began earlier holds this one, or this one has to be longer
+            if not np.array_equal(item[i : i + best[0]], text[j : j + best[0]]):
+                continue
+        n = min(len(item) - i, len(text) - j)
+        differs = np.flatnonzero(item[i : i + n] != text[j : j + n])
+        n = int(differs[0]) if len(differs) else n
+        if n >= least and n > best[0]:
+            best = (n, i)
+    return best
+
+
 class Finder:
-    """Benchmark items in the latent space, and the checks on candidate passages."""
+    """Passages of benchmark items in the latent space, and the checks on candidates."""
 
     def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray):
         self.items, self.idf = items, idf
         self.table = _filled(idf[:, None] * space)
         self.squares = _filled(idf**2)
-        self.vectors = np.pad(items.vectors(idf), ((0, 0), (0, 1)))
-        own = self.vectors[:, :TERMS] @ space
-        length = np.sqrt((own**2).sum(1, keepdims=True))
-        # a passage's product with this is its share of what the item has in the space
-        self.probes = (own / np.maximum(length**2, 1e-9)).T.astype(np.float32)
+        # terms of each item passage, filled up, and their weights in a vector of length 1
+        self.terms = np.full((len(items.passages), 2 * BLOCK), TERMS, np.int32)
+        for row, terms in zip(self.terms, items.passages, strict=True):
+            row[: len(terms)] = terms
+        weights = np.append(idf, 0).astype(np.float32)[self.terms]
+        self.weights = weights / np.maximum(np.sqrt((weights**2).sum(1, keepdims=True)), 1e-9)
+        own = np.einsum("ij,ijk->ik", self.weights, np.append(space, np.zeros((1, space.shape[1])), 0)[self.terms])
+        # a passage's product with this is its share of what the item's has in the space
+        self.probes = (own / np.maximum((own**2).sum(1, keepdims=True), 1e-9)).T.astype(np.float32)
+        self.item, self.offset = np.array(items.item), np.array(items.offset)
 
     def candidates(self, words: np.ndarray, counts: np.ndarray):
-        """Rows, first words and items of passages near to an item, with the share."""
+        """Rows, first words, item passages near to a passage, with the share."""
         terms, starts, row = _blocks(words, counts, BLOCK)
         if not len(starts):
             return [], [], [], []
@@ -247,86 +301,138 @@ class Finder:
         paired = np.zeros(len(terms), bool)
         paired[pair] = True
         found = []
-        for a in range(0, len(starts), 8192):
-            near = sums[a : a + 8192] @ self.probes
-            at, item = np.divmod(np.flatnonzero(near >= LEAST_COSINE), near.shape[1])
-            near, at = near[at, item], at + a
-            exact = self._weight(terms[at], item)
-            second = np.flatnonzero(paired[at])
-            exact[second] += self._weight(terms[at[second] + 1], item[second])
+        step = max(1, 4_000_000 // self.probes.shape[1])
+        for a in range(0, len(starts), step):
+            near = sums[a : a + step] @ self.probes
+            at, probe = np.divmod(np.flatnonzero(near >= LEAST_COSINE), near.shape[1])
+            near, at = near[at, probe], at + a
+            exact = self._weight(terms, paired, at, probe)
             keep = np.flatnonzero(exact * scale[at] >= LEAST_TFIDF)
-            found.append((at[keep], item[keep], near[keep]))
-        at, item, near = (np.concatenate(x) for x in zip(*found, strict=True))
-        return row[at], starts[at], item, near
+            found.append((at[keep], probe[keep], near[keep]))
+        at, probe, near = (np.concatenate(x) for x in zip(*found, strict=True))
+        return row[at], starts[at], probe, near
 
-    def _weight(self, terms: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Product of blocks and items, of their TF-IDF vectors."""
+    def _weight(self, terms: np.ndarray, paired: np.ndarray, at: np.ndarray, probe: np.ndarray) -> np.ndarray:
+        """Product of document and item passages, of their TF-IDF vectors."""
+        total = np.zeros(len(at), np.float32)
         weights = np.append(self.idf, 0).astype(np.float32)
-        return (self.vectors[item[:, None], terms] * weights[terms]).sum(1)
-
-    def check(self, text: np.ndarray, item: int, start: int) -> tuple[float, bool] | None:
-        """Share of the item in order around a passage and whether the answer is there, if found."""
+        for a in range(0, len(at), 4096):
+            some, own = at[a : a + 4096], self.terms[probe[a : a + 4096]]
+            given = self.weights[probe[a : a + 4096]] * weights[own]
+            hit = (own[:, :, None] == terms[some][:, None, :]).any(2)
+            second = np.flatnonzero(paired[some])
+            hit[second] |= (own[second][:, :, None] == terms[some[second] + 1][:, None, :]).any(2)
+            total[a : a + 4096] = (given * hit).sum(1)
+        return total
+
+    def check(self, text: np.ndarray, item: int, start: int, offset: int) -> tuple[float, int, bool] | None:
+        """Share of the item in order around a passage, longest run, and the answer, if found.
+
+        ``offset`` is where in the item its passage begins: the item is looked for around there.
+        """
         words = self.items.words[item]
-        region = text[max(0, start - len(words)) : start + 2 * BLOCK + len(words)]
+        slack = 2 * BLOCK + len(words) // 4
+        region = text[max(0, start - offset - slack) : start - offset + len(words) + slack]
+        run, first = longest_run(words, region, RUN)
+        if run and self.idf[term_of(words[first : first + run])].mean() < RUN_IDF:
+            run = 0
         share = common_subsequence(words, region) / len(words)
-        if share < PARAPHRASE:
-            return None
-        weight = weighted_subsequence(words, region, self.idf[words >> 2])
-        answer = self.items.answers[item]
-        there = common_subsequence(answer, region) >= ANSWER * len(answer)
-        if min(share, weight) >= WHOLE or (min(share, weight) >= PARAPHRASE and there):
-            return share, there
-        return None
+        there = False
+        if share >= PARAPHRASE:
+            weight = share
+            if len(words) <= LONG:
+                weight = weighted_subsequence(words, region, self.idf[term_of(words)])
+            answer = self.items.answers[item]
+            there = common_subsequence(answer, region) >= ANSWER * len(answer)
+            if min(share, weight) >= WHOLE or (min(share, weight) >= PARAPHRASE and there):
+                return share, run, there
+        return (share, run, there) if run else None
+
+    def leaks(self, text: np.ndarray, hits: list[tuple[int, int, float]]) -> dict[int, tuple]:
+        """The best of a document's candidates (first word, item passage, share) for each item found."""
+        best: dict[int, tuple] = {}
+        seen: set[tuple[int, int]] = set()
+        for start, probe, near in sorted(hits, key=lambda h: -h[2]):
+            item, offset = int(self.item[probe]), int(self.offset[probe])
+            # candidates that place the item alike are one
+            place = (item, (start - offset) // (2 * BLOCK))
+            if place in seen:
+                continue
+            seen.add(place)
+            met = self.check(text, item, start, offset)
+            if met:
+                entry = (-met[0], -met[1], start, near, met[2])
+                best[item] = min(best.get(item, entry), entry)
+        return best
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Benchmark items found in documents: doc_id, text_key, item_id, start, cosine, lcs, answer.
-
-    One row for each row of the documents and item found in it: the best of its passages, by
-    the share ``lcs`` of the item's words that stand there in the same order, then by place.
-    ``start`` is the passage's first word. Null and empty texts have no passage, and items
-    without a word are never found. Items that repeat an id are one each. Other columns do not
-    matter.
-
-    Passages of 32 words, a new one every 16, are TF-IDF vectors of hashed terms; the passages
-    of all documents and the items span a latent space by a distributed randomised SVD. Passages
-    near to an item there are checked word by word: the longest common subsequence of the item
-    and the text around, by number and by weight, alone if it is nearly all of the item, else
-    together with the item's answer (its last sentence, eight words at most). The items are the
-    stated query set and are held by every task.
+    """Benchmark items found in documents: doc_id, text_key, item_id, start, cosine, lcs, run, answer.
+
+    One row for each row of the documents and item found in it: the best of its passages, by the
+    share ``lcs`` of the item's words that stand there in the same order, by the longest run of them
+    (``run``, 0 below 13 words), then by place. ``start`` is the passage's first word. Null and
+    empty texts have no passage; items without a word or without an id are never found. Items that
+    repeat an id are one each. Other columns do not matter.
+
+    Documents and items are cut into passages of 32 words, a new one every 16: TF-IDF vectors of
+    hashed terms, which span a latent space by a distributed randomised SVD. Where passages of both
+    are near there, the item is checked word by word around: by its longest consecutive run, which
+    tells excerpts of 13 words or more, and by the longest common subsequence, by number and by
+    weight, alone if it is nearly all of the item, else together with the item's answer (its last
+    sentence, eight words at most), which tells paraphrases. Items go to the tasks in blocks of
+    ``PROBES`` passages, one pass over the documents each.
     """
     spark = docs.sparkSession
     rows = benchmark.select(
         benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text")
     ).where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    items = Items(sorted((r.item_id, r.text) for r in rows.distinct().collect()))
+    rows = rows.distinct()
     words = word_table(docs)
-    fields = "doc_id long, text_key long, item_id long, start long, cosine double, lcs double, answer boolean"
-    if not items.ids:
-        return spark.createDataFrame([], fields)
+    fields = "doc_id long, text_key long, item_id long, start long, cosine double, lcs double, run long, answer boolean"
+    asked = word_table(rows.select(F.col("item_id").alias("doc_id"), "text"))
     df, n = passage_frequencies(words)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
-    space = latent_space(words, items.vectors(idf), idf, max(n, 1.0))
-    shared = spark.sparkContext.broadcast(Finder(items, idf, space))
+    space = latent_space(words, asked, idf, max(n, 1.0))
+    found = [_search(words, items, idf, space, fields) for items in _item_blocks(rows)]
+    if not found:
+        return spark.createDataFrame([], fields)
+    return reduce(DataFrame.union, found)
+
+
+def _item_blocks(rows: DataFrame) -> Iterator[Items]:
+    """The items in blocks of about ``PROBES`` passages; the driver holds one at a time."""
+    items = Items()
+    for row in rows.toLocalIterator():
+        items.add(row.item_id, row.text)
+        if len(items.passages) >= PROBES:
+            yield items
+            items = Items()
+    if items.ids:
+        yield items
+
+
+def _search(words: DataFrame, items: Items, idf: np.ndarray, space: np.ndarray, fields: str) -> DataFrame:
+    """Leaks of a block of items in all documents."""
+    shared = words.sparkSession.sparkContext.broadcast(Finder(items, idf, space))
 
     def find(batches):
         finder = shared.value
         for part, own, counts in _groups(batches, 2):
             begin = np.cumsum(counts) - counts
-            best: dict[tuple[int, int], tuple] = {}
-            for r, start, item, near in zip(*finder.candidates(own, counts), strict=True):
-                place = int(start - begin[r])
-                met = finder.check(own[begin[r] : begin[r] + counts[r]], int(item), place)
-                if met:
-                    entry = (-met[0], place, float(near), met[1])
-                    key = (int(r), finder.items.ids[int(item)])
-                    best[key] = min(best.get(key, entry), entry)
-            if best:
-                at = pa.array([r for r, _ in best])
-                lcs, start, near, there = zip(*best.values(), strict=True)
+            near: dict[int, list] = {}
+            for r, start, probe, share in zip(*finder.candidates(own, counts), strict=True):
+                near.setdefault(int(r), []).append((int(start - begin[r]), int(probe), float(share)))
+            rows = []
+            for r, hits in near.items():
+                for item, entry in finder.leaks(own[begin[r] : begin[r] + counts[r]], hits).items():
+                    share, run, start, cosine, there = entry
+                    rows.append((r, finder.items.ids[item], start, cosine, -share, -run, there))
+            if rows:
+                at, item, start, cosine, share, run, there = zip(*rows, strict=True)
+                at = pa.array(at)
                 yield arrays(
-                    _HITS, part.column(0).take(at), part.column(1).take(at), [i for _, i in best], start, near,
-                    [-x for x in lcs], there,
-                )
+                    _HITS, part.column(0).take(at), part.column(1).take(at), item, start, cosine, share, run, there
+                )
 
     return words.mapInArrow(find, fields)
