@@ -14,6 +14,7 @@ from tripmart.llm.decontaminate import common_subsequence, find_leaks, longest_r
 from tripmart.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses, sentences
 from tripmart.llm.packing import Encoder, best_fit, pack
 from tripmart.llm.topk import top_k
+from tripmart.llm import topk
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -248,6 +249,49 @@ def test_encoder():
     assert encode(texts) == [encode.whole(t) for t in texts]
 
 
+def _best(ids, rows, query, own, k):
+    scores = rows.astype(object) @ query.astype(object)
+    hits = sorted((-int(s), int(i)) for i, s in zip(ids, scores, strict=True) if i != own)[:k]
+    return [i for _, i in hits], [-s for s, _ in hits]
+
+
+@pytest.mark.parametrize("kind", ["skewed", "normal", "wide", "huge", "few", "equal", "one"])
+def test_index_is_exact_and_stops_on_proof(kind):
+    rng = np.random.default_rng(3)
+    n, dims = 2000, 32
+    rows = np.floor(64 * rng.normal(size=(n, dims)))
+    if kind == "skewed":  # a few large components each, as of learned sparse vectors
+        rows = np.floor(64 * rng.pareto(1.0, (n, dims)).clip(0, 300) * (rng.random((n, dims)) < 0.15))
+    elif kind == "wide":
+        rows *= 1000
+    elif kind == "huge":
+        rows *= 2.0**22
+    elif kind == "few":
+        rows = rows[:5]
+    elif kind == "equal":
+        rows[:] = 7
+    elif kind == "one":
+        rows = rows[:1]
+    rows = rows.astype(np.int64)
+    ids = rng.permutation(5 * len(rows))[: len(rows)]
+    index = topk.ImpactIndex(ids, rows)
+    asked = range(0, len(rows), max(1, len(rows) // 40))
+    for i in asked:
+        got = index.search(rows[i], ids[i], 20)
+        assert ([int(x) for x in got[0]], [int(x) for x in got[1]]) == _best(ids, rows, rows[i], ids[i], 20)
+    if kind == "skewed":
+        assert index.early > 0.6 * len(asked)
+
+
+def test_shards_and_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=4 + i % 3)]) for i in range(300)] + [(400, []), (420, []), (440, [2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = R.bag(top_k(table).collect())
+    monkeypatch.setattr(topk, "SHARD_NUMBERS", 64)
+    assert R.bag(top_k(table).collect()) == whole and len({r[0] for r in whole}) == 17
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(9)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(120)]

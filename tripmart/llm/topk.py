@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import arrays, written
 
-# Vectors of a shard, and queries that one task puts to it.
-SHARD = 8_192
-QUERY_BLOCK = 1_024
+# Numbers of a shard: its vectors times their length.
+SHARD_NUMBERS = 1 << 20
 
-# Width of a quantised impact level, in units of a component.
-LEVEL = 4
+# Shares of a query's segments after which the proof is tried.
+STRIDES = (1 / 16, 1 / 8, 1 / 4, 1 / 2)
 
 _HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -37,83 +36,86 @@ def integer_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
 
 
 class ImpactIndex:
-    """Per dimension the vectors by their quantised component, cut into posting segments."""
+    """Posting segments of a shard: per dimension, vectors with components of one quantised level."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids = ids
-        n, dims = rows.shape
-        segments, members = [], []
-        for d in range(dims):
-            own = rows[:, d]
-            level = (own - own.min()) // LEVEL
-            for value in np.unique(level):
-                inside = level == value
-                segments.append((d, own[inside].min(), own[inside].max()))
-                members.append(inside)
-        self.dim, self.low, self.high = np.array(segments, np.int64).reshape(-1, 3).T
-        self.first = np.flatnonzero(np.diff(self.dim, prepend=-1))
-        # sums of products are whole numbers that the type holds exactly, unless components are huge
+        self.ids, self.rows = ids, rows
+        self.n, dims = rows.shape
         largest = int(np.abs(rows).max(initial=0))
-        bits = np.float32 if dims * largest**2 < 1 << 23 else np.float64
-        self.rows = rows if largest >= 1 << 20 else rows.astype(bits)
-        #: postings of each segment, as marks, so that a block of queries adds them at once
-        self.postings = np.array(members).reshape(-1, n).astype(bits)
+        # products are whole numbers that the type holds exactly, unless components are huge
+        exact = np.float32 if dims * largest**2 < 1 << 23 else np.float64
+        self.exact = rows if dims * largest**2 >= 1 << 52 else rows.astype(exact)
+        #: vectors of all segments, one after the other, and where each segment begins
+        order = np.argsort(rows, axis=0, kind="stable")
+        self.postings = order.T.ravel().astype(np.int32)
+        begins, dim, low, high = [], [], [], []
+        # quantised by rank, in halves towards both ends: large components make small segments
+        halves = self.n >> np.arange(1, max(2, self.n.bit_length()))
+        ranks = np.unique(np.concatenate(([0], halves, self.n - halves)))
+        ranks = ranks[ranks < self.n]
+        for d in range(dims):
+            own = rows[order[:, d], d]
+            # cuts move to where the component changes
+            cuts = np.unique(np.searchsorted(own, own[ranks]))
+            begins.append(cuts + d * self.n)
+            dim.append(np.full(len(cuts), d))
+            low.append(own[cuts])
+            high.append(own[np.append(cuts[1:], self.n) - 1])
+        self.begins = np.append(np.concatenate(begins), dims * self.n) if begins else np.zeros(1, np.int64)
+        self.dim, self.low, self.high = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (dim, low, high))
+        self.sizes = np.diff(self.begins)
+        #: queries that ended on proof before their last stride
+        self.early = 0
 
     def scores(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
-        return (self.rows[some] @ query.astype(self.rows.dtype)).astype(np.int64)
+        return (self.exact[some] @ query.astype(self.exact.dtype)).astype(np.int64)
 
-    def search(self, queries: np.ndarray, own_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query the ids and scores of the ``k`` best vectors but its own.
+    def bounds(self, impact: np.ndarray, done: np.ndarray) -> np.ndarray:
+        """The most that each vector can score, if of the segments ``done`` are processed.
 
-        Ties go to the smaller id. A segment's impact is the most that its postings can add to a
-        score. Each query's segments are added in descending order of impact, in three strides:
-        down to a quarter of its largest impact, down to zero, and the rest. After a stride, a
-        vector's sum and what the dimensions not yet met can still add bound its score. A query
-        ends once that bound proves that few vectors can reach the k-th exact score known; those
-        are scored exactly. A sum is never too small, so none is missed.
+        A processed segment adds its impact to its postings' scores. A vector without one in a
+        dimension has at most the largest impact that is left there.
+        """
+        if not len(done):
+            return np.zeros(self.n)
+        left = impact.copy()
+        left[done] = -np.inf
+        rest = np.full(self.rows.shape[1], -np.inf)
+        np.maximum.at(rest, self.dim, left)
+        rest[np.isneginf(rest)] = 0
+        size = self.sizes[done]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.begins[:-1][done] - (ends - size), size)
+        gained = np.repeat(impact[done] - rest[self.dim[done]], size)
+        return rest.sum() + np.bincount(self.postings[at], gained, self.n)
+
+    def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best vectors but the query's own; ties to the smaller id.
+
+        Segments are processed in descending order of impact, the most that a posting of theirs can
+        add to a score. After a stride, the vectors that can still reach the k-th best exact score
+        known are the possible members. The query ends once they are few, or after half of the
+        segments, from where scoring what is possible costs less than going on. The possible members
+        are scored exactly: that no other vector is a member is proved by its bound.
         """
-        n = len(self.ids)
-        found: list = [(self.ids[:0], self.ids[:0])] * len(queries)
-        if not len(self.dim):
-            return found
-        weight = queries[:, self.dim]
-        impact = np.where(weight > 0, weight * self.high, weight * self.low).astype(self.postings.dtype)
-        reach = np.zeros((len(queries), n), self.postings.dtype)
-        active = np.arange(len(queries))
-        above = np.full(len(queries), np.inf)
-        for share in (0.25, 0.0, -np.inf):
-            # a share of the largest impact, nothing, or no bound at all
-            cut = share * np.maximum(impact.max(1), 0) if share > 0 else np.full(len(queries), share)
-            own = impact[active]
-            now = (own > cut[active, None]) & (own <= above[active, None])
-            reach[active] += np.where(now, own, 0) @ self.postings
-            left = np.where(own > cut[active, None], -np.inf, own)
-            rest = np.maximum(np.maximum.reduceat(left, self.first, axis=1), 0).sum(1)
-            above = cut
-            going = []
-            for at, more in zip(active.tolist(), rest, strict=True):
-                hits = self._prove(queries[at], reach[at] + more, own_ids[at], k, share == -np.inf)
-                if hits is None:
-                    going.append(at)
-                else:
-                    found[at] = hits
-            active = np.array(going, np.int64)
-            if not going:
+        weight = query[self.dim].astype(np.float64)
+        impact = np.maximum(weight * self.low, weight * self.high)
+        order = np.argsort(-impact, kind="stable")
+        possible = np.arange(self.n)
+        for share in STRIDES:
+            done = order[: max(1, int(share * len(order)))]
+            bound = self.bounds(impact, done)
+            bound[self.ids == own_id] = -np.inf
+            near = np.argpartition(-bound, min(4 * k, self.n - 1))[: 4 * k]
+            near = near[bound[near] > -np.inf]
+            floor = -np.inf
+            if len(near) >= k:
+                # doubles of huge products are a little off
+                floor = np.sort(self.scores(query, near))[-k] - 1e-12 * np.abs(impact).sum()
+            possible = np.flatnonzero((bound >= floor) & (bound > -np.inf))
+            if len(possible) <= max(4 * k, self.n // 64):
+                self.early += share < STRIDES[-1]
                 break
-        return found
-
-    def _prove(self, query, bound, own_id, k, last):
-        """The answer, if the bounds leave few vectors, or if there is nothing left to add."""
-        n = len(bound)
-        bound[self.ids == own_id] = -np.inf
-        some = np.argpartition(-bound, min(4 * k, n - 1))[: 4 * k]
-        some = some[bound[some] > -np.inf]
-        if not len(some):
-            return self.ids[:0], self.ids[:0]
-        floor = np.sort(self.scores(query, some))[-k] if len(some) >= k else -np.inf
-        possible = np.flatnonzero((bound >= floor) & (bound > -np.inf))
-        if len(possible) > n // 16 and not last:
-            return None
         scores = self.scores(query, possible)
         best = np.lexsort((self.ids[possible], -scores))[:k]
         return self.ids[possible][best], scores[best]
@@ -126,45 +128,54 @@ def top_k(table: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> Da
     product of the integer vectors; only vectors of equal length are compared. Ties go to the
     smaller ``vec_id``; a query without candidates has no row. Other columns do not matter.
 
-    Vectors are dealt into shards and queries into blocks; each pair of a shard and a block is
-    one group, whose size is bounded. A group builds the impact-ordered index of its shard and
-    answers its queries; the best of all shards are then ranked.
+    Vectors are dealt into shards of ``SHARD_NUMBERS`` numbers, and every query goes to every
+    shard of its length. A task builds the impact-ordered index of a shard once, from the shard's
+    vectors, which come first, and then streams the queries past it; the best of all shards are
+    ranked at last. Vectors without components score 0 with each other.
     """
-    spark = table.sparkSession
     rows = written(integer_vectors(table, scale).withColumn("dims", F.size("x")), "integer-vectors")
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    n, n_queries = rows.count(), queries.count()
-    shards, blocks = max(1, -(-n // SHARD)), max(1, -(-n_queries // QUERY_BLOCK))
-
-    def part(into: int, seed: int):
-        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(into)).cast("int")
-
-    def all_of(into: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(into - 1)))
-
-    left = rows.select("dims", part(shards, 3).alias("shard"), all_of(blocks).alias("block"), "vec_id", "x")
-    right = queries.select("dims", all_of(shards).alias("shard"), part(blocks, 5).alias("block"), "vec_id", "x")
-    keys = ["dims", "shard", "block"]
-
-    def answer(key, own, asked):
-        dims = key[0].as_py()
-        if not (own.num_rows and asked.num_rows):
-            return _HITS.empty_table()
-        vectors, wanted = (
-            pa.concat_arrays(t.column("x").chunks).flatten().to_numpy().reshape(-1, dims) for t in (own, asked)
-        )
-        index = ImpactIndex(own.column("vec_id").to_numpy(), vectors)
-        asked_ids = asked.column("vec_id").to_numpy()
-        found = [
-            (np.full(len(hit[0]), q), *hit)
-            for q, hit in zip(asked_ids, index.search(wanted, asked_ids, k), strict=True)
-        ]
-        return pa.Table.from_batches([arrays(_HITS, *(np.concatenate(c) for c in zip(*found, strict=True)))])
+    sizes = rows.groupBy("dims").agg(
+        F.ceil(F.count("*") * F.greatest("dims", F.lit(1)) / F.lit(SHARD_NUMBERS)).cast("int").alias("shards")
+    )
+    dealt = rows.join(sizes, "dims")
+    shard = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shards")).cast("int")
+    asked = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    queries = dealt.where(F.pmod("vec_id", F.lit(every)) == 0)
+    both = dealt.select("dims", shard.alias("shard"), F.lit(False).alias("asks"), "vec_id", "x").union(
+        queries.select("dims", asked.alias("shard"), F.lit(True), "vec_id", "x")
+    )
+
+    def answer(batches):
+        at, index, ids, parts = None, None, [], []
+        for batch in batches:
+            dims, shards, asks, vec = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            x = batch.column(4).flatten().to_numpy()
+            first = np.concatenate(([0], np.cumsum(dims)))
+            found = []
+            change = np.flatnonzero((np.diff(dims) != 0) | (np.diff(shards) != 0) | (np.diff(asks.astype(int)) != 0)) + 1
+            for a, b in zip([0, *change], [*change, len(dims)], strict=True):
+                if a == b:
+                    continue
+                group, own = (dims[a], shards[a]), x[first[a] : first[b]].reshape(b - a, dims[a])
+                if group != at:
+                    at, index, ids, parts = group, None, [], []
+                if not asks[a]:
+                    ids.append(vec[a:b])
+                    parts.append(own)
+                    continue
+                if index is None and ids:
+                    index = ImpactIndex(np.concatenate(ids), np.concatenate(parts))
+                if index is not None:
+                    for q, query in zip(vec[a:b], own, strict=True):
+                        hit, score = index.search(query, q, k)
+                        found.append((np.full(len(hit), q), hit, score))
+            if found:
+                yield arrays(_HITS, *(np.concatenate(c) for c in zip(*found, strict=True)))
 
     hits = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInArrow(answer, "query_id long, vec_id long, score long")
+        both.repartition("dims", "shard")
+        .sortWithinPartitions("dims", "shard", "asks")
+        .mapInArrow(answer, "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
