@@ -16,7 +16,7 @@ from tripmart.llm.ngrams import SPACE, code_points, gram_hashes, letters_only, w
 from tripmart.llm.samples import held_out, labelled_sample
 
 # Bound of the fit: labelled examples of each class.
-PER_CLASS = 2_000
+PER_CLASS = 1_500
 
 # Terms are all words and the beginnings of longer ones, hashed to so many bits.
 LOG2_TERMS = 18
@@ -38,6 +38,10 @@ AVERAGE_VOTES = 15
 
 BLOCK = 256
 
+# A term in this share of the examples is common; texts are scored so many at a time.
+COMMON = 0.06
+BATCH = 256
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -147,6 +151,24 @@ class BlockMaxIndex:
         self.largest = np.zeros(len(held) * blocks, np.float32)
         np.maximum.at(self.largest, cell, weight)
         self.largest = self.largest.reshape(len(held), blocks)
+        # terms in many examples: a matrix, which a batch of texts is multiplied with
+        per_term = np.bincount(self.place_of[term], minlength=len(held))
+        self.common = np.flatnonzero(per_term >= max(COMMON * self.n, 1))
+        self.common_at = np.full(len(held), -1, np.int32)
+        self.common_at[self.common] = np.arange(len(self.common))
+        self.matrix = np.zeros((len(self.common), self.n), np.float32)
+        at = self.common_at[self.place_of[term]]
+        self.matrix[at[at >= 0], example[at >= 0]] = weight[at >= 0]
+
+    def common_parts(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What common terms add to the cosines of each text and all examples."""
+        dense = np.zeros((len(vectors), len(self.common)), np.float32)
+        for row, (terms, weights) in zip(dense, vectors, strict=True):
+            places = self.place_of[terms]
+            at = self.common_at[places]
+            here = (places >= 0) & (at >= 0)
+            row[at[here]] = weights[here]
+        return dense @ self.matrix
 
     def _add(self, scores: np.ndarray, places: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> None:
         """Add the products of a text's terms and the postings in some blocks to the scores."""
@@ -162,19 +184,25 @@ class BlockMaxIndex:
         products = np.repeat(each, size) * self.weights[at]
         scores += np.bincount(self.example[at], products, self.n)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, common: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples with the largest cosine, exactly; ties go to the earlier example.
 
         The blocks with the largest bounds are scored first, then, with the k-th cosine of those as
-        a bar, all others whose bound reaches it.
+        a bar, all others whose bound reaches it. ``common`` is the text's row of `common_parts`.
         """
+        if common is None:
+            common = self.common_parts([(terms, weights)])[0]
         places = self.place_of[terms]
         places, weights = places[places >= 0].astype(np.int64), weights[places >= 0]
         bounds = weights @ self.largest[places]
+        rare = self.common_at[places] < 0
+        places, weights = places[rare], weights[rare]
         order = np.argsort(-bounds, kind="stable")
-        scores, done = np.zeros(self.n), 0
+        scores, done = common.astype(np.float64), 0
         while done < self.blocks:
-            some = order[done : max(1, 2 * done)]
+            some = order[done : max(2, 4 * done)]
             if done and k <= self.n:
                 reached = np.zeros(self.blocks, bool)
                 reached[order[:done]] = True
@@ -214,10 +242,18 @@ class Voters:
         norm = np.sqrt((weights**2).sum())
         return terms, (weights / (norm or 1)).astype(np.float32)
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        if not len(terms):
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        found = []
+        for a in range(0, len(texts), BATCH):
+            vectors = [self.vector(*x) for x in texts[a : a + BATCH]]
+            parts = self.index.common_parts(vectors)
+            found += [self._vote(*x) for x in zip(vectors, parts, strict=True)]
+        return found
+
+    def _vote(self, vector: tuple[np.ndarray, np.ndarray], common: np.ndarray) -> tuple[float, list[int]]:
+        if not len(vector[0]):
             return self.share, []
-        ids, cosines = self.index.nearest(*self.vector(terms, counts), NEIGHBOURS)
+        ids, cosines = self.index.nearest(*vector, NEIGHBOURS, common)
         votes = self.stand_for[ids] / (BESIDE + np.maximum(0, 1 - cosines)) ** 3
         average = AVERAGE_VOTES * self.stand_for.mean()
         score = (votes @ self.labels[ids] + average * self.share) / (votes.sum() + average)
@@ -288,7 +324,7 @@ def score_toxicity(
                 if isinstance(judge, float):
                     found = [(judge, [])] * chunk.num_rows
                 else:
-                    found = [judge.score(*x) for x in chunk_terms(chunk)]
+                    found = judge.scores(list(chunk_terms(chunk)))
                 scores = [s for s, _ in found]
                 yield arrays(
                     out, *chunk.columns[:3], scores, [int(s >= 0.5) for s in scores], [e for _, e in found]
