@@ -1,9 +1,12 @@
 """Line dedup, SimHash and substring dedup against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 import rows as R
 import xxhash
+from pyspark.sql import functions as F
 
 from tripmart.llm import bloom, simhash
 from tripmart.llm.fmindex import FmIndex, earliest_occurrences
@@ -153,3 +156,32 @@ def test_empty_tables(spark):
     none = R.frame(spark, [])
     assert dedup_lines(none).count() == remove_repeats(none).count() == 0
     assert simhash.near_duplicates(none).count() == 0
+
+
+def test_a_hot_phrase_is_split_by_its_windows(spark, monkeypatch):
+    """A short phrase in many documents with other words around it, some of which are copies."""
+    from tripmart.llm import substrings
+
+    rng = random.Random(21)
+    phrase = [f"hot{i}" for i in range(10)]
+    rows = []
+    for d in range(3000):
+        text = [f"w{rng.randrange(50_000)}" for _ in range(30)] + phrase + [f"w{rng.randrange(50_000)}" for _ in range(30)]
+        rows.append((d, " ".join(text)))
+    for d in range(3000, 3040):  # whole copies, and copies of what is around the phrase
+        other = rows[rng.randrange(3000)][1].split()
+        rows.append((d, " ".join(other if d % 2 else [*other[20:50], "new", *other[50:]])))
+    docs = R.frame(spark, rows, 8)
+
+    def imbalance():
+        sent, shards = substrings.suspected_windows(docs, 20)
+        sizes = [r.n or 0 for r in sent.groupBy("shard").agg(F.sum(F.octet_length("words")).alias("n")).collect()]
+        return max(sizes) * shards / sum(sizes)
+
+    monkeypatch.setattr(substrings, "SHARD_WORDS", 40_000)
+    monkeypatch.setattr(substrings, "HOT_WORDS", 10**9)
+    assert imbalance() > 3
+    monkeypatch.setattr(substrings, "HOT_WORDS", 10_000)
+    assert imbalance() < 1.5
+    got = remove_repeats(docs, window=20, texts=False).drop("text_key").collect()
+    assert R.bag(got) == R.bag(R.removed_repeats(rows))

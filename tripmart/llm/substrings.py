@@ -19,6 +19,9 @@ GRAM = 5
 # Words a shard would hold, were all windows suspects.
 SHARD_WORDS = 4_000_000
 
+# An n-gram whose windows have more words than this is split by the windows' own content.
+HOT_WORDS = SHARD_WORDS // 4
+
 # Bytes of a word's hash that are sent to a shard.
 WORD_BYTES = 6
 
@@ -151,11 +154,28 @@ def _unpacked(data: bytes) -> np.ndarray:
     return whole.reshape(-1).view(np.uint64)
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """Windows that occur earlier: doc_id (null as ``FIRST``), text_key, start, windows.
+def hot_grams(rows: DataFrame, repeats, window: int) -> np.ndarray:
+    """Hashes, in order, of n-grams whose suspected windows hold more than ``HOT_WORDS`` words.
 
-    Each row is a span: ``windows`` windows that begin at word ``start`` and the words after it.
+    There is at most one for so many words of the corpus.
     """
+    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+
+    def count(batches):
+        for batch in batches:
+            for chunk in batch_chunks(batch):
+                _, sizes, grams = segments(*hashed_words(text_bytes(chunk.column(0))), window)
+                at = np.flatnonzero(bloom.suspects(repeats.value, grams))
+                held, of = np.unique(grams[at], return_inverse=True)
+                yield arrays(schema, held.view(np.int64), np.bincount(of, sizes[at] + window - 1, len(held)).astype(np.int64))
+
+    counted = rows.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    found = counted.where(F.col("n") > HOT_WORDS).select("gram").collect()
+    return np.sort(np.array([r.gram for r in found], np.int64).view(np.uint64))
+
+
+def suspected_windows(docs: DataFrame, window: int) -> tuple[DataFrame, int]:
+    """Runs of windows to compare, with the shard that compares them; and the number of shards."""
     rows = keyed(docs)
 
     def insert(batches):
@@ -165,7 +185,9 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
 
     repeats, total = bloom.repeats(rows.select("text").mapInArrow(insert, bloom.INSERTS), "gram-inserts")
     shards = max(1, -(-total * (window + 8) // SHARD_WORDS))
-    shared = docs.sparkSession.sparkContext.broadcast(repeats)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(repeats)
+    hot = context.broadcast(hot_grams(rows, shared, window))
 
     def find(batches):
         for batch in batches:
@@ -176,9 +198,15 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                 if not len(at):
                     continue
                 first, sizes, grams = first[at], sizes[at], grams[at]
+                # windows of a hot n-gram go one by one, each by what it says
+                split = np.isin(grams, hot.value)
+                single, _ = _gather(first[split], sizes[split]) if split.any() else (first[:0], None)
+                first, grams = np.concatenate((first[~split], single)), grams[~split]
+                sizes = np.concatenate((sizes[~split], np.ones(len(single), np.int64)))
                 lengths = sizes + window - 1
                 places, begin = _gather(first, lengths)
                 content = _run_hashes(words[places], begin, lengths)
+                meets = np.concatenate((grams, content[len(grams) :]))
                 doc_at = np.cumsum(counts) - counts
                 doc = np.searchsorted(doc_at, first, "right") - 1
                 ids = chunk.column(0).fill_null(FIRST).to_numpy()[doc]
@@ -190,10 +218,20 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
                     yield _decided(ids[after], keys[after], start[after], sizes[after], shards)
                 own = np.flatnonzero(lead)
                 yield arrays(
-                    _FOUND, (grams[own] % np.uint64(shards)).astype(np.int32), ids[own], keys[own], start[own],
+                    _FOUND, (meets[own] % np.uint64(shards)).astype(np.int32), ids[own], keys[own], start[own],
                     sizes[own].astype(np.int32), [_packed(words[a : a + n]) for a, n in zip(first[own], lengths[own], strict=True)],
                 )
 
+    return rows.select("doc_id", "text", "text_key").mapInArrow(find, _FIELDS), shards
+
+
+def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+    """Windows that occur earlier: doc_id (null as ``FIRST``), text_key, start, windows.
+
+    Each row is a span: ``windows`` windows that begin at word ``start`` and the words after it.
+    """
+    sent, shards = suspected_windows(docs, window)
+
     def by_shard(batches):
         held, shard = [], None
         for batch in batches:
@@ -209,9 +247,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
         yield from _match(held, window)
 
     return (
-        rows.select("doc_id", "text", "text_key")
-        .mapInArrow(find, _FIELDS)
-        .repartition(max(shards, shuffle_tasks(docs.sparkSession)), "shard")
+        sent.repartition(max(shards, shuffle_tasks(docs.sparkSession)), "shard")
         .sortWithinPartitions("shard")
         .mapInArrow(by_shard, "doc_id long, text_key long, start long, windows int")
     )
@@ -264,7 +300,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, texts: bool = True) -> Dat
     that repeat a document have equal results. Other columns do not matter.
 
     Every window belongs to the shard of its smallest n-gram, so equal windows meet in one
-    shard. Two Bloom filters leave out windows whose n-gram was seen once. Of equal runs of
+    shard; windows of an n-gram that is hot (a short phrase with ever other words around it) are dealt
+    by their own content. Two Bloom filters leave out windows whose n-gram was seen once. Of equal runs of
     windows a task sends only its first to the shard. A shard builds an FM-index of its distinct
     runs and streams them through it by backward search; what it reports are the windows whose
     earliest occurrence lies before. Words are compared by 48-bit hashes.
