@@ -11,7 +11,7 @@ import rows as R
 
 from tripmart.llm import queries
 from tripmart.llm.decontaminate import common_subsequence, find_leaks, longest_run, weighted_subsequence
-from tripmart.llm.licenses import ANCHORS, RULES, SENTENCES, scan_licenses, sentences
+from tripmart.llm.licenses import GAP_WORDS, RULES, SENTENCES, Licences, scan_licenses
 from tripmart.llm.packing import Encoder, best_fit, pack
 from tripmart.llm.topk import top_k
 from tripmart.llm import topk
@@ -152,7 +152,7 @@ def test_license_rules(spark):
     docs = [
         (1, "Text.\n" + "\n".join(mit)),
         (2, " ".join([mit[0], "A. B. C.", *mit[1:]])),
-        (3, " ".join([mit[0], "A. B. C. D. E.", *mit[1:]])),
+        (3, " ".join([mit[0], "other " * (GAP_WORDS + 1), *mit[1:]])),
         (4, " ".join(reversed(mit))),
         (5, "LICENSED under the Apache License, Version 2.0!\nAll rights reserved."),
         (6, None),
@@ -163,8 +163,59 @@ def test_license_rules(spark):
         1: ("MIT", 3), 2: ("MIT", 3), 3: ("", 3), 4: ("", 3),
         5: ("Apache-2.0,LicenseRef-reserved", 2), 6: ("", 0), 7: ("", 0),
     }
-    assert all(any(a.decode() in s for a in ANCHORS) for s in SENTENCES.values())
-    assert {i for _, ids in RULES for i in ids} <= SENTENCES.keys()
+    licences = Licences(SENTENCES, RULES)
+    assert all(any(a in s.encode() for a in licences.anchors) for s in SENTENCES.values()) and len(licences.anchors) < 30
+    # every rule is met by its own sentences, each in words of any case, marks and line ends
+    for name, ids in RULES:
+        text = ",\n// ".join(SENTENCES[i].upper() for i in ids)
+        assert name in {hit[0] for hit in licences.apply(licences.sentences(text.encode()))}, ids
+
+
+def test_licenses_agree_with_sql(spark):
+    """Sentences inside others, over marks and line ends, one after the other, and not over empty lines."""
+    import duckdb
+
+    from tripmart.llm.oracles import ORACLES
+
+    rng = random.Random(14)
+    names = list(SENTENCES)
+    docs = [
+        (1, "This file is licensed under the MIT License."), (2, "# SPDX-License-Identifier: MIT"),
+        (3, "Licensed under the Apache License,\n   Version 2.0 (the \"License\")"),
+        (4, "MIT\n\nLicense"), (5, "MIT |\nLicense | the mit\r\nlicense"), (6, None), (7, ""),
+        (8, "all rights reservedness. All Rights RESERVED"), (9, "é MIT Licensé, mit license"),
+    ]
+    for d in range(10, 150):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            rule = rng.choice(RULES)[1] if rng.random() < 0.6 else [rng.choice(names)]
+            for i in rule:
+                words = SENTENCES[i].split()
+                if rng.random() < 0.1:
+                    words.insert(rng.randrange(len(words)), "odd")
+                joints = [" ", ", ", ".\n", "\n# ", " - "] + (["\n\n"] if rng.random() < 0.1 else [])
+                parts.append("".join(w + rng.choice(joints) for w in words))
+                parts.append("filler " * rng.choice([0, 1, 5, 39, 40, 41]))
+        docs.append((d, "".join(parts)))
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", docs)
+    got = scan_licenses(R.frame(spark, docs)).drop("spans")
+    assert compare.differences(got, con, ORACLES["op4_license_scan"]) is None
+    by_id = {r.doc_id: r.licenses for r in got.collect()}
+    assert [by_id[i] for i in (1, 2, 3, 4)] == ["MIT", "MIT", "Apache-2.0", ""]
+
+
+def test_licenses_of_ones_own(spark):
+    own = {"a": "the house rules apply", "b": "no ball games"}
+    docs = R.frame(spark, [(1, "Here the House Rules apply. No ball games!"), (2, "No ball games. The house rules apply."), (3, "MIT license")])
+    got = {r.doc_id: (r.licenses, r.n_sentences) for r in scan_licenses(docs, own, [("House-1.0", ["a", "b"])]).collect()}
+    assert got == {1: ("House-1.0", 2), 2: ("", 2), 3: ("", 0)}
+    with pytest.raises(ValueError, match="unknown"):
+        Licences(own, [("x", ["c"])])
+    with pytest.raises(ValueError, match="normal form"):
+        Licences({"a": "Not Normal"}, [])
+    assert scan_licenses(R.frame(spark, [])).count() == 0
 
 
 def test_wrapped_licenses(spark):
@@ -202,7 +253,7 @@ you may not use this file except in compliance with the License."""
     for name, text in SENTENCES.items():
         words = text.split()
         wrapped = "\n".join("# " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
-        assert [f[1] for f in sentences(wrapped.encode())] == [name]
+        assert [f[1] for f in Licences(SENTENCES, RULES).sentences(wrapped.encode())] == [name]
 
 
 def test_packing(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,12 +54,34 @@ SENTENCES = {
     "spdx-gpl3": "spdx license identifier gpl 3 0 or later",
     "spdx-gpl3-only": "spdx license identifier gpl 3 0 only",
     "spdx-bsd3": "spdx license identifier bsd 3 clause",
+    "spdx-bsd2": "spdx license identifier bsd 2 clause",
+    "spdx-gpl2": "spdx license identifier gpl 2 0 or later",
+    "spdx-gpl2-only": "spdx license identifier gpl 2 0 only",
+    "spdx-lgpl21": "spdx license identifier lgpl 2 1 or later",
+    "spdx-lgpl3": "spdx license identifier lgpl 3 0 or later",
+    "spdx-agpl3": "spdx license identifier agpl 3 0 or later",
+    "spdx-mpl2": "spdx license identifier mpl 2 0",
+    "spdx-isc": "spdx license identifier isc",
+    "spdx-zlib": "spdx license identifier zlib",
+    "spdx-bsl": "spdx license identifier bsl 1 0",
+    "spdx-epl": "spdx license identifier epl 2 0",
+    "spdx-cc0": "spdx license identifier cc0 1 0",
+    "spdx-unlicense": "spdx license identifier unlicense",
+    "lgpl21-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl-named": "distributed under the boost software license version 1 0",
+    "epl-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+    "cc0-named": "cc0 1 0 universal",
 }
 
 # Licences, each by the sentences that must follow each other.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-named",)),
-    ("Apache-2.0", ("apache-the-license", "apache-may-not")),
+    ("Apache-2.0", ("apache-the-license",)),
     ("Apache-2.0", ("apache-may-not", "apache-copy", "apache-as-is")),
     ("Apache-2.0", ("spdx-apache",)),
     ("MIT", ("mit-named",)),
@@ -87,87 +110,131 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4",)),
     ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4",)),
     ("Unlicense", ("unlicense",)),
+    ("Unlicense", ("spdx-unlicense",)),
+    ("BSD-2-Clause", ("spdx-bsd2",)),
+    ("GPL-2.0", ("spdx-gpl2",)),
+    ("GPL-2.0", ("spdx-gpl2-only",)),
+    ("LGPL-2.1", ("lgpl21-free", "lgpl-hope")),
+    ("LGPL-2.1", ("spdx-lgpl21",)),
+    ("LGPL-3.0", ("lgpl3-free", "lgpl-hope")),
+    ("LGPL-3.0", ("spdx-lgpl3",)),
+    ("AGPL-3.0", ("agpl-free", "gpl-hope")),
+    ("AGPL-3.0", ("spdx-agpl3",)),
+    ("MPL-2.0", ("spdx-mpl2",)),
+    ("ISC", ("spdx-isc",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("Zlib", ("spdx-zlib",)),
+    ("BSL-1.0", ("bsl-named",)),
+    ("BSL-1.0", ("spdx-bsl",)),
+    ("EPL-2.0", ("epl-terms",)),
+    ("EPL-2.0", ("spdx-epl",)),
+    ("CC0-1.0", ("cc0-named",)),
+    ("CC0-1.0", ("spdx-cc0",)),
     ("LicenseRef-reserved", ("reserved",)),
 ]
 
-# Each known sentence has one of these words, so a text without is not read on.
-ANCHORS = (b"licen", b"license", b"permission", b"redistribut", b"software", b"copyright", b"warrant", b"rights", b"mpl")
+# Words of no known sentence that may stand between two sentences of a rule.
+GAP_WORDS = 40
 
-# Unknown sentences that may stand between two sentences of a rule.
-GAP = 3
-
-BREAKS = re.compile(rb"[.!?;:]+[ \t-\r]+|\n+")
-OTHER = re.compile(rb"[^a-z0-9]+")
-
-_KNOWN = {text.encode(): name for name, text in SENTENCES.items()}
-_BEGINNINGS = {b" ".join(words[:n]) for words in map(bytes.split, _KNOWN) for n in range(1, len(words) + 1)}
+_WORD = re.compile(rb"[a-z0-9]+")
 _SPAN = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 _OUT = pa.schema(
     [("doc_id", pa.int64()), ("licenses", pa.string()), ("n_sentences", pa.int64()), ("spans", pa.list_(_SPAN))]
 )
 
 
-def sentences(text: bytes) -> list[tuple[int, str, int, int]]:
-    """Known sentences of a text: number among all sentences, identifier, first and last byte."""
-    pieces, at = [], 0
-    low = text.lower()
-    ends = [(m.start(), m.end()) for m in BREAKS.finditer(low)]
-    for end, following in [*ends, (len(low), len(low))]:
-        # what a blank line follows does not go on
-        goes_on = low.count(b"\n", end, following) < 2
-        pieces.append((OTHER.sub(b" ", low[at:end]).strip(), at, end, goes_on))
-        at = following
-    found, number, i = [], 0, 0
-    while i < len(pieces):
-        # marks and line ends inside a known sentence: the longest one of pieces from here on
-        plain, start, _, goes_on = pieces[i]
-        last, known = i, None
-        j = i
-        while plain in _BEGINNINGS:
-            if plain in _KNOWN:
-                last, known = j, _KNOWN[plain]
-            j += 1
-            if not goes_on or j == len(pieces) or not pieces[j][0]:
-                break
-            plain, goes_on = plain + b" " + pieces[j][0], pieces[j][3]
-        if known:
-            found.append((number, known, start, pieces[last][2]))
-        number += 1
-        i = last + 1
-    return found
-
-
-def apply_rules(found: list[tuple[int, str, int, int]]) -> list[tuple[str, int, int]]:
-    """Licences whose sentences follow each other, with first and last byte."""
-    hits = []
-    for i in range(len(found)):
-        for name, rule in RULES:
-            run = found[i : i + len(rule)]
-            if tuple(f[1] for f in run) == rule and all(b[0] - a[0] <= GAP + 1 for a, b in zip(run, run[1:], strict=False)):
-                hits.append((name, run[0][2], run[-1][3]))
-    return hits
-
-
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def anchors(plain: list[bytes]) -> list[bytes]:
+    """Few words of which every sentence has one, so that a text without them is not read on."""
+    left, chosen = [set(s.split()) for s in plain], []
+    while left:
+        words = {w for s in left for w in s}
+        best = max(words, key=lambda w: (sum(w in s for s in left) * (len(w) > 3), len(w), w))
+        chosen.append(best)
+        left = [s for s in left if best not in s]
+    return chosen
+
+
+class Licences:
+    """Known sentences, by their first words, and rules over their identifiers."""
+
+    def __init__(self, sentences: Mapping[str, str], rules: Sequence[tuple[str, Sequence[str]]]):
+        for name, text in sentences.items():
+            if not re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", text):
+                raise ValueError(f"the sentence {name!r} is not in normal form: {text!r}")
+        unknown = {i for _, ids in rules for i in ids} - set(sentences)
+        if unknown:
+            raise ValueError(f"rules name unknown sentences: {sorted(unknown)}")
+        self.begins: dict[bytes, list[tuple[list[bytes], str]]] = {}
+        for name, text in sentences.items():
+            words = text.encode().split()
+            self.begins.setdefault(words[0], []).append((words, name))
+        for known in self.begins.values():
+            known.sort(key=lambda k: -len(b" ".join(k[0])))
+        self.rules = [(name, tuple(ids)) for name, ids in rules]
+        self.anchors = anchors([text.encode() for text in sentences.values()])
+
+    def sentences(self, text: bytes) -> list[tuple[int, str, int, int]]:
+        """Known sentences: unknown words before, identifier, first and last byte.
+
+        From left to right, the longest at a place, none over another. Between two words of a
+        sentence anything may stand but letters, digits, and more than one line end.
+        """
+        low = text.lower()
+        if not any(a in low for a in self.anchors):
+            return []
+        places = [m.span() for m in _WORD.finditer(low)]
+        words = [low[a:b] for a, b in places]
+        found, i, gap = [], 0, 0
+        while i < len(words):
+            for known, name in self.begins.get(words[i], ()):
+                n = len(known)
+                if words[i : i + n] == known and not any(
+                    low.count(b"\n", places[j][1], places[j + 1][0]) > 1 for j in range(i, i + n - 1)
+                ):
+                    found.append((gap, name, places[i][0], places[i + n - 1][1]))
+                    i, gap = i + n, 0
+                    break
+            else:
+                i, gap = i + 1, gap + 1
+        return found
+
+    def apply(self, found: list[tuple[int, str, int, int]]) -> list[tuple[str, int, int]]:
+        """Licences whose sentences follow each other, with first and last byte."""
+        hits = []
+        for i in range(len(found)):
+            for name, rule in self.rules:
+                run = found[i : i + len(rule)]
+                if tuple(f[1] for f in run) == rule and all(f[0] <= GAP_WORDS for f in run[1:]):
+                    hits.append((name, run[0][2], run[-1][3]))
+        return hits
+
+
+def scan_licenses(
+    docs: DataFrame,
+    sentences: Mapping[str, str] = SENTENCES,
+    rules: Sequence[tuple[str, Sequence[str]]] = RULES,
+) -> DataFrame:
     """doc_id, licenses, n_sentences and spans, one row per input row.
 
-    Sentences end at a mark followed by white space, or at a line's end; their normal form is
-    looked up among the known ones. A known sentence may run over marks and line ends (with
-    comment signs), but not over a blank line, and counts as one. A rule's sentences must come one after the other among the
-    known sentences, with at most ``GAP`` unknown ones between two. ``licenses``: the names of
-    all rules that match, in order and without repeats, joined by commas; empty if none, also
-    for null and empty texts. ``n_sentences`` counts known sentences; ``spans`` are byte ranges
-    of the UTF-8 text. Other columns do not matter.
+    The words of a text (letters a-z of either case and digits) are its normal form; known sentences
+    are found in it wherever they stand, also over marks, line ends and comment signs, but not over
+    an empty line. A rule's sentences must come one after the other among the known ones, with at
+    most ``GAP_WORDS`` other words between two. ``licenses``: the names of all rules that match, in
+    order and without repeats, joined by commas; empty if none, also for null and empty texts.
+    ``n_sentences`` counts known sentences; ``spans`` are byte ranges of the UTF-8 text. Other
+    columns do not matter. ``sentences`` (identifier to normal form) and ``rules`` (licence and
+    identifiers in order) may be others.
     """
+    known = docs.sparkSession.sparkContext.broadcast(Licences(sentences, rules))
 
     def scan(batches):
+        licences = known.value
         for batch in batches:
             for chunk in batch_chunks(batch):
                 out = []
                 for text in text_bytes(chunk.column(1)):
-                    low = text.lower()
-                    found = sentences(text) if any(a in low for a in ANCHORS) else []
-                    hits = apply_rules(found)
+                    found = licences.sentences(text)
+                    hits = licences.apply(found)
                     spans = [{"license": n, "start": a, "end": b} for n, a, b in hits]
                     out.append((",".join(sorted({h[0] for h in hits})), len(found), spans))
                 yield arrays(_OUT, chunk.column(0), *zip(*out, strict=True))

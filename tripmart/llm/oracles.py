@@ -51,23 +51,30 @@ select * from r where rank <= 20
 
 
 def _license_sql() -> str:
-    from tripmart.llm.licenses import GAP, RULES, SENTENCES
+    """Known sentences marked in the words of each text, and rules over runs of them."""
+    from tripmart.llm.licenses import GAP_WORDS, RULES, SENTENCES
 
     known = ", ".join(f"('{text}', '{name}')" for name, text in SENTENCES.items())
     rules = ", ".join(f"('{name}', '|{'|'.join(ids)}|')" for name, ids in RULES)
+    # longest first: of sentences at one place the first alternative counts
+    either = "|".join(sorted(SENTENCES.values(), key=lambda text: (-len(text), text)))
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"""
+    return rf"""
 with known(plain, id) as (values {known}), rules(license, ids) as (values {rules}),
 docs as (
-  select row_number() over () as r, doc_id, string_split_regex({low}, '[.!?;:]+[ \\t-\\r]+|\\n+') as parts
-  from documents
+  select row_number() over () as r, doc_id,
+         regexp_replace(regexp_replace({low}, '[^a-z0-9]*\n[^a-z0-9]*\n[^a-z0-9]*', ' | ', 'g'), '[^a-z0-9|]+', ' ', 'g') as words
+  from (select doc_id, replace(text, '|', ' ') as text from documents)
+), marked as (
+  select r, string_split_regex(regexp_replace(words, '\b({either})\b', '<\1>', 'g'), '[<>]') as parts from docs
 ), split as (
-  select r, unnest(parts) as part, generate_subscripts(parts, 1) as pos from docs
+  select r, unnest(parts) as part, generate_subscripts(parts, 1) as pos from marked
 ), found as (
-  select r, pos, id
-  from split join known on trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = plain
+  select s.r, s.pos, k.id, len(regexp_extract_all(b.part, '[a-z0-9]+')) as gap
+  from split s join known k on s.part = k.plain join split b on b.r = s.r and b.pos = s.pos - 1
+  where s.pos % 2 = 0
 ), steps as (
-  select *, case when pos - lag(pos) over w <= {GAP + 1} then 0 else 1 end as new
+  select *, case when gap <= {GAP_WORDS} and lag(pos) over w is not null then 0 else 1 end as new
   from found window w as (partition by r order by pos)
 ), islands as (
   select r, pos, id, sum(new) over (partition by r order by pos) as island from steps
