@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm import bloom
 from tripmart.llm.common import SPACE, arrays, batch_chunks, keyed, same_document, text_bytes, written
+from tripmart.operators.lookup import lookup_join
 
 _SUSPECTS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("key", pa.string())])
 
@@ -76,8 +77,11 @@ def repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
         .agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "text_key")).alias("first"))
         .where(F.col("n_docs") >= min_docs)
     )
+    # a line of a third of all documents is no hot key: the measured lookup is broadcast, or its
+    # rows are dealt over as many tasks as their count calls for
     return (
-        found.join(confirmed, "key")
+        lookup_join(found, confirmed, "key", salt_by=["doc_id", "text_key"])
+        .where(F.col("n_docs").isNotNull())
         .select(
             "doc_id", "text_key", "key",
             F.struct("doc_id", "text_key").eqNullSafe(F.col("first")).alias("owner"),
