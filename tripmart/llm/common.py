@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators.lookup import lookup_join
 from tripmart.session import scratch_path
 
 # Fixed value: the ASCII white space that all contracts name, [\x20\x09-\x0D].
@@ -127,14 +128,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        larger = both.where("b > a").join(least, "a").select(
+        # a node that all others hang on is no hot key: its rows are dealt by their other end
+        larger = lookup_join(both.where("b > a"), least, "a", salt_by=["b"], small=False).select(
             F.col("b").alias("a"), F.least("a", "m").alias("b")
         )
         large = larger.distinct()
         # small-star: of each node's smaller neighbours the smallest becomes the centre
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
-        moved = down.join(low, "a")
+        moved = lookup_join(down, low, "a", salt_by=["b"], small=False)
         small = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         star = small.union(low.select("a", F.col("m").alias("b"))).distinct()
         current = written(star, name)
