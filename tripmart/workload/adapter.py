@@ -214,7 +214,12 @@ def trips(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -
 def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "lineitem").schema
     source = read_stream(spark, "parquet", schema, f"{sf_dir}/lineitem.parquet")
-    return trips(spark, sf_dir, source)
+    return trips(spark, sf_dir, dealt(source))
+
+
+def dealt(source: DataFrame) -> DataFrame:
+    """A stream's rows over all cores: a file that is one split would else be decoded by one task."""
+    return source.repartition(source.sparkSession.sparkContext.defaultParallelism)
 
 
 def batch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -514,7 +514,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         if half is not None:
             table.filter(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(lines)
         source = read_stream(spark, "parquet", table.schema, lines)
-        framed = frame_rows(normalize(adapter.trips(spark, sf_dir, source)), "trip_id", schema_id=7)
+        trips = adapter.trips(spark, sf_dir, adapter.dealt(source))
+        framed = frame_rows(normalize(trips), "trip_id", schema_id=7)
         stamped = framed.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
         _land(add_lineage(decode_frames(stamped), LIVE_SOURCE), path)
     return read_bronze(spark, path).select(*TRIP_COLUMNS, "record_source")
