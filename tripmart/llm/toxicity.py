@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import arrays, batch_chunks, doubling_sum, keyed, written
+from tripmart.llm.common import arrays, batch_chunks, chunks, doubling_sum, keyed, written
 from tripmart.llm.ngrams import SPACE, code_points, gram_hashes, letters_only, word_hashes
 from tripmart.llm.samples import held_out, labelled_sample
 
@@ -42,6 +43,9 @@ BLOCK = 256
 COMMON = 0.06
 BATCH = 256
 
+# Letters of texts that are cut into terms at once.
+PART_BYTES = 250_000
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -87,12 +91,19 @@ def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bounds, cells & (TERMS - 1), counts
 
 
+def in_parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts of about ``PART_BYTES`` together; their arrays take some fifty times that."""
+    for a, b in chunks(np.array([len(t) for t in texts]), PART_BYTES):
+        yield texts[a:b]
+
+
 def chunk_terms(chunk: pa.RecordBatch):
     """(terms, counts) of each text in column ``text``."""
     texts = [t or "" for t in chunk.column(chunk.schema.get_field_index("text")).to_pylist()]
-    bounds, terms, counts = term_counts(texts)
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        yield terms[a:b], counts[a:b]
+    for part in in_parts(texts):
+        bounds, terms, counts = term_counts(part)
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield terms[a:b], counts[a:b]
 
 
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, float]:
@@ -103,8 +114,9 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, float]:
         for batch in batches:
             for chunk in batch_chunks(batch):
                 total[-1] += np.uint64(chunk.num_rows)
-                _, terms, _ = term_counts([t or "" for t in chunk.column(0).to_pylist()])
-                total[:-1] += np.bincount(terms, minlength=TERMS).astype(np.uint64)
+                for part in in_parts([t or "" for t in chunk.column(0).to_pylist()]):
+                    _, terms, _ = term_counts(part)
+                    np.add.at(total, terms, np.uint64(1))
         yield arrays(pa.schema([("v", pa.binary())]), [total.tobytes()])
 
     total = doubling_sum(texts.select("text").mapInArrow(count, "v binary"), TERMS + 1, "u8").astype(np.float64)
