@@ -5,6 +5,7 @@ from test_tables import NOON, RAW
 
 from tripmart.__main__ import main
 from tripmart.session import build_session
+from tripmart.sinks import published
 from tripmart.sources import read_table
 
 ZONES = "LocationID,Zone,Borough,lat,lon\n7,North,A,40.7,-74.0\n8,South,B,40.6,-74.1\n"
@@ -65,3 +66,16 @@ def test_session_modes(spark):
     with pytest.raises(ValueError):
         build_session("x", mode="moon")
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_incremental_jobs_follow_bronze(spark, lake):
+    zones, raw = str(lake / "zones.csv"), str(lake / "raw")
+    path = str(lake / "lake/silver/trips")
+    assert run(spark, lake, "bronze", "--history", raw) == 0
+    for name in ("r1", "r2"):
+        assert run(spark, lake, "silver", "--zones", zones, "--incremental", "--run-id", name) == 0
+        assert run(spark, lake, "gold", "--incremental") == 0
+        # nothing came since: the version stays
+        assert published(spark, path) == "r1"
+    assert read_table(spark, path).count() == 2
+    assert read_table(spark, str(lake / "lake/gold/agg_daily_revenue")).count() == 2
