@@ -1,5 +1,6 @@
 """Decontamination, licences, packing and top-k against brute force; the SQL of the queries."""
 
+import bisect
 import math
 import random
 import zlib
@@ -12,7 +13,7 @@ import rows as R
 from tripmart.llm import queries
 from tripmart.llm.decontaminate import common_subsequence, find_leaks, longest_run, weighted_subsequence
 from tripmart.llm.licenses import GAP_WORDS, RULES, SENTENCES, Licences, scan_licenses
-from tripmart.llm.packing import Encoder, best_fit, pack
+from tripmart.llm.packing import Encoder, deal, pack
 from tripmart.llm.topk import top_k
 from tripmart.llm import topk
 
@@ -256,40 +257,80 @@ you may not use this file except in compliance with the License."""
         assert [f[1] for f in Licences(SENTENCES, RULES).sentences(wrapped.encode())] == [name]
 
 
-def test_packing(spark):
-    rows = R.corpus()
-    got = pack(R.frame(spark, rows), capacity=64).collect()
-    encode = Encoder("word_bpe_49k.json")
-    expected = []
-    for d, t in rows:
-        ids = encode.whole(t or "") + (1).to_bytes(4, "little")
-        for i, a in enumerate(range(0, len(ids), 256)):
-            part = ids[a : a + 256]
-            expected.append((d, i, a // 4, len(part) // 4, zlib.crc32(part)))
-    assert R.bag((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == R.bag(expected)
+def sequences_of(rows, capacity):
+    """How many pieces' sequences there are, after a look at their offsets; what best fit needs."""
     bins = {}
-    for r in got:
+    for r in rows:
         bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for pieces in bins.values():
         at = 0
         for offset, length in sorted(pieces):
             assert offset == at
             at += length
-        assert at <= 64
-    gaps = []
-    for length in sorted((r.length for r in got), reverse=True):
-        fits = [i for i, g in enumerate(gaps) if g >= length]
-        if fits:
-            gaps[min(fits, key=lambda i: gaps[i])] -= length
+        assert at <= capacity
+    return len(bins), best_fit_sequences([r.length for r in rows], capacity)
+
+
+def best_fit_sequences(lengths, capacity):
+    gaps, n = [], 0
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, length)
+        if at == len(gaps):
+            n, gap = n + 1, capacity
         else:
-            gaps.append(64 - length)
-    assert len(bins) == len(gaps)
-    assert pack(R.frame(spark, [])).count() == 0
+            gap = gaps.pop(at)
+        bisect.insort(gaps, gap - length)
+    return n
 
 
-def test_placements_do_not_grow():
-    counts = {length: 10**9 + length for length in range(1, 513)}
-    assert len(best_fit(counts, 512)) < 4 * 512
+def test_packing(spark):
+    rows = R.corpus()
+    encode = Encoder("word_bpe_49k.json")
+    expected = []
+    for d, t in rows:
+        ids = encode.whole(t or "") + (1).to_bytes(4, "little")
+        for i, a in enumerate(range(0, len(ids), 256)):
+            part = ids[a : a + 256]
+            expected.append((d, i, a // 4, len(part) // 4, zlib.crc32(part)))
+    # in one task, and by supersteps over several ranges
+    for range_rows in (16_384, 40):
+        got = pack(R.frame(spark, rows), capacity=64, range_rows=range_rows).collect()
+        assert R.bag((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == R.bag(expected)
+        n, best = sequences_of(got, 64)
+        assert n == best if range_rows == 16_384 else best <= n <= best + 1 + best // 50
+        assert pack(R.frame(spark, []), range_rows=range_rows).count() == 0
+
+
+def test_packing_by_supersteps(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    got = pack(docs, range_rows=100).collect()
+    n, best = sequences_of(got, 4096)
+    assert best <= n <= best + 1
+    # many rows of one length are no hot range: (longest, shortest, as many tokens as words)
+    same = [(i, "a " * 9) for i in range(300)] + [(i, "a " * 20) for i in range(300, 330)] + [(330, None), (None, "a")]
+    n, best = sequences_of(pack(R.frame(spark, same), capacity=64, range_rows=10).collect(), 64)
+    assert best <= n <= best + 2
+
+
+def test_deal_by_rank():
+    # task, waiting, longest, gaps, smallest: 3 pieces of 20 take one gap of 45 and part of the next
+    assert deal([(0, 0, 0, 3, 45), (1, 3, 20, 1, 19), (2, 9, 9, 0, 0)]) == [
+        (1, 0, 3, 2, 0, 0), (2, 0, 2, 2, 1, 0), (2, 2, 7, 5, 0, 2),
+    ]
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes, ranges = 4000, []
+        for task in range(rng.randint(1, 30)):
+            longest = rng.randint(max(1, sizes // 2), sizes)
+            ranges.append((task, rng.randint(0, 50), longest, rng.randint(0, 20), sizes := longest))
+        dealt = deal(ranges)
+        assert len(dealt) <= 2 * len(ranges)
+        used, by_task = set(), {t: r for t, *r in ranges}
+        for task, a, b, each, source, first in dealt:
+            assert source < task and each * by_task[task][1] <= by_task[source][3]
+            ranks = {(source, first + i // each) for i in range(b - a)}
+            assert not used & ranks and max(r for _, r in ranks) < by_task[source][2]
+            used |= ranks
 
 
 def test_encoder():

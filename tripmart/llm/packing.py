@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import bisect
+import heapq
 import re
 import struct
 import zlib
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import arrays, batch_chunks, keyed, shuffle_tasks, written
@@ -20,6 +21,10 @@ from tripmart.llm.common import arrays, batch_chunks, keyed, shuffle_tasks, writ
 # Words of which a Python worker remembers the ids.
 CACHED_WORDS = 300_000
 
+# Pieces and gaps, together, that one range of a superstep aims at; as few as that are left to
+# one task.
+RANGE_ROWS = 16_384
+
 # The vocabulary file's rule for splitting text, and what ends a document.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = np.array([1], "<u4").tobytes()
@@ -40,6 +45,20 @@ _PIECES = pa.schema(
      ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 )
 
+# After a sweep: pieces that have their place, pieces that found no gap in their range (by
+# rank), gaps that every later range can use (by rank, smallest first), other gaps.
+PLACED, WAITING, REACHED, LATER = range(4)
+_SWEPT = pa.schema(
+    [("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
+     ("length", pa.int64()), ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()),
+     ("offset", pa.int64()), ("state", pa.int32()), ("task", pa.int32()), ("rank", pa.int64())]
+)
+_SWEPT_DDL = (
+    "row long, doc_id long, piece int, start long, length long, ids_crc32 long, "
+    "sequence_id long, offset long, state int, task int, rank long"
+)
+_OUT = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
 
 class _Known(dict):
     """Ids of words as little-endian bytes, kept for the first ``CACHED_WORDS`` words met.
@@ -144,147 +163,210 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     )
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """Place ``counts[length]`` pieces of each length, longest first, each in the smallest gap.
+def sweep(rows: DataFrame, capacity: int, tasks: int, first_new: int | None = None) -> DataFrame:
+    """One sweep over pieces and gaps, longest first: every piece with what became of it.
 
-    One superstep per length. Gaps are kept in order of size as runs: so many sequences in a
-    row with the same gap left. A sweep takes the smallest gaps that are large enough; the
-    pieces of the length, by rank, fill the sequences of a run, by rank, each with as many as
-    fit; the run's gap shrinks and goes back in its place. Returns placements (length, first
-    rank, pieces, pieces per sequence, first sequence, first offset). Their number depends
-    on ``capacity``, not on the number of pieces.
+    Rows are range-sorted over ``tasks``. Each task goes down its range: a piece takes the smallest
+    gap met so far, which is its successor; a gap that shrinks comes back at its new size.
+    With ``first_new``, all rows are one range, and a piece without a gap opens a sequence, with
+    ids from there downwards.
     """
-    sizes: list[int] = []  # gap sizes in order, and the runs of each: [first sequence, how many]
-    runs: dict[int, list[list[int]]] = {}
-    placed, opened = [], 0
-
-    def give_back(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if gap not in runs:
-                bisect.insort(sizes, gap)
-                runs[gap] = []
-            runs[gap].append([first, n])
-
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            at = bisect.bisect_left(sizes, length)
-            if at < len(sizes):
-                gap = sizes[at]
-                first, n = runs[gap].pop()
-                if not runs[gap]:
-                    del runs[gap], sizes[at]
-            else:
-                gap = capacity
-                first, n = opened, -(-left // (capacity // length))
-                opened += n
-            each = gap // length
-            full = min(n, left // each)
-            if full:
-                placed.append((length, rank, full * each, each, first, capacity - gap))
-                give_back(gap - each * length, first, full)
-                rank, left = rank + full * each, left - full * each
-            rest = n - full
-            if left and rest:
-                some = min(left, each)
-                placed.append((length, rank, some, some, first + full, capacity - gap))
-                give_back(gap - some * length, first + full, 1)
-                give_back(gap, first + full + 1, rest - 1)
-                rank, left = rank + some, left - some
-            else:
-                give_back(gap, first + full, rest)
-    return placed
+    order = [F.desc("length"), F.desc("gap"), "row"]
+    one = first_new is not None
+    ranged = rows.coalesce(1) if one else rows.repartitionByRange(tasks, *order)
+
+    def down(batches):
+        task, waiting, opened = TaskContext.get().partitionId(), 0, 0
+        reached: list[list[int]] = []  # [gap, sequence], the smallest last
+        later: list[tuple[int, int]] = []  # (-gap, sequence) of gaps the sweep has yet to come to
+        for batch in batches:
+            size, gap, row = (batch.column(c).to_pylist() for c in ("length", "gap", "row"))
+            sequence, offset, rank = [], [], []
+            for n, is_gap, number in zip(size, gap, row, strict=True):
+                while later and -later[0][0] >= n:
+                    reached.append([-later[0][0], heapq.heappop(later)[1]])
+                if is_gap:
+                    reached.append([n, number])
+                    continue
+                if not reached and one:
+                    reached.append([capacity, first_new - opened])
+                    opened += 1
+                if not reached:
+                    sequence.append(None), offset.append(None), rank.append(waiting)
+                    waiting += 1
+                    continue
+                least = reached[-1]
+                sequence.append(least[1]), offset.append(capacity - least[0]), rank.append(None)
+                least[0] -= n
+                if least[0] < n:
+                    reached.pop()
+                    if least[0]:
+                        heapq.heappush(later, (-least[0], least[1]))
+            part = batch.filter(pc.invert(batch.column("gap")))
+            yield arrays(
+                _SWEPT, *part.columns[:6], sequence, offset,
+                [PLACED if s is not None else WAITING for s in sequence], [task] * len(sequence), rank,
+            )
+        left = [(g, s, REACHED, i) for i, (g, s) in enumerate(reversed(reached))]
+        left += [(-g, s, LATER, None) for g, s in later]
+        for at in range(0, len(left), 10_000):
+            size, sequence, state, rank = zip(*left[at : at + 10_000], strict=True)
+            none = [None] * len(size)
+            yield arrays(
+                _SWEPT, none, none, none, none, size, none, sequence, none, state, [task] * len(size), rank
+            )
+
+    return ranged.sortWithinPartitions(*order).mapInArrow(down, _SWEPT_DDL)
+
+
+def deal(ranges: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Which ranks of the pieces that wait get which ranks of the gaps that are left.
+
+    ``ranges``: task, pieces waiting, the longest of them, gaps reached, the smallest of those. Ranges
+    go from long to short. Those that wait take the smallest gaps of longer ranges, each gap as many
+    of them as fit for certain. Returns (task, first rank, end rank, pieces per gap, task of the
+    gaps, first rank of the gaps); twice as many rows as ranges at most.
+    """
+    left: list[list[int]] = []  # [task, first rank, gaps, smallest], the smallest last
+    dealt = []
+    for task, waiting, longest, gaps, smallest in sorted(ranges):
+        rank = 0
+        while rank < waiting and left:
+            source = left[-1]
+            each = source[3] // longest
+            end = min(waiting, rank + source[2] * each)
+            dealt.append((task, rank, end, each, source[0], source[1]))
+            used = -(-(end - rank) // each)
+            source[1] += used
+            source[2] -= used
+            if not source[2]:
+                left.pop()
+            rank = end
+        if gaps:
+            left.append([task, 0, gaps, smallest])
+    return dealt
+
+
+def _superstep(rows: DataFrame, capacity: int, tasks: int) -> tuple[list[DataFrame], DataFrame]:
+    """Placements of one sweep and of what its ranges then deal each other, and the rows left."""
+    spark = rows.sparkSession
+    swept = written(sweep(rows, capacity, tasks), "packing-sweep")
+    waits, reached = F.col("state") == WAITING, F.col("state") == REACHED
+    # one row for each range
+    ranges = (
+        swept.where(waits | reached)
+        .groupBy("task")
+        .agg(
+            F.count(F.when(waits, 1)), F.max(F.when(waits, F.col("length"))),
+            F.count(F.when(reached, 1)), F.min(F.when(reached, F.col("length"))),
+        )
+    )
+    dealt = spark.createDataFrame(
+        deal([tuple(x or 0 for x in r) for r in ranges.collect()]),
+        "task int, first long, end long, each long, gap_task int, gap_first long",
+    )
+    waiting = swept.where(waits).join(
+        F.broadcast(dealt.withColumnRenamed("task", "to")),
+        (F.col("task") == F.col("to")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")),
+        "left",
+    )
+    pieces_left = waiting.where("to is null").select(
+        "row", "doc_id", "piece", "start", "length", "ids_crc32", F.lit(False).alias("gap")
+    )
+    of_gap = ["gap_task", "gap_rank"]
+    before = Window.partitionBy(*of_gap).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    given = waiting.where("to is not null").select(
+        "row", "doc_id", "piece", "start", "length", "ids_crc32", "rank", "gap_task",
+        F.expr("gap_first + (rank - first) div each").alias("gap_rank"),
+    )
+    given = given.withColumn("before", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    gaps = swept.where(reached).select(
+        F.col("task").alias("gap_task"), F.col("rank").alias("gap_rank"),
+        F.col("length").alias("size"), "sequence_id",
+    )
+    placed = written(
+        given.join(gaps, of_gap).withColumn("offset", capacity - F.col("size") + F.col("before")).select(*_OUT),
+        "packing-dealt",
+    )
+    taken = placed.groupBy("sequence_id").agg(F.sum("length").alias("taken"))
+    gaps_left = (
+        swept.where((F.col("state") == REACHED) | (F.col("state") == LATER))
+        .join(taken, "sequence_id", "left")
+        .select("sequence_id", (F.col("length") - F.coalesce("taken", F.lit(0))).alias("length"))
+    )
+    left = written(pieces_left.unionByName(_gap_rows(gaps_left)), "packing-left")
+    return [swept.where(F.col("state") == PLACED).select(*_OUT), placed], left
+
+
+def _gap_rows(gaps: DataFrame) -> DataFrame:
+    """Rows of a superstep for the sequences of ``gaps`` (sequence_id, length)."""
+    return gaps.where("length > 0").select(
+        F.col("sequence_id").alias("row"),
+        *(F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("piece", "int"), ("start", "long"))),
+        "length",
+        F.lit(None).cast("long").alias("ids_crc32"),
+        F.lit(True).alias("gap"),
+    )
 
 
 def pack(
-    docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 4096
+    docs: DataFrame,
+    tokenizer: str = "word_bpe_49k.json",
+    capacity: int = 4096,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Pack all documents into sequences of at most ``capacity`` tokens, best fit decreasing.
+    """Pack all documents into sequences of at most ``capacity`` tokens by best fit.
 
     A null text is empty, that is one token (id 1). Returns doc_id, piece, start, length,
     ids_crc32, sequence_id, offset, one row per piece. Repeated rows are packed each on their
     own. Other columns of the input do not matter; an empty table gives no rows.
 
-    Bulk-synchronous best fit. The pieces are range-sorted by length over all tasks, and each
-    task counts its lengths; a piece's rank among those of its length is its place in its task
-    plus the counts of earlier tasks. There are at most ``capacity`` lengths, so the supersteps
-    match runs of equal gaps with ranks of equal pieces (``best_fit``) and their outcome is a
-    table whose size ``capacity`` bounds. A last sweep over the sorted pieces finds each one's
-    placement as the predecessor of its rank. The result is what placing the pieces one by one
-    would give.
+    Bulk-synchronous best fit. Pieces of more than half of a sequence begin one each, and as many
+    empty sequences are opened as the rest needs in any case. In every superstep pieces and gaps
+    are range-sorted together by size; each range sweeps down and gives each piece its successor,
+    the smallest gap that holds it; pieces that wait and gaps that are left are matched between
+    ranges by their ranks, for which the driver has one row per range; the gaps shrink, and the next
+    superstep takes what waits. A piece that no gap holds lets new sequences be opened. When
+    ``range_rows`` rows are left, one task places them. What is counted on the driver does not
+    grow with the pieces; the rows of a superstep are its pieces, and gaps that can still take one.
     """
     spark = docs.sparkSession
-    cut = written(pieces(docs, tokenizer, capacity), "pieces")
-    order = ["length", "doc_id", "text_key", "copy", "piece"]
-    fields = ", ".join(f"{n} {t}" for n, t in cut.dtypes)
-    ranged = _PIECES.append(pa.field("task", pa.int32())).append(pa.field("place", pa.int64()))
-
-    def count_up(batches):
-        task, length, place = TaskContext.get().partitionId(), None, 0
-        for batch in batches:
-            lengths = batch.column(5).to_numpy()
-            starts = np.flatnonzero(np.diff(lengths, prepend=-1))
-            places = np.arange(len(lengths)) - np.repeat(starts, np.diff(starts, append=len(lengths)))
-            if len(lengths):
-                if lengths[0] == length:
-                    head = starts[1] if len(starts) > 1 else len(lengths)
-                    places[:head] += place
-                length, place = lengths[-1], places[-1] + 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(lengths), task, np.int32)), pa.array(places)],
-                schema=ranged,
-            )
-
-    ordered = written(
-        cut.repartitionByRange(shuffle_tasks(spark), *order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(count_up, f"{fields}, task int, place long"),
-        "ranged-pieces",
+    cut = written(
+        pieces(docs, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces"
     )
-    # a range of lengths per task: as many rows as tasks and lengths together
-    counts = ordered.groupBy("task", "length").agg(F.count("*").alias("n"))
-    rows = sorted((r.length, r.task, r.n) for r in counts.collect())
-    totals: dict[int, int] = {}
-    before = []
-    for length, task, n in rows:
-        before.append((length, task, totals.get(length, 0)))
-        totals[length] = totals.get(length, 0) + n
-    plan = best_fit(totals, capacity)
-    shared = spark.sparkContext.broadcast(({(a, b): c for a, b, c in before}, _by_length(plan)))
-
-    out = pa.schema(
-        [*list(_PIECES)[:2], *list(_PIECES)[3:], ("sequence_id", pa.int64()), ("offset", pa.int64())]
+    small = F.col("length") * 2 <= capacity
+    own = cut.where(~small).withColumn("sequence_id", F.col("row")).withColumn("offset", F.lit(0).cast("long"))
+    done = [own.select(*_OUT)]
+    left = cut.where(small).select(
+        "row", "doc_id", "piece", "start", "length", "ids_crc32", F.lit(False).alias("gap")
     )
-
-    def sweep(batches):
-        earlier, placements = shared.value
-        for batch in batches:
-            length, task, place = (batch.column(i).to_numpy() for i in (5, 7, 8))
-            sequence, offset = np.zeros((2, len(length)), np.int64)
-            starts = np.flatnonzero((np.diff(length, prepend=-1) != 0) | (np.diff(task, prepend=-1) != 0))
-            for a, b in zip(starts, [*starts[1:], len(length)], strict=True):
-                size = int(length[a])
-                rank = place[a:b] + earlier[size, int(task[a])]
-                first, each, seq, off = placements[size]
-                at = np.searchsorted(first, rank, "right") - 1
-                nth = rank - first[at]
-                sequence[a:b] = seq[at] + nth // each[at]
-                offset[a:b] = off[at] + nth % each[at] * size
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in (0, 1, 3, 4, 5, 6)] + [pa.array(sequence), pa.array(offset)],
-                schema=out,
+    left = left.unionByName(_gap_rows(own.select("sequence_id", (capacity - F.col("length")).alias("length"))))
+    new = -1
+    while True:
+        is_piece, size = ~F.col("gap"), F.col("length")
+        n, most, least, need, room, widest = left.agg(
+            F.count(F.when(is_piece, 1)), F.max(F.when(is_piece, size)), F.min(F.when(is_piece, size)),
+            F.sum(F.when(is_piece, size)), F.sum(F.when(F.col("gap"), size)), F.max(F.when(F.col("gap"), size)),
+        ).first()
+        if not n:
+            break
+        # gaps that no piece fits into are of no use any more
+        left = left.where(is_piece | (size >= least))
+        n_rows = left.count()
+        if n_rows <= range_rows:
+            rest = written(sweep(left, capacity, 1, new), "packing-rest")
+            done.append(rest.where(F.col("state") == PLACED).select(*_OUT))
+            break
+        opened = max(0, (need - (room or 0)) // capacity)
+        if not opened and most > (widest or 0):
+            unfit = left.where(is_piece & (size > (widest or 0))).agg(F.sum("length")).first()[0]
+            opened = -(-unfit // capacity)
+        if opened:
+            fresh = spark.range(opened).select(
+                (new - F.col("id")).alias("sequence_id"), F.lit(capacity).cast("long").alias("length")
             )
-
-    return ordered.mapInArrow(
-        sweep,
-        "doc_id long, text_key long, piece int, start long, length long, ids_crc32 long, "
-        "sequence_id long, offset long",
-    ).drop("text_key")
-
-
-def _by_length(plan: list[tuple]) -> dict[int, tuple[np.ndarray, ...]]:
-    """For each length: first ranks in order, pieces per sequence, first sequences, offsets."""
-    table: dict[int, list[tuple]] = {}
-    for length, rank, _, each, first, offset in plan:
-        table.setdefault(length, []).append((rank, each, first, offset))
-    return {k: tuple(np.array(c, np.int64) for c in zip(*sorted(v), strict=True)) for k, v in table.items()}
+            left, new = left.unionByName(_gap_rows(fresh)), new - opened
+        tasks = min(shuffle_tasks(spark), -(-(n_rows + opened) // range_rows))
+        placed, left = _superstep(left, capacity, tasks)
+        done += placed
+    return reduce(DataFrame.unionByName, done)
