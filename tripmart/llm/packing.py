@@ -23,7 +23,7 @@ CACHED_WORDS = 300_000
 
 # Pieces and gaps, together, that one range of a superstep aims at; as few as that are left to
 # one task.
-RANGE_ROWS = 16_384
+RANGE_ROWS = 32_768
 
 # The vocabulary file's rule for splitting text, and what ends a document.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -57,6 +57,14 @@ _SWEPT_DDL = (
     "row long, doc_id long, piece int, start long, length long, ids_crc32 long, "
     "sequence_id long, offset long, state int, task int, rank long"
 )
+_DEALT = pa.schema(
+    [*list(_SWEPT)[:6], ("task", pa.int32()), ("rank", pa.int64()),
+     ("gap_task", pa.int32()), ("gap_rank", pa.int64())]
+)
+_DEALT_DDL = (
+    "row long, doc_id long, piece int, start long, length long, ids_crc32 long, "
+    "task int, rank long, gap_task int, gap_rank long"
+)
 _OUT = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
@@ -247,9 +255,35 @@ def deal(ranges: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, i
     return dealt
 
 
+def _given_gaps(dealt: list[tuple]):
+    """Adds to each waiting piece the range and the rank of the gap that was dealt to it, or nulls."""
+    by_task: dict[int, list[tuple]] = {}
+    for task, *of in dealt:
+        by_task.setdefault(task, []).append(of)
+    table = {t: np.array(v, np.int64).T for t, v in by_task.items()}
+
+    def give(batches):
+        for batch in batches:
+            tasks, ranks = batch.column("task").to_numpy(), batch.column("rank").to_numpy()
+            gap = np.full((2, len(ranks)), -1, np.int64)
+            for task in np.unique(tasks).tolist():
+                if task not in table:
+                    continue
+                first, end, each, source, start = table[task]
+                own = np.flatnonzero(tasks == task)
+                # a range's ranks are dealt from the first on, without holes
+                own = own[ranks[own] < end[-1]]
+                at = np.searchsorted(first, ranks[own], "right") - 1
+                gap[:, own] = source[at], start[at] + (ranks[own] - first[at]) // each[at]
+            none = gap[0] < 0
+            more = [pa.array(x, t, mask=none) for x, t in zip(gap, (pa.int32(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], schema=_DEALT)
+
+    return give
+
+
 def _superstep(rows: DataFrame, capacity: int, tasks: int) -> tuple[list[DataFrame], DataFrame]:
     """Placements of one sweep and of what its ranges then deal each other, and the rows left."""
-    spark = rows.sparkSession
     swept = written(sweep(rows, capacity, tasks), "packing-sweep")
     waits, reached = F.col("state") == WAITING, F.col("state") == REACHED
     # one row for each range
@@ -261,24 +295,14 @@ def _superstep(rows: DataFrame, capacity: int, tasks: int) -> tuple[list[DataFra
             F.count(F.when(reached, 1)), F.min(F.when(reached, F.col("length"))),
         )
     )
-    dealt = spark.createDataFrame(
-        deal([tuple(x or 0 for x in r) for r in ranges.collect()]),
-        "task int, first long, end long, each long, gap_task int, gap_first long",
-    )
-    waiting = swept.where(waits).join(
-        F.broadcast(dealt.withColumnRenamed("task", "to")),
-        (F.col("task") == F.col("to")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")),
-        "left",
-    )
-    pieces_left = waiting.where("to is null").select(
+    dealt = deal([tuple(x or 0 for x in r) for r in ranges.collect()])
+    waiting = swept.where(waits).select(*_DEALT.names[:8]).mapInArrow(_given_gaps(dealt), _DEALT_DDL)
+    pieces_left = waiting.where("gap_task is null").select(
         "row", "doc_id", "piece", "start", "length", "ids_crc32", F.lit(False).alias("gap")
     )
     of_gap = ["gap_task", "gap_rank"]
     before = Window.partitionBy(*of_gap).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    given = waiting.where("to is not null").select(
-        "row", "doc_id", "piece", "start", "length", "ids_crc32", "rank", "gap_task",
-        F.expr("gap_first + (rank - first) div each").alias("gap_rank"),
-    )
+    given = waiting.where("gap_task is not null")
     given = given.withColumn("before", F.coalesce(F.sum("length").over(before), F.lit(0)))
     gaps = swept.where(reached).select(
         F.col("task").alias("gap_task"), F.col("rank").alias("gap_rank"),
