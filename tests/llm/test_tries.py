@@ -178,6 +178,22 @@ def test_spelling_variants_of_awkward_words(spark):
     assert spelling.spelling_variants(R.frame(spark, [(1, None), (2, "")])).collect() == []
 
 
+def test_a_word_loses_one_letter_only(spark):
+    """What a shortened word becomes stays, though the document has a word like it that is shortened."""
+    rng, doc, slip = random.Random(5), 7, 3
+    cut = lambda w, h: w[: h % len(w)] + w[h % len(w) + 1 :]
+    rows = []
+    while len(rows) < 5:
+        word = "".join(rng.choice("abcdeé") for _ in range(9))
+        h = zlib.crc32(f"{doc}:{word}".encode())
+        less = cut(word, h)
+        g = zlib.crc32(f"{doc}:{less}".encode())
+        if h % slip == 0 and g % slip == 0:
+            rows += [(doc, f"{word} " * 9 + f"{less} " * 6), (doc, f"{less} {word} " * 5)]
+    got = spelling.spelling_variants(R.frame(spark, rows), slip=slip).collect()
+    assert R.bag(got) == R.bag(variants(rows, slip=slip))
+
+
 def test_pivots_are_the_cheapest_disjoint_pair():
     rng = random.Random(4)
     for _ in range(300):

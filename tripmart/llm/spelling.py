@@ -40,7 +40,7 @@ def word_counts(docs: DataFrame, min_chars: int, slip: int) -> DataFrame:
                     low = (text or "").encode().lower().decode()
                     own = Counter(w for w in RUN.findall(low) if len(w) >= min_chars)
                     if slip:
-                        _slip(own, "" if doc is None else str(doc), slip, min_chars)
+                        own = _slipped(own, "" if doc is None else str(doc), slip, min_chars)
                     held.update(own)
                     if len(held) > HELD_WORDS:
                         yield arrays(schema, list(held), list(held.values()))
@@ -51,15 +51,20 @@ def word_counts(docs: DataFrame, min_chars: int, slip: int) -> DataFrame:
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _slip(words: Counter[str], doc: str, slip: int, min_chars: int) -> None:
-    """Lose one letter of the words of this document whose checksum ``slip`` divides."""
-    for word in list(words):
+def _slipped(words: Counter[str], doc: str, slip: int, min_chars: int) -> Counter[str]:
+    """``words`` of one document; those whose checksum ``slip`` divides have lost one letter.
+
+    What a word becomes is not judged again, even where the document has that word, too.
+    """
+    found: Counter[str] = Counter()
+    for word, n in words.items():
         h = zlib.crc32(f"{doc}:{word}".encode())
         if h % slip == 0:
             at = h % len(word)
-            n = words.pop(word)
-            if len(word) > min_chars:
-                words[word[:at] + word[at + 1 :]] += n
+            word = word[:at] + word[at + 1 :]
+        if len(word) >= min_chars:
+            found[word] += n
+    return found
 
 
 def pivots(prefix: list[tuple[int, str]], cost: dict[str, int]) -> list[tuple[int, str]]:
