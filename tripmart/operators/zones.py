@@ -32,16 +32,20 @@ def _one_row_per_zone(zones: DataFrame) -> DataFrame:
 
 
 def enrich_zones(
-    trips: DataFrame, zones: DataFrame, cell_col: str | None = None, grid: str = "city"
+    trips: DataFrame,
+    zones: DataFrame,
+    cell_col: str | None = None,
+    grid: str = "city",
+    small: bool | None = None,
 ) -> DataFrame:
     """Add zone, borough, position and cell of pickup and dropoff.
 
     Trips without a known zone stay, with NULLs. A zone listed twice does not double its
     trips. ``cell_col`` names a column of ``zones`` to use in place of the computed cell, ``grid``
-    the grid it is computed on.
+    the grid it is computed on. Pass ``small`` to reuse a measurement of ``zones``.
     """
     # Measured before the rows are made unique, which only makes them fewer.
-    small = fits_broadcast(zones)
+    small = fits_broadcast(zones) if small is None else small
     if cell_col is None:
         zones = zone_cells(zones, grid=grid)
     else:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.codes import payment_label
 from tripmart.functions.metrics import hour_label, pickup_partition
 from tripmart.functions.totals import mean, total
-from tripmart.operators.dedupe import first_per_key, latest_per_key
+from tripmart.operators.dedupe import first_per_key, latest_of_repeated, latest_per_key
 from tripmart.operators.upsert import upsert_incremental, upsert_partitions
 from tripmart.plans import rollups
 from tripmart.schemas import PARTITION_UNIT, PICKUP_DATE
@@ -220,7 +220,8 @@ def run_gold(
     time, so that the last tasks of one do not keep the cluster waiting, and published
     in one step once all are there. The fact has one row per trip, the newest, and is partitioned
     by pickup date. With ``incremental`` it takes only rows above its high-water mark and
-    writes only the dates they touch. Then also, if ``silver_path`` names the table that ``silver``
+    writes only the dates they touch; if ``silver_path`` names a table of the same partitions, a
+    fact made in one go leaves the rows of trips that silver has once where they are. Then also, if ``silver_path`` names the table that ``silver``
     is, the aggregates are made from partial states (see `rollups`), of which only those of date
     partitions that the last refresh of silver touched are computed anew.
     """
@@ -261,8 +262,13 @@ def run_gold(
         elif name != "fact_trips":
             overwrite(tables[name], paths[name], run_id, fmt, publish_now=False)
         elif present is None:
-            whole = latest_per_key(fact, ["trip_id"], "_ingest_ts", ties)
-            overwrite(whole, paths[name], run_id, fmt, [PICKUP_DATE], publish_now=False)
+            # silver's files lie by the same dates, so rows that do not move stay in that order
+            laid = versioned and silver_path is not None and PICKUP_DATE in silver.columns
+            whole = latest_of_repeated(fact, ["trip_id"], "_ingest_ts", ties) if laid else None
+            balanced = whole is not None
+            if whole is None:
+                whole = latest_per_key(fact, ["trip_id"], "_ingest_ts", ties)
+            overwrite(whole, paths[name], run_id, fmt, [PICKUP_DATE], publish_now=False, balanced=balanced)
         elif not versioned:
             merged = upsert_incremental(present, fact, "trip_id", "_ingest_ts", ties)
             overwrite(merged, paths[name], run_id, fmt, [PICKUP_DATE])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.metrics import pickup_partition
 from tripmart.operators.clean import trip_metrics, type_trips, valid_trips
-from tripmart.operators.dedupe import latest_per_key
+from tripmart.operators.dedupe import latest_by_partition, latest_per_key
 from tripmart.operators.lookup import BROADCAST_ROWS, fits_broadcast
 from tripmart.operators.zones import enrich_zones
 from tripmart.plans.bronze import bronze_batches, read_bronze
@@ -22,7 +22,6 @@ from tripmart.schemas import (
     SILVER_COLUMNS,
     SILVER_KEY,
 )
-from tripmart.session import scratch_path
 from tripmart.sinks.tables import (
     current_parts,
     load_partitions,
@@ -84,12 +83,17 @@ def run_silver(
 ) -> str:
     """Recompute silver and write it as a new version, partitioned by pickup date.
 
-    Returns where it was written.
+    The rows of `silver_trips`: ``bronze`` is read twice, and its raw columns are shuffled once, by
+    key and date, before the zones are added. Returns where it was written.
     """
-    silver = silver_trips(bronze, zones, tie_breakers)
+    typed = valid_trips(type_trips(_with_bronze_columns(bronze)))
     date = pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
-    dated = silver.withColumn(PICKUP_DATE, date)
-    return overwrite(dated, path, run_id, fmt, [PICKUP_DATE], publish_now=publish_now)
+    raw = typed.select(*dict.fromkeys((*BRONZE_COLUMNS, *tie_breakers)), date.alias(PICKUP_DATE))
+    newest = latest_by_partition(raw, SORT_KEY, "_ingest_ts", tie_breakers, PICKUP_DATE)
+    small = fits_broadcast(zones)
+    dated = enrich_zones(trip_metrics(newest), zones, small=small).select(*SILVER_COLUMNS, PICKUP_DATE)
+    # other than a broadcast, a shuffled join leaves the rows by zone
+    return overwrite(dated, path, run_id, fmt, [PICKUP_DATE], publish_now=publish_now, balanced=small)
 
 
 @dataclass
@@ -158,30 +162,34 @@ def refresh_silver(
     fresh = read_bronze(spark, bronze_path, fmt, done=notes["bronze"])
     if fresh is None:
         return SilverChange(base, base, [], current_parts(spark, path), notes)
+    # the files of the new batches are read for their dates, for their keys and for their rows
     valid = valid_trips(type_trips(_with_bronze_columns(fresh))).select(*BRONZE_COLUMNS)
-    newest = latest_per_key(valid, SORT_KEY, "_ingest_ts", tie_breakers)
-    date = pickup_partition(F.col("tpep_pickup_datetime"), partition_unit)
-    # read for its dates, for its keys and for its rows
-    staged = scratch_path(spark, "silver-fresh")
-    newest.withColumn(PICKUP_DATE, date).write.format(fmt).save(staged)
-    newest = spark.read.schema(newest.withColumn(PICKUP_DATE, date).schema).format(fmt).load(staged)
-    touched = [row[0] for row in newest.select(PICKUP_DATE).distinct().collect()]
+    valid = valid.withColumn(PICKUP_DATE, pickup_partition(F.col("tpep_pickup_datetime"), partition_unit))
+    touched = [row[0] for row in valid.select(PICKUP_DATE).distinct().collect()]
     if not touched:
         return SilverChange(base, run_id, [], current_parts(spark, path), new_notes)
 
-    changed, kept = newest, None
+    rows, kept = valid, None
     present = load_partitions(spark, path, PICKUP_DATE, touched, fmt)
     if present is not None:
         raw = present.select(*BRONZE_COLUMNS, PICKUP_DATE)
-        keys = newest.select(*(F.col(name).alias(f"new_{i}") for i, name in enumerate(SORT_KEY)))
+        keys = valid.select(*(F.col(name).alias(f"new_{i}") for i, name in enumerate(SORT_KEY)))
         here = [F.col(name).eqNullSafe(F.col(f"new_{i}")) for i, name in enumerate(SORT_KEY)]
         if fits_broadcast(keys, max_rows):
             keys = F.broadcast(keys)
             raw = raw.join(keys, here, "left_semi")
             kept = present.join(keys, here, "left_anti").select(*SILVER_COLUMNS, PICKUP_DATE)
-        changed = latest_per_key(raw.unionByName(newest), SORT_KEY, "_ingest_ts", tie_breakers)
-    rows = enrich_zones(trip_metrics(changed), zones).select(*SILVER_COLUMNS, PICKUP_DATE)
+        rows = raw.unionByName(valid)
+    if kept is None:
+        newest = latest_by_partition(rows, SORT_KEY, "_ingest_ts", tie_breakers, PICKUP_DATE)
+    else:
+        newest = latest_per_key(rows, SORT_KEY, "_ingest_ts", tie_breakers)
+    small = fits_broadcast(zones)
+    rows = enrich_zones(trip_metrics(newest), zones, small=small).select(*SILVER_COLUMNS, PICKUP_DATE)
     if kept is not None:
         rows = rows.unionByName(kept)
-    parts = replace_partitions(rows, path, run_id, PICKUP_DATE, touched, fmt, publish_now=False)
+    balanced = small and kept is None
+    parts = replace_partitions(
+        rows, path, run_id, PICKUP_DATE, touched, fmt, publish_now=False, balanced=balanced
+    )
     return SilverChange(base, run_id, touched, parts, new_notes)

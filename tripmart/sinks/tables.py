@@ -330,17 +330,19 @@ def replace_partitions(
     fmt: str = "parquet",
     publish_now: bool = True,
     notes: dict | None = None,
+    balanced: bool = False,
 ) -> dict[str, str]:
     """Write the rows of the ``touched`` partitions anew; all others stay the files they are.
 
     ``df`` holds all rows these partitions shall have. Returns the parts to publish; they are
-    published at once, over the version they extend, unless ``publish_now`` is off.
+    published at once, over the version they extend, unless ``publish_now`` is off. ``balanced``
+    is as in `overwrite`.
     """
     check_names(df)
     spark, base = df.sparkSession, published(df.sparkSession, path)
     old = current_parts(spark, path)
     target = version_path(path, run_id)
-    _write_partitions(df.hint("rebalance", F.col(column)), target, fmt, [column])
+    _write_partitions(df if balanced else df.hint("rebalance", F.col(column)), target, fmt, [column])
     gone = {partition_name(column, value) for value in touched}
     parts = {name: version for name, version in old.items() if name not in gone}
     parts |= {name: run_id for name in _partitions(spark, target)}
@@ -358,15 +360,17 @@ def overwrite(
     publish_now: bool = True,
     over: object = ANY,
     bloom: Sequence[str] = (),
+    balanced: bool = False,
 ) -> str:
     """Replace a table, schema included; returns the path of the new version.
 
     The table may be an input of ``df``: the old version is not touched. With
     ``partition_by``, rows are first rebalanced on those columns, so that a partition gets
-    few files and a partition far larger than the others is still split over many tasks. ``bloom``
-    names columns whose values every file keeps a Bloom filter of (Parquet).
+    few files and a partition far larger than the others is still split over many tasks; rows that
+    lie that way already (``balanced``) do not move. ``bloom`` names columns whose values every file
+    keeps a Bloom filter of (Parquet).
     """
-    if partition_by:
+    if partition_by and not balanced:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite").format(fmt).options(**bloom_options(bloom))
     if fmt in TRANSACTIONAL:

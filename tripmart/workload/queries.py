@@ -279,11 +279,16 @@ def incremental_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
-def _arrive(spark: SparkSession, sf_dir: str, path: str, *names: str) -> None:
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips all batches come from, joined once."""
+    return _written(adapter.trips(spark, sf_dir).drop(*TIES), "arrivals")
+
+
+def _arrive(spark: SparkSession, trips: DataFrame, path: str, *names: str) -> None:
     """Append batches to bronze, the seed as history and the others as live ones."""
     texts = {name: F.col(name).cast("string") for name in TIME_COLUMNS}
     for name in names:
-        rows = adapter.batch(spark, sf_dir, name).withColumns(texts)
+        rows = adapter.batch(spark, name, trips).withColumns(texts)
         append_merge(rows, path, "seed" if name == "seed" else "live", name)
 
 
@@ -292,8 +297,9 @@ def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after a seed, live rows, corrections that move trips, and late rows, one by one."""
     root = scratch_path(spark, "growing")
     bronze, silver = f"{root}/bronze", f"{root}/silver"
+    trips = _arrivals(spark, sf_dir)
     for run in ("seed", "live", "correction", "late"):
-        _arrive(spark, sf_dir, bronze, run)
+        _arrive(spark, trips, bronze, run)
         change = refresh_silver(
             spark, bronze, adapter.zones(spark, sf_dir), silver, run, partition_unit="year"
         )
@@ -304,11 +310,12 @@ def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("incremental_demand")
 def incremental_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two gated runs over a lake whose bronze grows between them; the hourly table of the second."""
-    cfg = _config(spark, sf_dir, scratch_path(spark, "growing-lake"))
-    cfg.bronze, cfg.incremental, cfg.tie_breakers = None, True, TIE_BREAKERS
+    cfg = _config(spark, sf_dir, scratch_path(spark, "growing-lake"), bronze=False)
+    cfg.incremental, cfg.tie_breakers = True, TIE_BREAKERS
     cfg.suite = [check for check in cfg.suite if check.kind != "duplicates"]
+    trips = _arrivals(spark, sf_dir)
     for run, names in (("1", ["seed", "live"]), ("2", ["correction", "late"])):
-        _arrive(spark, sf_dir, cfg.bronze_path, *names)
+        _arrive(spark, trips, cfg.bronze_path, *names)
         tables = run_pipeline(spark, cfg, run)
     return read_table(spark, tables["agg_hourly_demand"])
 
@@ -463,11 +470,12 @@ def gated_run(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return run_pipeline(spark, _config(spark, sf_dir, scratch_path(spark, "lake")))
 
 
-def _config(spark: SparkSession, sf_dir: str, root: str) -> LakeConfig:
+def _config(spark: SparkSession, sf_dir: str, root: str, bronze: bool = True) -> LakeConfig:
     return LakeConfig(
         root=root,
         zones=adapter.zones(spark, sf_dir),
-        bronze=adapter.trips(spark, sf_dir),
+        # a table, as in a lake: every run reads it more than once
+        bronze=_written(adapter.trips(spark, sf_dir), "bronze") if bronze else None,
         suite=[*audit.table_suite(), Check("unique", SILVER_KEY)],
         tie_breakers=TIES,
         resolutions=RESOLUTIONS,
@@ -665,8 +673,9 @@ def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "checked")
     bronze, silver = f"{root}/bronze", f"{root}/silver"
     suite = [*audit.silver_suite(), Check("duplicates", "trip_id")]
+    trips = _arrivals(spark, sf_dir)
     for run, names in (("1", ["seed", "live"]), ("2", ["correction", "late"])):
-        _arrive(spark, sf_dir, bronze, *names)
+        _arrive(spark, trips, bronze, *names)
         change = refresh_silver(spark, bronze, adapter.zones(spark, sf_dir), silver, run, partition_unit="year")
         checked = refresh_checks(
             spark, suite, silver, f"{root}/checks", run, run, change.parts, change.touched, change.base, buckets=16
