@@ -5,7 +5,7 @@ import re
 import pytest
 from tripmart.operators import dedupe
 from tripmart.sinks.tables import overwrite, replace_partitions
-from tripmart.workload import adapter
+from tripmart.workload import adapter, queries
 
 SCHEMA = "k string, part int, at int, w int"
 
@@ -70,3 +70,10 @@ def test_trips_meet_customers_by_their_orders(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     lines = [x for x in plan.splitlines() if "Join Inner" in x]
     assert "c_custkey" in lines[2] and "l_orderkey" in lines[1], plan
+
+
+def test_cells_are_worked_out_by_all_cores(spark):
+    """One small customer file is one split."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = queries.queries()["globe_cells"](spark, "/root/testdata/sf0.001")
+    assert cells.rdd.getNumPartitions() == 2 * tasks

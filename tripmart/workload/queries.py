@@ -178,7 +178,9 @@ def cells_of_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("globe_cells")
 def cells_of_globe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of places all over the globe, with their parents and neighbours."""
-    places = adapter.globe_places(spark, sf_dir)
+    # a customer file is few splits, and cells are dear: their rows go over all cores
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    places = adapter.globe_places(spark, sf_dir).repartition(tasks)
     found = [zone_cells(places, res, "globe").withColumn("res", F.lit(res)) for res in (4, 9)]
     return reduce(DataFrame.unionByName, found).select(
         "LocationID",
