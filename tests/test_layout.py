@@ -72,6 +72,13 @@ def test_trips_meet_customers_by_their_orders(spark):
     assert "c_custkey" in lines[2] and "l_orderkey" in lines[1], plan
 
 
+def test_streams_are_dealt_only_where_files_make_few_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(8).repartition(2), spark.range(800).repartition(cores)
+    assert adapter.dealt(few, many) is few
+    assert adapter.dealt(few, few).rdd.getNumPartitions() == cores
+
+
 def test_cells_are_worked_out_by_all_cores(spark):
     """One small customer file is one split."""
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))

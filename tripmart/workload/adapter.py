@@ -222,14 +222,18 @@ def trips(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -
 
 
 def live_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "lineitem").schema
-    source = read_stream(spark, "parquet", schema, f"{sf_dir}/lineitem.parquet")
-    return trips(spark, sf_dir, dealt(source))
+    lines = table(spark, sf_dir, "lineitem")
+    source = read_stream(spark, "parquet", lines.schema, f"{sf_dir}/lineitem.parquet")
+    return trips(spark, sf_dir, dealt(source, lines))
 
 
-def dealt(source: DataFrame) -> DataFrame:
-    """A stream's rows over all cores: a file that is one split would else be decoded by one task."""
-    return source.repartition(source.sparkSession.sparkContext.defaultParallelism)
+def dealt(source: DataFrame, files: DataFrame) -> DataFrame:
+    """A stream's rows over all cores: a file that is one split would else be decoded by one task.
+
+    ``files`` is the table the stream reads. Where its files make a task per core, nothing moves.
+    """
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    return source if files.rdd.getNumPartitions() >= cores else source.repartition(cores)
 
 
 def batch(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:

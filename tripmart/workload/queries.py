@@ -520,11 +520,12 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three starts of one stream, with new input before the second."""
     path, lines = scratch_path(spark, "restart"), scratch_path(spark, "lines")
     table = adapter.table(spark, sf_dir, "lineitem")
+    read_files = spark.read.schema(table.schema).parquet
     for half in (0, 1, None):
         if half is not None:
             table.filter(F.col("l_orderkey") % 2 == half).write.mode("append").parquet(lines)
         source = read_stream(spark, "parquet", table.schema, lines)
-        trips = adapter.trips(spark, sf_dir, adapter.dealt(source))
+        trips = adapter.trips(spark, sf_dir, adapter.dealt(source, read_files(lines)))
         framed = frame_rows(normalize(trips), "trip_id", schema_id=7)
         stamped = framed.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
         _land(add_lineage(decode_frames(stamped), LIVE_SOURCE), path)
