@@ -1,10 +1,11 @@
 """Rows that are deduplicated and laid out by partition in one shuffle, or not moved at all."""
 
+import glob
 import re
 
 import pytest
 from tripmart.operators import dedupe
-from tripmart.sinks.tables import overwrite, replace_partitions
+from tripmart.sinks.tables import compact, overwrite, replace_partitions
 from tripmart.workload import adapter, queries
 
 SCHEMA = "k string, part int, at int, w int"
@@ -82,5 +83,15 @@ def test_streams_are_dealt_only_where_files_make_few_tasks(spark, tmp_path):
 def test_cells_are_worked_out_by_all_cores(spark):
     """One small customer file is one split."""
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = queries.queries()["globe_cells"](spark, "/root/testdata/sf0.001")
+    cells = queries()["globe_cells"](spark, "/root/testdata/sf0.001")
     assert cells.rdd.getNumPartitions() == 2 * tasks
+
+
+def test_no_task_of_a_compaction_sorts_more_rows_than_it_may(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(4000).selectExpr("id", "id % 7 as g")
+    overwrite(df, path, "1")
+    compact(spark, path, "2", ["id", "g"], sorted_rows=500)
+    files = glob.glob(f"{path}/v=2/part-*.parquet")
+    assert len(files) == 8 and max(spark.read.parquet(f).count() for f in files) < 800
+    assert rows_of(spark.read.parquet(f"{path}/v=2")) == rows_of(df)

@@ -38,6 +38,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # What the name of a compacted batch begins with.
 COMPACTED = "compacted-"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# A clustered file is sorted by one task, which holds its rows uncompressed: so many at most, about.
+SORTED_ROWS = 2_000_000
 
 
 #: Stands for whatever version is the current one.
@@ -552,9 +554,12 @@ def compact(
     cluster_cols: Sequence[str],
     target_bytes: int = TARGET_FILE_BYTES,
     fmt: str = "parquet",
+    sorted_rows: int = SORTED_ROWS,
 ) -> str:
     """Rewrite the published version as clustered files of about ``target_bytes``.
 
+    Files are smaller where that many bytes are more than about ``sorted_rows`` rows.
+
     With several ``cluster_cols``, files are stretches of a space-filling curve over them (see
     `curve_key`), so a filter on any of them skips files; with one they are its ranges. The row id
     behind the clustering lets a value that fills many files be split; without it all rows of that
@@ -570,7 +575,7 @@ def compact(
     by = partition_columns(spark, path)
     # The scan already listed the files, so the optimizer knows their total size.
     size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    files = max(1, math.ceil(size / target_bytes))
+    files = max(1, math.ceil(size / target_bytes), math.ceil(table.count() / sorted_rows))
     spread = table.withColumn("_row", F.monotonically_increasing_id())
     order = list(cluster_cols)
     if len(order) > 1:
