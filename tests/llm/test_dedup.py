@@ -8,7 +8,7 @@ import rows as R
 import xxhash
 from pyspark.sql import functions as F
 
-from tripmart.llm import bloom, simhash
+from tripmart.llm import bloom, common, simhash
 from tripmart.llm.fmindex import FmIndex, earliest_occurrences
 from tripmart.llm.lines import dedup_lines
 from tripmart.llm.substrings import remove_repeats
@@ -113,6 +113,34 @@ def test_large_buckets_are_split(spark, monkeypatch):
     assert {p: find(p) for p in own} == {p: root.get(p, p) for p in own}
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_components(spark, monkeypatch, crowded):
+    if crowded:
+        monkeypatch.setattr(common, "ROWS_PER_TASK", 10)
+    rng = np.random.default_rng(6)
+    edges = [(0, x) for x in range(1, 40)]  # a node that many hang on
+    edges += [(x + 1, x) for x in range(100, 160)]  # a chain
+    edges += [(int(a), int(b)) for a, b in rng.integers(200, 500, (200, 2)) if a != b] + [(7, 0), (0, 7)]
+    shuffles, whole = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, name: shuffles.append(_exchanges(df)) or whole(df, name))
+    rows = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    got = {r.node: r.root for r in common.components(rows, "t").collect()}
+    parent = {x: x for e in edges for x in e}
+    for _ in parent:
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert {x: got.get(x, x) for x in parent} == parent
+    # a round's plan stays small: the driver keeps threads for each shuffle and broadcast
+    if not crowded:
+        assert max(shuffles[1:]) <= 4
+    empty = spark.createDataFrame([], "a long, b long")
+    assert common.components(empty, "t").count() == 0
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
 def distinct_ids():
     rows, seen = [], set()
     for d, t in R.corpus():
