@@ -375,6 +375,25 @@ def test_index_is_exact_and_stops_on_proof(kind):
         assert index.early > 0.6 * len(asked)
 
 
+@pytest.mark.parametrize("kind", ["normal", "skewed"])
+def test_strides_that_end_no_query_are_left_out(kind, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = np.floor(64 * rng.normal(size=(3000, 64))) / 8
+    if kind == "skewed":
+        rows = 64 * rng.pareto(1.0, rows.shape).clip(0, 300) * (rng.random(rows.shape) < 0.15)
+    rows = rows.astype(np.int64)
+    index, ids, tried = topk.ImpactIndex(np.arange(3000), rows), np.arange(200), []
+    bounds = topk.ImpactIndex.bounds
+    monkeypatch.setattr(topk.ImpactIndex, "bounds", lambda *a: tried.append(len(a[2])) or bounds(*a))
+    got = index.search_all(rows[:200], ids, 20)
+    for i in range(0, 200, 7):
+        assert ([int(x) for x in got[i][0]], [int(x) for x in got[i][1]]) == _best(np.arange(3000), rows, rows[i], i, 20)
+    if kind == "normal":  # the first stride of each, and all strides of the trials
+        assert len(tried) <= 200 + 3 * (topk.TRIALS + 200 // topk.TRIAL_EVERY)
+    else:
+        assert index.early > 0.6 * 200
+
+
 def test_shards_and_lengths(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=4 + i % 3)]) for i in range(300)] + [(400, []), (420, []), (440, [2.0])]

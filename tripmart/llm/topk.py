@@ -15,6 +15,12 @@ SHARD_NUMBERS = 1 << 20
 # Shares of a query's segments after which the proof is tried.
 STRIDES = (1 / 16, 1 / 8, 1 / 4, 1 / 2)
 
+# Trial queries go through all strides: a shard's first ones, and one in so many later.
+TRIALS, TRIAL_EVERY = 8, 64
+
+# Queries that are scored at once where most vectors of a shard are possible.
+SCORED = 32
+
 _HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -66,6 +72,9 @@ class ImpactIndex:
         self.sizes = np.diff(self.begins)
         #: queries that ended on proof before their last stride
         self.early = 0
+        #: queries so far, trials among them, and how many trials ended on proof after each stride
+        self.asked = self.trials = 0
+        self.ended = [0] * len(STRIDES)
 
     def scores(self, query: np.ndarray, some: np.ndarray) -> np.ndarray:
         return (self.exact[some] @ query.astype(self.exact.dtype)).astype(np.int64)
@@ -89,20 +98,25 @@ class ImpactIndex:
         gained = np.repeat(impact[done] - rest[self.dim[done]], size)
         return rest.sum() + np.bincount(self.postings[at], gained, self.n)
 
-    def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best vectors but the query's own; ties to the smaller id.
+    def possible(self, query: np.ndarray, own_id: int, k: int) -> np.ndarray:
+        """Vectors among which the ``k`` best but the query's own are.
 
         Segments are processed in descending order of impact, the most that a posting of theirs can
         add to a score. After a stride, the vectors that can still reach the k-th best exact score
         known are the possible members. The query ends once they are few, or after half of the
-        segments, from where scoring what is possible costs less than going on. The possible members
-        are scored exactly: that no other vector is a member is proved by its bound.
+        segments, from where scoring what is possible costs less than going on. That is so sooner
+        in a shard where going on ends few queries: queries other than trials do not go on to
+        strides after which fewer than an eighth of the trials ended.
         """
         weight = query[self.dim].astype(np.float64)
         impact = np.maximum(weight * self.low, weight * self.high)
         order = np.argsort(-impact, kind="stable")
         possible = np.arange(self.n)
-        for share in STRIDES:
+        trial = self.asked < TRIALS or self.asked % TRIAL_EVERY == 0
+        self.asked += 1
+        self.trials += trial
+        last = max((i for i, n in enumerate(self.ended) if 8 * n >= self.trials), default=0)
+        for i, share in enumerate(STRIDES if trial else STRIDES[: last + 1]):
             done = order[: max(1, int(share * len(order)))]
             bound = self.bounds(impact, done)
             bound[self.ids == own_id] = -np.inf
@@ -115,10 +129,33 @@ class ImpactIndex:
             possible = np.flatnonzero((bound >= floor) & (bound > -np.inf))
             if len(possible) <= max(4 * k, self.n // 64):
                 self.early += share < STRIDES[-1]
+                self.ended[i] += trial
                 break
-        scores = self.scores(query, possible)
-        best = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible][best], scores[best]
+        return possible
+
+    def search_all(self, queries: np.ndarray, own_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query, ids and scores of the ``k`` best vectors but its own; ties to the smaller id.
+
+        The possible members are scored exactly: that no other vector is a member is proved by its
+        bound. Queries for which most vectors are possible are scored together.
+        """
+        found = []
+        for a in range(0, len(queries), SCORED):
+            some = queries[a : a + SCORED]
+            possible = [self.possible(q, i, k) for q, i in zip(some, own_ids[a : a + SCORED], strict=True)]
+            many = [i for i, p in enumerate(possible) if 8 * len(p) >= self.n]
+            together = dict(zip(many, some[many].astype(self.exact.dtype) @ self.exact.T, strict=True)) if many else {}
+            for i, (query, own) in enumerate(zip(some, possible, strict=True)):
+                scores = together[i][own].astype(np.int64) if i in together else self.scores(query, own)
+                if len(own) > k:
+                    best = np.flatnonzero(scores >= np.partition(scores, len(own) - k)[len(own) - k])
+                    own, scores = own[best], scores[best]
+                best = np.lexsort((self.ids[own], -scores))[:k]
+                found.append((self.ids[own][best], scores[best]))
+        return found
+
+    def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.search_all(query[None], np.array([own_id]), k)[0]
 
 
 def top_k(table: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
@@ -166,8 +203,7 @@ def top_k(table: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> Da
                 if index is None and ids:
                     index = ImpactIndex(np.concatenate(ids), np.concatenate(parts))
                 if index is not None:
-                    for q, query in zip(vec[a:b], own, strict=True):
-                        hit, score = index.search(query, q, k)
+                    for q, (hit, score) in zip(vec[a:b], index.search_all(own, vec[a:b], k), strict=True):
                         found.append((np.full(len(hit), q), hit, score))
             if found:
                 yield arrays(_HITS, *(np.concatenate(c) for c in zip(*found, strict=True)))
