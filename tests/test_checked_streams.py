@@ -14,6 +14,7 @@ from tripmart.functions.registry import ANY_ID, decode_by_id, read_schemas, writ
 from tripmart.operators import latest_per_key
 from tripmart.plans.bronze import read_bronze
 from tripmart.schemas import TRIP_COLUMNS, TRIP_SCHEMA
+from tripmart.session import prepare_session
 from tripmart.sinks import read_origins
 from tripmart.sources import read_stream
 from tripmart.streaming import keep_newest, land_checked, read_newest, run_bronze_stream
@@ -217,3 +218,28 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path, monkeypatch):
     assert [r.id for r in read_origins(spark, path, [newest.LATE]).collect()] == [4]
     assert sorted((r.key, r.id) for r in read_newest(spark, path, *BY).collect()) == [("a", 2), ("b", 4), ("c", 5)]
     assert sorted((r.key, r.id) for r in read_newest(spark, path, *BY, late=False).collect()) == [("a", 2), ("b", 3), ("c", 5)]
+
+
+def test_decoding_of_wide_records_is_not_interpreted(spark):
+    # HotSpot compiles no method of more than 8,000 bytes
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    assert int(spark.conf.get(limit)) <= 8000
+    other = spark.newSession()
+    other.conf.set(limit, "65535")
+    prepare_session(other)
+    assert int(other.conf.get(limit)) <= 8000
+
+
+def test_rows_of_several_writers_are_framed_in_one_pass(spark):
+    rows = spark.createDataFrame([("a", 1, 2.5), ("b", 2, None), ("c", 3, 1.0), ("d", None, 1.0)], "id string, n int, x double")
+    writers = {
+        7: (F.col("n") == 1, F.struct("id", F.col("x").cast("string").alias("x"))),
+        300: (F.col("n") <= 2, F.struct(F.col("id").alias("ID"), "x")),
+    }
+    framed = frame_rows(rows, "id", writers=writers)
+    got = {bytes(r.key): bytes(r.value) for r in framed.collect()}
+    assert got == {
+        b"a": b'\x00\x00\x00\x00\x07{"id":"a","x":"2.5"}',
+        b"b": b'\x00\x00\x00\x01\x2c{"ID":"b","x":null}',
+    }
+    assert "Union" not in framed._jdf.queryExecution().optimizedPlan().toString()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,22 +30,35 @@ def avro_schema(schema: StructType = TRIP_SCHEMA, name: str = "Trip") -> str:
     return json.dumps({"type": "record", "name": name, "fields": fields})
 
 
-def frame_rows(df: DataFrame, key: str, schema_id: int = 1, codec: str = "json") -> DataFrame:
-    """Rows as ``(key, value)`` messages, ready for a Kafka sink."""
-    record = F.struct(*df.columns)
-    if codec == "json":
-        body = F.encode(F.to_json(record, {"ignoreNullFields": "false"}), "UTF-8")
-    elif codec == "avro":
-        from pyspark.sql.avro.functions import to_avro
-
-        body = to_avro(record, avro_schema(df.schema))
-    else:
-        raise ValueError(f"unknown codec {codec!r}")
-    header = F.unhex(F.lit(f"{MAGIC_BYTE}{schema_id:08X}"))
-    return df.select(
-        F.encode(F.col(key), "UTF-8").alias("key"),
-        F.concat(header, body).alias("value"),
-    )
+def frame_rows(
+    df: DataFrame,
+    key: str,
+    schema_id: int = 1,
+    codec: str = "json",
+    writers: Mapping[int, tuple[Column, Column]] | None = None,
+) -> DataFrame:
+    """Rows as ``(key, value)`` messages, ready for a Kafka sink.
+
+    ``writers`` has, by schema id, which rows are a writer's and the record it makes of them; a row
+    goes to the first that takes it, and rows that none takes are left out. The rows are read once,
+    however many writers there are. Without it, whole rows are written under ``schema_id``.
+    """
+    if writers is None:
+        writers = {schema_id: (F.lit(True), F.struct(*df.columns))}
+    value = F.lit(None).cast("binary")
+    for number, (own, record) in reversed(list(writers.items())):
+        if codec == "json":
+            body = F.encode(F.to_json(record, {"ignoreNullFields": "false"}), "UTF-8")
+        elif codec == "avro":
+            from pyspark.sql.avro.functions import to_avro
+
+            body = to_avro(record, avro_schema(df.select(record.alias("record")).schema["record"].dataType))
+        else:
+            raise ValueError(f"unknown codec {codec!r}")
+        header = F.unhex(F.lit(f"{MAGIC_BYTE}{number:08X}"))
+        value = F.when(own, F.concat(header, body)).otherwise(value)
+    taken = reduce(Column.__or__, [F.coalesce(own, F.lit(False)) for own, _ in writers.values()], F.lit(False))
+    return df.filter(taken).select(F.encode(F.col(key), "UTF-8").alias("key"), value.alias("value"))
 
 
 def _decoded(value: Column, schema: StructType, codec: str, mode: str) -> Column:

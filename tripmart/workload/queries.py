@@ -563,16 +563,13 @@ def _checked_topic(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
     """
     trips = adapter.trips(spark, sf_dir).filter((F.col("_tie1") % 2 == part))
     records = normalize(trips)
-    kinds = [
-        (11, records.filter("vendor_id = 1 and payment_type < 4")),
-        (12, records.filter("vendor_id = 2").withColumnsRenamed({"vendor_id": "VendorID"})),
-        (13, records.filter("vendor_id = 1 and payment_type >= 4").withColumn("cab_colour", F.lit("red"))),
-    ]
-    framed = []
-    for schema_id, rows in kinds:
-        typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in _writers()[schema_id]))
-        framed.append(frame_rows(typed, "trip_id", schema_id))
-    found = reduce(DataFrame.unionByName, framed)
+    records = records.withColumns({"VendorID": F.col("vendor_id"), "cab_colour": F.lit("red")})
+    kinds = {11: "vendor_id = 1 and payment_type < 4", 12: "vendor_id = 2", 13: "vendor_id = 1 and payment_type >= 4"}
+    writers = {
+        schema_id: (F.expr(rows), F.struct(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in _writers()[schema_id])))
+        for schema_id, rows in kinds.items()
+    }
+    found = frame_rows(records, "trip_id", writers=writers)
     # what happens to a message is told by its key
     number = F.crc32("key")
     value = F.col("value")
